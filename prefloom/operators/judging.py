@@ -49,9 +49,8 @@ def score_replies(df: DataFrame, reply: str = "judge_response") -> DataFrame:
     text = F.col(reply)
     error = F.lit("no reply")
     if "status" in df.columns:
-        error = F.when(
-            F.col("status").startswith("error: "), F.substring_index("status", "error: ", -1)
-        ).otherwise(error)
+        after = F.substr(F.col("status"), F.lit(len("error: ") + 1))
+        error = F.when(F.col("status").startswith("error: "), after).otherwise(error)
     kept = [c for c in df.columns if c not in (reply, "status", "score")]
     return df.select(
         *kept,

@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 
 from prefloom.session import scratch_folder
 
-BLOCK_BITS = 16  # a block spans 2**16 keys, so it holds at most that many rows
-SUPER_BITS = 12  # blocks per superblock
+BLOCK_BITS = 12  # a block spans 4,096 keys, so it holds at most that many rows
+SUPER_BITS = 14  # 16,384 blocks per superblock
+PARTITION_BYTES = 256 << 20
+MAX_PARTITIONS = 100_000
 
 
 def _block(key: str) -> Column:
-    return F.shiftright(F.col(key), BLOCK_BITS)
+    # never NULL, so that no plan branch gets a null check of its own and equal
+    # shuffles stay recognisable as equal
+    return F.coalesce(F.shiftright(F.col(key), BLOCK_BITS), F.lit(0))
 
 
 def block_offsets(
@@ -36,10 +40,12 @@ def block_offsets(
 
     Running sums are taken first inside superblocks and then over superblock
     totals, so that not even a group with most of the rows goes through one
-    task: a task sees 4,096 blocks or one row per 268 million keys.
+    task: a task sees 16,384 blocks or one row per 67 million keys.
     """
     groups = list(groups)
     measures = {"n": F.lit(1), **(measures or {})}
+    for g in groups:
+        df = df.filter(F.col(g).isNotNull())
     sizes = df.groupBy(*groups, _block(key).alias("_block")).agg(
         *[F.sum(c).alias(f"_{m}") for m, c in measures.items()]
     ).withColumn("_super", F.shiftright("_block", SUPER_BITS))
@@ -175,7 +181,7 @@ def with_position(
     skip row groups, since the files are in order.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     path = path or scratch_folder(spark, "positions")
     (
         df.repartitionByRange(n, *order_cols)
@@ -186,6 +192,14 @@ def with_position(
     return read_positions(spark, path, name)
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Shuffle partitions of about 256 MB by the planner's size estimate, and no
+    fewer than the session's setting."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(size // PARTITION_BYTES, MAX_PARTITIONS))
+
+
 def read_positions(spark, path: str, name: str = "pos") -> DataFrame:
     """Open a table written by ``with_position``."""
     written = spark.read.parquet(path)

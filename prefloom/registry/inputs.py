@@ -22,7 +22,7 @@ WHERE u.role = 'user'
 # Four candidates of each row; two are equal where the output is empty.
 CANDIDATES = """
 SELECT pos, sel, instruction, input, output AS ground_truth,
-       {array}(output, concat(output, ' ', output), instruction, concat(instruction, output, ' ')) AS responses
+       {array}(output, concat(output, output), instruction, concat(instruction, output)) AS responses
 FROM {instructions}
 """
 

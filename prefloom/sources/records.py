@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefloom.functions.text import py_strip
 from prefloom.operators.positions import with_position
 
 ORDER = ("file", "split", "line")
@@ -148,15 +149,17 @@ def check_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     The parser streams each file, so no file has to fit into one string.
     """
     paths = [path] if isinstance(path, str) else path
-    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
-    # without spaces and byte-order marks; only the presence of text matters
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value")
+    raw = spark.read.text(paths)
+    # scans skip files without a byte, so the list is the one the driver made for the scan
+    files = spark.createDataFrame([(f,) for f in raw.inputFiles()], "file string")
+    lines = raw.select(F.col("_metadata.file_path").alias("file"), "value")
+    texts = lines.filter(py_strip(F.col("value")) != "").groupBy("file").agg(
+        F.lit(True).alias("_has_text")
     )
-    texts = lines.filter(F.col("value") != "").groupBy("file").agg(F.lit(True).alias("_has_text"))
+    # a corrupt row has no field; Spark wants one to be read beside the corrupt text
+    bad = F.col("corrupt").isNotNull() & F.col("_none").isNull()
     parsed = read_variants(spark, paths, ["_none"], "array").groupBy("file").agg(
-        F.count_if(F.col("corrupt").isNull()).alias("records"),
-        F.count_if(F.col("corrupt").isNotNull()).alias("_bad"),
+        F.count_if(~bad).alias("records"), F.count_if(bad).alias("_bad")
     )
     status = (
         F.when(F.col("_bad") > 0, "malformed").when(F.col("_has_text"), "ok").otherwise("empty")
@@ -170,7 +173,7 @@ def check_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def line_status(line: Column) -> Column:
     """``ok``, ``empty`` or ``malformed`` for the text of one JSON record."""
     return (
-        F.when(F.trim(line) == "", "empty")
+        F.when(py_strip(line) == "", "empty")
         .when(F.try_parse_json(line).isNull(), "malformed").otherwise("ok")
     )
 
