@@ -151,7 +151,9 @@ def check_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else path
     raw = spark.read.text(paths)
     # scans skip files without a byte, so the list is the one the driver made for the scan
-    files = spark.createDataFrame([(f,) for f in raw.inputFiles()], "file string")
+    listed = spark.createDataFrame([(f,) for f in raw.inputFiles()], "file string")
+    # the list writes an empty host as scheme:///, the scan as scheme:/
+    files = listed.select(F.regexp_replace("file", "^([^:/]+):///", "$1:/").alias("file"))
     lines = raw.select(F.col("_metadata.file_path").alias("file"), "value")
     texts = lines.filter(py_strip(F.col("value")) != "").groupBy("file").agg(
         F.lit(True).alias("_has_text")
