@@ -72,10 +72,18 @@ def _to_double(text: Column) -> Column:
     return ascii_digits(text).try_cast("double")
 
 
-def judge_score(reply: Column) -> Column:
+def score_tag(reply: Column) -> Column:
+    """Number in the first score tag, the empty string without one."""
+    return F.regexp_extract(reply, _TAGGED, 1)
+
+
+def judge_score(reply: Column, tag: Column | None = None) -> Column:
     """Score in a judge's reply: the first score tag clamped to 1..10, else the
-    first free-standing number within 1..10, else 5. NULL for no reply."""
-    tagged = F.regexp_extract(reply, _TAGGED, 1)
+    first free-standing number within 1..10, else 5. NULL for no reply.
+
+    ``tag`` is a column that already holds ``score_tag``, which is used twice.
+    """
+    tagged = score_tag(reply) if tag is None else tag
     # greatest / least skip NULLs, so the clamp only runs where a tag was found
     clamped = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), _to_double(tagged)))
     numbers = F.transform(F.regexp_extract_all(reply, F.lit(_LONE), 1), _to_double)

@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 Responder = Callable[[Sequence[str], Sequence[int]], Sequence[str]]
 
 
+def spread(df: DataFrame, partitions: int | None, row_id: str = "pos") -> DataFrame:
+    """Rows over ``partitions`` tasks, so that few input files do not become few
+    tasks. Call it before prompts are built: they need not be shuffled."""
+    return df.repartition(partitions, row_id) if partitions else df
+
+
 def complete(
     df: DataFrame,
     prompt_col: str,
@@ -23,7 +29,7 @@ def complete(
     batch_size: int = 64,
     row_id: str = "pos",
     seed: int = 42,
-    partitions: int | None = None,
+    keep_prompt: bool = True,
 ) -> DataFrame:
     """Add ``out`` and ``status`` to every row.
 
@@ -33,14 +39,16 @@ def complete(
     others of its batch are asked again one by one and keep their texts.
 
     Seeds come from ``row_id`` and the sample number, so a retried task asks the
-    same questions. ``partitions`` spreads few input files over more tasks.
+    same questions. Without ``keep_prompt`` the prompt does not come back.
     Write the result before using it twice: each action would ask the model anew.
     """
-    if partitions:
-        df = df.repartition(partitions, row_id)
     text = T.ArrayType(T.StringType()) if k > 1 else T.StringType()
+    gone = ["_seed"] if keep_prompt else ["_seed", prompt_col]
     schema = T.StructType(
-        [*df.schema.fields, T.StructField(out, text), T.StructField("status", T.StringType())]
+        [
+            *[f for f in df.schema.fields if f.name not in gone],
+            T.StructField(out, text), T.StructField("status", T.StringType()),
+        ]
     )
     arrow_text = pa.list_(pa.string()) if k > 1 else pa.string()
 
@@ -68,7 +76,7 @@ def complete(
                 rows = list(zip(*samples))
                 texts = [[t for t, _ in r] if k > 1 else r[0][0] for r in rows]
                 status = [next((s for _, s in r if s != "success"), "success") for r in rows]
-                kept = batch.drop_columns(["_seed"])
+                kept = batch.drop_columns(gone)
                 yield pa.RecordBatch.from_arrays(
                     [*kept.columns, pa.array(texts, arrow_text), pa.array(status, pa.string())],
                     names=[*kept.schema.names, out, "status"],

@@ -13,7 +13,7 @@ from prefloom.operators.choice import (
     accuracy, answer_details, grade_answers, limit_per_subject, listed_accuracy,
     number_per_subject, running_accuracy, select_subjects, with_choice_prompt,
 )
-from prefloom.operators.completion import Responder, complete
+from prefloom.operators.completion import Responder, complete, spread
 from prefloom.sources.records import write_once
 
 
@@ -35,6 +35,7 @@ def evaluate_choices(
     limit: int | None = None,
     every: int = 100,
     template: ChatTemplate = CHATML,
+    partitions: int | None = None,
     **options,
 ) -> ChoiceResult:
     """Ask the listed subjects' questions and grade the replies.
@@ -44,12 +45,13 @@ def evaluate_choices(
     """
     chosen = select_subjects(questions, subjects)
     numbered = number_per_subject(chosen) if limit is None else limit_per_subject(chosen, limit)
-    prompted = with_choice_prompt(numbered)
+    prompted = with_choice_prompt(spread(numbered, partitions))
     chat = render_chat(F.array(message("user", F.col("prompt"))), template)
     answered = complete(
-        prompted.withColumn("_chat", chat), "_chat", responder_factory, out="model_output", **options
+        prompted.withColumn("_chat", chat), "_chat", responder_factory,
+        out="model_output", keep_prompt=False, **options,
     ).withColumn("model_output", F.coalesce("model_output", F.lit("")))
-    write_once(grade_answers(answered.drop("_chat")), out)
+    write_once(grade_answers(answered), out)
     graded = questions.sparkSession.read.parquet(out)
     acc = accuracy(graded)
     return ChoiceResult(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, compose_prompt, message, render_chat
 from prefloom.operators.chat import response_rows
-from prefloom.operators.completion import Responder, complete
+from prefloom.operators.completion import Responder, complete, spread
 from prefloom.operators.judging import (
     judge_distribution, judge_input_reason, judge_stats, judge_summary, score_replies, with_judge_prompt,
 )
@@ -21,13 +21,15 @@ def generate_responses(
     rows: DataFrame,
     responder_factory: Callable[[], Responder],
     template: ChatTemplate = CHATML,
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """One stripped response per instruction row that got one."""
     chat = render_chat(
         F.array(message("user", compose_prompt(F.col("instruction"), F.col("input")))), template
     )
-    answered = complete(rows.withColumn("prompt", chat), "prompt", responder_factory, **options)
+    asked = spread(rows, partitions).withColumn("prompt", chat)
+    answered = complete(asked, "prompt", responder_factory, keep_prompt=False, **options)
     return response_rows(answered.filter(F.col("status") == "success"), keep=("pos",))
 
 
@@ -43,7 +45,11 @@ class Judged:
 
 
 def judge_records(
-    records: DataFrame, out: str, responder_factory: Callable[[], Responder], **options
+    records: DataFrame,
+    out: str,
+    responder_factory: Callable[[], Responder],
+    partitions: int | None = None,
+    **options,
 ) -> Judged:
     """Judge response records (VARIANT fields ``instruction``, ``ground_truth`` and
     ``response``, with ``pos``).
@@ -59,9 +65,10 @@ def judge_records(
             {"instruction": "string", "ground_truth": "string", "response": "string"},
         ).drop("reason")
         replied = complete(
-            with_judge_prompt(accepted), "prompt", responder_factory, out="judge_response", **options
+            with_judge_prompt(spread(accepted, partitions)), "prompt", responder_factory,
+            out="judge_response", keep_prompt=False, **options,
         )
-        score_replies(replied.drop("prompt")).write.mode("overwrite").parquet(out)
+        score_replies(replied).write.mode("overwrite").parquet(out)
     scores = spark.read.parquet(out)
     rejects = checked.filter(F.col("reason").isNotNull()).select("pos", "reason")
     return Judged(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, compose_prompt, message, render_chat
 from prefloom.operators.chat import candidate_rows
-from prefloom.operators.completion import Responder, complete
+from prefloom.operators.completion import Responder, complete, spread
 from prefloom.operators.preference import (
     candidate_reason, clean_preferences, observe_cleaning, preference_pairs,
 )
@@ -24,6 +24,7 @@ def generate_candidates(
     responder_factory: Callable[[], Responder],
     samples: int = 4,
     template: ChatTemplate = CHATML,
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """``samples`` stripped responses per instruction row that got all of them."""
@@ -31,8 +32,8 @@ def generate_candidates(
         F.array(message("user", compose_prompt(F.col("instruction"), F.col("input")))), template
     )
     answered = complete(
-        rows.withColumn("prompt", chat), "prompt", responder_factory,
-        out="responses", k=samples, **options,
+        spread(rows, partitions).withColumn("prompt", chat), "prompt", responder_factory,
+        out="responses", k=samples, keep_prompt=False, **options,
     )
     if samples == 1:
         answered = answered.withColumn("responses", F.array("responses"))

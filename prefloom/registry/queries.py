@@ -32,6 +32,11 @@ def joined(array: str | Column, sep: str = " ") -> Column:
     return F.array_join(F.transform(array, lambda x: x.cast("string")), sep)
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Model calls run on every core, however few files hold the rows."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _make(responder):
     """A factory that carries the function alone to the workers."""
     return lambda: responder
@@ -188,7 +193,7 @@ def choice_accuracy_flow(spark, sf):
     """Prompt, ask a stub, grade and score every selected question."""
     result = choice_plan.evaluate_choices(
         _option_rows(spark, sf).drop("model_output"), inputs.SUBJECTS,
-        scratch_folder(spark, "choices"), _make(stubs.chooser),
+        scratch_folder(spark, "choices"), _make(stubs.chooser), partitions=_tasks(spark),
     )
     return result.accuracy
 
@@ -274,7 +279,7 @@ def _chats(spark, sf):
 
 
 def complete_stub(spark, sf):
-    done = completion.complete(_chats(spark, sf), "prompt", _make(stubs.last_line))
+    done = completion.complete(_chats(spark, sf), "prompt", _make(stubs.last_line), keep_prompt=False)
     return done.select("pos", "response", "status")
 
 
@@ -294,7 +299,9 @@ def judging_flow(spark, sf):
             for c, n in (("instruction", "instruction"), ("output", "ground_truth"), ("input", "response"))
         ],
     ).select("pos", *[F.try_variant_get(n, "$.x", "variant").alias(n) for n in ("instruction", "ground_truth", "response")])
-    judged = judging_plan.judge_records(rows, scratch_folder(spark, "judged"), _make(stubs.judge))
+    judged = judging_plan.judge_records(
+        rows, scratch_folder(spark, "judged"), _make(stubs.judge), partitions=_tasks(spark)
+    )
     return judged.statistics
 
 
@@ -416,8 +423,8 @@ def rank_resume(spark, sf):
     """Two runs over all documents: the second asks only what the first left open."""
     rows = inputs.keyed(spark, sf)
     results = scratch_folder(spark, "rankings")
-    ranking.rank_run(rows, results, 0, _make(stubs.first_ranker))
-    ranking.rank_run(rows, results, 1, _make(stubs.second_ranker))
+    ranking.rank_run(rows, results, 0, _make(stubs.first_ranker), partitions=_tasks(spark))
+    ranking.rank_run(rows, results, 1, _make(stubs.second_ranker), partitions=_tasks(spark))
     return _resume_columns(ranking.read_results(spark, results, 1))
 
 
@@ -429,7 +436,8 @@ def rank_stream(spark, sf):
     )
     rows.write.parquet(arriving)
     query = ranking.rank_stream(
-        spark, arriving, rows.schema, results, checkpoint, _make(stubs.second_ranker)
+        spark, arriving, rows.schema, results, checkpoint, _make(stubs.second_ranker),
+        partitions=_tasks(spark),
     )
     query.awaitTermination()
     return _resume_columns(ranking.read_results(spark, results, 0))

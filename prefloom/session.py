@@ -18,6 +18,8 @@ def local_session(cpus: int = 8, app: str = "prefloom", memory: str = "8g") -> S
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        # no stack walk per column call while building plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from prefloom.operators.completion import Responder, complete
+from prefloom.operators.completion import Responder, complete, spread
 from prefloom.operators.preference import (
     current_results, parse_rankings, pending_rows, with_rank_prompt,
 )
@@ -40,6 +40,7 @@ def rank_run(
     key_cols: Sequence[str] = ("instruction",),
     strict_permutation: bool = False,
     prompt_fix: bool = False,
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Rank the candidates that have no ranking yet and store them as run ``batch``.
@@ -50,9 +51,12 @@ def rank_run(
     spark = candidates.sparkSession
     earlier = read_runs(spark, results)
     done = earlier.filter(earlier["batch"] < batch)
-    asked = with_rank_prompt(pending_rows(candidates, done, key_cols), prompt_fix=prompt_fix)
-    replied = complete(asked, "prompt", responder_factory, out="api_response", **options)
-    ranked = parse_rankings(replied.drop("prompt"), strict_permutation=strict_permutation)
+    pending = spread(pending_rows(candidates, done, key_cols), partitions)
+    replied = complete(
+        with_rank_prompt(pending, prompt_fix=prompt_fix), "prompt", responder_factory,
+        out="api_response", keep_prompt=False, **options,
+    )
+    ranked = parse_rankings(replied, strict_permutation=strict_permutation)
     ranked.select(*_schema().fieldNames()).write.mode("overwrite").parquet(f"{results}/batch={batch}")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from prefloom.operators.completion import complete
+from prefloom.operators.completion import complete, spread
 from conftest import rows
 
 
@@ -63,7 +63,7 @@ def test_no_text_is_an_error(spark):
 def test_samples_differ_and_repeat(spark):
     many = spark.range(500).select(F.col("id").alias("pos"), F.lit("p").alias("prompt"))
     first = complete(many, "prompt", make(seeded), out="texts", k=4)
-    again = complete(many, "prompt", make(seeded), out="texts", k=4, partitions=3, batch_size=7)
+    again = complete(spread(many, 3), "prompt", make(seeded), out="texts", k=4, batch_size=7)
     assert rows(first, "pos", "texts") == rows(again, "pos", "texts")
     texts = [r["texts"] for r in first.collect()]
     assert all(len(set(t)) == 4 for t in texts)
@@ -74,6 +74,7 @@ def test_samples_differ_and_repeat(spark):
 
 def test_partitions(spark):
     many = spark.range(100).select(F.col("id").alias("pos"), F.lit("p").alias("prompt")).coalesce(1)
-    done = complete(many, "prompt", make(upper), partitions=6)
+    done = complete(spread(many, 6), "prompt", make(upper), keep_prompt=False)
     assert done.count() == 100
+    assert done.columns == ["pos", "response", "status"]
     assert done.rdd.getNumPartitions() == 6
