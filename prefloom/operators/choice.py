@@ -19,7 +19,7 @@ def select_subjects(questions: DataFrame, subjects: Sequence[str]) -> DataFrame:
     """Questions of the listed subjects, with the subject's place in the list."""
     listed = F.array(*[F.lit(s) for s in subjects])
     return questions.filter(F.col("subject").isin(list(subjects))).withColumn(
-        "subject_no", F.array_position(listed, F.col("subject"))
+        "subject_no", F.array_position(listed, F.col("subject")).cast("int")
     )
 
 

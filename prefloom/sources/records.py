@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,10 +118,14 @@ def write_records(df: DataFrame, path: str, fmt: str = "json", mode: str = "erro
     writer.format(fmt).save(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a finished job wrote ``path``; a half-written folder has no mark."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
@@ -135,12 +138,9 @@ def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet rows, or an empty table while ``path`` does not exist."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def check_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

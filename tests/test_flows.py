@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from prefloom.plans import choice, judging, preference, training
+from prefloom.plans import choice, judging, preference, splitting, training
 from conftest import rows
 
 
@@ -135,3 +135,15 @@ def test_judging_reads_needed_columns_only(spark, sf_dir):
 def test_position_zip_and_snapshot_do_not_sort_the_table(spark, sf_dir):
     text = plan(entry.queries()["snapshot_position"](spark, sf_dir))
     assert "Exchange hashpartitioning" not in text and "Sort" not in text
+
+
+def test_split_of_a_stored_table(spark, tmp_path):
+    table, out = str(tmp_path / "table"), str(tmp_path / "parts")
+    rows_ = spark.range(1000).selectExpr("id", "concat('q', id) AS instruction")
+    rows_.repartitionByRange(4, "id").sortWithinPartitions("id").write.parquet(table)
+    parts = splitting.split_snapshot(spark, table, out, train=100, preference=50, evaluation=20)
+    got = {n: [r[0] for r in rows(p, "id")] for n, p in parts.items()}
+    assert got == {
+        "train": list(range(100)), "preference": list(range(930, 980)), "evaluation": list(range(980, 1000))
+    }
+    assert rows(parts["evaluation"], "pos") == [(i,) for i in range(980, 1000)]
