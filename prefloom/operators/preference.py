@@ -127,15 +127,31 @@ def instruction_key(key_cols: Sequence[str] = ("instruction",)) -> Column:
 
 
 def _has_ranking() -> Column:
-    return F.col("sorted_indices").isNotNull() & F.col("instruction").isNotNull()
+    return F.col("sorted_indices").isNotNull()
+
+
+def _key(df: DataFrame, key_cols: Sequence[str]) -> Column:
+    """The stored key where there is one: results then need not read their texts."""
+    return F.col("key") if "key" in df.columns else instruction_key(key_cols)
 
 
 def pending_rows(
-    rows: DataFrame, results: DataFrame, key_cols: Sequence[str] = ("instruction",), row_id: str = "pos"
+    rows: DataFrame,
+    results: DataFrame,
+    key_cols: Sequence[str] = ("instruction",),
+    row_id: str = "pos",
+    few_rows: bool = False,
 ) -> DataFrame:
-    """Rows whose key has no ranking in ``results`` yet, with their ``key``."""
-    done = results.filter(_has_ranking()).select(instruction_key(key_cols).alias("key"))
+    """Rows whose key has no ranking in ``results`` yet, with their ``key``.
+
+    With ``few_rows`` the results are first cut down to the keys of ``rows``:
+    a short list of keys is broadcast by Spark's size check, and the long
+    history is then scanned but not shuffled.
+    """
+    done = results.filter(_has_ranking()).select(_key(results, key_cols).alias("key"))
     asked = rows.filter(F.col("instruction").isNotNull()).withColumn("key", instruction_key(key_cols))
+    if few_rows:
+        done = done.join(asked.select("key"), "key", "left_semi")
     return anti_join(asked, done, "key", row_id)
 
 
@@ -153,11 +169,12 @@ def last_per_key(
     """
     order = list(order_cols)
     rank = F.struct(*([F.col("sorted_indices").isNotNull().alias("_ok")] if prefer_success else []), *order)
+    key = _key(rows, key_cols)
     winners = (
-        rows.groupBy(instruction_key(key_cols).alias("key")).agg(F.max(rank).alias("_last"))
+        rows.groupBy(key.alias("key")).agg(F.max(rank).alias("_last"))
         .select(*[F.col(f"_last.{c}").alias(c) for c in order])
     )
-    return rows.join(winners, order, "left_semi").withColumn("key", instruction_key(key_cols))
+    return rows.join(winners, order, "left_semi").withColumn("key", key)
 
 
 def upsert_results(
@@ -166,7 +183,7 @@ def upsert_results(
     """Earlier rankings updated by a new run: the last position of the new run
     wins, with or without a ranking, unless ``prefer_success`` is set."""
     both = (
-        earlier.filter(_has_ranking()).withColumn("batch", F.lit(0))
+        earlier.filter(_has_ranking() & F.col("instruction").isNotNull()).withColumn("batch", F.lit(0))
         .unionByName(new.filter(F.col("instruction").isNotNull()).withColumn("batch", F.lit(1)))
     )
     return last_per_key(both, key_cols, prefer_success=prefer_success)

@@ -6,10 +6,13 @@ engine the results are checked with. ``{array}`` is the one name that differs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+TURN_BITS = 10  # a block holds 1,024 turns of a conversation
 
 # One row per user turn: the turn before is the input, the turn after the output.
-# Both joins are on (conv_id, turn), so a long conversation is no hot key.
+# Spark gets the same rows from one shuffle, see instructions().
 INSTRUCTIONS = """
 SELECT u.conv_id * 100000 + u.turn AS pos, u.conv_id * 3 + u.turn AS sel, u.text AS instruction,
        coalesce(p.text, '') AS input, coalesce(n.text, '') AS output
@@ -110,7 +113,38 @@ def _run(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, INSTRUCTIONS, conversations=table(spark, sf_dir, "conversations"))
+    return user_turns(table(spark, sf_dir, "conversations"))
+
+
+def user_turns(conversations: DataFrame) -> DataFrame:
+    """``INSTRUCTIONS`` with one shuffle and no join.
+
+    Conversations are cut into blocks of 1,024 turns, so a long one is no hot
+    key. The first and last turn of a block also go to the block they touch,
+    where they serve as neighbours only.
+    """
+    turn = F.col("turn")
+    own, place = F.shiftright(turn, TURN_BITS), F.pmod(turn, F.lit(1 << TURN_BITS))
+    touched = F.array_compact(
+        F.array(
+            own, F.when(place == 0, own - 1), F.when(place == (1 << TURN_BITS) - 1, own + 1)
+        )
+    )
+    near = Window.partitionBy("conv_id", "_block").orderBy("turn")
+    before = F.when(F.lag("turn").over(near) == turn - 1, F.lag("text").over(near))
+    after = F.when(F.lead("turn").over(near) == turn + 1, F.lead("text").over(near))
+    return (
+        conversations.select("*", own.alias("_own"), F.explode(touched).alias("_block"))
+        .select("*", before.alias("_before"), after.alias("_after"))
+        .filter((F.col("role") == "user") & (F.col("_block") == F.col("_own")))
+        .select(
+            (F.col("conv_id") * 100000 + turn).alias("pos"),
+            (F.col("conv_id") * 3 + turn).alias("sel"),
+            F.col("text").alias("instruction"),
+            F.coalesce("_before", F.lit("")).alias("input"),
+            F.coalesce("_after", F.lit("")).alias("output"),
+        )
+    )
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

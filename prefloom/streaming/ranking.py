@@ -41,17 +41,20 @@ def rank_run(
     strict_permutation: bool = False,
     prompt_fix: bool = False,
     partitions: int | None = None,
+    few_rows: bool = False,
     **options,
 ) -> None:
     """Rank the candidates that have no ranking yet and store them as run ``batch``.
 
     A run owns one folder and replaces it, so repeating a run that was cut off
-    leaves no doubles. Rows that fail are asked again by the next run.
+    leaves no doubles. Rows that fail are asked again by the next run. All runs
+    of one result folder use the same ``key_cols``. ``few_rows`` is for small
+    additions to a long history.
     """
     spark = candidates.sparkSession
     earlier = read_runs(spark, results)
     done = earlier.filter(earlier["batch"] < batch)
-    pending = spread(pending_rows(candidates, done, key_cols), partitions)
+    pending = spread(pending_rows(candidates, done, key_cols, few_rows=few_rows), partitions)
     replied = complete(
         with_rank_prompt(pending, prompt_fix=prompt_fix), "prompt", responder_factory,
         out="api_response", keep_prompt=False, **options,
@@ -79,13 +82,13 @@ def rank_stream(
 ) -> StreamingQuery:
     """Rank the candidate files that arrived since the last start, then stop.
 
-    Each micro-batch is one run. After a failure the stream repeats the batch
+    Each micro-batch is one run of at most ``max_files`` files. After a failure the stream repeats the batch
     under the same number, which replaces its folder.
     """
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(candidates)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rank_run(batch, results, batch_id, responder_factory, **options)
+        rank_run(batch, results, batch_id, responder_factory, few_rows=True, **options)
 
     return (
         arriving.writeStream.foreachBatch(run)
