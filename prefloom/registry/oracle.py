@@ -372,6 +372,9 @@ SELECT pos AS id, instruction, nullif(input, '') AS input, output, input = '' AS
 SELECT doc_id, CASE WHEN trim(line) = '' THEN 'empty' WHEN json_valid(line) THEN 'ok' ELSE 'malformed' END AS status
 FROM ({_LINES}) l""",
     "malformed_lines": f"SELECT md5(line) AS line_md5 FROM ({_LINES}) l WHERE trim(line) <> '' AND NOT json_valid(line)",
+    "json_error_lines": """
+SELECT doc_id, 4 AS error_line, 3 AS context_lines, 2 AS first_line
+FROM documents JOIN labels USING (doc_id) WHERE quality = 0""",
     "token_rows": _with("instructions", _EXAMPLES) + f"""
 SELECT pos, CAST(length(t) AS INT) AS n_tokens, md5({_CODES}) AS ids_md5, md5({_CODES}) AS labels_md5 FROM examples""",
     "padded_batches": _with(

@@ -509,6 +509,20 @@ def malformed_lines(spark, sf):
     return records.malformed_lines(spark, path).select(F.md5("value").alias("line_md5"))
 
 
+def json_error_lines(spark, sf):
+    """Place of the error in every cut-off document record, written over several lines."""
+    docs, labels = (inputs.table(spark, sf, t) for t in ("documents", "labels"))
+    text = F.to_json(F.struct("doc_id", "text"), {"pretty": "true"})
+    cut = docs.join(labels.filter("quality = 0"), "doc_id").select(
+        "doc_id", F.rtrim(text, F.lit("}")).alias("record")
+    )
+    return records.with_json_error(cut, "record").select(
+        "doc_id", F.col("error.line").alias("error_line"),
+        F.size("error.context").alias("context_lines"),
+        F.col("error.context")[0]["line"].alias("first_line"),
+    )
+
+
 # --- training tables
 
 
@@ -590,6 +604,7 @@ QUERIES = {
     "write_records": write_records,
     "json_quarantine": json_quarantine,
     "malformed_lines": malformed_lines,
+    "json_error_lines": json_error_lines,
     "token_rows": token_rows,
     "padded_batches": padded_batches,
     "step_plan": step_plan,
