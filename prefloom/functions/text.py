@@ -94,14 +94,17 @@ def judge_score(reply: Column, tag: Column | None = None) -> Column:
 
 
 def ranking_numbers(reply: Column) -> Column:
-    """0-based numbers between the first and second rank prefix, NULL without a prefix."""
-    part = F.split_part(reply, F.lit(RANK_PREFIX), F.lit(2))
+    """0-based numbers between the first and second rank prefix, NULL without a prefix.
+
+    The reply occurs once in the expression: a filter on the result is pushed
+    below its projection, where every occurrence would be computed again.
+    """
+    part = F.get(F.split(reply, RANK_PREFIX), F.lit(1))
     digits = F.regexp_extract_all(part, F.lit(r"\p{Nd}+"), 0)
     # more digits than a BIGINT holds can never be an index: -1 is out of range
-    numbers = F.transform(
+    return F.transform(
         digits, lambda d: F.coalesce(ascii_digits(d).try_cast("bigint") - 1, F.lit(-1))
     )
-    return F.when(F.contains(reply, F.lit(RANK_PREFIX)), numbers)
 
 
 def valid_ranking(numbers: Column, n: Column, strict_permutation: bool = False) -> Column:
@@ -109,7 +112,9 @@ def valid_ranking(numbers: Column, n: Column, strict_permutation: bool = False)
 
     Repeats pass unless ``strict_permutation`` is set.
     """
-    ok = (F.size(numbers) == n) & F.forall(numbers, lambda i: (i >= 0) & (i < n))
-    if strict_permutation:
-        ok = ok & (F.size(F.array_distinct(numbers)) == n)
-    return F.when(ok, numbers)
+
+    def ok(found: Column) -> Column:
+        full = (F.size(found) == n) & F.forall(found, lambda i: (i >= 0) & (i < n))
+        return full & (F.size(F.array_distinct(found)) == n) if strict_permutation else full
+
+    return F.get(F.filter(F.array(numbers), ok), F.lit(0))

@@ -78,7 +78,15 @@ def clean_reason(strip_first: bool = False) -> Column:
 
 
 def clean_preferences(ranked: DataFrame, strip_first: bool = False) -> DataFrame:
-    return ranked.filter(clean_reason(strip_first).isNull())
+    """Rows without a ``clean_reason``, as conditions that can reach a scan."""
+    responses = F.col("responses")
+    if strip_first:
+        responses = F.transform(responses, py_strip)
+    return ranked.filter(
+        F.col("sorted_indices").isNotNull()
+        & (F.size("responses") >= 2)
+        & (F.size(F.array_distinct(responses)) == F.size("responses"))
+    )
 
 
 def reject_reasons(ranked: DataFrame, strip_first: bool = False) -> DataFrame:

@@ -125,10 +125,9 @@ def user_turns(conversations: DataFrame) -> DataFrame:
     """
     turn = F.col("turn")
     own, place = F.shiftright(turn, TURN_BITS), F.pmod(turn, F.lit(1 << TURN_BITS))
-    touched = F.array_compact(
-        F.array(
-            own, F.when(place == 0, own - 1), F.when(place == (1 << TURN_BITS) - 1, own + 1)
-        )
+    touched = (
+        F.when(place == 0, F.array(own, own - 1))
+        .when(place == (1 << TURN_BITS) - 1, F.array(own, own + 1)).otherwise(F.array(own))
     )
     near = Window.partitionBy("conv_id", "_block").orderBy("turn")
     before = F.when(F.lag("turn").over(near) == turn - 1, F.lag("text").over(near))

@@ -8,7 +8,7 @@ from prefloom.registry import inputs
 from conftest import rows
 
 
-@pytest.mark.parametrize("bits", [1, 2, 10])
+@pytest.mark.parametrize("bits", [1, 2, 5, 10])
 def test_neighbour_turns(spark, monkeypatch, bits):
     monkeypatch.setattr(inputs, "TURN_BITS", bits)
     rng = random.Random(bits)
