@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prefloom.functions.prompts import judge_prompt
 from prefloom.functions.text import judge_score, py_round, score_tag
+from prefloom.operators.staging import compute_once
 
 # Labels of the score distribution and the range each counts.
 BANDS = [
@@ -52,9 +53,8 @@ def score_replies(df: DataFrame, reply: str = "judge_response") -> DataFrame:
         after = F.substr(F.col("status"), F.lit(len("error: ") + 1))
         error = F.when(F.col("status").startswith("error: "), after).otherwise(error)
     kept = [c for c in df.columns if c not in (reply, "status", "score")]
-    # column by column: an expression used several times is then computed once
-    raw = df.withColumn("_tag", score_tag(text)).withColumn("_raw", judge_score(text, F.col("_tag")))
-    return raw.select(
+    tagged = df.withColumn("_tag", score_tag(text))
+    return compute_once(tagged, "_raw", judge_score(text, F.col("_tag"))).select(
         *kept,
         F.when(text.isNull(), F.concat(F.lit("[ERROR: "), error, F.lit("]"))).otherwise(text).alias(reply),
         F.coalesce(py_round(F.col("_raw"), 2), F.lit(0.0)).alias("score"),

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from prefloom.session import scratch_folder
 
 BLOCK_BITS = 12  # a block spans 4,096 keys, so it holds at most that many rows
-SUPER_BITS = 14  # 16,384 blocks per superblock
+SPAN_BITS = 16  # units of one level in a unit of the next
+SPAN_LEVELS = 2  # levels above the blocks, below the top
 PARTITION_BYTES = 256 << 20
 MAX_PARTITIONS = 100_000
 
@@ -38,9 +39,10 @@ def block_offsets(
     """Per (group, block): rows in the block (``_n``) and, for rows and every
     measure, the total of the group's earlier blocks (``_before_<name>``).
 
-    Running sums are taken first inside superblocks and then over superblock
-    totals, so that not even a group with most of the rows goes through one
-    task: a task sees 16,384 blocks or one row per 67 million keys.
+    Running sums are taken level by level: inside spans of 65,536 blocks, inside
+    spans of as many of those, and over what is left. With three levels no task
+    sees more than 65,536 rows of one span or 1,048,576 of the top, whatever 64-bit
+    keys there are and however many rows one group holds.
     """
     groups = list(groups)
     measures = {"n": F.lit(1), **(measures or {})}
@@ -48,30 +50,36 @@ def block_offsets(
         df = df.filter(F.col(g).isNotNull())
     sizes = df.groupBy(*groups, _block(key).alias("_block")).agg(
         *[F.sum(c).alias(f"_{m}") for m, c in measures.items()]
-    ).withColumn("_super", F.shiftright("_block", SUPER_BITS))
-    totals = sizes.groupBy(*groups, "_super").agg(
-        *[F.sum(f"_{m}").alias(f"_{m}") for m in measures]
-    )
-    across = Window.partitionBy(*groups).orderBy("_super").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    within = Window.partitionBy(*groups, "_super").orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = totals.select(
-        *groups, "_super", *[F.sum(f"_{m}").over(across).alias(f"_start_{m}") for m in measures]
     )
+    return _running(sizes, "_block", groups, list(measures), SPAN_LEVELS)
+
+
+def _running(
+    sizes: DataFrame, unit: str, groups: list[str], measures: list[str], levels: int
+) -> DataFrame:
+    """Add ``_before_<m>``: the sum of ``_<m>`` over the group's earlier units."""
+    def earlier(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
     zero = F.lit(0)
-    return (
-        sizes.select("*", *[F.sum(f"_{m}").over(within).alias(f"_in_{m}") for m in measures])
-        .join(starts, [*groups, "_super"])
-        .select(
-            *groups, "_block", "_n",
-            *[
-                (F.coalesce(f"_start_{m}", zero) + F.coalesce(f"_in_{m}", zero)).alias(f"_before_{m}")
-                for m in measures
-            ],
+    if levels == 0:
+        top = earlier(Window.partitionBy(*groups).orderBy(unit))
+        return sizes.select(
+            "*", *[F.coalesce(F.sum(f"_{m}").over(top), zero).alias(f"_before_{m}") for m in measures]
         )
+    span = f"{unit}_span"
+    sizes = sizes.withColumn(span, F.shiftright(unit, SPAN_BITS))
+    totals = sizes.groupBy(*groups, span).agg(*[F.sum(f"_{m}").alias(f"_{m}") for m in measures])
+    starts = _running(totals, span, groups, measures, levels - 1).select(
+        *groups, span, *[F.col(f"_before_{m}").alias(f"_start_{m}") for m in measures]
+    )
+    within = earlier(Window.partitionBy(*groups, span).orderBy(unit))
+    inside = sizes.select(
+        "*", *[F.coalesce(F.sum(f"_{m}").over(within), zero).alias(f"_in_{m}") for m in measures]
+    )
+    return inside.join(starts, [*groups, span]).select(
+        *groups, unit, *[f"_{m}" for m in measures],
+        *[(F.col(f"_start_{m}") + F.col(f"_in_{m}")).alias(f"_before_{m}") for m in measures],
     )
 
 

@@ -12,6 +12,7 @@ from prefloom.functions.prompts import (
 )
 from prefloom.functions.text import py_strip, ranking_numbers, valid_ranking
 from prefloom.operators.skew import anti_join
+from prefloom.operators.staging import compute_once
 
 # Fixed value: what a row without a usable ranking keeps as its reply.
 UNKNOWN_ERROR = "Unknown error"
@@ -49,9 +50,10 @@ def parse_rankings(
     """
     n = F.size("responses")
     kept = [c for c in df.columns if c not in (reply, "api_response", "sorted_indices")]
-    parsed = df.select(
-        *kept, F.col(reply).alias("raw_reply"), ranking_numbers(F.col(reply)).alias("_numbers")
-    ).withColumn("sorted_indices", valid_ranking(F.col("_numbers"), n, strict_permutation))
+    raw = df.select(*kept, F.col(reply).alias("raw_reply"))
+    parsed = compute_once(raw, "_numbers", ranking_numbers(F.col("raw_reply"))).withColumn(
+        "sorted_indices", valid_ranking(F.col("_numbers"), n, strict_permutation)
+    )
     usable = F.col("sorted_indices").isNotNull()
     return parsed.select(
         *kept, "sorted_indices",

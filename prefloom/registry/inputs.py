@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+TURNS = 10_000_000  # positions set aside for the turns of one conversation
 TURN_BITS = 10  # a block holds 1,024 turns of a conversation
 
 # One row per user turn: the turn before is the input, the turn after the output.
 # Spark gets the same rows from one shuffle, see instructions().
 INSTRUCTIONS = """
-SELECT u.conv_id * 100000 + u.turn AS pos, u.conv_id * 3 + u.turn AS sel, u.text AS instruction,
+SELECT u.conv_id * 10000000 + u.turn AS pos, u.conv_id * 3 + u.turn AS sel, u.text AS instruction,
        coalesce(p.text, '') AS input, coalesce(n.text, '') AS output
 FROM {conversations} u
 LEFT JOIN {conversations} p ON p.conv_id = u.conv_id AND p.turn = u.turn - 1
@@ -47,7 +48,7 @@ FROM {candidates}
 # Judge replies: tagged, clamped high and low, bare number, full-width colon, no
 # number, first number out of range, failed call, the gap at 5, decimal.
 JUDGE_REPLIES = """
-SELECT conv_id * 100000 + turn AS pos, CASE (conv_id * 3 + turn) % 10
+SELECT conv_id * 10000000 + turn AS pos, CASE (conv_id * 3 + turn) % 10
   WHEN 0 THEN concat(text, '<score>8</score>')
   WHEN 1 THEN concat(text, '<score> 11.5 </score>', text)
   WHEN 2 THEN concat('<score>0</score>', text)
@@ -137,7 +138,7 @@ def user_turns(conversations: DataFrame) -> DataFrame:
         .select("*", before.alias("_before"), after.alias("_after"))
         .filter((F.col("role") == "user") & (F.col("_block") == F.col("_own")))
         .select(
-            (F.col("conv_id") * 100000 + turn).alias("pos"),
+            (F.col("conv_id") * TURNS + turn).alias("pos"),
             (F.col("conv_id") * 3 + turn).alias("sel"),
             F.col("text").alias("instruction"),
             F.coalesce("_before", F.lit("")).alias("input"),

@@ -326,7 +326,7 @@ SELECT pos, instruction, input, output AS ground_truth,
   {_strip("concat(' 　', output, chr(10), input, ' ', chr(9))")} AS response FROM instructions""",
     "positional_zip": _IN + f"""
 SELECT pos, instruction, input, output AS ground_truth, {_strip('c.text')} AS response
-FROM instructions JOIN conversations c ON c.conv_id * 100000 + c.turn - 1 = pos""",
+FROM instructions JOIN conversations c ON c.conv_id * 10000000 + c.turn - 1 = pos""",
     "complete_stub": _with("instructions", _PROMPTS) + f"""
 SELECT pos, CASE WHEN NOT {_FAILS} THEN
     concat('  ', split_part(prompt, chr(10), -1), ' ', length(prompt), chr(10)) END AS response,

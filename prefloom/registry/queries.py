@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from prefloom.functions.prompts import compose_prompt, message, render_chat
 from prefloom.operators import chat, choice, completion, judging, positions, preference, splits, training
+from prefloom.operators.staging import compute_once
 from prefloom.plans import choice as choice_plan
 from prefloom.plans import judging as judging_plan
 from prefloom.plans import preference as preference_plan
@@ -98,9 +99,8 @@ def judge_input_rejects(spark, sf):
         )
         .otherwise(F.to_json(F.struct(text.alias("instruction"), text.alias("response"))))
     )
-    parsed = docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("pos"), F.parse_json(line).alias("record")
-    )
+    lines = docs.join(labels, "doc_id", "left").select(F.col("doc_id").alias("pos"), line.alias("line"))
+    parsed = compute_once(lines, "record", F.parse_json("line"))
     fields = parsed.select("pos", *_fields("instruction", "response"))
     return judging.judge_input_reason(fields).filter("reason IS NOT NULL").select("pos", "reason")
 
@@ -142,7 +142,7 @@ def mcq_normalise(spark, sf):
     )
     parts = []
     for shape, rows in (("list", upper), ("data", lower)):
-        parsed = rows.select("pos", F.parse_json(F.to_json("row")).alias("record"))
+        parsed = compute_once(rows, "record", F.parse_json(F.to_json("row")))
         parts.append(questions.normalise_questions(parsed, shape).withColumn("shape", F.lit(shape)))
     return parts[0].unionByName(parts[1]).select(
         "shape", "pos", "subject", "question", joined("options", "|").alias("options"), "answer"
@@ -265,7 +265,7 @@ def positional_zip(spark, sf):
     rows = inputs.instructions(spark, sf)
     turns = inputs.table(spark, sf, "conversations")
     outputs = turns.select(
-        (F.col("conv_id") * 100000 + F.col("turn") - 1).alias("pos"), F.col("text").alias("response")
+        (F.col("conv_id") * inputs.TURNS + F.col("turn") - 1).alias("pos"), F.col("text").alias("response")
     )
     return chat.response_rows(chat.zip_outputs(rows, outputs), keep=("pos",))
 
@@ -292,13 +292,11 @@ def complete_samples(spark, sf):
 
 def judging_flow(spark, sf):
     """Judge every assistant reply with a stub and compute the statistics."""
-    rows = inputs.instructions(spark, sf).select(
-        "pos",
-        *[
-            F.parse_json(F.to_json(F.struct(F.col(c).alias("x")))).alias(n)
-            for c, n in (("instruction", "instruction"), ("output", "ground_truth"), ("input", "response"))
-        ],
-    ).select("pos", *[F.try_variant_get(n, "$.x", "variant").alias(n) for n in ("instruction", "ground_truth", "response")])
+    line = F.to_json(
+        F.struct("instruction", F.col("output").alias("ground_truth"), F.col("input").alias("response"))
+    )
+    parsed = compute_once(inputs.instructions(spark, sf), "record", F.parse_json(line))
+    rows = parsed.select("pos", *_fields("instruction", "ground_truth", "response"))
     judged = judging_plan.judge_records(
         rows, scratch_folder(spark, "judged"), _make(stubs.judge), partitions=_tasks(spark)
     )
@@ -321,7 +319,7 @@ def candidate_rejects(spark, sf):
         .when(F.col("sel") % 4 == 2, F.to_json(F.struct(none.alias("instruction"), two), keep_null))
         .otherwise(F.to_json(F.struct(text.alias("instruction"), two)))
     )
-    parsed = inputs.instructions(spark, sf).select("pos", F.parse_json(line).alias("record"))
+    parsed = compute_once(inputs.instructions(spark, sf), "record", F.parse_json(line))
     checked = preference.candidate_reason(parsed.select("pos", *_fields("instruction", "responses")))
     return checked.filter("reason IS NOT NULL").select("pos", "reason")
 

@@ -114,10 +114,10 @@ def test_plan_shape(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert "Python" not in text and "InArrow" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # a window never runs over the rows of a whole table: its first partition key is a
-    # block or superblock, or it sums over superblock totals
+    # a window never runs over the rows of a whole table or group: it is inside a
+    # block, inside a span of blocks, or over the totals of the widest spans
     for line in re.findall(r"Window \[.*", text):
-        assert "_block" in line or "_super" in line, line
+        assert "_block" in line, line
 
 
 def test_split_reaches_the_scan(spark):

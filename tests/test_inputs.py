@@ -19,7 +19,7 @@ def test_neighbour_turns(spark, monkeypatch, bits):
     )
     text = lambda c, t: data.get((c, t), ("", ""))[1]
     expected = sorted(
-        (c * 100000 + t, c * 3 + t, v[1], text(c, t - 1), text(c, t + 1))
+        (c * inputs.TURNS + t, c * 3 + t, v[1], text(c, t - 1), text(c, t + 1))
         for (c, t), v in data.items() if v[0] == "user"
     )
     assert rows(inputs.user_turns(df)) == expected

@@ -10,9 +10,10 @@ from conftest import rows
 
 
 def sparse(spark, n=5000, seed=1):
-    """Unique keys of uneven density, over several blocks and superblocks; group 0 is hot."""
+    """Unique keys of uneven density, over blocks and spans of every level; group 0 is hot."""
     rng = random.Random(seed)
-    keys = set(range(-500, 1500)) | {rng.randrange(1 << 20) for _ in range(n)} | {rng.randrange(1 << 33) for _ in range(n)}
+    keys = set(range(-500, 1500)) | {rng.randrange(1 << 20) for _ in range(n)}
+    keys |= {rng.randrange(1 << 33) for _ in range(n // 2)} | {rng.randrange(-(1 << 63), 1 << 63) for _ in range(n // 2)}
     data = [(k, 0 if rng.random() < 0.4 else rng.randrange(1, 30), rng.randrange(5)) for k in keys]
     rng.shuffle(data)
     return data, spark.createDataFrame(data, "key bigint, grp int, v int").repartition(5)

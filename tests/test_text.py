@@ -143,3 +143,18 @@ def test_chat_template(spark):
     assert df.select(prompts.render_chat(messages, generate=False)).first()[0] == (
         "<|im_start|>user\nu<|im_end|>\n<|im_start|>assistant\na<|im_end|>\n"
     )
+
+
+def test_filters_do_not_repeat_the_parsing(spark):
+    from prefloom.operators.judging import score_replies
+    from prefloom.operators.preference import clean_preferences, parse_rankings
+
+    df = spark.createDataFrame(
+        [(0, "<score>9</score> 排名：2 > 1", ["a", "b"])], "pos bigint, reply string, responses array<string>"
+    )
+    ranked = clean_preferences(parse_rankings(df, "reply")).select("pos", "sorted_indices")
+    scored = score_replies(df, "reply").filter("score > 5").select("pos", "score")
+    for query, rows_ in ((ranked, [(0, [1, 0])]), (scored, [(0, 9.0)])):
+        plan = query._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1
+        assert [tuple(r) for r in query.collect()] == rows_
