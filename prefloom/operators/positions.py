@@ -184,7 +184,8 @@ def with_position(
 
     The sorted rows are written once, to ``path`` or the shared scratch folder:
     a range shuffle samples its input, so two evaluations could place a row
-    differently, and a lost executor must not change positions. The offsets are
+    differently, and a lost executor must not change positions. The folder is
+    the caller's to remove. The offsets are
     one row per written partition. Later filters on the written order columns
     skip row groups, since the files are in order.
     """

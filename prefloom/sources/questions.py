@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefloom.operators.staging import compute_once
+
 LETTERS = ("A", "B", "C", "D")
 # JSON texts that are false as a condition
 _EMPTY = ("null", '""', "0", "0.0", "-0.0", "false", "[]", "{}")
 
 
-def _field(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, f"$.{name}", "variant")
-
-
 def _as_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
@@ -22,13 +20,9 @@ def _truthy(value: Column) -> Column:
     return value.isNotNull() & ~F.to_json(value).isin(*_EMPTY)
 
 
-def _lettered(record: Column) -> Column:
-    """Options from the fields A to D when all four are there."""
-    fields = [_field(record, x) for x in LETTERS]
-    there = fields[0].isNotNull()
-    for f in fields[1:]:
-        there = there & f.isNotNull()
-    return F.when(there, F.array(*[_as_text(f) for f in fields]))
+# the fields each shape may use; opened together, an absent one is NULL, a JSON null is not
+_LOWER = ("question", "answer", "subject", "category", "options", *LETTERS)
+_FIELDS = {"list": ("Question", "Answer", "subject", *LETTERS), "data": _LOWER, "keyed": _LOWER}
 
 
 def normalise_questions(records: DataFrame, shape: str, keep: tuple[str, ...] = ("pos",)) -> DataFrame:
@@ -38,21 +32,27 @@ def normalise_questions(records: DataFrame, shape: str, keep: tuple[str, ...] =
     (question, answer, subject or category) or ``keyed`` (subject is a column).
     Rows without question, answer or options are dropped.
     """
-    record = F.col("record")
-    options = _lettered(record)
+    record = "struct<" + ", ".join(f"{f}: variant" for f in _FIELDS[shape]) + ">"
+    opened = compute_once(records, "_f", F.try_variant_get("record", "$", record))
+    letters = [F.col(f"_f.{x}") for x in LETTERS]
+    lettered = letters[0].isNotNull()
+    for x in letters[1:]:
+        lettered = lettered & x.isNotNull()
+    options = F.when(lettered, F.array(*[_as_text(x) for x in letters]))
+    has_options = lettered
     if shape == "list":
-        question, answer = _field(record, "Question"), _field(record, "Answer")
-        subject = F.coalesce(_field(record, "subject"), F.parse_json(F.lit('""')))
-        subject = _as_text(subject)
+        question, answer = F.col("_f.Question"), F.col("_f.Answer")
+        subject = F.when(F.col("_f.subject").isNull(), "").otherwise(_as_text(F.col("_f.subject")))
     else:
-        question, answer = _field(record, "question"), _field(record, "answer")
-        listed = F.try_variant_get(record, "$.options", "array<string>")
-        options = F.coalesce(options, F.when(F.size(listed) > 0, listed))
-        subject = F.col("subject")
+        question, answer = F.col("_f.question"), F.col("_f.answer")
+        listed = F.try_variant_get("_f.options", "$", "array<string>")
+        options = options.otherwise(listed)
+        has_options = lettered | (F.size(listed) > 0)
+        subject = F.col("subject") if shape == "keyed" else None
         if shape == "data":
-            named = F.coalesce(_field(record, "subject"), _field(record, "category"))
+            named = F.coalesce("_f.subject", "_f.category")
             subject = F.when(named.isNull(), "default").otherwise(_as_text(named))
-    return records.filter(_truthy(question) & _truthy(answer) & options.isNotNull()).select(
+    return opened.filter(_truthy(question) & _truthy(answer) & has_options).select(
         *keep,
         subject.alias("subject"),
         _as_text(question).alias("question"),
