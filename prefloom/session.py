@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -30,12 +33,19 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table.
 
     It lies under ``spark.checkpoint.dir``, which every executor can reach. Only
-    a local master may do without that setting.
+    a local master, where driver and tasks share one machine, may do without that
+    setting; its folder goes when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="prefloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_folder() -> str:
+    base = tempfile.mkdtemp(prefix="prefloom-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
