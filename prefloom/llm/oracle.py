@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP5 = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS digest
+  FROM documents),
+named AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS cap,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
+  FROM sized GROUP BY source),
+rates AS (
+  SELECT *, turn + 1 AS weight, CASE turn WHEN 0 THEN -0.5::DOUBLE WHEN 1 THEN 0 ELSE 0.5 END AS slope,
+    CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / (turn + 1), source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / CAST(sum(turn + 1) OVER (ORDER BY cap::DOUBLE / (turn + 1), source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS rate
+  FROM named),
+shares AS (
+  SELECT source, source_size, slope, least(CAST(cap AS DOUBLE), CAST(weight AS DOUBLE) * max(rate) OVER ()) AS target
+  FROM rates),
+placed AS (
+  SELECT z.doc_id, z.size, s.source_size, s.target, s.slope,
+    CAST(coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY z.digest, z.doc_id NULLS FIRST, z.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized z JOIN shares s ON z.source IS NOT DISTINCT FROM s.source),
+taking AS (
+  SELECT *, CAST(
+      least(greatest(CAST(floor(target) AS BIGINT) - start, 0), size)
+    + least(greatest(CAST(floor(target) AS BIGINT) - source_size - start, 0), size)
+    + least(greatest(CAST(floor(target) AS BIGINT) - 2 * source_size - start, 0), size) AS BIGINT) AS taken,
+    CASE WHEN start = 0 THEN 0.0::DOUBLE ELSE start::DOUBLE / target END AS done
+  FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN CASE WHEN start = 0 THEN 0 ELSE CAST(floor(
+    2 * done / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * done)) * 1000000) AS BIGINT) END END AS position
+FROM taking
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_mix_sources": OP5,
+}

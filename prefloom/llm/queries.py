@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import fingerprints, repeats
+from prefloom.llm import fingerprints, mixing, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +17,16 @@ def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_fingerprints(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
+    "op5_mix_sources": op5_mix_sources,
     "op7_fingerprints": op7_fingerprints,
 }
