@@ -4,8 +4,8 @@ The shingles of a text (five words; a shorter text is one shingle) are hashed
 once. The leading bits of a hash choose its bin, the smallest hash of a bin is
 kept, and an empty bin takes the value of the first filled bin in an order of
 bins that is its own and the same for all texts (densification in which every
-filled bin is equally likely). Of each bin the ``BITS`` low-order bits are packed
-into a hexadecimal string. Two random bins agree in them with probability
+filled bin is equally likely). Of each bin's value, mixed with the bin's number, the
+``BITS`` low-order bits are packed into a hexadecimal string. Two random bins agree in them with probability
 ``2 ** -BITS``, which the likeness takes out again.
 
 Defined results: a null text is an empty one, an empty text (no word) has the
@@ -44,8 +44,7 @@ def fingerprints(texts: pa.Array, orders: np.ndarray, ranks: np.ndarray) -> np.n
     hashes = mix(hashes ^ np.uint64(ODD))
     n, bins = len(first) - 1, orders.shape[0]
     shift = np.uint64(64 - (bins - 1).bit_length())
-    low = np.uint64((1 << BITS) - 1)
-    out = np.full((n, bins), -1, dtype=np.int16)
+    least = np.zeros((n, bins), dtype=np.uint64)
     for i in range(n):
         own = np.sort(hashes[first[i] : first[i + 1]])
         if not len(own):
@@ -53,22 +52,27 @@ def fingerprints(texts: pa.Array, orders: np.ndarray, ranks: np.ndarray) -> np.n
         at = (own >> shift).astype(np.int64)
         new = np.ones(len(at), dtype=bool)
         new[1:] = at[1:] != at[:-1]
-        filled, row = at[new], out[i]
-        row[filled] = (own[new] & low).astype(np.int16)
-        empty = np.flatnonzero(row < 0)
-        if not len(empty):
-            continue
+        filled, row = at[new], least[i]
+        row[filled] = own[new]
+        has = np.zeros(bins, dtype=bool)
+        has[filled] = True
+        empty = np.flatnonzero(~has)
         if len(filled) <= 48:  # the filled bin that comes first in each empty bin's order
-            row[empty] = row[filled[ranks[empty[:, None], filled[None, :]].argmin(axis=1)]]
+            if len(empty):
+                row[empty] = row[filled[ranks[empty[:, None], filled[None, :]].argmin(axis=1)]]
             continue
-        donor = row.copy()
         for step in range(bins):
-            found = donor[orders[empty, step]]
-            hit = found >= 0
-            row[empty[hit]] = found[hit]
-            empty = empty[~hit]
             if not len(empty):
                 break
+            donor = orders[empty, step]
+            hit = has[donor]
+            row[empty[hit]] = row[donor[hit]]
+            empty = empty[~hit]
+    # bits depend on the bin too, else two values that agree in them by chance would do
+    # so in every bin they were copied to
+    salt = mix(np.arange(1, bins + 1, dtype=np.uint64))
+    out = (mix(least ^ salt) & np.uint64((1 << BITS) - 1)).astype(np.int16)
+    out[first[1:] == first[:-1]] = -1
     return out
 
 
@@ -170,17 +174,19 @@ def compare_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of all documents (doc_id, text), of their edited texts and the
     likeness to the edited text and to the next document.
 
-    The next document follows in descending doc_id (null last, equal ids by text),
+    The next document follows in descending doc_id (null last, equal ids by a hash of the text),
     after the last comes the first. Documents are dealt by ranges of doc_id, so
     neighbours meet without a window over all rows; only the first and last row of
     each partition are matched afterwards, one pair per partition. Equal rows give
     equal fingerprints; columns other than doc_id and text are not used. An empty
     table gives an empty result.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # ranges are found from samples of the key, which therefore holds no text
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     made = stored(
-        narrow.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sorted_rows, EDGES), "fingerprints"
+        narrow.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(_sorted_rows, EDGES),
+        "fingerprints",
     )
     names = [c.split()[0] for c in RESULT.split(", ")]
     # one first and one last row per partition: the next partition's first row follows a last row
