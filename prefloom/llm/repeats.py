@@ -194,19 +194,19 @@ def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
     for whole in batches:
         for batch in slices(whole):
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             held = batch.column("anchors").is_valid().to_pylist()
-            plain = texts.to_pylist()
             done = [
-                (i, None, None, None) if h else _kept(i, t, []) for i, t, h in zip(ids, plain, held, strict=True)
+                (i, None, None, None, t) if h else (*_kept(i, t, []), None)
+                for i, t, h in zip(ids, texts, held, strict=True)
             ]
-            mask = pa.array(held)
+            columns = [pa.array([d[j] for d in done], schema.field(j).type) for j in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(pa.array([d[j] for d in done], schema.field(j).type) for j in range(4)),
+                    *columns,
                     batch.column("key"),
-                    pa.compute.if_else(mask, texts, pa.scalar(None, texts.type)).cast(pa.string()),
-                    batch.column("anchors").cast(pa.list_(pa.int64())),
+                    pa.array([d[4] for d in done], pa.string()),
+                    pa.array(batch.column("anchors").to_pylist(), pa.list_(pa.int64())),
                 ],
                 schema=schema,
             )
