@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import fingerprints, mixing, repeats
+from prefloom.llm import fingerprints, language, mixing, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op5_mix_sources": op5_mix_sources,
     "op7_fingerprints": op7_fingerprints,
+    "op9_identify_language": op9_identify_language,
 }
