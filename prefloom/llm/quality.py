@@ -113,22 +113,31 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def estimate_prior(trusted: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
-    """Share of good rows among the unlabelled: fit on even rows, best bin on odd ones."""
-    p, u = trusted[::2], unlabelled[::2]
+    """Share of good rows among the unlabelled: each half is fitted, the best bin
+    of the other half read off, and both are averaged."""
+    found = []
+    for half in (0, 1):
+        p, u = trusted[half::2], unlabelled[half::2]
+        other_p, other_u = trusted[1 - half :: 2], unlabelled[1 - half :: 2]
+        if min(len(p), len(u), len(other_p), len(other_u)) == 0:
+            return 0.5
+        w = _tell_apart(p, u)
+        cuts, margins = np.sort(other_p @ w), np.sort(other_u @ w)
+        share_p = 1 - np.arange(len(cuts)) / len(cuts)
+        share_u = 1 - np.searchsorted(margins, cuts, side="left") / len(margins)
+        slack = sum(np.sqrt(np.log(4 / confidence) / (2 * n)) for n in (len(cuts), len(margins)))
+        best = np.argmin((share_u + slack) / share_p)
+        found.append(share_u[best] / share_p[best])
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
+def _tell_apart(p: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Logistic weights, trusted against unlabelled, both sides equally heavy."""
 
     def gradient(w):
         return 1e-3 * w - p.T @ (1 - sigmoid(p @ w)) / len(p) + u.T @ sigmoid(u @ w) / len(u)
 
-    w = _minimise(gradient, trusted.shape[1])
-    p, u = np.sort(trusted[1::2] @ w), np.sort(unlabelled[1::2] @ w)
-    if not len(p) or not len(u):
-        return 0.5
-    cuts = p
-    share_p = 1 - np.searchsorted(p, cuts, side="left") / len(p)
-    share_u = 1 - np.searchsorted(u, cuts, side="left") / len(u)
-    slack = np.sqrt(np.log(4 / confidence) / (2 * len(p))) + np.sqrt(np.log(4 / confidence) / (2 * len(u)))
-    best = np.argmin((share_u + slack) / share_p)
-    return float(np.clip(share_u[best] / share_p[best], 0.01, 0.99))
+    return _minimise(gradient, p.shape[1], STEPS // 2)
 
 
 def fit(trusted: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = 1e-3) -> np.ndarray:
