@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.llm.tables import stored
-from prefloom.llm.words import Words, gram_hashes, mix, slices, split_words
+from prefloom.llm.words import ODD, Words, gram_hashes, mix, powers, slices, split_words
 
 WINDOW = 35
 ANCHOR = 8
@@ -154,9 +154,11 @@ class Passages:
 
 
 def _hash_runs(words: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return np.array(
-        [gram_hashes(words.hashes[b:e], e - b)[0] for b, e in zip(begin, end, strict=True)], dtype=np.uint64
-    )
+    """Hashes of runs of words of any length, from differences of one running sum."""
+    n = len(words.hashes)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hashes * powers(n), dtype=np.uint64)])
+    back = powers(n, pow(ODD, -1, 1 << 64))  # ODD ** -begin moves every run to the front
+    return mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
 
 def _anchor_rows(window: int):
@@ -224,21 +226,22 @@ def _passage_rows(window: int, hot: np.ndarray):
                 found = Passages(words, window)
                 keys = batch.column("key").to_pylist()
                 wanted = [np.array(a, dtype=np.int64).view(np.uint64) for a in batch.column("anchors").to_pylist()]
+                whole_hash = _hash_runs(words, found.begin, found.end)
                 out: list[tuple] = []
                 cuts = np.searchsorted(found.doc, np.arange(len(keys) + 1))
                 for i, key in enumerate(keys):
                     own = slice(cuts[i], cuts[i + 1])
                     hit = np.isin(found.anchor[own], wanted[i])
                     h, begin, end = found.anchor[own][hit], found.begin[own][hit], found.end[own][hit]
+                    runs = whole_hash[own][hit]
                     busy, one = np.isin(h, hot), np.zeros(0, dtype=np.uint64)
                     if busy.any():
+                        runs = runs[~busy]  # a window taken alone is its own passage
                         single = np.concatenate([np.arange(b, e - window + 1) for b, e in zip(begin[busy], end[busy], strict=True)])
                         one = gram_hashes(words.hashes[words.first[i] : words.first[i + 1]], window)[single - words.first[i]]
                         h = np.concatenate([h[~busy], one])
                         begin = np.concatenate([begin[~busy], single])
                         end = np.concatenate([end[~busy], single + window])
-                    same = len(h) - len(one)  # a window taken alone is its own passage
-                    runs = mix(_hash_runs(words, begin[:same], end[:same]) + (end - begin)[:same].astype(np.uint64))
                     if len(h):
                         out.append((h, np.concatenate([runs, one]), [key] * len(h), begin - words.first[i], end - begin))
                 if out:
