@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import fingerprints, language, mixing, quality, repeats
+from prefloom.llm import fingerprints, language, lines, mixing, quality, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_remove_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op4_classify_quality": op4_classify_quality,
     "op5_mix_sources": op5_mix_sources,
+    "op6_remove_lines": op6_remove_lines,
     "op7_fingerprints": op7_fingerprints,
     "op9_identify_language": op9_identify_language,
 }
