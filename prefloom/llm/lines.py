@@ -162,7 +162,7 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     me = F.struct("k", "n", "place", "marks")
     near = [F.first(me).over(by_size), *[F.lag(me, d).over(by_size) for d in range(1, NEIGHBOURS + 1)]]
     seen = stored(
-        .withColumn("near", F.array(*near))
+        dealt.withColumn("near", F.array(*near))
         .withColumn("rows", F.count(F.lit(1)).over(group))
         .filter("rows > 1")
         .withColumn("near", F.filter("near", lambda o: o.isNotNull() & (o["k"] != F.col("k")) & _room(F.col, lambda c: o[c], threshold)))
