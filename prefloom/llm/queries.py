@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import fingerprints, language, lines, mixing, quality, repeats
+from prefloom.llm import fingerprints, hmm, language, lines, mixing, quality, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op9_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op4_classify_quality": op4_classify_quality,
@@ -44,4 +48,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_remove_lines": op6_remove_lines,
     "op7_fingerprints": op7_fingerprints,
     "op9_identify_language": op9_identify_language,
+    "op10_score_texts": op10_score_texts,
 }
