@@ -23,41 +23,49 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.llm.folds import remainder
 from prefloom.llm.tables import stored
 from prefloom.llm.words import slices
 
-WORDS = 60_000
+WORDS = 150_000
 GRAMS = 40_000
 LONGEST = 5
 SMOOTH = 0.5
 FLUSH = 200_000  # distinct (language, word) pairs a task holds while counting
-REMEMBERED = 100_000  # unseen words a task keeps the scores of
 LETTERS = r"[^\W\d_]+"
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, n) of the rows of one task."""
-    find, held = re.compile(LETTERS).findall, defaultdict(Counter)
+class _Held:
+    """Counts per language of one task, given out when there are many."""
+
+    def __init__(self, name: str):
+        self.name, self.held = name, defaultdict(Counter)
+
+    def full(self) -> bool:
+        return sum(map(len, self.held.values())) > FLUSH
+
+    def flush(self) -> pa.RecordBatch:
+        lang = [k for k, c in self.held.items() for _ in c]
+        unit = [u for c in self.held.values() for u in c]
+        n = [x for c in self.held.values() for x in c.values()]
+        self.held.clear()
+        columns = [pa.array(lang, pa.string()), pa.array(unit, pa.string()), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", self.name, "n"])
 
-    def flush():
-        rows = [(lang, word, n) for lang, c in held.items() for word, n in c.items()]
-        held.clear()
-        lang, word, n = zip(*rows, strict=True) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())], names=["lang", "word", "n"]
-        )
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of the rows of one task."""
+    find, counts = re.compile(LETTERS).findall, _Held("word")
     for whole in batches:
         for batch in slices(whole):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held[lang].update(find(text.lower()))
-            if sum(map(len, held.values())) > FLUSH:
-                yield flush()
-    yield flush()
+                counts.held[lang].update(find(text.lower()))
+            if counts.full():
+                yield counts.flush()
+    yield counts.flush()
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -65,6 +73,24 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def _gram_counts(longest: int):
+    """(lang, gram, n) of the counted words of one task."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _Held("gram")
+        for batch in batches:
+            for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+                held = counts.held[lang]
+                for size in range(1, longest + 1):
+                    for gram in grams_of(word, size):
+                        held[gram] += n
+            if counts.full():
+                yield counts.flush()
+        yield counts.flush()
+
+    return rows
+
+
 class Model:
     """Log frequencies per language of the known words and n-grams."""
 
@@ -95,21 +121,10 @@ def _most_frequent(counts: DataFrame, name: str, keep: int) -> pa.Table:
 def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:
     """A model of all documents (text, lang) that have both."""
     labelled = docs.filter("text is not null and lang is not null").select("lang", "text")
-    counts = stored(
-        labelled.mapInArrow(_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")),
-        "words",
-    )
-
-    def pieces_of(n: int) -> Column:
-        marked = F.concat(F.lit("<"), "word", F.lit(">")) if n > 1 else F.col("word")
-        starts = F.sequence(F.lit(1), F.length(marked) + 1 - n)
-        cut = F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
-        return F.when(F.length(marked) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.concat(*[pieces_of(n) for n in range(1, longest + 1)])
-    parts = stored(
-        counts.select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams"
-    )
+    units = labelled.mapInArrow(_word_counts, "lang string, word string, n long")
+    counts = stored(units.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    pieces = counts.mapInArrow(_gram_counts(longest), "lang string, gram string, n long")
+    parts = stored(pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     sizes = {r.lang: r.n for r in parts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
@@ -121,48 +136,55 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int
 
 
 class Scorer:
-    """Scores of words; those of unseen words are remembered up to a bound."""
+    """Scores of texts; the unseen words of a slice are backed off together."""
 
     def __init__(self, model: Model, longest: int = LONGEST):
-        self.langs, self.longest, self.known = model.langs, longest, len(model.words)
+        self.langs, self.longest = model.langs, longest
         self.grams = {g: i for i, g in enumerate(model.grams)}
-        self.gram_logs = model.gram_logs
-        self.table = np.concatenate([model.word_logs, np.zeros((REMEMBERED, len(model.langs)), np.float32)])
         self.place = {w: i for i, w in enumerate(model.words)}
-        self.seen: dict[str, int] = {}
+        self.word_logs, self.gram_logs = model.word_logs, model.gram_logs
         self.find = re.compile(LETTERS).findall
 
-    def backoff(self, word: str) -> np.ndarray:
-        for n in range(self.longest, 0, -1):
-            found = [self.grams[g] for g in grams_of(word, n) if g in self.grams]
-            if found:
-                return self.gram_logs[found].mean(axis=0)
-        return np.zeros(len(self.langs), np.float32)
-
-    def _unseen(self, word: str) -> int:
-        if word not in self.seen:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            self.table[self.known + len(self.seen)] = self.backoff(word)
-            self.seen[word] = self.known + len(self.seen)
-        return self.seen[word]
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = self.find(text.lower()) if text else []
-        if not self.langs or not any(c.isalpha() for w in words for c in w):
-            return "und", 0.0
-        total = np.zeros(len(self.langs))
-        for k in range(0, len(words), REMEMBERED // 2):  # fewer words than are remembered
-            part = words[k : k + REMEMBERED // 2]
-            if len(self.seen) + len(part) > REMEMBERED:
-                self.seen.clear()
-            at = list(map(self.place.get, part))
-            for i, p in enumerate(at):
-                if p is None:
-                    at[i] = self._unseen(part[i])
-            total += self.table[at].sum(axis=0, dtype=float)
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """Per word the mean of its longest known n-grams, 0 if there are none."""
+        out = np.zeros((len(words), len(self.langs)))
+        flat, sizes, rows = [], [], []
+        get = self.grams.get
+        for row, word in enumerate(words):
+            for n in range(self.longest, 0, -1):
+                found = [g for g in map(get, grams_of(word, n)) if g is not None]
+                if found:
+                    flat += found
+                    sizes.append(len(found))
+                    rows.append(row)
+                    break
+        if rows:
+            size = np.array(sizes)
+            sums = np.add.reduceat(self.gram_logs[flat].astype(float), np.cumsum(size) - size)
+            out[rows] = sums / size[:, None]
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        words = [self.find(t.lower()) if t and self.langs else [] for t in texts]
+        flat = [w for own in words for w in own]
+        unseen: dict[str, int] = {}
+        known = len(self.place)
+        get = self.place.get
+        at = np.fromiter((p if (p := get(w)) is not None else known + unseen.setdefault(w, len(unseen)) for w in flat), np.int64, len(flat))
+        logs = np.zeros((len(flat), len(self.langs)))
+        seen = at < known
+        logs[seen] = self.word_logs[at[seen]]
+        logs[~seen] = self.backoff(list(unseen))[at[~seen] - known]
+        doc = np.repeat(np.arange(len(texts)), [len(own) for own in words])
+        total = np.stack([np.bincount(doc, weights=logs[:, i], minlength=len(texts)) for i in range(len(self.langs))], axis=1) if self.langs else None
+        out = []
+        for i, own in enumerate(words):
+            if not any(c.isalpha() for w in own for c in w):
+                out.append(("und", 0.0))
+                continue
+            best = int(total[i].argmax())
+            out.append((self.langs[best], float(1 / np.exp(total[i] - total[i][best]).sum())))
+        return out
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
@@ -175,7 +197,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
         scorer = Scorer(shared.value)
         for whole in batches:
             for batch in slices(whole):
-                found = [scorer.predict(t) for t in batch.column("text").to_pylist()]
+                found = scorer.predict(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     names=[*keep, "lang_pred", "score"],

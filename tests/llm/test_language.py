@@ -45,9 +45,12 @@ def test_frequencies_and_backoff(spark):
             assert value == pytest.approx(math.log(p), abs=1e-5)
     scorer = language.Scorer(model)
     # "hunde" is unseen: <hund, hund are known 5- and 4-grams, <hund comes first
-    assert np.allclose(scorer.backoff("hunde"), scorer.gram_logs[[scorer.grams["<hund"]]].mean(axis=0))
-    assert scorer.backoff("qqq").tolist() == [0, 0]
-    assert scorer.predict("Hunde")[0] == "de"
+    assert np.allclose(scorer.backoff(["hunde"]), scorer.gram_logs[[scorer.grams["<hund"]]].mean(axis=0))
+    assert scorer.backoff(["qqq"]).tolist() == [[0, 0]]
+    assert scorer.predict(["Hunde"])[0][0] == "de"
+    text = "the hunde ende 12 the"
+    total = sum(scorer.word_logs[scorer.place[w]] if w in scorer.place else scorer.backoff([w])[0] for w in ["the", "hunde", "ende", "the"])
+    assert scorer.predict([None, text, ""])[1][1] == pytest.approx(1 / np.exp(total - total.max()).sum())
 
 
 def test_defined_results(spark):
@@ -60,14 +63,3 @@ def test_defined_results(spark):
     nothing = language.train(small(spark).limit(0))
     assert {r.lang_pred for r in language.predict(df, nothing, "doc_id").collect()} == {"und"}
     assert language.identify(small(spark).limit(0)).count() == 0
-
-
-def test_remembered_words_are_bounded(monkeypatch):
-    monkeypatch.setattr(language, "REMEMBERED", 10)
-    model = language.Model(["a", "b"], [], np.zeros((0, 2), np.float32), list("abcdefgh"), np.log(np.arange(1, 17).reshape(8, 2)).astype(np.float32))
-    text = " ".join("abcdefgh"[i % 8] + "x" * (i % 17) for i in range(200))
-    scorer, other = language.Scorer(model), language.Scorer(model)
-    total = sum(other.backoff(w).astype(float) for w in text.split())
-    best = int(total.argmax())
-    assert scorer.predict(text)[0] == "ab"[best]
-    assert scorer.predict(text)[1] == pytest.approx(1 / np.exp(total - total[best]).sum(), rel=1e-4)
