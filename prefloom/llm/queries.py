@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import fingerprints, hmm, language, lines, mixing, near, quality, repeats
+from prefloom.llm import embeddings, fingerprints, hmm, language, lines, mixing, near, quality, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_remove_lines": op6_remove_lines,
     "op7_fingerprints": op7_fingerprints,
+    "op8_near_embeddings": op8_near_embeddings,
     "op9_identify_language": op9_identify_language,
     "op10_score_texts": op10_score_texts,
 }
