@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.llm.tables import components, stored
+from prefloom.llm.tables import components, per_group, stored
 from prefloom.llm.words import ODD, mix, shingles, slices, split_words
 
 SHINGLE = 5
@@ -148,10 +148,12 @@ def _roots(n: int, links: Iterator[tuple[int, int]]) -> list[int]:
 def _bucket_links(threshold: float):
     """Links (a, b) of one small bucket (path, id, brief): candidates by agreement."""
 
-    def links(bucket: pa.Table) -> pa.Table:
+    def links(bucket: pa.Table) -> pa.Table | None:
         bucket = bucket.sort_by("id")
         ids = bucket.column("id").to_numpy()
         values = np.frombuffer(b"".join(bucket.column("brief").to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES)
+        if len(ids) == 2 and (values[0] == values[1]).mean() < threshold - SLACK:
+            return None
         alike = (values[:, None, :] == values[None, :, :]).mean(axis=2) >= threshold - SLACK
         root = _roots(len(ids), zip(*np.nonzero(np.triu(alike, 1)), strict=True))
         own = [i for i, r in enumerate(root) if r != i]
@@ -171,7 +173,7 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD, recall: float
         small = level.join(sizes.filter(F.col("n") <= SMALL).select("path"), "path")
         brief = F.expr(f"unhex(array_join(transform(sequence(0, {COORDINATES - 1}), i -> hex(substring(sketch, 4 * i + 1, 1))), ''))")
         members = small.join(sets.select("id", brief.alias("brief")), "id")
-        found.append(members.groupBy("path").applyInArrow(_bucket_links(threshold), "a long, b long").distinct())
+        found.append(per_group(members, ["path"], _bucket_links(threshold), "a long, b long").distinct())
         large = level.join(sizes.filter(F.col("n") > SMALL).select("path", "least"), "path")
         if depth == DEPTH:
             found.append(large.filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct())
@@ -256,7 +258,7 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     blocks = texts.mapInArrow(_shingle_rows, schema).dropDuplicates(["id"])
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    linked = stored(blocks.groupBy("cluster", "low", "high").applyInArrow(_verify(threshold), "id long, links long, root long"), "linked")
+    linked = stored(per_group(blocks, ["cluster", "low", "high"], _verify(threshold), "id long, links long, root long"), "linked")
 
     classes = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     classes = classes.join(sets.select("id", "least"), "id")
