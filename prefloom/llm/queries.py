@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import embeddings, fingerprints, hmm, language, lines, mixing, near, quality, repeats
+from prefloom.llm import embeddings, fingerprints, hmm, language, lines, mixing, near, pieces, quality, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_join_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op3_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(table(spark, sf_dir, "documents"), spark)
+
+
 def op4_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_join_near": op2_join_near,
+    "op3_encode_pieces": op3_encode_pieces,
     "op4_classify_quality": op4_classify_quality,
     "op5_mix_sources": op5_mix_sources,
     "op6_remove_lines": op6_remove_lines,
