@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.llm.folds import remainder
-from prefloom.llm.tables import stored
+from prefloom.llm.tables import most_frequent, stored
 from prefloom.llm.words import Words, slices, split_words
 
 STATES = 6
@@ -364,7 +364,7 @@ def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     words, tokens = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
     for r in by_class:
         words[r["class"]], tokens[r["class"]] = r["words"], r["tokens"]
-    table = counts.orderBy(F.desc("n"), "h").limit(TABLE).toArrow()
+    table = most_frequent(counts, TABLE, "h").toArrow()
     return Vocabulary(table, words, tokens, int(tokens.sum()), int(words.sum())), counts
 
 

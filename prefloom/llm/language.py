@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.llm.folds import remainder
-from prefloom.llm.tables import stored
+from prefloom.llm.tables import most_frequent, stored
 from prefloom.llm.words import slices
 
 WORDS = 150_000
@@ -113,9 +113,9 @@ def _logs(table: pa.Table, name: str, langs: list[str], totals: dict[str, int])
 def _most_frequent(counts: DataFrame, name: str, keep: int) -> pa.Table:
     """The ``keep`` most frequent units with their counts per language."""
     units = counts.groupBy(name).agg(
-        F.sum("n").alias("total"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("ns")
+        F.sum("n").alias("n"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("ns")
     )
-    return units.orderBy(F.desc("total"), name).limit(keep).select(name, "langs", "ns").toArrow()
+    return most_frequent(units, keep, name).select(name, "langs", "ns").toArrow()
 
 
 def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:

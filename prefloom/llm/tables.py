@@ -21,6 +21,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def most_frequent(counts: DataFrame, keep: int, *ties: str) -> DataFrame:
+    """The ``keep`` rows with the largest ``n``, ties by the columns ``ties``. Counts per
+    eighth of an octave tell beforehand which rows can be among them, so that no task
+    gets ``keep`` rows from every other."""
+    level = F.floor(F.log2(F.col("n")) * 8).cast("int")
+    above, least = 0, 0
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        above, least = above + row["count"], row["level"]
+        if above >= keep:
+            break
+    return counts.filter(level >= least).orderBy(F.desc("n"), *ties).limit(keep)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b: any orderable type, never null).
 
