@@ -88,18 +88,18 @@ def _needed(n: Column, m: Column, threshold: float) -> Column:
     return F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
 
 
-def _room(a, b, threshold: float) -> Column:
+def _room(n: Column, place: Column, marks: Column, m: Column, at: Column, other: Column, threshold: float) -> Column:
     """Whether lengths, places and signatures of two lines allow enough overlap."""
-    n, m = a("n"), b("n")
     need = _needed(n, m, threshold)
     return (
         (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9)
-        & (F.least(n - a("place"), m - b("place")) >= need)
-        & (F.bit_count(a("marks").bitwiseXOR(b("marks"))) <= n + m - 2 * need)
+        & (F.least(n - place, m - at) >= need)
+        & (F.bit_count(marks.bitwiseXOR(other)) <= n + m - 2 * need)
     )
 
 
-def _distinct_lines(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _keyed_lines(docs: DataFrame, threshold: float) -> tuple[DataFrame, Column]:
+    """Every line that is not blank with its set's key, size, signature and first tokens."""
     levels = rarity(docs)
     sets = _lines(docs).withColumn("codes", _codes(F.col("words"), levels)).drop("words")
     n = F.size("codes")
@@ -113,9 +113,7 @@ def _distinct_lines(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataF
         F.transform(head, lambda c: F.hash(c)).alias("head"),
         marks.alias("marks"),
     )
-    firsts = keyed.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first"))
-    firsts = stored(firsts.select("k", "k2", "first.*"), "lines")
-    return firsts, levels
+    return stored(keyed, "lines"), levels
 
 
 def _marked(ids: DataFrame, column: str) -> Column:
@@ -155,47 +153,55 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, levels: Colu
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(rid, line) of every line to remove; ``rid`` hashes doc_id and text."""
-    firsts, levels = _distinct_lines(docs, threshold)
-    dealt = firsts.select("k", "n", "marks", "doc", "line", F.posexplode("head").alias("place", "token"))
-    by_size = Window.partitionBy("token").orderBy("n", "k")
+    lines, levels = _keyed_lines(docs, threshold)
+    firsts = stored(
+        lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first")).select("k", "k2", "first.*"),
+        "firsts",
+    )
+    # only numbers that the filters need travel; n and place share one
+    dealt = firsts.select("k", "marks", "n", F.posexplode("head").alias("place", "token")).select(
+        "token", "k", "marks", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("spot")
+    )
     group = Window.partitionBy("token")
-    me = F.struct("k", "n", "place", "marks")
-    near = [F.first(me).over(by_size), *[F.lag(me, d).over(by_size) for d in range(1, NEIGHBOURS + 1)]]
+    by_size = group.orderBy("spot", "k")
+    n, place = F.shiftright("spot", 32), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))
+    names = [f"near{d}" for d in range(NEIGHBOURS + 1)]
+    seen = dealt.withColumn("rows", F.count(F.lit(1)).over(group))
+    for d, name in enumerate(names):
+        for c in ("k", "marks", "spot"):
+            seen = seen.withColumn(f"{name}_{c}", F.lag(c, d).over(by_size) if d else F.first(c).over(by_size))
+    for name in names:
+        m, at = F.shiftright(f"{name}_spot", 32), F.col(f"{name}_spot").bitwiseAND(F.lit((1 << 32) - 1))
+        fits = (F.col(f"{name}_k") != F.col("k")) & _room(n, place, F.col("marks"), m, at, F.col(f"{name}_marks"), threshold)
+        seen = seen.withColumn(name, F.when(fits, F.col(f"{name}_k")))
+    done_size = NEIGHBOURS + 2  # a group this small has had all its pairs
+    any_near = F.coalesce(*names).isNotNull()
+    seen = seen.filter((F.col("rows") > done_size) | any_near)
+    large = F.col("rows") > done_size
     seen = stored(
-        dealt.withColumn("near", F.array(*near))
-        .withColumn("rows", F.count(F.lit(1)).over(group))
-        .filter("rows > 1")
-        .withColumn("near", F.filter("near", lambda o: o.isNotNull() & (o["k"] != F.col("k")) & _room(F.col, lambda c: o[c], threshold)))
-        .withColumn("near", F.transform("near", lambda o: o["k"]))
-        # a group this small is done
-        .filter((F.size("near") > 0) | (F.col("rows") > NEIGHBOURS + 2)),
-        "dealt",
+        seen.select("k", *names, *[F.when(large, F.col(c)).alias(c) for c in ("token", "marks", "spot")]), "dealt"
     )
-    first_pairs = seen.select(F.col("k").alias("ka"), F.explode("near").alias("kb"))
+    first_pairs = seen.filter(any_near).select(F.col("k").alias("ka"), F.explode(F.array_compact(F.array(*names))).alias("kb"))
     done = stored(_verified(docs, firsts, first_pairs, levels, threshold), "settled")
 
-    large = seen.filter(F.col("rows") > NEIGHBOURS + 2).select("token", "k", "n", "place", "marks", "doc", "line")
+    large = seen.filter("token is not null").select("token", "k", "marks", n.alias("n"), place.alias("place"))
+    # of two lines the later one must be open: the pair is verified in either order
     open_ = large.join(done.select("k").distinct(), "k", "left_anti")
     x, y = open_.alias("x"), large.alias("y")
-    before = F.struct("y.doc", "y.line") <= F.struct("x.doc", "x.line")
     more = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.k") != F.col("y.k"))
-        & before
-        & _room(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold),
+        & _room(*(F.col(f"{t}.{c}") for t in "xy" for c in ("n", "place", "marks")), threshold),
     ).select(F.col("x.k").alias("ka"), F.col("y.k").alias("kb"))
     done = done.union(_verified(docs, firsts, more, levels, threshold)).distinct()
 
     # every line but the first of its set, and the first too where a similar one comes before
-    later = firsts.select("k", "k2", *[F.col(c).alias(f"first_{c}") for c in ORDER]).join(
-        done.withColumn("gone", F.lit(True)), ["k", "k2"], "left"
-    )
-    all_lines = (
-        _lines(docs).withColumn("codes", _codes(F.col("words"), levels)).select(*ORDER, F.xxhash64("codes").alias("k"), F.xxhash64("codes", F.lit(1)).alias("k2"))
-    )
+    first = firsts.select("k", "k2", *[F.col(c).alias(f"first_{c}") for c in ORDER])
+    later = first.join(done.withColumn("gone", F.lit(True)), ["k", "k2"], "left")
     return (
-        all_lines.join(later, ["k", "k2"])
+        lines.select(*ORDER, "k", "k2")
+        .join(later, ["k", "k2"])
         .filter("gone or doc <> first_doc or line <> first_line or rid <> first_rid")
         .select("rid", "line")
         .distinct()
