@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefloom.sources.records import is_complete, write_once
+
 # responder(prompts, seeds) gives one text per prompt
 Responder = Callable[[Sequence[str], Sequence[int]], Sequence[str]]
 
@@ -19,6 +22,37 @@ def spread(df: DataFrame, partitions: int | None, row_id: str = "pos") -> DataFr
     return df.repartition(partitions, row_id) if partitions else df
 
 
+@dataclass(frozen=True)
+class Generated:
+    """Rows that got a reply, and (pos, reason) of those that did not."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def complete_stored(
+    rows: DataFrame, prompt: Column, required: str, path: str, responder_factory: Callable[[], Responder], **options
+) -> DataFrame:
+    """Replies with their ``status``, written to ``path`` once and read back.
+
+    A row whose ``required`` column is NULL is not asked; its status says so. A
+    finished ``path`` is used as it is, so no reply is asked for twice.
+    """
+    spark = rows.sparkSession
+    if not is_complete(spark, path):
+        asked = rows.filter(F.col(required).isNotNull()).withColumn("_prompt", prompt)
+        answered = complete(asked, "_prompt", responder_factory, keep_prompt=False, **options)
+        unasked = rows.filter(F.col(required).isNull()).withColumn("status", F.lit(f"null_{required}"))
+        write_once(answered.unionByName(unasked, allowMissingColumns=True), path)
+    return spark.read.parquet(path)
+
+
+def split_generated(answered: DataFrame, rows: Callable[[DataFrame], DataFrame]) -> Generated:
+    good = F.col("status") == "success"
+    failed = answered.filter(~good).select("pos", F.col("status").alias("reason"))
+    return Generated(rows(answered.filter(good)), failed)
+
+
 def complete(
     df: DataFrame,
     prompt_col: str,

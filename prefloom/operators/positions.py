@@ -23,8 +23,6 @@ from prefloom.session import scratch_folder
 BLOCK_BITS = 12  # a block spans 4,096 keys, so it holds at most that many rows
 SPAN_BITS = 16  # units of one level in a unit of the next
 SPAN_LEVELS = 2  # levels above the blocks, below the top
-PARTITION_BYTES = 256 << 20
-MAX_PARTITIONS = 100_000
 
 
 def _block(key: str) -> Column:
@@ -190,36 +188,25 @@ def with_position(
     skip row groups, since the files are in order.
     """
     spark = df.sparkSession
-    n = partitions or partitions_for(df)
     path = path or scratch_folder(spark, "positions")
+    # without a number Spark deals by the session's setting and joins small partitions
+    dealt = df.repartitionByRange(*([partitions] if partitions else []), *order_cols)
     (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        dealt.sortWithinPartitions(*order_cols)
         .withColumn("_slot", F.monotonically_increasing_id())
         .write.parquet(path)
     )
     return read_positions(spark, path, name)
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Shuffle partitions of about 256 MB by the planner's size estimate, and no
-    fewer than the session's setting."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(size // PARTITION_BYTES, MAX_PARTITIONS))
-
-
 def read_positions(spark, path: str, name: str = "pos") -> DataFrame:
     """Open a table written by ``with_position``."""
     written = spark.read.parquet(path)
     part = F.shiftright("_slot", 33)
-    counts = written.groupBy(part.alias("_part")).count().collect()
-    offsets, total = [], 0
-    for r in sorted(counts, key=lambda r: r["_part"]):
-        offsets.append((r["_part"], total))
-        total += r["count"]
+    counts = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # one row per written partition
-    starts = F.broadcast(spark.createDataFrame(offsets, "_part bigint, _start bigint"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     in_part = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         written.withColumn("_part", part)

@@ -199,8 +199,14 @@ def upsert_results(
     return last_per_key(both, key_cols, prefer_success=prefer_success)
 
 
-def current_results(runs: DataFrame, last_batch: int, key_cols: Sequence[str] = ("instruction",)) -> DataFrame:
-    """State after run ``last_batch``: earlier failures are gone, its own remain."""
+def current_results(
+    runs: DataFrame, last_batch: int | None = None, key_cols: Sequence[str] = ("instruction",)
+) -> DataFrame:
+    """State after run ``last_batch``, or after all runs: earlier failures are gone,
+    the run's own remain. Without a batch every key that never got a ranking keeps
+    its last failure."""
+    if last_batch is None:
+        return last_per_key(runs, key_cols, prefer_success=True)
     live = runs.filter(
         (F.col("batch") <= last_batch) & (_has_ranking() | (F.col("batch") == last_batch))
     )

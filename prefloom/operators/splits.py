@@ -8,10 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.operators.positions import keys_at_positions
-
-# TakeOrderedAndProject brings the rows to one task, so it serves small caps only.
-SMALL_CAP = 10_000
+from prefloom.operators.positions import first_rows, keys_at_positions
 
 
 @dataclass(frozen=True)
@@ -74,10 +71,9 @@ def split_rows(
 
 
 def first_n(df: DataFrame, n: int | None, key: str = "pos") -> DataFrame:
-    """The first ``n`` rows by ``key``; all of them when there are no more."""
+    """The first ``n`` rows by the unique integer ``key``; all of them when there are
+    no more. Nothing runs before the result is used, and blocks of keys that start
+    after the n-th row are dropped before any row is sorted."""
     if n is None:
         return df
-    if n <= SMALL_CAP:
-        return df.orderBy(key).limit(n)
-    bound = keys_at_positions(df, key, [n])
-    return df.filter(F.col(key) < bound[n]) if bound else df
+    return first_rows(df, n, key, [], "_n").drop("_n")

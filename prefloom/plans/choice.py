@@ -19,9 +19,11 @@ from prefloom.sources.records import write_once
 
 @dataclass(frozen=True)
 class ChoiceResult:
-    """The stored details and the figures computed from them."""
+    """The stored details and the figures computed from the answered questions;
+    ``failed`` has those whose call failed, with their status."""
 
     details: DataFrame
+    failed: DataFrame
     accuracy: DataFrame
     listed: DataFrame
     running: DataFrame
@@ -40,8 +42,8 @@ def evaluate_choices(
 ) -> ChoiceResult:
     """Ask the listed subjects' questions and grade the replies.
 
-    The graded answers are written to ``out`` once. A failed call counts as an
-    empty output.
+    The graded answers are written to ``out`` once, with the status of their call.
+    A failed call is no wrong answer: it is listed apart.
     """
     chosen = select_subjects(questions, subjects)
     numbered = number_per_subject(chosen) if limit is None else limit_per_subject(chosen, limit)
@@ -50,10 +52,12 @@ def evaluate_choices(
     answered = complete(
         prompted.withColumn("_chat", chat), "_chat", responder_factory,
         out="model_output", keep_prompt=False, **options,
-    ).withColumn("model_output", F.coalesce("model_output", F.lit("")))
+    )
     write_once(grade_answers(answered), out)
-    graded = questions.sparkSession.read.parquet(out)
+    stored = questions.sparkSession.read.parquet(out)
+    graded = stored.filter("status = 'success'")
+    failed = stored.filter("status <> 'success'").select("pos", "subject", "question_id", "status")
     acc = accuracy(graded)
     return ChoiceResult(
-        answer_details(graded), acc, listed_accuracy(acc, subjects), running_accuracy(graded, every)
+        answer_details(graded), failed, acc, listed_accuracy(acc, subjects), running_accuracy(graded, every)
     )

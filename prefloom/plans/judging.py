@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, compose_prompt, message, render_chat
 from prefloom.operators.chat import response_rows
-from prefloom.operators.completion import Responder, complete, spread
+from prefloom.operators.completion import (
+    Generated, Responder, complete, complete_stored, split_generated, spread,
+)
 from prefloom.operators.judging import (
     judge_distribution, judge_input_reason, judge_stats, judge_summary, score_replies, with_judge_prompt,
 )
@@ -19,18 +21,19 @@ from pyspark.sql import functions as F
 
 def generate_responses(
     rows: DataFrame,
+    out: str,
     responder_factory: Callable[[], Responder],
     template: ChatTemplate = CHATML,
     partitions: int | None = None,
     **options,
-) -> DataFrame:
-    """One stripped response per instruction row that got one."""
+) -> Generated:
+    """One stripped response per instruction row; rows without an instruction or a
+    reply are rejects. All replies are written to ``out`` once."""
     chat = render_chat(
         F.array(message("user", compose_prompt(F.col("instruction"), F.col("input")))), template
     )
-    asked = spread(rows, partitions).withColumn("prompt", chat)
-    answered = complete(asked, "prompt", responder_factory, keep_prompt=False, **options)
-    return response_rows(answered.filter(F.col("status") == "success"), keep=("pos",))
+    answered = complete_stored(spread(rows, partitions), chat, "instruction", out, responder_factory, **options)
+    return split_generated(answered, lambda good: response_rows(good, keep=("pos",)))
 
 
 @dataclass(frozen=True)

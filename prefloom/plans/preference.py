@@ -10,40 +10,36 @@ from pyspark.sql import functions as F
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, compose_prompt, message, render_chat
 from prefloom.operators.chat import candidate_rows
-from prefloom.operators.completion import Responder, complete, spread
+from prefloom.operators.completion import Generated, Responder, complete_stored, split_generated, spread
 from prefloom.operators.preference import (
     candidate_reason, clean_preferences, observe_cleaning, preference_pairs,
 )
 from prefloom.operators.splits import first_n
-from prefloom.sources.records import typed, write_once
+from prefloom.sources.records import typed
 from prefloom.streaming.ranking import rank_run, read_results
 
 
 def generate_candidates(
     rows: DataFrame,
+    out: str,
     responder_factory: Callable[[], Responder],
     samples: int = 4,
     template: ChatTemplate = CHATML,
     partitions: int | None = None,
     **options,
-) -> DataFrame:
-    """``samples`` stripped responses per instruction row that got all of them."""
+) -> Generated:
+    """``samples`` stripped responses per instruction row that got all of them; other
+    rows are rejects. All replies are written to ``out`` once."""
     chat = render_chat(
         F.array(message("user", compose_prompt(F.col("instruction"), F.col("input")))), template
     )
-    answered = complete(
-        spread(rows, partitions).withColumn("prompt", chat), "prompt", responder_factory,
-        out="responses", k=samples, keep_prompt=False, **options,
+    answered = complete_stored(
+        spread(rows, partitions), chat, "instruction", out, responder_factory,
+        out="responses", k=samples, **options,
     )
     if samples == 1:
         answered = answered.withColumn("responses", F.array("responses"))
-    return candidate_rows(answered.filter(F.col("status") == "success"), keep=("pos",))
-
-
-def store_candidates(candidates: DataFrame, path: str) -> DataFrame:
-    """Candidates written once, since each use would ask the model again."""
-    write_once(candidates, path)
-    return candidates.sparkSession.read.parquet(path)
+    return split_generated(answered, lambda good: candidate_rows(good, keep=("pos",)))
 
 
 def accept_candidates(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -34,13 +34,13 @@ FROM {instructions}
 # failed call, repeated indices, second prefix.
 RANK_REPLIES = """
 SELECT pos, sel, instruction, input, ground_truth, responses, CASE sel % 8
-  WHEN 0 THEN '排名：2 > 1 > 4 > 3'
-  WHEN 1 THEN '排名：1 > 2 > 3'
+  WHEN 0 THEN concat(instruction, '排名：2 > 1 > 4 > 3')
+  WHEN 1 THEN concat(instruction, '排名：1 > 2 > 3')
   WHEN 2 THEN concat(instruction, ' 4 > 3 > 2 > 1')
-  WHEN 3 THEN '排名：5 > 1 > 2 > 3'
+  WHEN 3 THEN concat(instruction, '排名：5 > 1 > 2 > 3')
   WHEN 4 THEN concat(instruction, '排名： 3>1>2>4')
   WHEN 5 THEN NULL
-  WHEN 6 THEN '排名：1 > 1 > 2 > 1'
+  WHEN 6 THEN concat(instruction, '排名：1 > 1 > 2 > 1')
   ELSE concat('排名：4 > 3 > 2 > 1 排名：9 ', instruction) END AS api_response
 FROM {candidates}
 """
@@ -54,12 +54,12 @@ SELECT conv_id * 10000000 + turn AS pos, CASE (conv_id * 3 + turn) % 10
   WHEN 2 THEN concat('<score>0</score>', text)
   WHEN 3 THEN concat('评分 7 分 ', text)
   WHEN 4 THEN concat('得分：9 ', text)
-  WHEN 5 THEN 'none'
+  WHEN 5 THEN concat('none ', text)
   WHEN 6 THEN concat('first 42 then 6.5 ', text)
   WHEN 7 THEN NULL
   WHEN 8 THEN concat(text, '<score>5</score> 9')
   ELSE concat('3 ', text, '<score>9.5</score>') END AS judge_response
-FROM {conversations} WHERE role = 'user'
+FROM {conversations}
 """
 
 # Choice questions: some without question text or model output, and a sixth
@@ -70,14 +70,15 @@ SELECT item_id AS pos,
     WHEN 2 THEN 'chinese_literature' WHEN 3 THEN 'elementary_commonsense'
     WHEN 4 THEN 'professional_psychology' ELSE 'unselected' END AS subject,
   CASE WHEN item_id % 11 = 10 THEN '' ELSE text END AS question,
-  split_part(text, ' ', 1) AS A, split_part(text, ' ', 2) AS B,
-  split_part(text, ' ', 3) AS C, split_part(text, ' ', 4) AS D,
+  substr(text, 1, q) AS A, substr(text, q + 1, q) AS B,
+  substr(text, 2 * q + 1, q) AS C, substr(text, 3 * q + 1) AS D,
   substr('ABCD', CAST(item_id % 4 AS INT) + 1, 1) AS answer,
-  CASE item_id % 5 WHEN 0 THEN ' 答案是B' WHEN 1 THEN 'A' WHEN 2 THEN 'I think C, not D'
-    WHEN 3 THEN '' ELSE 'the answer is d' END AS model_output
-FROM {benchmark}
+  CASE item_id % 5 WHEN 0 THEN concat(text, ' 答案是B') WHEN 1 THEN 'A' WHEN 2 THEN concat('I think C, not D ', text)
+    WHEN 3 THEN '' ELSE concat(text, ' the answer is d') END AS model_output
+FROM (SELECT *, CAST(floor(length(text) / 4) AS INT) AS q FROM {benchmark}) b
 """
 
+# The subjects that are asked.
 SUBJECTS = (
     "computer_science", "high_school_mathematics", "chinese_literature",
     "elementary_commonsense", "professional_psychology",

@@ -6,7 +6,7 @@ from prefloom.functions import prompts as P
 from prefloom.functions.text import PY_SPACES, RANK_PREFIX
 from prefloom.operators.judging import BANDS, GAP_BAND
 from prefloom.registry import inputs, stubs
-from prefloom.registry.queries import MAX_PAIRS, PAD_ID, PARTS, WIDTH
+from prefloom.registry.queries import COPIES, FILE_ROWS, MAX_PAIRS, PAD_ID, PARTS, WIDTH
 
 _TABLES = ("conversations", "benchmark", "documents", "labels")
 _INPUTS = {
@@ -238,7 +238,7 @@ FROM live QUALIFY row_number() OVER (PARTITION BY instruction ORDER BY batch DES
 """
 
 _STREAM = _with("keyed") + """
-SELECT md5(instruction) AS key, CAST(0 AS BIGINT) AS batch, max(pos) AS pos, '3,2,1,0' AS sorted_indices,
+SELECT md5(instruction) AS key, max(pos) AS pos, '3,2,1,0' AS sorted_indices,
   'ok' AS rank_status
 FROM keyed GROUP BY instruction
 """
@@ -262,6 +262,27 @@ _LINES = """
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
 
+# --- files
+
+_ARRAYS = f"SELECT doc_id, CAST(floor(doc_id / {FILE_ROWS}.0) AS BIGINT) AS g FROM documents"
+
+
+def _mcq_read(shape: str) -> str:
+    order = "g, subject, copy, pos" if shape == "keyed" else "g, copy, pos"
+    return _with(
+        "questions",
+        ("copies", f"SELECT *, copy % 2 AS g FROM questions, (SELECT unnest(range({COPIES})) AS copy) c WHERE question <> ''"),
+    ) + f"""
+SELECT row_number() OVER (ORDER BY {order}) - 1 AS pos, subject, question, concat(A, '|', B, '|', C, '|', D) AS options, answer
+FROM copies"""
+
+
+_NULLS = (
+    "asked",
+    f"SELECT pos, instruction, sel, length({_chat(_PROMPT)}) AS n FROM instructions",
+)
+
+
 ORACLE = {
     "judge_score": _SCORED + "SELECT pos, judge_response, score, status FROM scored",
     "judge_summary": _SCORED + """
@@ -375,6 +396,32 @@ FROM ({_LINES}) l""",
     "json_error_lines": """
 SELECT doc_id, 4 AS error_line, 3 AS context_lines, 2 AS first_line
 FROM documents JOIN labels USING (doc_id) WHERE quality = 0""",
+    "read_rejects": f"""
+SELECT md5(line) AS line_md5, 'malformed_line' AS reason FROM ({_LINES}) l WHERE trim(line) <> '' AND NOT json_valid(line)""",
+    "json_file_check": f"""
+SELECT g, CASE g % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty' ELSE 'ok' END AS status,
+  CASE WHEN g % 5 > 1 THEN count(*) ELSE 0 END AS records FROM ({_ARRAYS}) a GROUP BY g""",
+    "ingest_rejects": f"""
+SELECT row_number() OVER (ORDER BY CAST(g AS VARCHAR), doc_id) - 1 AS pos, doc_id AS id, NULL::VARCHAR AS reason
+FROM ({_ARRAYS}) a WHERE g % 5 > 1
+UNION ALL SELECT DISTINCT NULL::BIGINT, g, 'malformed_file' FROM ({_ARRAYS}) b WHERE g % 5 = 0""",
+    "generate_responses": _with("instructions", _NULLS) + f"""
+SELECT pos, CASE WHEN sel % 5 <> 0 AND n % {stubs.FAILS_AT} <> 0 THEN instruction END AS instruction,
+  CASE WHEN sel % 5 <> 0 AND n % {stubs.FAILS_AT} <> 0 THEN CAST(n AS VARCHAR) END AS response,
+  CASE WHEN sel % 5 = 0 THEN 'null_instruction' WHEN n % {stubs.FAILS_AT} = 0 THEN 'error: refused' END AS reason
+FROM asked""",
+    "generate_candidates": _with("instructions", _NULLS) + """
+SELECT pos, CASE WHEN sel % 5 <> 0 THEN instruction END AS instruction,
+  CASE WHEN sel % 5 <> 0 THEN array_to_string(list_transform(range(4), lambda i: concat(n, '-', i)), '|') END AS responses,
+  CASE WHEN sel % 5 = 0 THEN 'null_instruction' END AS reason FROM asked""",
+    "split_snapshot": f"""
+SELECT part, p AS pos, {_DOC} FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS p, count(*) OVER () AS total FROM documents) d,
+  (SELECT unnest(['train', 'preference', 'evaluation']) AS part) s
+WHERE CASE part WHEN 'train' THEN p < {PARTS['train']} WHEN 'evaluation' THEN p >= total - {PARTS['evaluation']}
+  ELSE p >= total - {PARTS['preference'] + PARTS['evaluation']} AND p < total - {PARTS['evaluation']} END""",
+    "mcq_read_list": _mcq_read("list"),
+    "mcq_read_data": _mcq_read("data"),
+    "mcq_read_keyed": _mcq_read("keyed"),
     "token_rows": _with("instructions", _EXAMPLES) + f"""
 SELECT pos, CAST(length(t) AS INT) AS n_tokens, md5({_CODES}) AS ids_md5, md5({_CODES}) AS labels_md5 FROM examples""",
     "padded_batches": _with(

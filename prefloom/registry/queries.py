@@ -16,6 +16,7 @@ from prefloom.operators.staging import compute_once
 from prefloom.plans import choice as choice_plan
 from prefloom.plans import judging as judging_plan
 from prefloom.plans import preference as preference_plan
+from prefloom.plans import splitting
 from prefloom.plans import training as training_plan
 from prefloom.registry import inputs, stubs
 from prefloom.session import scratch_folder
@@ -26,6 +27,9 @@ MAX_PAIRS = 100  # the cap of the capped queries
 PARTS = {"train": 500, "preference": 150, "evaluation": 50}
 WIDTH = 8  # rows per padded batch
 PAD_ID = 0
+STREAM_FILES = 16  # files of the stream; a quarter of them makes a micro-batch
+FILE_ROWS = 64  # documents in one array file
+COPIES = 20  # times every benchmark item is in the question files
 
 
 def joined(array: str | Column, sep: str = " ") -> Column:
@@ -149,6 +153,35 @@ def mcq_normalise(spark, sf):
     )
 
 
+def _question_files(spark, sf, shape) -> str:
+    """Every benchmark question 20 times, in two files of one shape."""
+    copies = inputs.questions(spark, sf).select("*", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy"))
+    upper = F.struct("subject", F.col("question").alias("Question"), F.col("answer").alias("Answer"), "A", "B", "C", "D")
+    lower = F.struct(F.col("subject").alias("category"), "question", "answer", F.array("A", "B", "C", "D").alias("options"))
+    row = upper if shape == "list" else lower
+    rows = copies.select((F.col("copy") % 2).alias("g"), "subject", F.struct("copy", "pos", row.alias("row")).alias("item"))
+    in_order = F.transform(F.sort_array(F.collect_list("item")), lambda x: x["row"]).alias("rows")
+    if shape == "keyed":
+        subjects = rows.groupBy("g", "subject").agg(in_order)
+        text = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("subject", "rows")))))
+        files = subjects.groupBy("g").agg(text.alias("value"))
+    else:
+        files = rows.groupBy("g").agg(in_order)
+        body = F.col("rows") if shape == "list" else F.struct(F.col("rows").alias("data"))
+        files = files.select("g", F.to_json(body).alias("value"))
+    path = scratch_folder(spark, "questions")
+    files.write.partitionBy("g").text(path)
+    return path
+
+
+def _mcq_read(shape):
+    def query(spark, sf):
+        read = questions.read_choice_questions(spark, _question_files(spark, sf, shape))
+        return read.withColumn("options", joined("options", "|"))
+
+    return query
+
+
 def mcq_selected(spark, sf):
     return _selected(spark, sf).select("subject_no", "subject", "pos", "question", "answer")
 
@@ -222,14 +255,23 @@ def snapshot_size(spark, sf):
 def _part(name):
     def query(spark, sf):
         docs = inputs.table(spark, sf, "documents")
-        total = docs.count()
-        cuts = splits.cut_positions(total, 0, PARTS["preference"], PARTS["evaluation"])
-        span = (0, PARTS["train"]) if name == "train" else getattr(cuts, name)
-        return splits.slice_rows(docs, "doc_id", {name: span}, total)[name].select(*_doc_columns())
+        return splits.split_rows(docs, "doc_id", **PARTS)[name].select(*_doc_columns())
 
     return query
 
 
+def split_snapshot(spark, sf):
+    """The three parts written from a stored table, each from the files that hold its rows."""
+    parts = splitting.split_snapshot(
+        spark, f"{sf}/documents.parquet", scratch_folder(spark, "parts"), **PARTS
+    )
+    both = None
+    for name, part in parts.items():
+        rows = part.select(F.lit(name).alias("part"), "pos", *_doc_columns())
+        both = rows if both is None else both.unionByName(rows)
+    return both
+
+
 # --- supervised data and responses
 
 
@@ -290,6 +332,31 @@ def complete_samples(spark, sf):
     return done.select("pos", joined(F.array_sort("responses"), "|").alias("responses"), "status")
 
 
+def _some_null(spark, sf) -> DataFrame:
+    rows = inputs.instructions(spark, sf)
+    return rows.withColumn("instruction", F.when(F.col("sel") % 5 != 0, F.col("instruction")))
+
+
+def generate_responses(spark, sf):
+    """Responses, and the rows without an instruction or whose call failed."""
+    made = judging_plan.generate_responses(
+        _some_null(spark, sf), scratch_folder(spark, "responses"), _make(stubs.last_line)
+    )
+    rows = made.rows.select("pos", "instruction", "response", F.lit(None).cast("string").alias("reason"))
+    return rows.unionByName(made.rejects, allowMissingColumns=True)
+
+
+def generate_candidates(spark, sf):
+    made = preference_plan.generate_candidates(
+        _some_null(spark, sf), scratch_folder(spark, "candidates"), _make(stubs.sampler)
+    )
+    rows = made.rows.select(
+        "pos", "instruction", joined(F.array_sort("responses"), "|").alias("responses"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return rows.unionByName(made.rejects, allowMissingColumns=True)
+
+
 def judging_flow(spark, sf):
     """Judge every assistant reply with a stub and compute the statistics."""
     line = F.to_json(
@@ -427,18 +494,21 @@ def rank_resume(spark, sf):
 
 
 def rank_stream(spark, sf):
-    """The same rows as a stream of files, ranked by one start of the stream."""
+    """The same rows as a stream of files, ranked by one start of several micro-batches.
+
+    All rows of a key are in one file, so the batch that ranks them has them all.
+    """
     rows = inputs.keyed(spark, sf)
     arriving, results, checkpoint = (
         scratch_folder(spark, n) for n in ("arriving", "streamed", "stream-state")
     )
-    rows.write.parquet(arriving)
+    rows.repartition(STREAM_FILES, "instruction").write.parquet(arriving)
     query = ranking.rank_stream(
         spark, arriving, rows.schema, results, checkpoint, _make(stubs.second_ranker),
-        partitions=_tasks(spark),
+        max_files=STREAM_FILES // 4, partitions=_tasks(spark),
     )
     query.awaitTermination()
-    return _resume_columns(ranking.read_results(spark, results, 0))
+    return _resume_columns(ranking.read_results(spark, results)).drop("batch")
 
 
 # --- records
@@ -507,6 +577,49 @@ def malformed_lines(spark, sf):
     return records.malformed_lines(spark, path).select(F.md5("value").alias("line_md5"))
 
 
+def read_rejects(spark, sf):
+    """The same lines: those that are no JSON, with their reason."""
+    path = scratch_folder(spark, "lines")
+    _document_lines(spark, sf).select("line").write.text(path)
+    return records.read_rejects(spark, path).select(F.md5("text").alias("line_md5"), "reason")
+
+
+def _array_files(spark, sf) -> str:
+    """Documents in array files of 64: a fifth cut off, a fifth blank."""
+    docs = inputs.table(spark, sf, "documents")
+    item = F.struct("doc_id", F.to_json(F.struct(F.col("doc_id").alias("id"), "text")).alias("json"))
+    files = docs.groupBy(F.floor(F.col("doc_id") / FILE_ROWS).alias("g")).agg(
+        F.sort_array(F.collect_list(item)).alias("items")
+    )
+    body = F.concat(F.lit("["), F.array_join("items.json", ","))
+    kind = F.col("g") % 5
+    path = scratch_folder(spark, "arrays")
+    files.select(
+        "g", F.when(kind == 0, body).when(kind == 1, F.lit(" ")).otherwise(F.concat(body, F.lit("]"))).alias("value")
+    ).write.partitionBy("g").text(path)
+    return path
+
+
+def _group() -> Column:
+    return F.regexp_extract("file", r"g=(\d+)", 1).cast("bigint")
+
+
+def json_file_check(spark, sf):
+    """Status and number of records of every array file."""
+    checked = records.check_files(spark, _array_files(spark, sf))
+    return checked.select(_group().alias("g"), "status", F.col("records").cast("bigint").alias("records"))
+
+
+def ingest_rejects(spark, sf):
+    """Positions of the good records, and the files that are malformed."""
+    path = _array_files(spark, sf)
+    good = records.ingest_records(spark, path, {"id": "bigint"}, "array", skip_bad=True)
+    bad = records.read_rejects(spark, path, "array")
+    return good.select("pos", "id", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("pos"), _group().alias("id"), "reason")
+    )
+
+
 def json_error_lines(spark, sf):
     """Place of the error in every cut-off document record, written over several lines."""
     docs, labels = (inputs.table(spark, sf, t) for t in ("documents", "labels"))
@@ -603,6 +716,15 @@ QUERIES = {
     "json_quarantine": json_quarantine,
     "malformed_lines": malformed_lines,
     "json_error_lines": json_error_lines,
+    "json_file_check": json_file_check,
+    "read_rejects": read_rejects,
+    "ingest_rejects": ingest_rejects,
+    "generate_responses": generate_responses,
+    "generate_candidates": generate_candidates,
+    "split_snapshot": split_snapshot,
+    "mcq_read_list": _mcq_read("list"),
+    "mcq_read_data": _mcq_read("data"),
+    "mcq_read_keyed": _mcq_read("keyed"),
     "token_rows": token_rows,
     "padded_batches": padded_batches,
     "step_plan": step_plan,

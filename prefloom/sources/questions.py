@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefloom.operators.positions import with_position
 from prefloom.operators.staging import compute_once
 
 LETTERS = ("A", "B", "C", "D")
@@ -72,15 +73,17 @@ def _shape(doc: Column) -> Column:
     )
 
 
-def read_choice_questions(spark: SparkSession, path: str) -> DataFrame:
-    """Questions of one file or of many files of one shape, with ``pos``.
+def read_choice_questions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Questions of one file or of many files of one shape, with a dense ``pos`` in the
+    order of files, then (``keyed``) subjects by name, then the list.
 
-    A question file is one JSON value and is parsed as a whole; large sets come
-    as JSON lines through ``read_whole_lines`` and ``normalise_questions``.
-    ``pos`` grows in list order within a subject of a file.
+    A question file is one JSON value and is parsed as a whole, so the size of a
+    VARIANT bounds it; larger sets come as JSON lines through
+    ``read_whole_lines`` and ``normalise_questions``.
     """
     docs = (
         spark.read.option("singleVariantColumn", "doc").option("multiLine", True).json(path)
+        .select(F.col("_metadata.file_path").alias("file"), "doc")
         .withColumn("shape", _shape(F.col("doc")))
     )
     # at most four shapes exist
@@ -90,7 +93,7 @@ def read_choice_questions(spark: SparkSession, path: str) -> DataFrame:
     shape = shapes.pop()
     if shape == "keyed":
         records = spark.sql(
-            "SELECT (shiftleft(s.pos, 40) + i.pos) AS pos, s.key AS subject, i.value AS record"
+            "SELECT file, s.pos AS part, i.pos AS at, s.key AS subject, i.value AS record"
             " FROM {docs}, LATERAL variant_explode(doc) AS s,"
             " LATERAL variant_explode(CASE WHEN schema_of_variant(s.value) LIKE 'ARRAY%' THEN s.value END) AS i",
             docs=docs,
@@ -98,8 +101,9 @@ def read_choice_questions(spark: SparkSession, path: str) -> DataFrame:
     else:
         source = "doc" if shape == "list" else "try_variant_get(doc, '$.data', 'variant')"
         records = spark.sql(
-            "SELECT CAST(i.pos AS BIGINT) AS pos, i.value AS record"
+            "SELECT file, 0 AS part, i.pos AS at, i.value AS record"
             f" FROM {{docs}}, LATERAL variant_explode({source}) AS i",
             docs=docs,
         )
-    return normalise_questions(records, shape)
+    order = ("file", "part", "at")
+    return with_position(normalise_questions(records, shape, keep=order), order).drop(*order)

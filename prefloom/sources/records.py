@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +15,6 @@ from prefloom.functions.text import py_strip
 from prefloom.operators.positions import with_position
 
 ORDER = ("file", "split", "line")
-# Offsets of this many files are broadcast; a longer list is left to Spark's own size check.
-BROADCAST_FILES = 1_000_000
 CONTEXT_LINES = 2
 
 
@@ -50,9 +49,10 @@ def read_variants(
 
 
 def read_whole_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per line with the whole record, unknown keys included, as VARIANT ``extra``."""
-    rows = spark.read.schema("extra VARIANT").option("singleVariantColumn", "extra").json(path)
-    return rows.filter(F.col("extra").isNotNull())
+    """One row per line with the whole record, unknown keys included, as VARIANT
+    ``extra``. A line that is no JSON stays, with a NULL record; ``malformed_lines``
+    has its text."""
+    return spark.read.schema("extra VARIANT").option("singleVariantColumn", "extra").json(path)
 
 
 def typed(records: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -63,11 +63,33 @@ def typed(records: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def read_records(
-    spark: SparkSession, path: str | list[str], types: dict[str, str], layout: str = "lines"
+    spark: SparkSession,
+    path: str | list[str],
+    types: dict[str, str],
+    layout: str = "lines",
+    skip_bad: bool = False,
 ) -> DataFrame:
-    """Typed records with the columns of ``ORDER``; unparsable records are left out."""
+    """Typed records with the columns of ``ORDER``.
+
+    An unparsable record stops the job with its file and text, unless ``skip_bad``
+    leaves such records to ``read_rejects``.
+    """
     records = read_variants(spark, path, list(types), layout)
-    return typed(records.filter(F.col("corrupt").isNull()), types).drop("corrupt")
+    good = F.col("corrupt").isNull()
+    if not skip_bad:
+        told = F.concat(F.lit("no JSON in "), "file", F.lit(": "), F.substring("corrupt", 1, 200))
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
+    return typed(records.filter(good), types).drop("corrupt")
+
+
+def read_rejects(spark: SparkSession, path: str | list[str], layout: str = "lines") -> DataFrame:
+    """(file, split, line, reason, text) of every record that is no JSON; of an array
+    file that is malformed anywhere, one row for the whole file."""
+    # a corrupt row has no field; Spark wants one to be read beside the corrupt text
+    rows = read_variants(spark, path, ["_none"], layout)
+    bad = rows.filter(F.col("corrupt").isNotNull() & F.col("_none").isNull())
+    reason = F.lit("malformed_line" if layout == "lines" else "malformed_file")
+    return bad.select(*ORDER, reason.alias("reason"), F.col("corrupt").alias("text"))
 
 
 def ingest_records(
@@ -77,35 +99,61 @@ def ingest_records(
     layout: str = "lines",
     out: str | None = None,
     partitions: int | None = None,
+    skip_bad: bool = False,
 ) -> DataFrame:
-    """Records converted once to Parquet with their list position ``pos``."""
-    records = read_records(spark, path, types, layout)
+    """Records converted once to Parquet with their list position ``pos``; bad
+    records as in ``read_records``."""
+    records = read_records(spark, path, types, layout, skip_bad)
     return with_position(records, ORDER, partitions=partitions, path=out).drop(*ORDER)
 
 
-def read_snapshot(spark: SparkSession, path: str, name: str = "pos") -> DataFrame:
-    """A Parquet table with the stored row order as position.
+def file_starts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, start, rows): the position of each file's first row in a Parquet table.
 
-    File order by name, then the row's place in its file. Nothing is shuffled:
-    the scan joins one offset per file, a list no longer than the file listing
-    the driver holds anyway.
+    Files follow each other by part number, then by name: Spark pads the numbers to
+    five digits only, so names alone go wrong from the 100,000th file on.
     """
-    rows = spark.read.parquet(path)
-    columns = rows.columns
+    paths = [path] if isinstance(path, str) else path
+    counts = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    name = F.element_at(F.split("file", "/"), -1)
+    number = F.regexp_extract(name, r"part-(\d+)", 1).try_cast("bigint")
+    # one short row per file
+    earlier = Window.orderBy(number.asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("file", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"), "rows")
+
+
+def placed_rows(spark: SparkSession, path: str | list[str], starts: DataFrame, name: str = "pos") -> DataFrame:
+    """Rows of Parquet files with their position, from the files' starts."""
+    paths = [path] if isinstance(path, str) else path
+    rows = spark.read.parquet(*paths)
     placed = rows.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")
     )
-    counts = rows.groupBy(F.col("_metadata.file_path").alias("_file")).count().collect()
-    starts, total = [], 0
-    for r in sorted(counts, key=lambda r: r["_file"]):
-        starts.append((r["_file"], total))
-        total += r["count"]
-    offsets = spark.createDataFrame(starts, "_file string, _start bigint")
-    if len(starts) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    return placed.join(offsets, "_file").select(
-        (F.col("_start") + F.col("_at")).alias(name), *columns
-    )
+    starts = starts.select(F.col("file").alias("_file"), F.col("start").alias("_start"))
+    return placed.join(starts, "_file").select((F.col("_start") + F.col("_at")).alias(name), *rows.columns)
+
+
+def read_snapshot(spark: SparkSession, path: str, name: str = "pos") -> DataFrame:
+    """A Parquet table with the stored row order as position.
+
+    File order by part number, then the row's place in its file. The rows are
+    neither shuffled nor sorted as long as the list of files is small enough for
+    Spark to broadcast.
+    """
+    return placed_rows(spark, path, file_starts(spark, path), name)
+
+
+def read_range(spark: SparkSession, starts: DataFrame, begin: int, end: int, schema: T.StructType) -> DataFrame:
+    """Rows ``begin`` to ``end`` of a Parquet table by position, from the files that hold some."""
+    overlap = starts.filter((F.col("start") < end) & (F.col("start") + F.col("rows") > begin))
+    # only the files to read come to the driver, as in any listing
+    files = overlap.collect() if begin < end else []
+    if not files:
+        return spark.createDataFrame([], T.StructType([T.StructField("pos", T.LongType()), *schema.fields]))
+    rows = placed_rows(spark, [unquote(f["file"]) for f in files], spark.createDataFrame(files, starts.schema))
+    return rows.filter((F.col("pos") >= begin) & (F.col("pos") < end))
 
 
 def snapshot_size(df: DataFrame) -> DataFrame:

@@ -64,9 +64,12 @@ def rank_run(
 
 
 def read_results(
-    spark: SparkSession, results: str, last_batch: int, key_cols: Sequence[str] = ("instruction",)
+    spark: SparkSession,
+    results: str,
+    last_batch: int | None = None,
+    key_cols: Sequence[str] = ("instruction",),
 ) -> DataFrame:
-    """One row per key as of run ``last_batch``."""
+    """One row per key as of run ``last_batch``; of all runs without one."""
     return current_results(read_runs(spark, results), last_batch, key_cols)
 
 
@@ -82,8 +85,10 @@ def rank_stream(
 ) -> StreamingQuery:
     """Rank the candidate files that arrived since the last start, then stop.
 
-    Each micro-batch is one run of at most ``max_files`` files. After a failure the stream repeats the batch
-    under the same number, which replaces its folder.
+    Each micro-batch is one run of at most ``max_files`` files, so one start may
+    make many runs; ``read_results`` without a batch has all of them. After a
+    failure the stream repeats the batch under the same number, which replaces its
+    folder.
     """
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(candidates)
 

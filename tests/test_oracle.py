@@ -30,4 +30,4 @@ def test_entry_runs(spark):
 
 def test_judge_stats_at_one_hundredth(spark):
     row = QUERIES["judge_stats"](spark, "/root/testdata/sf0.01").first()
-    assert tuple(row) == (279, 251, 28, 89.96, 6.84, 10.0, 1.0, 7.0, 7.5988, 2.7566)
+    assert tuple(row) == (536, 488, 48, 91.04, 6.74, 10.0, 1.0, 7.0, 7.2058, 2.6844)

@@ -123,7 +123,7 @@ def test_anti_join_with_hot_keys(spark):
     left = hot_rows(spark)
     for done in (["hot", "k1", "k5"], ["k2"], []):
         right = spark.createDataFrame([(k,) for k in done * 2], "key string")
-        ours = skew.anti_join(left, right, "key", "pos", min_rows=100, salts=16)
+        ours = skew.anti_join(left, right, "key", "pos", task_rows=100)
         assert rows(ours) == [r for r in rows(left) if r[1] not in done]
 
 

@@ -83,6 +83,15 @@ def test_stream_takes_new_files_only(spark, tmp_path):
     ]
 
 
+def test_one_start_of_many_batches_has_all_rows(spark, tmp_path):
+    arriving, path, checkpoint = (str(tmp_path / n) for n in ("in", "results", "state"))
+    df = candidates(spark, *[f"t{i}" for i in range(40)])
+    df.repartition(4, "instruction").write.parquet(arriving)
+    ranking.rank_stream(spark, arriving, df.schema, path, checkpoint, make(always), max_files=1).awaitTermination()
+    assert ranking.read_runs(spark, path).select("batch").distinct().count() >= 3
+    assert rows(ranking.read_results(spark, path), "instruction") == sorted((f"t{i}",) for i in range(40))
+
+
 @pytest.mark.parametrize("keys, left", [(("instruction",), 1), (("instruction", "input"), 1)])
 def test_key_columns(spark, tmp_path, keys, left):
     path = str(tmp_path / "results")

@@ -91,7 +91,41 @@ def test_stored_order(spark, tmp_path):
 
 def test_whole_lines_keep_unknown_keys(spark, files):
     df = records.read_whole_lines(spark, files(a='{"x":1,"y":{"z":[2]}}\nbad\n'))
-    assert [r[0] for r in df.select(F.to_json("extra")).collect()] == ['{"x":1,"y":{"z":[2]}}']
+    assert [r[0] for r in df.select(F.to_json("extra")).collect()] == ['{"x":1,"y":{"z":[2]}}', None]
+
+
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_bad_records_stop_the_job_or_are_told(spark, files, layout):
+    path = files(a=ARRAY, b='[{"instruction": oops}]') if layout == "array" else files(a='{"id":1}\n{"id": oops}\n{"id":3}')
+    types = {"instruction": "string"} if layout == "array" else {"id": "int"}
+    with pytest.raises(Exception, match="no JSON in .*"):
+        records.ingest_records(spark, path, types, layout)
+    good = records.ingest_records(spark, path, types, layout, skip_bad=True)
+    assert [r[0] for r in rows(good, "pos")] == list(range(3 if layout == "array" else 2))
+    bad = records.read_rejects(spark, path, layout).collect()
+    assert [(r["reason"], r["text"]) for r in bad] == [
+        ("malformed_file", '[{"instruction": oops}]') if layout == "array" else ("malformed_line", '{"id": oops}')
+    ]
+
+
+def test_stored_order_of_many_parts(spark, tmp_path):
+    path = tmp_path / "table"
+    path.mkdir()
+    for n, name in enumerate(["part-99999-a", "part-100000-a", "part-100001-a"]):
+        spark.range(n * 10, n * 10 + 10).coalesce(1).write.parquet(str(tmp_path / name))
+        (part,) = (tmp_path / name).glob("*.parquet")
+        (path / f"{name}.parquet").write_bytes(part.read_bytes())
+    assert rows(records.read_snapshot(spark, str(path))) == [(i, i) for i in range(30)]
+
+
+def test_a_range_opens_its_files_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(1000).repartitionByRange(10, "id").sortWithinPartitions("id").write.parquet(path)
+    starts = records.file_starts(spark, path)
+    part = records.read_range(spark, starts, 950, 1000, spark.range(1).schema)
+    assert rows(part) == [(i, i) for i in range(950, 1000)]
+    assert len(part.inputFiles()) < 4
+    assert records.read_range(spark, starts, 1000, 2000, spark.range(1).schema).count() == 0
 
 
 def test_malformed_lines(spark, files):
@@ -160,3 +194,12 @@ def test_question_subjects(spark, files):
 def test_unknown_question_shape(spark, files, text):
     with pytest.raises(ValueError):
         questions.read_choice_questions(spark, files(a=text))
+
+
+def test_positions_over_files_and_subjects(spark, files):
+    item = {"answer": "A", **LETTERS}
+    data = {s: [{"question": f"{s}{i}", **item} for i in range(300)] for s in ("two", "one")}
+    df = questions.read_choice_questions(spark, files(a=json.dumps(data), b=json.dumps(data)))
+    got = rows(df, "pos", "subject", "question")
+    expected = [(s, f"{s}{i}") for _ in "ab" for s in ("one", "two") for i in range(300)]
+    assert got == [(i, *e) for i, e in enumerate(expected)]
