@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     aggregation, the join is split where skewed), and rounds grow with the
     logarithm of the longest chain. Every round is stored.
     """
-    links = links.select("a", "b").filter("a <> b").distinct()
+    links = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
     before = None
     while True:
         links = stored(_small_star(_large_star(links)), "links")
