@@ -39,6 +39,70 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken,
 FROM taking
 """
 
+# every window of 35 words is a text; a word goes if a text that comes twice covers it
+OP1 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(w[i + 1 : i + 35], ' ') AS t
+  FROM (SELECT r, w, unnest(range(len(w) - 34)) AS i FROM d WHERE len(w) >= 35) x),
+twice AS (SELECT t FROM windows GROUP BY t HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (t)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+# all pairs of texts that share a shingle, and everything that links reach
+OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+texts AS (SELECT row_number() OVER (ORDER BY w) AS s, w, count(*) AS copies, min(doc_id) AS least FROM w GROUP BY w),
+sh AS (
+  SELECT s, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' ')) END)) AS g FROM texts),
+n AS (SELECT s, count(*) AS n FROM sh GROUP BY s),
+shared AS (SELECT a.s AS a, b.s AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.s <> b.s GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN n x ON x.s = a JOIN n y ON y.s = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+reach AS (SELECT s AS a, s AS b FROM n UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+class AS (SELECT a AS s, min(least) AS class_id FROM reach JOIN texts ON texts.s = b GROUP BY 1),
+links AS (SELECT a AS s, sum(copies) AS more FROM link JOIN texts ON texts.s = b GROUP BY 1)
+SELECT w.doc_id, coalesce(class_id, w.doc_id) AS class_id,
+  CAST(CASE WHEN class_id IS NULL THEN 0 ELSE coalesce(more, 0) + copies - 1 END AS BIGINT) AS n_links
+FROM w JOIN texts USING (w) LEFT JOIN class USING (s) LEFT JOIN links USING (s)
+"""
+
+# pairs of lines that share one of their rarest tokens, as many as the threshold asks for
+OP6 = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (
+  SELECT doc_id, i AS line, list_distinct(list_filter(regexp_split_to_array(s, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS t
+  FROM (SELECT doc_id, unnest(ls) AS s, unnest(range(len(ls))) AS i FROM d) x),
+k AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, line) AS p, len(t) AS n FROM l WHERE len(t) > 0),
+one AS (SELECT p, n, unnest(t) AS w FROM k),
+f AS (SELECT w, count(*) AS f FROM one GROUP BY w),
+head AS (
+  SELECT p, n, w FROM (SELECT p, n, w, row_number() OVER (PARTITION BY p ORDER BY f, w) AS place FROM one JOIN f USING (w)) x
+  WHERE place <= n - ceil(0.8 * n - 1e-9) + 1),
+pairs AS (
+  SELECT DISTINCT a.p AS a, b.p AS b FROM head a JOIN head b ON a.w = b.w AND a.p < b.p
+  WHERE least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+compared AS (
+  SELECT b, x.n + y.n AS n, len(list_intersect(x.t, y.t)) AS c FROM pairs JOIN k x ON x.p = a JOIN k y ON y.p = b),
+gone AS (SELECT DISTINCT b AS p FROM compared WHERE c >= 0.8 * (n - c) - 1e-9),
+per_doc AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS removed FROM gone JOIN k USING (p) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
+FROM d LEFT JOIN per_doc USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_remove_repeats": OP1,
+    "op2_join_near": OP2,
     "op5_mix_sources": OP5,
+    "op6_remove_lines": OP6,
 }
