@@ -4,35 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefloom.operators.positions import number_rows
 
 LABEL_PAD = -100  # fixed value: the label a loss function ignores
 
 
+# tokenizer(texts) gives one list of ids per text
+Tokenizer = Callable[[list[str]], Sequence[Sequence[int]]]
+
+
 def token_rows(
     df: DataFrame,
     text: str,
-    tokenizer_factory: Callable[[], Callable[[str], Sequence[int]]],
+    tokenizer_factory: Callable[[], Tokenizer],
     max_tokens: int | None = None,
     keep: tuple[str, ...] = ("pos",),
 ) -> DataFrame:
-    """``input_ids`` and equal ``labels``; the tokenizer is made once per task."""
+    """``input_ids`` and equal ``labels``; the tokenizer is made once per task and
+    takes a batch of texts at a time."""
 
-    @F.pandas_udf("array<int>")
-    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_factory()
-        for part in parts:
-            yield part.map(tokenizer)
+        for batch in batches:
+            ids = pa.array(tokenizer(batch.column("_text").to_pylist()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*keep, "input_ids"])
 
-    ids: Column = encode(F.col(text))
-    if max_tokens is not None:
-        ids = F.slice(ids, 1, max_tokens)
     # filtered first, so the tokenizer never sees a NULL
-    tokens = df.filter(F.col(text).isNotNull()).select(*keep, ids.alias("input_ids"))
+    rows = df.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("_text"))
+    schema = rows.drop("_text").schema.add("input_ids", T.ArrayType(T.IntegerType()))
+    tokens = rows.mapInArrow(encode, schema)
+    if max_tokens is not None:
+        tokens = tokens.withColumn("input_ids", F.slice("input_ids", 1, max_tokens))
     return tokens.withColumn("labels", F.col("input_ids"))
 
 
@@ -41,16 +48,20 @@ def _pad(ids: Column, width: Column, value: int) -> Column:
 
 
 def padded_batches(tokens: DataFrame, size: int, pad_id: int, key: str = "pos") -> DataFrame:
-    """Rows in list order cut into batches of ``size``, padded to the longest of each."""
-    numbered = number_rows(tokens, key, number="_row").withColumn(
-        "batch", F.floor(F.col("_row") / size)
-    )
+    """Rows in list order cut into batches of ``size``, padded to the longest of each.
+
+    Places and widths come from the lengths alone, so the ids are shuffled once; the
+    labels are made of them at the end. ``tokens`` is used twice: store it first.
+    """
+    lengths = tokens.select(key, F.size("input_ids").alias("_length"))
+    numbered = number_rows(lengths, key, number="_row").withColumn("batch", F.floor(F.col("_row") / size))
     # at most ``size`` rows per window partition
-    width = F.max(F.size("input_ids")).over(Window.partitionBy("batch"))
-    return numbered.withColumn("width", width).select(
+    width = F.max("_length").over(Window.partitionBy("batch"))
+    places = numbered.select(key, "batch", width.alias("width"))
+    return tokens.select(key, "input_ids").join(places, key).select(
         key, "batch", "width",
         _pad(F.col("input_ids"), F.col("width"), pad_id).alias("input_ids"),
-        _pad(F.col("labels"), F.col("width"), LABEL_PAD).alias("labels"),
+        _pad(F.col("input_ids"), F.col("width"), LABEL_PAD).alias("labels"),
     )
 
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, render_chat
 from prefloom.operators.chat import supervised_messages
-from prefloom.operators.training import padded_batches, token_rows
+from prefloom.operators.training import Tokenizer, padded_batches, token_rows
+from prefloom.session import scratch_folder
+from prefloom.sources.records import write_once
 
 
 def supervised_tokens(
     rows: DataFrame,
-    tokenizer_factory: Callable[[], Callable[[str], Sequence[int]]],
+    tokenizer_factory: Callable[[], Tokenizer],
     template: ChatTemplate = CHATML,
     include_input: bool = False,
 ) -> DataFrame:
@@ -26,9 +28,14 @@ def supervised_tokens(
 
 def supervised_batches(
     rows: DataFrame,
-    tokenizer_factory: Callable[[], Callable[[str], Sequence[int]]],
+    tokenizer_factory: Callable[[], Tokenizer],
     batch_size: int,
     pad_id: int,
+    out: str | None = None,
     **options,
 ) -> DataFrame:
-    return padded_batches(supervised_tokens(rows, tokenizer_factory, **options), batch_size, pad_id)
+    """Padded batches; the tokens are written once, to ``out`` or the shared scratch folder."""
+    spark = rows.sparkSession
+    out = out or scratch_folder(spark, "tokens")
+    write_once(supervised_tokens(rows, tokenizer_factory, **options).drop("labels"), out)
+    return padded_batches(spark.read.parquet(out), batch_size, pad_id)

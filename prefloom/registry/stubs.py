@@ -41,10 +41,10 @@ def second_ranker(prompts: Sequence[str], seeds: Sequence[int]) -> list[str]:
     return ["排名：4 > 3 > 2 > 1"] * len(prompts)
 
 
-def code_points(text: str) -> list[int]:
-    return [ord(c) for c in text]
+def code_points(texts: Sequence[str]) -> list[list[int]]:
+    return [[ord(c) for c in t] for t in texts]
 
 
-def words(text: str) -> list[int]:
+def words(texts: Sequence[str]) -> list[list[int]]:
     """Lengths of the words: a short token list of the whole text."""
-    return [len(w) for w in re.split(" ", text)]
+    return [[len(w) for w in re.split(" ", t)] for t in texts]

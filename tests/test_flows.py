@@ -80,8 +80,8 @@ def letter(prompts, seeds):
     return ["B" if "two" in p else "答案：A" for p in prompts]
 
 
-def words(text):
-    return [len(w) for w in text.split()]
+def words(texts):
+    return [[len(w) for w in text.split()] for text in texts]
 
 
 def instruction_rows(spark, n=20):
@@ -152,6 +152,15 @@ def test_supervised(spark):
 
 # --- plans
 
+
+def test_token_arrays_cross_one_exchange(spark, sf_dir):
+    df = entry.queries()["padded_batches"](spark, sf_dir)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    wide = [part for part in text.split("Exchange hashpartitioning")[1:] if "input_ids#" in part.split("Exchange")[0] and "size(" not in part.split("Exchange")[0]]
+    assert len(wide) <= 1  # none where the places are few enough to be broadcast
+    assert "Python" not in text and "InArrow" not in text
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -10,8 +10,8 @@ def make(tokenizer):
     return lambda: tokenizer
 
 
-def code_points(text):
-    return [ord(c) for c in text]
+def code_points(texts):
+    return [[ord(c) for c in text] for text in texts]
 
 
 def texts(spark):
