@@ -11,10 +11,10 @@ has a Jaccard similarity of ``threshold`` or more, whether that one is kept or n
    Lines are dealt by these tokens; a pair goes on only if the lengths, the places of
    the shared token and the signatures (one bit per token, 64 bits) leave room for
    the overlap that the threshold needs.
-4. Inside a token every line is first compared with the first line and its
-   nearest neighbours by length. In a large group of near copies this settles nearly
-   all of them, so that only lines not yet removed are joined with all lines
-   before them, and no group is paired with itself.
+4. Inside a token, sorted by length, every line is first compared with the first line
+   and its nearest neighbours. Few lines have partners of a possible length further
+   away; of these, only the ones not yet removed are joined with the others, so a
+   large group of near copies is not paired with itself.
 5. Pairs are verified on the whole token sets of both lines.
 
 Tokens are compared by 55 bits of a 64-bit hash. Defined results: a null text has
@@ -35,7 +35,7 @@ from prefloom.llm.tables import stored
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 16
-NEIGHBOURS = 3
+NEIGHBOURS = 5
 FILTER_BITS = 1 << 20
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
@@ -128,77 +128,78 @@ def _marked(ids: DataFrame, column: str) -> Column:
 
 
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, levels: Column, threshold: float) -> DataFrame:
-    """(k, k2) of the lines in ``pairs`` (ka, kb) that a similar line comes before."""
-    pairs = stored(pairs.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("ka", "kb")).alias("k")).distinct().join(firsts.select("k", "k2", *ORDER), "k")
-    wanted = stored(wanted.groupBy("rid").agg(F.collect_list(F.struct("k", "k2", "doc", "line")).alias("wanted")), "wanted")
+    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("ia", "ib")).alias("id")).distinct().join(firsts.select("id", *ORDER), "id")
+    wanted = stored(wanted.groupBy("rid").agg(F.collect_list(F.struct("id", "doc", "line")).alias("wanted")), "wanted")
     # most documents hold no line that is asked for and need not be shuffled
     texts = docs.filter("text is not null").select(_rid().alias("rid"), "text").filter(_marked(wanted, "rid"))
     found = (
         wanted.join(texts, "rid")
         .select("rid", F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
         .select("w.*", "rid", _codes(F.get("all", F.col("w.line")), levels).alias("codes"))
-        .dropDuplicates(["k", "k2"])
+        .dropDuplicates(["id"])
     )
     found = stored(found, "tokens")
     a, b = found.alias("a"), found.alias("b")
-    both = pairs.join(a, F.col("ka") == F.col("a.k")).join(b, F.col("kb") == F.col("b.k"))
+    both = pairs.join(a, F.col("ia") == F.col("a.id")).join(b, F.col("ib") == F.col("b.id"))
     shared = F.size(F.array_intersect("a.codes", "b.codes"))
     similar = both.filter(shared >= (F.size("a.codes") + F.size("b.codes") - shared) * threshold - 1e-9)
     a_first = F.struct("a.doc", "a.line", "a.rid") < F.struct("b.doc", "b.line", "b.rid")
-    return similar.select(
-        F.when(a_first, F.struct("b.k", "b.k2")).otherwise(F.struct("a.k", "a.k2")).alias("later")
-    ).select("later.*").distinct()
+    return similar.select(F.when(a_first, F.col("ib")).otherwise(F.col("ia")).alias("id")).distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(rid, line) of every line to remove; ``rid`` hashes doc_id and text."""
     lines, levels = _keyed_lines(docs, threshold)
-    firsts = stored(
-        lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first")).select("k", "k2", "first.*"),
-        "firsts",
-    )
+    firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first")).select("k", "k2", "first.*")
+    firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
     # only numbers that the filters need travel; n and place share one
-    dealt = firsts.select("k", "marks", "n", F.posexplode("head").alias("place", "token")).select(
-        "token", "k", "marks", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("spot")
+    dealt = firsts.select("id", "marks", "n", F.posexplode("head").alias("place", "token")).select(
+        "token", "id", "marks", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("spot")
     )
-    group = Window.partitionBy("token")
-    by_size = group.orderBy("spot", "k")
-    n, place = F.shiftright("spot", 32), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))
+    by_size = Window.partitionBy("token").orderBy("spot", "id")
+
+    def size(spot: str) -> Column:
+        return F.shiftright(spot, 32)
+
+    def place(spot: str) -> Column:
+        return F.col(spot).bitwiseAND(F.lit((1 << 32) - 1))
+
     names = [f"near{d}" for d in range(NEIGHBOURS + 1)]
-    seen = dealt.withColumn("rows", F.count(F.lit(1)).over(group))
+    seen = dealt.withColumn("far_before", F.lag("spot", NEIGHBOURS + 1).over(by_size))
+    seen = seen.withColumn("far_after", F.lead("spot", NEIGHBOURS + 1).over(by_size))
     for d, name in enumerate(names):
-        for c in ("k", "marks", "spot"):
+        for c in ("id", "marks", "spot"):
             seen = seen.withColumn(f"{name}_{c}", F.lag(c, d).over(by_size) if d else F.first(c).over(by_size))
     for name in names:
-        m, at = F.shiftright(f"{name}_spot", 32), F.col(f"{name}_spot").bitwiseAND(F.lit((1 << 32) - 1))
-        fits = (F.col(f"{name}_k") != F.col("k")) & _room(n, place, F.col("marks"), m, at, F.col(f"{name}_marks"), threshold)
-        seen = seen.withColumn(name, F.when(fits, F.col(f"{name}_k")))
-    done_size = NEIGHBOURS + 2  # a group this small has had all its pairs
+        fits = (F.col(f"{name}_id") != F.col("id")) & _room(
+            size("spot"), place("spot"), F.col("marks"), size(f"{name}_spot"), place(f"{name}_spot"), F.col(f"{name}_marks"), threshold
+        )
+        seen = seen.withColumn(name, F.when(fits, F.col(f"{name}_id")))
     any_near = F.coalesce(*names).isNotNull()
-    seen = seen.filter((F.col("rows") > done_size) | any_near)
-    large = F.col("rows") > done_size
-    seen = stored(
-        seen.select("k", *names, *[F.when(large, F.col(c)).alias(c) for c in ("token", "marks", "spot")]), "dealt"
-    )
-    first_pairs = seen.filter(any_near).select(F.col("k").alias("ka"), F.explode(F.array_compact(F.array(*names))).alias("kb"))
-    done = stored(_verified(docs, firsts, first_pairs, levels, threshold), "settled")
-
-    large = seen.filter("token is not null").select("token", "k", "marks", n.alias("n"), place.alias("place"))
-    # of two lines the later one must be open: the pair is verified in either order
-    open_ = large.join(done.select("k").distinct(), "k", "left_anti")
-    x, y = open_.alias("x"), large.alias("y")
-    more = x.join(
+    # a partner of possible length is further away than the neighbours, before or after
+    more = size("far_before") >= size("spot") * threshold - 1e-9
+    more |= size("spot") >= size("far_after") * threshold - 1e-9
+    seen = seen.withColumn("more", F.coalesce(more, F.lit(False))).filter(F.col("more") | any_near)
+    seen = stored(seen.select("id", *names, *[F.when(F.col("more"), F.col(c)).alias(c) for c in ("token", "marks", "spot")]), "dealt")
+    pairs = seen.filter(any_near).select(F.col("id").alias("a"), F.explode(F.array_compact(F.array(*names))).alias("b"))
+    done = stored(_verified(docs, firsts, pairs, levels, threshold), "settled")
+
+    rest = seen.filter("token is not null").select("token", "id", "marks", size("spot").alias("n"), place("spot").alias("place"))
+    # of two lines the later one must be open
+    x, y = rest.join(done, "id", "left_anti").alias("x"), rest.alias("y")
+    pairs = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.k") != F.col("y.k"))
+        & (F.col("x.id") != F.col("y.id"))
         & _room(*(F.col(f"{t}.{c}") for t in "xy" for c in ("n", "place", "marks")), threshold),
-    ).select(F.col("x.k").alias("ka"), F.col("y.k").alias("kb"))
-    done = done.union(_verified(docs, firsts, more, levels, threshold)).distinct()
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    done = done.union(_verified(docs, firsts, pairs, levels, threshold)).distinct()
 
     # every line but the first of its set, and the first too where a similar one comes before
-    first = firsts.select("k", "k2", *[F.col(c).alias(f"first_{c}") for c in ORDER])
-    later = first.join(done.withColumn("gone", F.lit(True)), ["k", "k2"], "left")
+    first = firsts.select("k", "k2", "id", *[F.col(c).alias(f"first_{c}") for c in ORDER])
+    later = first.join(done.withColumn("gone", F.lit(True)), "id", "left").drop("id")
     return (
         lines.select(*ORDER, "k", "k2")
         .join(later, ["k", "k2"])

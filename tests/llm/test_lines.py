@@ -40,7 +40,7 @@ def invented(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed,neighbours", [(1, 3), (2, 0), (3, 1)])
+@pytest.mark.parametrize("seed,neighbours", [(1, 5), (2, 0), (3, 1)])
 def test_equals_comparing_all_lines(spark, monkeypatch, seed, neighbours):
     monkeypatch.setattr(lines, "NEIGHBOURS", neighbours)
     rows = invented(seed)
