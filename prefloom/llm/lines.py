@@ -35,8 +35,8 @@ from prefloom.llm.tables import stored
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 16
-NEIGHBOURS = 5
-FILTER_BITS = 1 << 20
+NEIGHBOURS = 4
+FILTER_BITS = 1 << 22
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
 ORDER = ("doc", "line", "rid")
@@ -116,14 +116,20 @@ def _keyed_lines(docs: DataFrame, threshold: float) -> tuple[DataFrame, Column]:
     return stored(keyed, "lines"), levels
 
 
-def _marked(ids: DataFrame, column: str) -> Column:
-    """Whether a number may be among ``ids``: a bitmap of fixed size, as a constant."""
-    slot = F.pmod(F.col(column), F.lit(FILTER_BITS))
-    words = ids.groupBy(F.shiftright(slot, 6).cast("int").alias("w")).agg(
+def _line_key(rid: Column, line: Column) -> Column:
+    return F.xxhash64(rid, line.cast("int"))
+
+
+def _marked(keys: DataFrame, key: Column) -> Column:
+    """Whether ``key`` may be among the column ``key`` of ``keys``: a bitmap of fixed
+    size, as a constant. It only saves work; a join decides."""
+    slot = F.pmod(F.col("key"), F.lit(FILTER_BITS))
+    words = keys.groupBy(F.shiftright(slot, 6).cast("int").alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
     )
     bits = {r.w: r.bits for r in words.collect()}
     table = F.split(F.lit(",".join(str(bits.get(w, 0)) for w in range(FILTER_BITS // 64))), ",").cast("array<long>")
+    slot = F.pmod(key, F.lit(FILTER_BITS))
     return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
@@ -131,13 +137,12 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, levels: Colu
     """Ids of the lines in ``pairs`` (a, b) that a similar line comes before."""
     pairs = stored(pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("ia", "ib")).alias("id")).distinct().join(firsts.select("id", *ORDER), "id")
-    wanted = stored(wanted.groupBy("rid").agg(F.collect_list(F.struct("id", "doc", "line")).alias("wanted")), "wanted")
-    # most documents hold no line that is asked for and need not be shuffled
-    texts = docs.filter("text is not null").select(_rid().alias("rid"), "text").filter(_marked(wanted, "rid"))
+    wanted = stored(wanted.withColumn("key", _line_key(F.col("rid"), F.col("line"))), "wanted")
+    # most lines are not asked for and need not be shuffled
+    texts = _lines(docs).filter(_marked(wanted, _line_key(F.col("rid"), F.col("line")))).select("rid", "line", "words")
     found = (
-        wanted.join(texts, "rid")
-        .select("rid", F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
-        .select("w.*", "rid", _codes(F.get("all", F.col("w.line")), levels).alias("codes"))
+        wanted.join(texts, ["rid", "line"])
+        .select("id", *ORDER, _codes(F.col("words"), levels).alias("codes"))
         .dropDuplicates(["id"])
     )
     found = stored(found, "tokens")
@@ -167,16 +172,23 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return F.col(spot).bitwiseAND(F.lit((1 << 32) - 1))
 
     names = [f"near{d}" for d in range(NEIGHBOURS + 1)]
-    seen = dealt.withColumn("far_before", F.lag("spot", NEIGHBOURS + 1).over(by_size))
-    seen = seen.withColumn("far_after", F.lead("spot", NEIGHBOURS + 1).over(by_size))
-    for d, name in enumerate(names):
-        for c in ("id", "marks", "spot"):
-            seen = seen.withColumn(f"{name}_{c}", F.lag(c, d).over(by_size) if d else F.first(c).over(by_size))
-    for name in names:
-        fits = (F.col(f"{name}_id") != F.col("id")) & _room(
-            size("spot"), place("spot"), F.col("marks"), size(f"{name}_spot"), place(f"{name}_spot"), F.col(f"{name}_marks"), threshold
+    me = F.struct("id", "marks", "spot")
+    far = NEIGHBOURS + 1
+    seen = dealt.withColumn("me", me).select(
+        "*",
+        F.lag("spot", far).over(by_size).alias("far_before"),
+        F.lead("spot", far).over(by_size).alias("far_after"),
+        *[(F.lag("me", d) if d else F.first("me")).over(by_size).alias(f"{name}_") for d, name in enumerate(names)],
+    )
+    fits = {
+        name: (F.col(f"{name}_.id") != F.col("id"))
+        & _room(
+            size("spot"), place("spot"), F.col("marks"),
+            size(f"{name}_.spot"), place(f"{name}_.spot"), F.col(f"{name}_.marks"), threshold,
         )
-        seen = seen.withColumn(name, F.when(fits, F.col(f"{name}_id")))
+        for name in names
+    }
+    seen = seen.select("*", *[F.when(fit, F.col(f"{name}_.id")).alias(name) for name, fit in fits.items()])
     any_near = F.coalesce(*names).isNotNull()
     # a partner of possible length is further away than the neighbours, before or after
     more = size("far_before") >= size("spot") * threshold - 1e-9
