@@ -176,13 +176,21 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _some(ids: DataFrame, limit: int, seed: int) -> DataFrame:
+    """At most ``limit`` ids, those with the smallest hashes. A bound on the hash leaves
+    half as many again, so that no task gets ``limit`` rows from every other."""
+    share = min(1.0, 1.5 * limit / max(1, ids.count()))
+    order = F.xxhash64("doc_id", F.lit(seed))
+    near = ids.filter(order <= int(-(2**63) + share * (2**64 - 1)) if share < 1 else F.lit(True))
+    return near.orderBy(order, "doc_id").limit(limit)
+
+
 def train(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, unlabelled: int = UNLABELLED) -> Model | None:
     """A model from ``docs`` (doc_id, text) and the labels (doc_id, quality) of
     some of them; at most ``trusted`` and ``unlabelled`` documents are looked at."""
-    by_hash = F.xxhash64("doc_id")
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    good = good.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(by_hash, "doc_id").limit(trusted)
-    other = docs.filter("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled)
+    good = _some(good.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), trusted, 0)
+    other = _some(docs.filter("doc_id is not null").select("doc_id").distinct(), unlabelled, 1)
     # bounded by the two limits, so it can be broadcast
     chosen = (
         good.withColumn("t", F.lit(True))
