@@ -43,6 +43,7 @@ from prefloom.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65_536
+CHUNKS_PER_TASK = 16
 REMEMBERED = 200_000  # stretches a task keeps the pieces of
 SPACE = "▁"
 NONE = -(1 << 62)
@@ -66,6 +67,7 @@ class Vocabulary:
         line_ends = any("\n" in p and len(p) > 1 for p in self.score)
         # stretches that no piece leaves: a word with the spaces before it, or a line end
         self.stretch = None if across or line_ends else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
+        self.memory: dict[str, tuple[list[int], int]] = {}
         self.surface = [self._surface(p, kind) for p, _, kind in pieces]
 
     @staticmethod
@@ -116,6 +118,28 @@ class Vocabulary:
             at = stop
         return out, at
 
+    def stretches(self, text: str) -> list[str]:
+        return re.findall(self.stretch, text) if self.stretch else [text] if text else []
+
+    def gates(self, core: str) -> tuple[int, int] | None:
+        """Two places of a long text that no piece crosses: one behind all states it
+        may be entered in, and the last."""
+        if not self.stretch or len(core) <= 4 * self.reach:
+            return None
+        cuts = [m.start() for m in re.finditer(self.stretch, core)]
+        first = next((c for c in cuts if c >= self.reach), None)
+        return (first, cuts[-1]) if first is not None and cuts[-1] > first else None
+
+    def known(self, stretch: str) -> tuple[list[int], int]:
+        """Ids and sum of scores of a stretch, remembered up to a bound."""
+        found = self.memory.get(stretch)
+        if found is None:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            best = self.gains(stretch, [0], len(stretch))
+            found = self.memory[stretch] = self.trace(stretch, best, 0, len(stretch))[0], best[0]
+        return found
+
     def encode(self, text: str) -> list[int]:
         """A prepared text in one go."""
         best = self.gains(text, [0], len(text))
@@ -125,15 +149,12 @@ class Vocabulary:
         """Best scores from every state at the start of ``core`` to every state at its end;
         pieces may run into ``ahead``."""
         reach = self.reach
-        if self.stretch and len(core) > 4 * reach:
-            cuts = [m.start() for m in re.finditer(self.stretch, core)]
-            first = next((c for c in cuts if c >= reach), None)
-            if first is not None and cuts[-1] > first:
-                # all paths meet at both cuts: what lies between is one number
-                head = self.matrix(core[:first], "")[:, :1]
-                middle = sum(self.gains(s, [0], len(s))[0] for s in re.findall(self.stretch, core[first : cuts[-1]]))
-                tail = self.matrix(core[cuts[-1] :], ahead)[:1]
-                return np.where((head > NONE) & (tail > NONE), head + middle + tail, NONE)
+        if cut := self.gates(core):
+            # all paths meet at both cuts: what lies between is one number
+            head = self.matrix(core[: cut[0]], "")[:, :1]
+            middle = sum(self.known(s)[1] for s in self.stretches(core[cut[0] : cut[1]]))
+            tail = self.matrix(core[cut[1] :], ahead)[:1]
+            return np.where((head > NONE) & (tail > NONE), head + middle + tail, NONE)
         text, n = core + ahead, len(core)
         best = np.full((n + reach + 1, reach), NONE, dtype=np.int64)
         for i in range(min(reach, n + 1)):
@@ -177,20 +198,14 @@ def _short_rows(shared):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
-        known: dict[str, list[int]] = {}
-        find = re.compile(vocabulary.stretch).findall if vocabulary.stretch else (lambda t: [t] if t else [])
+        known, memory, find = vocabulary.known, vocabulary.memory, vocabulary.stretches
         for whole in batches:
             for batch in slices(whole, "_text"):
                 flat: list[int] = []
                 cuts = [0]
                 for text in batch.column("_text").to_pylist():
                     for s in find(vocabulary.prepared(text or "")):
-                        ids = known.get(s)
-                        if ids is None:
-                            if len(known) >= REMEMBERED:
-                                known.clear()
-                            ids = known[s] = vocabulary.encode(s)
-                        flat += ids
+                        flat += (memory.get(s) or known(s))[0]
                     cuts.append(len(flat))
                 ids = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], names=["_row", "ids"])
@@ -238,31 +253,32 @@ def _still_to_gain(reach: int):
     return work
 
 
-def _gains(vocabulary: Vocabulary, core: str, ahead: str, after: bytes) -> tuple[str, list]:
+def _tail(vocabulary: Vocabulary, core: str, ahead: str, after: bytes) -> tuple[str, list, int]:
+    """Text, gains and length of the end of a chunk, whose paths run into the next."""
     text = core + ahead
-    return text, vocabulary.gains(text, np.frombuffer(after, dtype=np.int64).tolist(), len(core))
+    return text, vocabulary.gains(text, np.frombuffer(after, dtype=np.int64).tolist(), len(core)), len(core)
+
+
+def _exits(vocabulary: Vocabulary, core: str, ahead: str, after: bytes) -> list[int]:
+    if cut := vocabulary.gates(core):
+        text, best, end = _tail(vocabulary, core[cut[1] :], ahead, after)
+        return [vocabulary.trace(text, best, 0, end)[1] - end] * vocabulary.reach
+    text, best, end = _tail(vocabulary, core, ahead, after)
+    out = []
+    for entry in range(vocabulary.reach):
+        if entry >= end:  # a piece that reaches past a short last chunk
+            out.append(entry - end)
+        else:
+            out.append(vocabulary.trace(text, best, entry, end)[1] - end if best[entry] > NONE else 0)
+    return out
 
 
 def _exit_rows(shared):
     """Per chunk: the state it is left in for every state it may be entered in."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = shared.value
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                core = row["core"]
-                text, best = _gains(vocabulary, core, row["ahead"], row["after"])
-                exits: list[int] = []
-                met: dict[int, int] = {}
-                for entry in range(vocabulary.reach):
-                    if entry >= len(core):  # beyond a short last chunk, or past it
-                        exits.append(entry - len(core))
-                    elif best[entry] <= NONE:
-                        exits.append(0)
-                    else:
-                        exits.append(met.setdefault(entry, vocabulary.trace(text, best, entry, len(core))[1] - len(core)))
-                out.append(exits)
+            out = [_exits(shared.value, r["core"], r["ahead"], r["after"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("chunk"), pa.array(out, pa.list_(pa.int32()))], names=["rid", "chunk", "exits"])
 
     return rows
@@ -278,14 +294,22 @@ def _entries(text: pa.Table) -> pa.Table:
     return pa.table({"rid": text.column("rid"), "chunk": text.column("chunk"), "entry": pa.array(out, pa.int32())})
 
 
+def _traced(vocabulary: Vocabulary, core: str, ahead: str, after: bytes, entry: int) -> list[int]:
+    ids: list[int] = []
+    if cut := vocabulary.gates(core):
+        head = core[: cut[0]]
+        ids += vocabulary.trace(head, vocabulary.gains(head, [0], len(head)), entry, len(head))[0]
+        for s in vocabulary.stretches(core[cut[0] : cut[1]]):
+            ids += vocabulary.known(s)[0]
+        core, entry = core[cut[1] :], 0
+    text, best, end = _tail(vocabulary, core, ahead, after)
+    return ids + vocabulary.trace(text, best, entry, end)[0]
+
+
 def _trace_rows(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = shared.value
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                text, best = _gains(vocabulary, row["core"], row["ahead"], row["after"])
-                out.append(vocabulary.trace(text, best, row["entry"], len(row["core"]))[0])
+            out = [_traced(shared.value, r["core"], r["ahead"], r["after"], r["entry"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("chunk"), pa.array(out, pa.list_(pa.int32()))], names=["rid", "chunk", "ids"])
 
     return rows
@@ -301,7 +325,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) -> DataF
     short = rows.filter(~is_long).mapInArrow(_short_rows(shared), schema)
 
     giant = stored(rows.filter(is_long).withColumn("rid", F.monotonically_increasing_id()), "giant")
-    chunks = stored(giant.select("rid", "_text").mapInArrow(_chunk_rows(shared, chunk), "rid long, chunk int, core string, ahead string").repartition("rid", "chunk"), "chunks")
+    chunks = stored(giant.select("rid", "_text").mapInArrow(_chunk_rows(shared, chunk), "rid long, chunk int, core string, ahead string"), "chunks")
+    # little data, much work: a few chunks per task, whatever their bytes
+    chunks = chunks.repartition(max(1, chunks.count() // CHUNKS_PER_TASK), "rid", "chunk")
     reach = vocabulary.reach
     matrices = chunks.mapInArrow(_matrix_rows(shared), "rid long, chunk int, matrix binary")
     after = stored(per_group(matrices, ["rid"], _still_to_gain(reach), "rid long, chunk int, after binary"), "after")
