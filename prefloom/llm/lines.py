@@ -1,4 +1,4 @@
-"""Line deduplication: an exact set-similarity join, in DataFrame operations only.
+"""Line deduplication: an exact set-similarity join.
 
 A line (text between line ends) is the set of its words; blank lines are never
 touched. A line is removed if any line before it, by (doc_id, line number),
@@ -15,9 +15,13 @@ has a Jaccard similarity of ``threshold`` or more, whether that one is kept or n
    and its nearest neighbours. Few lines have partners of a possible length further
    away; of these, only the ones not yet removed are joined with the others, so a
    large group of near copies is not paired with itself.
-5. Pairs are verified on the whole token sets of both lines.
+5. Candidates joined to clusters are verified on the whole token sets, all pairs, in
+   pairs of blocks of bounded size.
 
-Tokens are compared by 55 bits of a 64-bit hash. Defined results: a null text has
+Joins, grouping and dealing are DataFrame operations; the work on words inside a task is
+numpy on Arrow batches (see the README for why this is not in column expressions).
+
+Tokens are compared by 56 bits of a 64-bit hash. Defined results: a null text has
 no lines; an empty text has one blank line; rows with the same doc_id and text
 are one document and get the same result; rows with one doc_id and other texts are
 ordered by a hash of the text; null doc_ids come last; an empty table gives an empty
@@ -27,16 +31,21 @@ result; other columns stay as they are.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.llm.tables import stored
+from prefloom.llm.tables import components, per_group, stored
+from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 16
-NEIGHBOURS = 4
+NEIGHBOURS = 5
 FILTER_BITS = 1 << 22
+BLOCK_LINES = 256
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
 ORDER = ("doc", "line", "rid")
@@ -46,74 +55,151 @@ def _rid() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
-
-
-def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(SPACE)), "[ \\t\\x0B\\f\\r]+")
-
+def _named(docs: DataFrame) -> DataFrame:
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    return docs.filter("text is not null").select(doc, _rid().alias("rid"), "text")
 
-def rarity(docs: DataFrame) -> Column:
-    """Logarithmic counts of word occurrences per bucket, as a constant array."""
-    words = docs.select(F.explode(F.split("text", "[ \\t\\x0B\\f\\r\\n]+")).alias("w")).filter("w <> ''")
-    counts = words.groupBy(_bucket(F.col("w")).alias("b")).count()
-    level = {r["b"]: min(255, int(8 * math.log2(1 + r["count"]))) for r in counts.collect()}
-    return F.split(F.lit(",".join(str(level.get(b, 0)) for b in range(BUCKETS))), ",").cast("array<int>")
 
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word occurrences per bucket of one task."""
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for whole in batches:
+        for batch in slices(whole):
+            words = split_words(batch.column("text"))
+            total += np.bincount((words.hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
 
-def _codes(line: Column, levels: Column) -> Column:
-    """The distinct tokens of a line, rarest first, as numbers."""
 
-    def code(word: Column) -> Column:
-        h = F.xxhash64(word)
-        level = F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(level, 55).bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1)))
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Logarithmic counts of word occurrences per bucket."""
+    counts = docs.select("text").mapInArrow(_count_rows, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    levels = np.zeros(BUCKETS, dtype=np.uint64)
+    for r in counts.collect():  # BUCKETS rows at most
+        levels[r.bucket] = min(255, int(8 * math.log2(1 + r.n)))
+    return levels
 
-    return F.array_sort(F.array_distinct(F.transform(_words(line), code)))
 
+def _codes(words: Words, levels: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of every group of words, rarest first, and where each begins."""
+    codes = (levels[(words.hashes % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(56)) | (words.hashes >> np.uint64(8))
+    order = np.lexsort((codes, groups))
+    codes, groups = codes[order], groups[order]
+    new = np.ones(len(codes), dtype=bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (groups[1:] != groups[:-1])
+    codes, groups = codes[new], groups[new]
+    return codes, np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else np.zeros(0, np.int64)
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, rid, text of the line) of every line that is not blank."""
-    return (
-        docs.filter("text is not null")
-        .select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), _rid().alias("rid"), "text")
-        .select("doc", "rid", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-        .filter(F.length(F.btrim("words", F.lit(SPACE))) > 0)
-    )
 
+LINES = "doc long, rid long, line int, k long, k2 long, n int, marks long, head array<int>"
 
-def _needed(n: Column, m: Column, threshold: float) -> Column:
-    """Least overlap of sets of n and m tokens that are similar."""
-    return F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
 
+def _line_rows(shared, threshold: float):
+    """Every line that is not blank with its set's key, size, signature and first tokens."""
 
-def _room(n: Column, place: Column, marks: Column, m: Column, at: Column, other: Column, threshold: float) -> Column:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = shared.value
+        for whole in batches:
+            for batch in slices(whole):
+                words = split_words(batch.column("text"))
+                if not len(words.hashes):
+                    continue
+                data, offsets = text_bytes(batch.column("text"))
+                ends = np.append(0, np.cumsum(data == 10))
+                doc = np.repeat(np.arange(batch.num_rows), np.diff(words.first))
+                line = ends[words.starts] - ends[offsets[doc]]
+                new = np.append(True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1]))
+                codes, begin = _codes(words, levels, np.cumsum(new))
+                n = np.diff(np.append(begin, len(codes)))
+                size = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
+                head = mix(codes[ranges(begin, size)]).astype(np.uint32).view(np.int32)
+                marks = np.bitwise_or.reduceat(np.uint64(1) << (codes & np.uint64(63)), begin)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc").take(pa.array(doc[new])),
+                        batch.column("rid").take(pa.array(doc[new])),
+                        pa.array(line[new].astype(np.int32)),
+                        pa.array(np.add.reduceat(mix(codes), begin).view(np.int64)),
+                        pa.array(np.add.reduceat(mix(codes ^ np.uint64(ODD)), begin).view(np.int64)),
+                        pa.array(n.astype(np.int32)),
+                        pa.array(marks.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(head)),
+                    ],
+                    names=[c.split()[0] for c in LINES.split(", ")],
+                )
+
+    return rows
+
+
+def _room(n, place, marks, m, at, other, threshold: float) -> np.ndarray:
     """Whether lengths, places and signatures of two lines allow enough overlap."""
-    need = _needed(n, m, threshold)
-    return (
-        (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9)
-        & (F.least(n - place, m - at) >= need)
-        & (F.bit_count(marks.bitwiseXOR(other)) <= n + m - 2 * need)
-    )
-
-
-def _keyed_lines(docs: DataFrame, threshold: float) -> tuple[DataFrame, Column]:
-    """Every line that is not blank with its set's key, size, signature and first tokens."""
-    levels = rarity(docs)
-    sets = _lines(docs).withColumn("codes", _codes(F.col("words"), levels)).drop("words")
-    n = F.size("codes")
-    head = F.slice("codes", F.lit(1), n - F.ceil(n * threshold - 1e-9).cast("int") + 1)
-    marks = F.aggregate("codes", F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))))
-    keyed = sets.select(
-        *ORDER,
-        F.xxhash64("codes").alias("k"),
-        F.xxhash64("codes", F.lit(1)).alias("k2"),
-        n.alias("n"),
-        F.transform(head, lambda c: F.hash(c)).alias("head"),
-        marks.alias("marks"),
-    )
-    return stored(keyed, "lines"), levels
+    need = np.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
+    fits = np.minimum(n, m) >= np.maximum(n, m) * threshold - 1e-9
+    fits &= np.minimum(n - place, m - at) >= need
+    return fits & (np.bitwise_count((marks ^ other).view(np.uint64)) <= n + m - 2 * need)
+
+
+COLUMNS = ("token", "id", "marks", "n", "place")
+SEEN = "a long, b long, token int, id long, marks long, n long, place long"
+CHUNK_ROWS = 200_000
+
+
+def _neighbours(rows: dict[str, np.ndarray], old: int, first: dict | None, threshold: float):
+    """Pairs of lines sorted by token and length, of rows from ``old`` on with those
+    before them, and the rows that have a partner of possible length further away.
+    ``first`` is the first row of the last token of what came before."""
+    token, ids, marks, n, place = (rows[c] for c in COLUMNS)
+    size, far = len(token), NEIGHBOURS + 1
+    start = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), np.arange(size), 0))
+    lead = {c: rows[c][start] for c in COLUMNS}
+    if first is not None and first["token"] == token[0]:
+        lead = {c: np.where(start == 0, first[c], v) for c, v in lead.items()}
+    fresh = np.arange(size) >= old
+    fits = fresh & (lead["id"] != ids) & _room(n, place, marks, lead["n"], lead["place"], lead["marks"], threshold)
+    pairs = [(ids[fits], lead["id"][fits])]
+    for d in range(1, min(far, size)):
+        fits = fresh[d:] & (token[d:] == token[:-d])
+        fits &= _room(n[d:], place[d:], marks[d:], n[:-d], place[:-d], marks[:-d], threshold)
+        pairs.append((ids[d:][fits], ids[:-d][fits]))
+    more = np.zeros(size, dtype=bool)
+    if size > far:
+        reach = (token[far:] == token[:-far]) & (n[:-far] >= n[far:] * threshold - 1e-9)
+        more[far:] |= reach
+        more[:-far] |= reach
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return both[0], both[1], more, {c: v[-1] for c, v in lead.items()}
+
+
+def _neighbour_rows(threshold: float):
+    """Pairs (a, b), and rows (token, id, ...) with possible partners further away. A
+    row on the border of two chunks may come twice."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, old, first = None, 0, None
+        for batch in batches:
+            new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in COLUMNS}
+            held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
+            if len(held["id"]) - old >= CHUNK_ROWS:
+                out, first = made(held, old, first)
+                held = {c: v[-NEIGHBOURS - 1 :] for c, v in held.items()}
+                old = len(held["id"])
+                yield out
+        if held and len(held["id"]) > old:
+            yield made(held, old, first)[0]
+
+    def made(held, old, first):
+        a, b, more, first = _neighbours(held, old, first, threshold)
+        none = pa.nulls(int(more.sum()), pa.int64())
+        left, right = (pa.concat_arrays([pa.array(x, pa.int64()), none]) for x in (a, b))
+        kinds = {"token": pa.int32()}
+        rest = [
+            pa.concat_arrays([pa.nulls(len(a), kinds.get(c, pa.int64())), pa.array(held[c][more]).cast(kinds.get(c, pa.int64()))])
+            for c in COLUMNS
+        ]
+        return pa.RecordBatch.from_arrays([left, right, *rest], names=["a", "b", *COLUMNS]), first
+
+    return rows
 
 
 def _line_key(rid: Column, line: Column) -> Column:
@@ -133,81 +219,90 @@ def _marked(keys: DataFrame, key: Column) -> Column:
     return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, levels: Column, threshold: float) -> DataFrame:
-    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("ia", "ib")).alias("id")).distinct().join(firsts.select("id", *ORDER), "id")
+MEMBERS = "id long, doc long, line int, rid long, cluster long, blocks int, block int, words array<long>"
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of single lines."""
+    names = [c.split()[0] for c in MEMBERS.split(", ")]
+    for whole in batches:
+        for batch in slices(whole):
+            words = split_words(batch.column("text"))
+            own = [np.unique(words.hashes[x:y]).view(np.int64) for x, y in zip(words.first, words.first[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(own, pa.list_(pa.int64()))], names=names)
+
+
+def _later(threshold: float):
+    """Ids of the lines of one pair of blocks that a similar line of it comes before."""
+
+    def work(rows: pa.Table) -> pa.Table | None:
+        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        rows = rows.sort_by([(c, "ascending") for c in ORDER])
+        ids, block = rows.column("id").to_numpy(), rows.column("block").to_numpy()
+        sets = rows.column("words").combine_chunks()
+        begin = sets.offsets.to_numpy()
+        size = np.diff(begin)
+        _, number = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        begin = begin - begin[0]
+        mark, gone = np.zeros(len(number), np.int32), np.zeros(len(ids), dtype=bool)
+        for i in range(len(ids)):
+            mark[number[begin[i] : begin[i + 1]]] = 1
+            shared = np.add.reduceat(mark[number], begin[:-1])
+            mark[number[begin[i] : begin[i + 1]]] = 0
+            near = shared >= threshold * (size + size[i] - shared) - 1e-9
+            near[: i + 1] = False  # rows are in the order of the lines
+            if low != high:
+                near &= block != block[i]
+            gone |= near
+        return pa.table({"id": ids[gone]}) if gone.any() else None
+
+    return work
+
+
+def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Ids of lines in the clusters of ``pairs`` (a, b) that a similar line comes before."""
+    clusters = stored(components(pairs).withColumnRenamed("component", "cluster"), "clusters")
+    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int").alias("blocks"))
+    wanted = clusters.join(blocks, "cluster").join(firsts.select("id", *ORDER), "id")
+    wanted = wanted.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     wanted = stored(wanted.withColumn("key", _line_key(F.col("rid"), F.col("line"))), "wanted")
     # most lines are not asked for and need not be shuffled
-    texts = _lines(docs).filter(_marked(wanted, _line_key(F.col("rid"), F.col("line")))).select("rid", "line", "words")
-    found = (
-        wanted.join(texts, ["rid", "line"])
-        .select("id", *ORDER, _codes(F.col("words"), levels).alias("codes"))
-        .dropDuplicates(["id"])
-    )
-    found = stored(found, "tokens")
-    a, b = found.alias("a"), found.alias("b")
-    both = pairs.join(a, F.col("ia") == F.col("a.id")).join(b, F.col("ib") == F.col("b.id"))
-    shared = F.size(F.array_intersect("a.codes", "b.codes"))
-    similar = both.filter(shared >= (F.size("a.codes") + F.size("b.codes") - shared) * threshold - 1e-9)
-    a_first = F.struct("a.doc", "a.line", "a.rid") < F.struct("b.doc", "b.line", "b.rid")
-    return similar.select(F.when(a_first, F.col("ib")).otherwise(F.col("ia")).alias("id")).distinct()
+    texts = _named(docs).select("rid", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    texts = texts.filter(_marked(wanted, _line_key(F.col("rid"), F.col("line"))))
+    names = [c.split()[0] for c in MEMBERS.split(", ")][:-1]
+    members = wanted.join(texts, ["rid", "line"]).select(*names, "text").mapInArrow(_word_rows, MEMBERS).dropDuplicates(["id"])
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    return per_group(members, ["cluster", "low", "high"], _later(threshold), "id long").distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(rid, line) of every line to remove; ``rid`` hashes doc_id and text."""
-    lines, levels = _keyed_lines(docs, threshold)
+    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs))
+    lines = stored(_named(docs).mapInArrow(_line_rows(shared, threshold), LINES), "lines")
     firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first")).select("k", "k2", "first.*")
     firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
-    # only numbers that the filters need travel; n and place share one
-    dealt = firsts.select("id", "marks", "n", F.posexplode("head").alias("place", "token")).select(
-        "token", "id", "marks", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("spot")
-    )
-    by_size = Window.partitionBy("token").orderBy("spot", "id")
-
-    def size(spot: str) -> Column:
-        return F.shiftright(spot, 32)
-
-    def place(spot: str) -> Column:
-        return F.col(spot).bitwiseAND(F.lit((1 << 32) - 1))
-
-    names = [f"near{d}" for d in range(NEIGHBOURS + 1)]
-    me = F.struct("id", "marks", "spot")
-    far = NEIGHBOURS + 1
-    seen = dealt.withColumn("me", me).select(
-        "*",
-        F.lag("spot", far).over(by_size).alias("far_before"),
-        F.lead("spot", far).over(by_size).alias("far_after"),
-        *[(F.lag("me", d) if d else F.first("me")).over(by_size).alias(f"{name}_") for d, name in enumerate(names)],
-    )
-    fits = {
-        name: (F.col(f"{name}_.id") != F.col("id"))
-        & _room(
-            size("spot"), place("spot"), F.col("marks"),
-            size(f"{name}_.spot"), place(f"{name}_.spot"), F.col(f"{name}_.marks"), threshold,
-        )
-        for name in names
-    }
-    seen = seen.select("*", *[F.when(fit, F.col(f"{name}_.id")).alias(name) for name, fit in fits.items()])
-    any_near = F.coalesce(*names).isNotNull()
-    # a partner of possible length is further away than the neighbours, before or after
-    more = size("far_before") >= size("spot") * threshold - 1e-9
-    more |= size("spot") >= size("far_after") * threshold - 1e-9
-    seen = seen.withColumn("more", F.coalesce(more, F.lit(False))).filter(F.col("more") | any_near)
-    seen = stored(seen.select("id", *names, *[F.when(F.col("more"), F.col(c)).alias(c) for c in ("token", "marks", "spot")]), "dealt")
-    pairs = seen.filter(any_near).select(F.col("id").alias("a"), F.explode(F.array_compact(F.array(*names))).alias("b"))
-    done = stored(_verified(docs, firsts, pairs, levels, threshold), "settled")
-
-    rest = seen.filter("token is not null").select("token", "id", "marks", size("spot").alias("n"), place("spot").alias("place"))
+    # only numbers that the filters need travel
+    dealt = firsts.select("id", "marks", F.col("n").cast("long").alias("n"), F.posexplode("head").alias("place", "token"))
+    dealt = dealt.select("token", "id", "marks", "n", F.col("place").cast("long").alias("place"))
+    by_size = dealt.repartition("token").sortWithinPartitions("token", "n", "place", "id")
+    seen = stored(by_size.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")
+    done = stored(_verified(docs, firsts, seen.filter("a is not null").select("a", "b"), threshold), "settled")
+
+    rest = seen.filter("a is null").select(*COLUMNS).distinct()
     # of two lines the later one must be open
     x, y = rest.join(done, "id", "left_anti").alias("x"), rest.alias("y")
+    n, m = F.col("x.n"), F.col("y.n")
+    need = F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
     pairs = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.id") != F.col("y.id"))
-        & _room(*(F.col(f"{t}.{c}") for t in "xy" for c in ("n", "place", "marks")), threshold),
+        & (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9)
+        & (F.least(n - F.col("x.place"), m - F.col("y.place")) >= need)
+        & (F.bit_count(F.col("x.marks").bitwiseXOR(F.col("y.marks"))) <= n + m - 2 * need),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    done = done.union(_verified(docs, firsts, pairs, levels, threshold)).distinct()
+    done = done.union(_verified(docs, firsts, pairs, threshold)).distinct()
 
     # every line but the first of its set, and the first too where a similar one comes before
     first = firsts.select("k", "k2", "id", *[F.col(c).alias(f"first_{c}") for c in ORDER])

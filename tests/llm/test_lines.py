@@ -66,7 +66,15 @@ def test_defined_results(spark):
     assert lines.remove_lines(df.limit(0)).count() == 0
 
 
-def test_no_python_in_the_plan(spark):
-    df = spark.createDataFrame([(*r, 5, "x") for r in invented(4, 10)], SCHEMA)
-    plan = lines.remove_lines(df)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+def test_chunks_and_blocks_do_not_change_the_result(spark, monkeypatch):
+    rows = invented(4, 80)
+    df = spark.createDataFrame([(*r, 5, "x") for r in rows], SCHEMA).coalesce(1)
+    for name, value in (("CHUNK_ROWS", 7), ("BLOCK_LINES", 3), ("NEIGHBOURS", 2)):
+        monkeypatch.setattr(lines, name, value)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {r.doc_id: r.removed for r in lines.line_report(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == {i: ",".join(map(str, g)) for (i, _), g in brute(rows).items()}
