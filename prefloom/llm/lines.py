@@ -15,8 +15,8 @@ has a Jaccard similarity of ``threshold`` or more, whether that one is kept or n
    and its nearest neighbours. Few lines have partners of a possible length further
    away; of these, only the ones not yet removed are joined with the others, so a
    large group of near copies is not paired with itself.
-5. Candidates joined to clusters are verified on the whole token sets, all pairs, in
-   pairs of blocks of bounded size.
+5. Pairs that a signature of 256 bits does not tell apart are verified on the whole
+   word sets of both lines.
 
 Joins, grouping and dealing are DataFrame operations; the work on words inside a task is
 numpy on Arrow batches (see the README for why this is not in column expressions).
@@ -38,14 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.llm.tables import components, per_group, stored
+from prefloom.llm.tables import stored
 from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 16
 NEIGHBOURS = 5
 FILTER_BITS = 1 << 22
-BLOCK_LINES = 256
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
 ORDER = ("doc", "line", "rid")
@@ -91,7 +90,8 @@ def _codes(words: Words, levels: np.ndarray, groups: np.ndarray) -> tuple[np.nda
     return codes, np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else np.zeros(0, np.int64)
 
 
-LINES = "doc long, rid long, line int, k long, k2 long, n int, marks long, head array<int>"
+SIGNS = ("s0", "s1", "s2", "s3")  # 256 bits
+LINES = "doc long, rid long, line int, k long, k2 long, n int, s0 long, s1 long, s2 long, s3 long, head array<int>"
 
 
 def _line_rows(shared, threshold: float):
@@ -113,7 +113,8 @@ def _line_rows(shared, threshold: float):
                 n = np.diff(np.append(begin, len(codes)))
                 size = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
                 head = mix(codes[ranges(begin, size)]).astype(np.uint32).view(np.int32)
-                marks = np.bitwise_or.reduceat(np.uint64(1) << (codes & np.uint64(63)), begin)
+                bit, part = np.uint64(1) << (codes & np.uint64(63)), (codes >> np.uint64(6)) & np.uint64(3)
+                signs = [np.bitwise_or.reduceat(np.where(part == np.uint64(w), bit, np.uint64(0)), begin) for w in range(4)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").take(pa.array(doc[new])),
@@ -122,7 +123,7 @@ def _line_rows(shared, threshold: float):
                         pa.array(np.add.reduceat(mix(codes), begin).view(np.int64)),
                         pa.array(np.add.reduceat(mix(codes ^ np.uint64(ODD)), begin).view(np.int64)),
                         pa.array(n.astype(np.int32)),
-                        pa.array(marks.view(np.int64)),
+                        *(pa.array(w.view(np.int64)) for w in signs),
                         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(head)),
                     ],
                     names=[c.split()[0] for c in LINES.split(", ")],
@@ -219,71 +220,52 @@ def _marked(keys: DataFrame, key: Column) -> Column:
     return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-MEMBERS = "id long, doc long, line int, rid long, cluster long, blocks int, block int, words array<long>"
-
-
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of single lines."""
-    names = [c.split()[0] for c in MEMBERS.split(", ")]
     for whole in batches:
         for batch in slices(whole):
             words = split_words(batch.column("text"))
             own = [np.unique(words.hashes[x:y]).view(np.int64) for x, y in zip(words.first, words.first[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(own, pa.list_(pa.int64()))], names=names)
-
-
-def _later(threshold: float):
-    """Ids of the lines of one pair of blocks that a similar line of it comes before."""
-
-    def work(rows: pa.Table) -> pa.Table | None:
-        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-        rows = rows.sort_by([(c, "ascending") for c in ORDER])
-        ids, block = rows.column("id").to_numpy(), rows.column("block").to_numpy()
-        sets = rows.column("words").combine_chunks()
-        begin = sets.offsets.to_numpy()
-        size = np.diff(begin)
-        _, number = np.unique(sets.flatten().to_numpy(), return_inverse=True)
-        begin = begin - begin[0]
-        mark, gone = np.zeros(len(number), np.int32), np.zeros(len(ids), dtype=bool)
-        for i in range(len(ids)):
-            mark[number[begin[i] : begin[i + 1]]] = 1
-            shared = np.add.reduceat(mark[number], begin[:-1])
-            mark[number[begin[i] : begin[i + 1]]] = 0
-            near = shared >= threshold * (size + size[i] - shared) - 1e-9
-            near[: i + 1] = False  # rows are in the order of the lines
-            if low != high:
-                near &= block != block[i]
-            gone |= near
-        return pa.table({"id": ids[gone]}) if gone.any() else None
-
-    return work
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(own, pa.list_(pa.int64()))], names=["id", *ORDER, "words"])
 
 
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids of lines in the clusters of ``pairs`` (a, b) that a similar line comes before."""
-    clusters = stored(components(pairs).withColumnRenamed("component", "cluster"), "clusters")
-    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int").alias("blocks"))
-    wanted = clusters.join(blocks, "cluster").join(firsts.select("id", *ORDER), "id")
-    wanted = wanted.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before."""
+    pairs = pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct()
+    # a longer signature tells most pairs apart that the short one let through
+    signs = firsts.select("id", "n", *SIGNS)
+    x, y = (signs.select(*[F.col(c).alias(f"{t}_{c}") for c in signs.columns]) for t in "xy")
+    n = F.col("x_n") + F.col("y_n")
+    differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in SIGNS), F.lit(0))
+    room = differ <= n - 2 * F.ceil(n * (threshold / (1 + threshold)) - 1e-9)
+    pairs = pairs.join(x, F.col("ia") == F.col("x_id")).join(y, F.col("ib") == F.col("y_id")).filter(room)
+    pairs = stored(pairs.select("ia", "ib"), "pairs")
+
+    wanted = pairs.select(F.explode(F.array("ia", "ib")).alias("id")).distinct().join(firsts.select("id", *ORDER), "id")
     wanted = stored(wanted.withColumn("key", _line_key(F.col("rid"), F.col("line"))), "wanted")
     # most lines are not asked for and need not be shuffled
     texts = _named(docs).select("rid", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     texts = texts.filter(_marked(wanted, _line_key(F.col("rid"), F.col("line"))))
-    names = [c.split()[0] for c in MEMBERS.split(", ")][:-1]
-    members = wanted.join(texts, ["rid", "line"]).select(*names, "text").mapInArrow(_word_rows, MEMBERS).dropDuplicates(["id"])
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    return per_group(members, ["cluster", "low", "high"], _later(threshold), "id long").distinct()
+    found = wanted.join(texts, ["rid", "line"]).select("id", *ORDER, "text")
+    # equal rows bring a line again: any of them will do
+    found = stored(found.mapInArrow(_word_rows, "id long, doc long, line int, rid long, words array<long>"), "tokens").dropDuplicates(["id"])
+    x, y = found.alias("x"), found.alias("y")
+    both = pairs.join(x, F.col("ia") == F.col("x.id")).join(y, F.col("ib") == F.col("y.id"))
+    shared = F.size(F.array_intersect("x.words", "y.words"))
+    similar = both.filter(shared >= (F.size("x.words") + F.size("y.words") - shared) * threshold - 1e-9)
+    x_first = F.struct("x.doc", "x.line", "x.rid") < F.struct("y.doc", "y.line", "y.rid")
+    return similar.select(F.when(x_first, F.col("ib")).otherwise(F.col("ia")).alias("id")).distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(rid, line) of every line to remove; ``rid`` hashes doc_id and text."""
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs))
     lines = stored(_named(docs).mapInArrow(_line_rows(shared, threshold), LINES), "lines")
-    firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", "marks", "head")).alias("first")).select("k", "k2", "first.*")
+    firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", *SIGNS, "head")).alias("first")).select("k", "k2", "first.*")
     firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
     # only numbers that the filters need travel
-    dealt = firsts.select("id", "marks", F.col("n").cast("long").alias("n"), F.posexplode("head").alias("place", "token"))
+    marks = F.expr("s0 | s1 | s2 | s3").alias("marks")
+    dealt = firsts.select("id", marks, F.col("n").cast("long").alias("n"), F.posexplode("head").alias("place", "token"))
     dealt = dealt.select("token", "id", "marks", "n", F.col("place").cast("long").alias("place"))
     by_size = dealt.repartition("token").sortWithinPartitions("token", "n", "place", "id")
     seen = stored(by_size.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")

@@ -66,10 +66,10 @@ def test_defined_results(spark):
     assert lines.remove_lines(df.limit(0)).count() == 0
 
 
-def test_chunks_and_blocks_do_not_change_the_result(spark, monkeypatch):
+def test_chunks_do_not_change_the_result(spark, monkeypatch):
     rows = invented(4, 80)
     df = spark.createDataFrame([(*r, 5, "x") for r in rows], SCHEMA).coalesce(1)
-    for name, value in (("CHUNK_ROWS", 7), ("BLOCK_LINES", 3), ("NEIGHBOURS", 2)):
+    for name, value in (("CHUNK_ROWS", 7), ("NEIGHBOURS", 2)):
         monkeypatch.setattr(lines, name, value)
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
