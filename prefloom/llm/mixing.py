@@ -130,10 +130,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     ``taken / size`` times, rounded, and not at all if that is 0. Columns as given."""
     columns = docs.columns
     kept = docs.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), "doc_id", "source", size_of().alias("size"))
-    planned = plan_mix(stored(kept, "sized"))
-    copies = F.round(F.try_divide("taken", "size")).cast("int")
-    return (
-        planned.withColumn("position", F.explode(F.slice("positions", F.lit(1), F.coalesce(copies, F.lit(0)))))
-        .orderBy("position", "doc_id")
-        .select("_row.*")
-    )
+    kept = stored(kept.withColumn("_id", F.monotonically_increasing_id()), "sized")
+    # planned on the numbers alone, so that the texts are shuffled for the join and the sort only
+    planned = plan_mix(kept.select("_id", "doc_id", "source", "size"))
+    copies = F.coalesce(F.round(F.try_divide("taken", "size")).cast("int"), F.lit(0))
+    places = planned.select("_id", F.explode(F.slice("positions", F.lit(1), copies)).alias("position"))
+    return kept.select("_id", "doc_id", "_row").join(places, "_id").orderBy("position", "doc_id").select("_row.*")
