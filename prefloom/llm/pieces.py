@@ -63,6 +63,8 @@ class Vocabulary:
         self.bytes = {int(p[1:-1], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if byte_fallback else {}
         self.reach = max(map(len, self.score), default=1)
         self.dummy_prefix = dummy_prefix
+        # scores of pieces, None for what only begins one
+        self.begins = {p[:n]: None for p in self.score for n in range(1, len(p))} | self.score
         across = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score)
         line_ends = any("\n" in p and len(p) > 1 for p in self.score)
         # stretches that no piece leaves: a word with the spaces before it, or a line end
@@ -85,17 +87,22 @@ class Vocabulary:
         """Most that is still to be gained from every place of text[:end]; ``after`` has
         it for the places from ``end`` on."""
         best = [NONE] * end + list(after)
-        score, reach, unknown, limit = self.score, self.reach, self.unknown, len(best) - 1
+        get, reach, unknown, limit = self.begins.get, self.reach, self.unknown, len(best) - 1
         for at in range(end - 1, -1, -1):
             top = NONE
             for stop in range(at + 1, min(at + reach, limit, len(text)) + 1):
-                s = score.get(text[at:stop])
-                if s is None:
+                s = get(text[at:stop], False)  # False: no piece begins so
+                last = s is False
+                if last or s is None:
                     if stop > at + 1:
+                        if last:
+                            break
                         continue
                     s = unknown
                 if best[stop] > NONE and s + best[stop] > top:
                     top = s + best[stop]
+                if last:
+                    break
             best[at] = top
         return best
 
