@@ -63,3 +63,17 @@ def test_defined_results(spark):
     nothing = language.train(small(spark).limit(0))
     assert {r.lang_pred for r in language.predict(df, nothing, "doc_id").collect()} == {"und"}
     assert language.identify(small(spark).limit(0)).count() == 0
+
+
+def test_units_beyond_the_broadcast_ones_count(spark):
+    """A model with few units in memory gives the results of one that holds all of them."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    train, both = docs.filter("doc_id % 3 <> 0"), small(spark).drop("score").unionByName(docs)
+    both = both.unionByName(spark.createDataFrame([(-1, "hundehundehunde zzzzzz the", None), (-2, "42 ²", None)], both.schema))
+    whole = language.train(train, grams=1_000_000)
+    few = language.train(train, words=50, grams=30)
+    assert whole.whole and len(few.words) == 50 and len(few.grams) == 30
+    place = {w: i for i, w in enumerate(whole.words)}
+    assert np.allclose(few.word_logs, whole.word_logs[[place[w] for w in few.words]])
+    want, got = (sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in language.predict(both, m, "doc_id").collect()) for m in (whole, few))
+    assert got == want
