@@ -29,6 +29,7 @@ WIDTH = 8  # rows per padded batch
 PAD_ID = 0
 STREAM_FILES = 16  # files of the stream; a quarter of them makes a micro-batch
 FILE_ROWS = 64  # documents in one array file
+QUESTION_ROWS = 256  # positions of the questions in one question file
 COPIES = 20  # times every benchmark item is in the question files
 
 
@@ -154,23 +155,23 @@ def mcq_normalise(spark, sf):
 
 
 def _question_files(spark, sf, shape) -> str:
-    """Every benchmark question 20 times, in two files of one shape."""
+    """Every benchmark question 20 times, in files of one shape that hold a bounded range
+    of one copy (keyed: and one subject). The order of their names is that of the questions."""
     copies = inputs.questions(spark, sf).select("*", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy"))
     upper = F.struct("subject", F.col("question").alias("Question"), F.col("answer").alias("Answer"), "A", "B", "C", "D")
     lower = F.struct(F.col("subject").alias("category"), "question", "answer", F.array("A", "B", "C", "D").alias("options"))
     row = upper if shape == "list" else lower
-    rows = copies.select((F.col("copy") % 2).alias("g"), "subject", F.struct("copy", "pos", row.alias("row")).alias("item"))
-    in_order = F.transform(F.sort_array(F.collect_list("item")), lambda x: x["row"]).alias("rows")
-    if shape == "keyed":
-        subjects = rows.groupBy("g", "subject").agg(in_order)
-        text = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("subject", "rows")))))
-        files = subjects.groupBy("g").agg(text.alias("value"))
-    else:
-        files = rows.groupBy("g").agg(in_order)
-        body = F.col("rows") if shape == "list" else F.struct(F.col("rows").alias("data"))
-        files = files.select("g", F.to_json(body).alias("value"))
+    keyed = shape == "keyed"
+    # "-" comes before all digits, and hexadecimal digits are in the order of the bytes
+    number = [F.lpad(F.col("copy").cast("string"), 10, "0"), F.lpad(F.floor(F.col("pos") / QUESTION_ROWS).cast("string"), 19, "0")]
+    name = F.concat_ws("-", F.col("copy") % 2, *([F.hex("subject")] if keyed else []), *number)
+    rows = copies.select(name.alias("g"), "subject", F.struct("pos", row.alias("row")).alias("item"))
+    files = rows.groupBy("g").agg(
+        F.first("subject").alias("subject"), F.transform(F.sort_array(F.collect_list("item")), lambda x: x["row"]).alias("rows")
+    )
+    body = F.create_map("subject", "rows") if keyed else F.col("rows") if shape == "list" else F.struct(F.col("rows").alias("data"))
     path = scratch_folder(spark, "questions")
-    files.write.partitionBy("g").text(path)
+    files.select("g", F.to_json(body).alias("value")).write.partitionBy("g").text(path)
     return path
 
 

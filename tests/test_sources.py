@@ -1,10 +1,12 @@
 """Record and question files in fresh folders."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from prefloom.registry import inputs, queries
 from prefloom.sources import questions, records
 from conftest import rows
 
@@ -203,3 +205,19 @@ def test_positions_over_files_and_subjects(spark, files):
     got = rows(df, "pos", "subject", "question")
     expected = [(s, f"{s}{i}") for _ in "ab" for s in ("one", "two") for i in range(300)]
     assert got == [(i, *e) for i, e in enumerate(expected)]
+
+
+@pytest.mark.parametrize("shape", ["list", "data", "keyed"])
+def test_question_files_are_bounded(spark, tmp_path, shape):
+    """More questions make more files, not longer ones; the order stays that of the copies."""
+    n = 2 * queries.QUESTION_ROWS + 50
+    items = [(i, f"text number {i} of the benchmark") for i in range(n)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    path = queries._question_files(spark, str(tmp_path), shape)
+    held = [json.loads(f.read_text()) for f in Path(path.removeprefix("file:")).rglob("part-*")]
+    sizes = [len(x) if shape == "list" else sum(map(len, x.values())) for x in held]
+    assert sum(sizes) == queries.COPIES * n and max(sizes) <= queries.QUESTION_ROWS
+    got = questions.read_choice_questions(spark, path).orderBy("pos").collect()
+    asked = [r for r in inputs.questions(spark, str(tmp_path)).collect() if r.question]
+    order = [(c % 2, r.subject if shape == "keyed" else "", c, r.pos, r.question) for c in range(queries.COPIES) for r in asked]
+    assert [(r.pos, r.question) for r in got] == [(i, x[-1]) for i, x in enumerate(sorted(order))]
