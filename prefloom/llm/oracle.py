@@ -100,9 +100,70 @@ SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(n,
 FROM d LEFT JOIN per_doc USING (doc_id)
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t
+  FROM documents),
+cuts AS (
+  SELECT doc_id, text, t, CAST(len(t) AS BIGINT) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(t) + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(t) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+parts AS (
+  SELECT *, array_to_string(t[1 : least(a, b)], '') AS p, array_to_string(t[least(a, b) + 1 : greatest(a, b)], '') AS m,
+    array_to_string(t[greatest(a, b) + 1 : n], '') AS s
+  FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+one AS (
+  SELECT r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT r, lang, source, unnest(t) AS w FROM d) x),
+kept AS (SELECT lang, term FROM one GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+terms AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+own AS (SELECT lang, source, term, count(*) AS n FROM one JOIN kept USING (lang, term) GROUP BY lang, source, term),
+every AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 2)::HUGEINT) // (sum(n) OVER (PARTITION BY lang) + 2 * v)::HUGEINT AS q
+  FROM every JOIN terms USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_remove_repeats": OP1,
     "op2_join_near": OP2,
     "op5_mix_sources": OP5,
     "op6_remove_lines": OP6,
+    "op11_fill_middle": OP11,
+    "op12_audit_sources": OP12,
 }

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefloom.llm import embeddings, fingerprints, hmm, language, lines, mixing, near, pieces, quality, repeats
+from prefloom.llm import (
+    bytepairs, divergence, embeddings, fingerprints, hmm, language, lines, middle, mixing, near, pieces, quality, repeats,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,18 @@ def op10_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.middle_report(table(spark, sf_dir, "documents"))
+
+
+def op12_audit_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepairs.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_join_near": op2_join_near,
@@ -64,4 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_embeddings": op8_near_embeddings,
     "op9_identify_language": op9_identify_language,
     "op10_score_texts": op10_score_texts,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_audit_sources": op12_audit_sources,
+    "op13_encode_bytes": op13_encode_bytes,
 }
