@@ -53,6 +53,19 @@ def split_generated(answered: DataFrame, rows: Callable[[DataFrame], DataFrame])
     return Generated(rows(answered.filter(good)), failed)
 
 
+def ask(responder: Responder, prompts: Sequence[str], seeds: Sequence[int]) -> list[tuple[str | None, str]]:
+    """Text and status of every prompt; where the call fails, they are asked one by one."""
+    try:
+        texts = list(responder(prompts, seeds))
+        if len(texts) != len(prompts):
+            raise ValueError(f"{len(texts)} texts for {len(prompts)} prompts")
+        return [(t, "success" if t is not None else "error: no reply") for t in texts]
+    except Exception as e:
+        if len(prompts) == 1:
+            return [(None, f"error: {e}")]
+        return [ask(responder, [p], [s])[0] for p, s in zip(prompts, seeds)]
+
+
 def complete(
     df: DataFrame,
     prompt_col: str,
@@ -86,17 +99,6 @@ def complete(
     )
     arrow_text = pa.list_(pa.string()) if k > 1 else pa.string()
 
-    def ask(responder, prompts, seeds):
-        try:
-            texts = list(responder(prompts, seeds))
-            if len(texts) != len(prompts):
-                raise ValueError(f"{len(texts)} texts for {len(prompts)} prompts")
-            return [(t, "success" if t is not None else "error: no reply") for t in texts]
-        except Exception as e:
-            if len(prompts) == 1:
-                return [(None, f"error: {e}")]
-            return [ask(responder, [p], [s])[0] for p, s in zip(prompts, seeds)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         responder = responder_factory()
         for whole in batches:

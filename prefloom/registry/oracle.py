@@ -384,6 +384,11 @@ SELECT 3, 'capped', count(*) FROM capped UNION ALL SELECT 4, 'pairs', count(*) F
     "rank_upsert_prefer_success": _upsert(True),
     "rank_resume": _RESUME,
     "rank_stream": _STREAM,
+    "rank_ledger": _with("keyed") + f"""
+SELECT pos, md5(instruction) AS key, CAST(n % 3 = 0 AS BIGINT) AS run,
+  CASE WHEN n % 3 = 0 THEN '3,2,1,0' ELSE '1,0,3,2' END AS sorted_indices, 'ok' AS rank_status
+FROM (SELECT *, length({_RANK_PROMPT}) AS n FROM keyed) k""",
+    "rank_store": _STREAM,
     "read_records": _IN + """
 SELECT pos AS id, instruction, nullif(input, '') AS input, output, input = '' AS input_is_null,
   TRUE AS note_is_absent FROM instructions""",

@@ -21,7 +21,7 @@ from prefloom.plans import training as training_plan
 from prefloom.registry import inputs, stubs
 from prefloom.session import scratch_folder
 from prefloom.sources import questions, records
-from prefloom.streaming import ranking
+from prefloom.streaming import ledger, ranking, store
 
 MAX_PAIRS = 100  # the cap of the capped queries
 PARTS = {"train": 500, "preference": 150, "evaluation": 50}
@@ -512,6 +512,29 @@ def rank_stream(spark, sf):
     return _resume_columns(ranking.read_results(spark, results)).drop("batch")
 
 
+def rank_ledger(spark, sf):
+    """Two runs over all documents, row by row: the second asks the rows whose reply was no ranking."""
+    rows = inputs.keyed(spark, sf)
+    folder = scratch_folder(spark, "ledger")
+    ledger.rank_recorded(rows, folder, 0, _make(stubs.first_ranker))
+    ledger.rank_recorded(rows, folder, 1, _make(stubs.second_ranker))
+    return ledger.read_ledger(rows, folder).select(
+        "pos", "key", "run", joined("sorted_indices", ",").alias("sorted_indices"), "rank_status"
+    )
+
+
+def rank_store(spark, sf):
+    """The files of the ranking stream in eight batches, stored in levels."""
+    rows = inputs.keyed(spark, sf)
+    arriving, folder, checkpoint = (scratch_folder(spark, n) for n in ("arriving", "store", "stream-state"))
+    rows.repartition(STREAM_FILES, "instruction").write.parquet(arriving)
+    query = store.rank_store_stream(
+        spark, arriving, rows.schema, folder, checkpoint, _make(stubs.second_ranker), max_files=STREAM_FILES // 8
+    )
+    query.awaitTermination()
+    return _resume_columns(store.read_store(spark, folder)).drop("batch")
+
+
 # --- records
 
 
@@ -711,6 +734,8 @@ QUERIES = {
     "rank_upsert_prefer_success": rank_upsert_prefer_success,
     "rank_resume": rank_resume,
     "rank_stream": rank_stream,
+    "rank_ledger": rank_ledger,
+    "rank_store": rank_store,
     "read_records": read_records,
     "ingest_records": ingest_records,
     "write_records": write_records,
