@@ -7,9 +7,8 @@ Method: the chunks of every document are counted in blocks of about ``BLOCK`` by
 block with its own list of chunks. One shuffle by chunk brings equal chunks of all blocks
 together, where each is cut into terms once; a second one takes the terms back to the blocks that
 asked for them. There the documents and occurrences of a term are counted per (lang, source), a
-document once however many of its chunks hold the term, and Spark adds the blocks up. A chunk comes once
-per block and a (lang, source, term) once per block, so neither a frequent word nor a large
-source makes a hot key. Pairs of sources are summed in buckets of terms with at most about
+document once however many of its chunks hold the term, and Spark adds the blocks up. A chunk and a
+(lang, term) come once per block, so neither a frequent word nor a large source makes a hot key. Pairs of sources are summed in buckets of terms with at most about
 ``CELLS`` (source, term) cells.
 
 Defined results: null text, lang and source are ''; a document without terms counts for its (lang,
@@ -30,10 +29,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefloom.llm.tables import per_group, stored
-from prefloom.llm.words import split_words
+from prefloom.llm.words import ranges, split_words
 
-BLOCK = 8 << 20
+BLOCK = 32 << 20
 CELLS = 1 << 20
+FLUSH = 200_000  # terms on their way back that a task holds
 LEAST = 10  # documents of its language a term is kept from
 RANKS = 10
 SCALE = 1_000_000_000
@@ -44,17 +44,36 @@ COUNTED = pa.schema([
     ("block", pa.int64()), ("lang", pa.string()), ("source", pa.string()), ("counts", pa.binary()),
     ("chunk", pa.string()), ("local", pa.int32()),
 ])
-TERMS = pa.schema([("block", pa.int64()), ("local", pa.int32()), ("term", pa.string()), ("times", pa.int32())])
+TERMS = pa.schema([("block", pa.int64()), ("terms", pa.binary())])
 PARTIAL = pa.schema([
-    ("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("n", pa.int64()),
+    ("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()),
+    ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
 ])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
+    kinds = {
+        pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary",
+        pa.list_(pa.string()): "array<string>", pa.list_(pa.int64()): "array<long>",
+    }
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as one compressed value."""
+    head = np.array([len(arrays), *(len(a) for a in arrays)], dtype=np.int64)
+    data = head.tobytes() + b"".join(a.astype(np.int32).tobytes() for a in arrays)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(value: bytes) -> list[np.ndarray]:
+    data = pa.decompress(value[8:], int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    sizes = np.frombuffer(data, dtype=np.int64, count=n, offset=8)
+    rest = np.frombuffer(data, dtype=np.int32, offset=8 * (n + 1))
+    return np.split(rest, np.cumsum(sizes)[:-1])
+
+
 def _chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All chunks of the texts in a row, equal ones told by their bytes, and where each text's begin."""
     words = split_words(texts, hashed=False)
@@ -68,27 +87,41 @@ def _chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return chunks.dictionary_encode(), words.first
 
 
-def _counted(batch: pa.Table, block: int) -> pa.RecordBatch:
-    """A row per document with (chunk, count) pairs, and a row per distinct chunk of the block."""
-    chunks, first = _chunks(batch["text"].combine_chunks() if batch.num_rows else pa.array([], pa.string()))
+def _counted(batch: pa.Table, block: int) -> Iterator[pa.RecordBatch]:
+    """A row per (lang, source) with the chunks and counts of its documents, and a row per
+    distinct chunk of the block."""
+    chunks, first = _chunks(batch["text"].combine_chunks())
     known = max(len(chunks.dictionary), 1)
     doc = np.repeat(np.arange(batch.num_rows, dtype=np.int64), np.diff(first))
     both, times = np.unique(doc * known + chunks.indices.to_numpy(), return_counts=True)
-    cuts = np.searchsorted(both, np.arange(batch.num_rows + 1, dtype=np.int64) * known)
-    pairs = np.stack([(both % known).astype(np.int32), times.astype(np.int32)])
-    counts = [pairs[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-    n, more = batch.num_rows, len(chunks.dictionary)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(n + more, block)),
-            pa.concat_arrays([*batch["lang"].chunks, pa.nulls(more, pa.string())]),
-            pa.concat_arrays([*batch["source"].chunks, pa.nulls(more, pa.string())]),
-            pa.array([*counts, *[None] * more], pa.binary()),
-            pa.concat_arrays([pa.nulls(n, pa.string()), chunks.dictionary.cast(pa.string())]),
-            pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.arange(more, dtype=np.int32))]),
-        ],
+    doc, chunk = both // known, both % known
+    # the chunks of a document ascend: their steps are small numbers
+    step = chunk.copy()
+    step[1:] -= np.where(doc[1:] == doc[:-1], chunk[:-1], 0)
+    cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+    groups, code = _codes(batch)
+    order = np.argsort(code, kind="stable")
+    ends = np.searchsorted(code[order], np.arange(len(groups) + 1))
+    packed = []
+    for a, b in zip(ends[:-1], ends[1:]):
+        own = order[a:b]
+        sizes = cuts[own + 1] - cuts[own]
+        at = ranges(cuts[own], sizes)
+        packed.append(_packed(sizes, step[at], times[at]))
+    n, more = len(groups), len(chunks.dictionary)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([block] * n), pa.array([g[0] for g in groups], pa.string()), pa.array([g[1] for g in groups], pa.string()),
+         pa.array(packed, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32())],
         schema=COUNTED,
     )
+    for k in range(0, more, 100_000):
+        part = chunks.dictionary.slice(k, 100_000).cast(pa.string())
+        m = len(part)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(m, block)), pa.nulls(m, pa.string()), pa.nulls(m, pa.string()), pa.nulls(m, pa.binary()),
+             part, pa.array(np.arange(k, k + m, dtype=np.int32))],
+            schema=COUNTED,
+        )
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,12 +134,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = [0, *(np.flatnonzero(np.diff((length + size) // BLOCK)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:]):
             if held and a:
-                yield _counted(pa.Table.from_batches(held), block := block + 1)
+                yield from _counted(pa.Table.from_batches(held), block := block + 1)
                 held = []
             held.append(batch.slice(a, b - a))
         size = (size + int(length[-1])) % BLOCK if batch.num_rows else size
     if held:
-        yield _counted(pa.Table.from_batches(held), block := block + 1)
+        yield from _counted(pa.Table.from_batches(held), block := block + 1)
 
 
 def terms_of(chunk: bytes) -> dict[str, int]:
@@ -117,77 +150,123 @@ def terms_of(chunk: bytes) -> dict[str, int]:
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks arrive sorted: each distinct one is cut into terms once."""
-    last, terms = None, {}
+    """Chunks arrive sorted: each distinct one is cut into terms once. The terms go back to the
+    blocks that have the chunk, many in one value."""
+    last, terms = None, []
+    held: dict[int, tuple[list[int], list[int], list[str]]] = {}
+    size = 0
     for batch in batches:
-        out: list[tuple] = []
         for block, local, chunk in zip(*(batch[c].to_pylist() for c in ("block", "local", "chunk"))):
             if chunk != last:
-                last, terms = chunk, terms_of(chunk.encode())
-            out += [(block, local, term, n) for term, n in terms.items()]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), TERMS)], schema=TERMS)
+                last, terms = chunk, list(terms_of(chunk.encode()).items())
+            for term, n in terms:
+                to = held.get(block) or held.setdefault(block, ([], [], []))
+                to[0].append(local)
+                to[1].append(n)
+                to[2].append(term)
+                size += 1
+        if size >= FLUSH:
+            yield _to_blocks(held)
+            held, size = {}, 0
+    if held:
+        yield _to_blocks(held)
+
+
+def _to_blocks(held: dict[int, tuple[list[int], list[int], list[str]]]) -> pa.RecordBatch:
+    # a term has no line end
+    packed = [_packed(np.array(x), np.array(n), np.frombuffer(_padded("\n".join(t)), dtype=np.int32)) for x, n, t in held.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(packed, pa.binary())], schema=TERMS)
 
 
-def _expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+def _padded(text: str) -> bytes:
+    data = text.encode()
+    return data + b"\n" * (-len(data) % 4)
 
 
 def _by_term(block: pa.Table) -> pa.Table | None:
-    """Documents and occurrences per (lang, source, term) of one block."""
+    """Documents per (lang, term) of one block, and the occurrences in each of its sources."""
     docs = block.filter(pc.is_valid(block["counts"]))
-    found = block.filter(pc.is_valid(block["term"]))
-    if not docs.num_rows or not found.num_rows:
+    found = [_unpacked(v) for v in block["terms"].to_pylist() if v is not None]
+    if not docs.num_rows or not found:
         return None
-    found = found.sort_by("local")
-    local, times = found["local"].to_numpy(), found["times"].to_numpy().astype(np.int64)
-    names = found["term"].combine_chunks().dictionary_encode()
-    names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
-    term = names.indices.to_numpy().astype(np.int64)
-    # (chunk, count) of all documents in a row
-    parts = [np.frombuffer(c, dtype=np.int32).reshape(2, -1) for c in docs["counts"].to_pylist()]
-    pairs = np.concatenate(parts, axis=1).astype(np.int64)
-    doc = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
-    # every chunk's terms beside it
-    start, stop = np.searchsorted(local, pairs[0]), np.searchsorted(local, pairs[0], side="right")
-    at = _expand(start, stop - start)
-    row = np.repeat(np.arange(len(doc)), stop - start)
-    key, n, known = doc[row], pairs[1][row] * times[at], len(names.dictionary)
-    # once per (document, term), then per (group, term)
-    key, back = np.unique(key * known + term[at], return_inverse=True)
-    n = np.bincount(back, weights=n, minlength=len(key)).astype(np.int64) if len(key) else n
-    groups = pa.table({"lang": docs["lang"], "source": docs["source"]})
-    pair_codes, group_of = _codes(groups)
-    key, back = np.unique(group_of[key // known] * known + key % known, return_inverse=True)
-    count = np.bincount(back, minlength=len(key))
-    total = np.bincount(back, weights=n, minlength=len(key)).astype(np.int64)
-    at = pa.array(key // known)
+    local, times = (np.concatenate([f[k] for f in found]).astype(np.int64) for k in (0, 1))
+    text = pa.array([t for f in found for t in f[2].tobytes().rstrip(b"\n").decode().split("\n")], pa.string())
+    names = text.dictionary_encode()
+    order = np.argsort(local, kind="stable")
+    local, times, term = local[order], times[order], names.indices.to_numpy().astype(np.int64)[order]
+    known = len(names.dictionary)
+    keys, n, in_docs = [], [], []
+    for group, packed in enumerate(docs["counts"].to_pylist()):
+        sizes, step, count = (x.astype(np.int64) for x in _unpacked(packed))
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        # running sums of the steps begin anew with every document
+        chunk = np.cumsum(step)
+        before = np.concatenate([[0], chunk])[np.cumsum(sizes) - sizes]
+        chunk -= np.repeat(before, sizes)
+        # every chunk's terms beside it
+        start, stop = np.searchsorted(local, chunk), np.searchsorted(local, chunk, side="right")
+        at = ranges(start, stop - start)
+        row = np.repeat(np.arange(len(chunk)), stop - start)
+        # a document once per term
+        key = np.unique(doc[row] * known + term[at])
+        mine, found_in = np.unique(key % known, return_counts=True)
+        total = np.zeros(known, dtype=np.int64)
+        np.add.at(total, term[at], count[row] * times[at])
+        keys.append(np.stack([np.full(len(mine), group), mine]))
+        n.append(total[mine])
+        in_docs.append(found_in)
+    group, mine = np.concatenate(keys, axis=1)
+    if not len(group):
+        return None
+    langs, lang_of = np.unique(np.array(docs["lang"].to_pylist(), dtype=object), return_inverse=True)
+    place = lang_of[group] * known + mine
+    order = np.argsort(place, kind="stable")
+    place, group = place[order], group[order]
+    n, in_docs = np.concatenate(n)[order], np.concatenate(in_docs)[order]
+    starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    offsets = pa.array(np.append(starts, len(place)).astype(np.int32))
     return pa.table(
-        [pair_codes["lang"].take(at), pair_codes["source"].take(at), names.dictionary.take(pa.array(key % known)),
-         pa.array(count.astype(np.int64)), pa.array(total)],
+        [
+            pa.array(langs.tolist(), pa.string()).take(pa.array(place[starts] // known)),
+            names.dictionary.take(pa.array(place[starts] % known)), pa.array(np.add.reduceat(in_docs, starts)),
+            pa.ListArray.from_arrays(offsets, docs["source"].combine_chunks().take(pa.array(group))),
+            pa.ListArray.from_arrays(offsets, pa.array(n)),
+        ],
         schema=PARTIAL,
     )
 
 
-def _codes(groups: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """The distinct rows and the number of each row's."""
+def _codes(rows: pa.Table) -> tuple[list[tuple[str, str]], np.ndarray]:
+    """The distinct (lang, source) and the number of each row's."""
     seen: dict[tuple, int] = {}
-    code = [seen.setdefault(g, len(seen)) for g in zip(groups["lang"].to_pylist(), groups["source"].to_pylist())]
-    lang, source = zip(*seen)
-    return pa.table({"lang": pa.array(lang, pa.string()), "source": pa.array(source, pa.string())}), np.array(code)
+    code = [seen.setdefault(g, len(seen)) for g in zip(rows["lang"].to_pylist(), rows["source"].to_pylist())]
+    return list(seen), np.array(code, dtype=np.int64)
 
 
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, term, docs, n) of every occurring term, and all (lang, source) groups."""
+    """(lang, term, docs, sources, counts), a row per block that has the term in a document of
+    the language, and all (lang, source) groups."""
     empty = F.lit("")
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), empty).alias(c) for c in ("lang", "source", "text")])
     counted = stored(rows.mapInArrow(_count, _ddl(COUNTED)), "chunks")
     chunks = counted.filter("chunk is not null").select("block", "local", "chunk")
     terms = chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_tokenise, _ddl(TERMS))
     own = counted.filter("counts is not null").select("block", "lang", "source", "counts")
-    partial = per_group(own.unionByName(terms, allowMissingColumns=True), ["block"], _by_term, _ddl(PARTIAL))
-    totals = partial.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    return totals, own.select("lang", "source").distinct()
+    blocks = own.unionByName(terms, allowMissingColumns=True)
+    return per_group(blocks, ["block"], _by_term, _ddl(PARTIAL)), own.select("lang", "source").distinct()
+
+
+def kept_terms(partial: DataFrame, least: int) -> DataFrame:
+    """(lang, source, term, n, n_lang, one) of the terms in at least ``least`` documents of their
+    language; ``one`` marks one row of each. All of it follows one shuffle by (lang, term)."""
+    of_term = Window.partitionBy("lang", "term")
+    kept = partial.withColumn("in_docs", F.sum("docs").over(of_term)).filter(F.col("in_docs") >= least)
+    entries = kept.select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+    own = entries.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    return own.select(
+        "lang", "source", "term", "n", F.sum("n").over(of_term).alias("n_lang"),
+        (F.row_number().over(of_term.orderBy("source")) == 1).alias("one"),
+    )
 
 
 def _share(count: str, total: str) -> Column:
@@ -227,15 +306,8 @@ def divergence(docs: DataFrame, least: int = LEAST, ranks: int = RANKS) -> DataF
     """(lang, source, part, item, value, rank): for every (lang, source) group the other sources of its
     language by divergence (part ``pair``, all of them), and its own most over-represented terms
     (part ``term``, the first ``ranks``)."""
-    counts, groups = term_counts(docs)
-    of_term = Window.partitionBy("lang", "term")
-    kept = stored(
-        counts.select(
-            "lang", "source", "term", "n", F.sum("docs").over(of_term).alias("in_docs"), F.sum("n").over(of_term).alias("n_lang"),
-            (F.row_number().over(of_term.orderBy("source")) == 1).alias("one"),
-        ).filter(F.col("in_docs") >= least).drop("in_docs"),
-        "kept-terms",
-    )
+    partial, groups = term_counts(docs)
+    kept = stored(kept_terms(partial, least), "kept-terms")
     langs = kept.groupBy("lang").agg(F.count_if("one").alias("terms"), F.sum("n").alias("total_lang"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))

@@ -99,6 +99,9 @@ def test_empty_table_and_clashing_columns(spark):
 
 def test_a_chunk_is_cut_once_for_all_documents(spark):
     rows = [("Don't,stop don't", "en", "a")] * 30
-    counts, groups = divergence.term_counts(spark.createDataFrame(rows, "text string, lang string, source string"))
-    assert sorted(map(tuple, counts.collect())) == [("en", "a", "don", 30, 60), ("en", "a", "stop", 30, 30), ("en", "a", "t", 30, 60)]
+    partial, groups = divergence.term_counts(spark.createDataFrame(rows, "text string, lang string, source string"))
+    found = sorted((r.lang, r.term, r.docs, r.sources, r.counts) for r in partial.collect())
+    docs = {t: sum(r[2] for r in found if r[1] == t) for t in ("don", "stop", "t")}
+    times = {t: sum(sum(r[4]) for r in found if r[1] == t) for t in docs}
+    assert docs == {"don": 30, "stop": 30, "t": 30} and times == {"don": 60, "stop": 30, "t": 60}
     assert [tuple(r) for r in groups.collect()] == [("en", "a")]
