@@ -29,16 +29,18 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefloom.llm.tables import per_group
-from prefloom.llm.words import slices, text_bytes
+from prefloom.llm.words import ranges, slices, text_bytes
 
 FILE = "byte_bpe_50k.json"
 LONG = 1 << 15  # bytes from which a text is encoded in leaves
@@ -46,7 +48,8 @@ LEAF = 1 << 13
 FAN = 64  # leaves joined in one task; three rounds reach any string
 ROUNDS = 3
 WINDOW = 16  # tokens of each side in the first window
-REMEMBERED = 1 << 24  # bytes of remembered stretches
+SLICE = 4 << 20  # bytes of text encoded at a time
+REMEMBERED = 48 << 20  # bytes, about, of remembered stretches
 
 REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -61,34 +64,49 @@ def tokenizer_file(path: str | None = None) -> str:
         return f.read()
 
 
-class Encoder:
-    """Ids, pre-token borders and bytes of a byte-level tokenizer file."""
+class Decoder:
+    """The bytes of every id of a byte-level tokenizer file."""
 
     def __init__(self, source: str) -> None:
+        spec = json.loads(source)
+        step, self.added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
+        if (step.get("type"), step.get("use_regex"), step.get("add_prefix_space")) != ("ByteLevel", True, False) or spec["normalizer"]:
+            raise ValueError("a byte-level tokenizer with its pattern and no normaliser is needed")
+        if any(a["lstrip"] or a["rstrip"] or a["single_word"] or any(c.isspace() for c in a["content"]) for a in self.added):
+            raise ValueError("added tokens that take white space along are not supported")
+        alphabet, vocab = _byte_alphabet(), spec["model"]["vocab"]
+        self.table = [b""] * (1 + max([*vocab.values(), *(a["id"] for a in self.added)]))
+        for token, i in vocab.items():
+            self.table[i] = bytes([alphabet[c] for c in token])
+        for a in self.added:
+            self.table[a["id"]] = a["content"].encode()
+
+    def bytes_of(self, ids) -> bytes:
+        return b"".join([self.table[i] for i in ids])
+
+    def text(self, ids) -> str:
+        return self.bytes_of(ids).decode("utf-8", "replace")
+
+
+class Encoder(Decoder):
+    """Ids and pre-token borders of texts."""
+
+    def __init__(self, source: str, borders: bool = True) -> None:
+        super().__init__(source)
+        self.borders = borders
+        # Spark's tasks are the threads
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(source)
         self.model.no_truncation()
         self.model.no_padding()
-        spec = json.loads(source)
-        step, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
-        if (step.get("type"), step.get("use_regex"), step.get("add_prefix_space")) != ("ByteLevel", True, False) or spec["normalizer"]:
-            raise ValueError("a byte-level tokenizer with its pattern and no normaliser is needed")
-        if any(a["lstrip"] or a["rstrip"] or a["single_word"] or any(c.isspace() for c in a["content"]) for a in added):
-            raise ValueError("added tokens that take white space along are not supported")
-        self.margin = 16 + max((len(a["content"].encode()) for a in added), default=0)
-        alphabet = _byte_alphabet()
-        table = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(a["id"] for a in added)]))
-        for token, i in spec["model"]["vocab"].items():
-            table[i] = bytes(alphabet[c] for c in token)
-        for a in added:
-            table[a["id"]] = a["content"].encode()
-        self.table = table
-        self.sizes = np.array([len(t) for t in table], dtype=np.int64)
+        self.margin = 16 + max((len(a["content"].encode()) for a in self.added), default=0)
+        self.sizes = np.array([len(t) for t in self.table], dtype=np.int64)
         # a token that begins inside a character
-        self.inner = np.array([bool(t) and t[0] & 0xC0 == 0x80 for t in table])
-        self.names = [str(i) for i in range(len(table))]
-        self.known: dict[str, np.ndarray] = {}
+        self.inner = np.array([bool(t) and t[0] & 0xC0 == 0x80 for t in self.table])
+        self.kind = np.dtype(np.uint16 if len(self.table) <= 1 << 16 else np.uint32)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
         self.held = 0
 
     def whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +115,8 @@ class Encoder:
         word = np.array([-1, *got.word_ids], dtype=np.int64)
         return np.array(got.ids, dtype=np.int32), word[1:] != word[:-1]
 
-    def batch(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of every text."""
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, borders (if wanted) and where each text's ids begin."""
         data, offsets = text_bytes(texts)
         cut = _borders(data)
         cut[offsets[offsets < len(data)]] = True
@@ -106,28 +124,40 @@ class Encoder:
         spans = pa.Array.from_buffers(
             pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        ids = self._remembered(spans.dictionary.to_pylist())
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        first = np.cumsum(sizes) - sizes
+        found = self._remembered(spans.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join([f[0] for f in found]), dtype=self.kind).astype(np.int32)
+        new = np.frombuffer(b"".join([f[1] for f in found]), dtype=bool)
+        sizes = np.array([len(f[0]) for f in found], dtype=np.int64) // self.kind.itemsize
         index = spans.indices.to_numpy()
         n = sizes[index]
-        places = np.repeat(first[index] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        stop = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, offsets)]
-        return [flat[places[a:b]] for a, b in zip(stop[:-1], stop[1:])]
+        places = ranges((np.cumsum(sizes) - sizes)[index], n)
+        first = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, offsets)]
+        return flat[places], new[places] if self.borders else new[:0], first
 
-    def _remembered(self, spans: list[str]) -> list[np.ndarray]:
+    def _remembered(self, spans: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids and borders of distinct stretches; the first ones, which the frequent are among, are kept."""
+        found: dict[str, tuple[bytes, bytes]] = {}
         new = [s for s in spans if s not in self.known]
-        if self.held > REMEMBERED:
-            self.known, self.held, new = {}, 0, spans
-        for s, got in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-            ids = np.array(got.ids, dtype=np.int32)
-            self.known[s] = ids
-            self.held += 200 + len(s) + 4 * len(ids)
-        return [self.known[s] for s in spans]
-
-    def bytes_of(self, ids: np.ndarray) -> bytes:
-        return b"".join([self.table[i] for i in ids.tolist()])
+        call = self.model.encode_batch if self.borders else self.model.encode_batch_fast
+        for k in range(0, len(new), 2000):
+            part = new[k : k + 2000]
+            for s, got in zip(part, call(part, add_special_tokens=False)):
+                ids, word = got.ids, got.word_ids if self.borders else ()
+                value = np.array(ids, dtype=self.kind).tobytes(), bytes([True, *(a != b for a, b in zip(word, word[1:]))])
+                if self.held < REMEMBERED:
+                    self.known[s] = value
+                    self.held += 300 + len(s) + 3 * len(ids)
+                else:
+                    found[s] = value
+        known = self.known
+        return [known[s] if s in known else found[s] for s in spans]
+
+    def packed(self, ids: np.ndarray, new: np.ndarray) -> tuple[bytes, bytes]:
+        return ids.astype(self.kind).tobytes(), np.packbits(new).tobytes()
+
+    def unpacked(self, ids: bytes, new: bytes) -> tuple[np.ndarray, np.ndarray]:
+        found = np.frombuffer(ids, dtype=self.kind).astype(np.int32)
+        return found, np.unpackbits(np.frombuffer(new, dtype=np.uint8), count=len(found)).astype(bool)
 
     def join(self, x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The encoding of two texts in a row from the encodings of both."""
@@ -167,7 +197,7 @@ class Encoder:
         before, after = xi[a:], yi[:b]
         join = int(self.sizes[before].sum())
         total = join + int(self.sizes[after].sum())
-        ids, new = self.whole((self.bytes_of(before) + self.bytes_of(after)).decode())
+        ids, new = self.whole(self.bytes_of([*before.tolist(), *after.tolist()]).decode())
         ends = np.cumsum(self.sizes[ids])
         starts = ends - self.sizes[ids]
         # left: the window begins where a pre-token does, or inside the last one
@@ -254,15 +284,14 @@ def leaves(text: bytes, size: int = LEAF) -> list[bytes]:
     return out
 
 
-def _encoder(spark: SparkSession, path: str | None) -> Callable[[], Encoder]:
-    """The encoder in a task; the file's text is of a fixed size and travels once per executor."""
-    shared = spark.sparkContext.broadcast(tokenizer_file(path))
-    return lambda: Encoder(shared.value)
+def _shared(spark: SparkSession, path: str | None) -> Broadcast:
+    """The tokenizer file's text: of a fixed size, sent once per executor."""
+    return spark.sparkContext.broadcast(tokenizer_file(path))
 
 
 def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LONG, leaf: int = LEAF) -> DataFrame:
     """The columns ``keep`` (doc_id without any) of ``docs``, and the ids of ``text`` as array ``ids``."""
-    encoder = _encoder(docs.sparkSession, path)
+    file = _shared(docs.sparkSession, path)
     names = keep or ("doc_id",)
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
     # only the first leaf of a text carries the kept columns
@@ -270,11 +299,11 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
     is_long = F.octet_length("text") > long
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder()
+        coder = Encoder(file.value, borders=False)
         for batch in batches:
-            for part in slices(batch):
-                ids = coder.batch(part["text"])
-                yield pa.RecordBatch.from_arrays([part["kept"], _lists(ids)], names=["kept", "ids"])
+            for part in slices(batch, size=SLICE):
+                ids, _, first = coder.batch(part["text"])
+                yield pa.RecordBatch.from_arrays([part["kept"], _lists(ids, first)], names=["kept", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,28 +317,33 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
                 )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder()
+        coder = Encoder(file.value)
         for batch in batches:
-            done = [coder.whole(data.decode()) for data in batch["data"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], _binary([ids for ids, _ in done]), _binary([new for _, new in done])],
-                names=["rid", "leaf", "kept", "ids", "new"],
-            )
+            for part in slices(batch, "data"):
+                ids, new, first = coder.batch(part["data"].cast(pa.string()))
+                done = [coder.packed(ids[a:b], new[a:b]) for a, b in zip(first[:-1], first[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *_binaries(done)], names=["rid", "leaf", "kept", "ids", "new"])
 
     held: list[Encoder] = []
 
     def join(group: pa.Table) -> pa.Table:
         if not held:
-            held.append(encoder())
-        group = group.sort_by("leaf")
+            held.append(Encoder(file.value))
+        coder, group = held[0], group.sort_by("leaf")
         pairs = zip(group["ids"].to_pylist(), group["new"].to_pylist())
-        ids, new = tree(held[0], [(np.frombuffer(i, dtype=np.int32), np.frombuffer(b, dtype=bool)) for i, b in pairs])
-        return pa.table([group["rid"][:1], group["up"][:1].cast(pa.int32()), group["kept"][:1], _binary([ids]), _binary([new])], names=["rid", "leaf", "kept", "ids", "new"])
+        if group.num_rows == 1:
+            done = list(pairs)
+        else:
+            done = [coder.packed(*tree(coder, [coder.unpacked(*p) for p in pairs]))]
+        return pa.table([group["rid"][:1], group["up"][:1], group["kept"][:1], *_binaries(done)], names=["rid", "leaf", "kept", "ids", "new"])
+
+    wide = len(Decoder(file.value).table) > 1 << 16
 
     def as_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(i, dtype=np.int32) for i in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["kept"], _lists(ids)], names=["kept", "ids"])
+            ids = [np.frombuffer(i, dtype=np.uint32 if wide else np.uint16).astype(np.int32) for i in batch["ids"].to_pylist()]
+            first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+            yield pa.RecordBatch.from_arrays([batch["kept"], _lists(np.concatenate([*ids, np.zeros(0, np.int32)]), first)], names=["kept", "ids"])
 
     row = T.StructType([T.StructField("rid", T.LongType()), T.StructField("leaf", T.IntegerType()), *kept.fields])
     out = T.StructType([*kept.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -324,24 +358,23 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
     return done.select("kept.*", "ids")
 
 
-def _binary(arrays: list[np.ndarray]) -> pa.Array:
-    return pa.array([a.tobytes() for a in arrays], pa.binary())
+def _binaries(pairs: list[tuple[bytes, bytes]]) -> list[pa.Array]:
+    return [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
 
 
-def _lists(ids: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+def _lists(ids: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids, pa.int32()))
 
 
 def decode(coded: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
     """The columns ``keep`` of ``coded``, and the text of ``ids`` as ``decoded``; null ids are none."""
-    encoder = _encoder(coded.sparkSession, path)
+    file = _shared(coded.sparkSession, path)
     rows = coded.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.col("ids"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder()
+        coder = Decoder(file.value)
         for batch in batches:
-            found = [b"".join([coder.table[i] for i in ids or ()]).decode("utf-8", "replace") for ids in batch["ids"].to_pylist()]
+            found = [coder.text(ids or ()) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["kept"], pa.array(found, pa.string())], names=["kept", "decoded"])
 
     schema = T.StructType([*rows.select("kept").schema.fields, T.StructField("decoded", T.StringType())])
@@ -351,17 +384,16 @@ def decode(coded: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
 def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, number of ids, digests of the ids in decimal and of the decoded text."""
     coded = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path=path)
-    encoder = _encoder(docs.sparkSession, path)
+    file = _shared(docs.sparkSession, path)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder()
+        coder = Decoder(file.value)
+        names = [str(i) for i in range(len(coder.table))]
         for batch in batches:
             rows = []
             for k in range(batch.num_rows):
                 ids = batch["ids"][k].values.to_pylist()
-                named = ",".join([coder.names[i] for i in ids])
-                text = b"".join([coder.table[i] for i in ids]).decode("utf-8", "replace")
-                rows.append((len(ids), _sha(named), _sha(text)))
+                rows.append((len(ids), _sha(",".join([names[i] for i in ids])), _sha(coder.text(ids))))
             n, a, b = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],

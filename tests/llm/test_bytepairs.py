@@ -29,7 +29,9 @@ def check(encoder, text, leaf):
     if parts:
         joined = bytepairs.tree(encoder, parts)
         assert joined[0].tolist() == ids and (joined[1] == new).all(), (text[:200], leaf)
-    assert [x.tolist() for x in encoder.batch(pa.array([text, None, text]))] == [ids, [], ids]
+    flat, borders, first = encoder.batch(pa.array([text, None, text]))
+    assert flat.tolist() == ids * 2 and first.tolist() == [0, len(ids), len(ids), 2 * len(ids)]
+    assert (borders == [*new, *new]).all()
 
 
 PIECES = st.one_of(
@@ -110,6 +112,16 @@ def test_kept_columns_and_empty_table(spark):
     assert bytepairs.report(empty).collect() == [] and bytepairs.encode(empty).collect() == []
 
 
+def test_forgetting_does_not_change_ids(encoder, monkeypatch):
+    text = " ".join(f"word{i % 50} and" for i in range(500))
+    monkeypatch.setattr(bytepairs, "REMEMBERED", 5000)
+    for borders in (True, False):
+        small = bytepairs.Encoder(bytepairs.tokenizer_file(), borders)
+        for _ in range(3):
+            assert small.batch(pa.array([text]))[0].tolist() == whole(encoder, text)[0]
+        assert 0 < len(small.known) < 30
+
+
 def test_other_kinds_of_tokenizer_are_refused():
     import json
 
