@@ -32,11 +32,13 @@ from prefloom.llm.tables import per_group, stored
 from prefloom.llm.words import ranges, split_words
 
 BLOCK = 32 << 20
-CELLS = 1 << 20
+CELLS = 1 << 15
 FLUSH = 200_000  # terms on their way back that a task holds
 LEAST = 10  # documents of its language a term is kept from
 RANKS = 10
 SCALE = 1_000_000_000
+SEPARATOR = "\x1f"  # between the sources of a row; one inside a source is escaped
+ESCAPES = [("\x1e", "\x1ee"), (SEPARATOR, "\x1eu")]
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -46,16 +48,12 @@ COUNTED = pa.schema([
 ])
 TERMS = pa.schema([("block", pa.int64()), ("terms", pa.binary())])
 PARTIAL = pa.schema([
-    ("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()),
-    ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
+    ("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.string()), ("counts", pa.string()),
 ])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {
-        pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary",
-        pa.list_(pa.string()): "array<string>", pa.list_(pa.int64()): "array<long>",
-    }
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
 
 
@@ -225,12 +223,15 @@ def _by_term(block: pa.Table) -> pa.Table | None:
     n, in_docs = np.concatenate(n)[order], np.concatenate(in_docs)[order]
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     offsets = pa.array(np.append(starts, len(place)).astype(np.int32))
+    sources = docs["source"].combine_chunks()
+    for plain, escaped in ESCAPES:
+        sources = pc.replace_substring(sources, plain, escaped)
     return pa.table(
         [
             pa.array(langs.tolist(), pa.string()).take(pa.array(place[starts] // known)),
             names.dictionary.take(pa.array(place[starts] % known)), pa.array(np.add.reduceat(in_docs, starts)),
-            pa.ListArray.from_arrays(offsets, docs["source"].combine_chunks().take(pa.array(group))),
-            pa.ListArray.from_arrays(offsets, pa.array(n)),
+            pc.binary_join(pa.ListArray.from_arrays(offsets, sources.take(pa.array(group))), SEPARATOR),
+            pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array(n).cast(pa.string())), ","),
         ],
         schema=PARTIAL,
     )
@@ -245,7 +246,7 @@ def _codes(rows: pa.Table) -> tuple[list[tuple[str, str]], np.ndarray]:
 
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lang, term, docs, sources, counts), a row per block that has the term in a document of
-    the language, and all (lang, source) groups."""
+    the language, with its sources there and their counts as text, and all (lang, source) groups."""
     empty = F.lit("")
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), empty).alias(c) for c in ("lang", "source", "text")])
     counted = stored(rows.mapInArrow(_count, _ddl(COUNTED)), "chunks")
@@ -261,7 +262,15 @@ def kept_terms(partial: DataFrame, least: int) -> DataFrame:
     language; ``one`` marks one row of each. All of it follows one shuffle by (lang, term)."""
     of_term = Window.partitionBy("lang", "term")
     kept = partial.withColumn("in_docs", F.sum("docs").over(of_term)).filter(F.col("in_docs") >= least)
-    entries = kept.select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+
+    def unescaped(source: Column) -> Column:
+        for plain, escaped in reversed(ESCAPES):
+            source = F.replace(source, F.lit(escaped), F.lit(plain))
+        return source
+
+    source = F.transform(F.split("source", SEPARATOR, -1), unescaped)
+    zipped = F.arrays_zip(source.alias("source"), F.split("counts", ",").cast("array<long>").alias("n"))
+    entries = kept.withColumnRenamed("sources", "source").select("lang", "term", F.inline(zipped))
     own = entries.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
     return own.select(
         "lang", "source", "term", "n", F.sum("n").over(of_term).alias("n_lang"),

@@ -71,6 +71,12 @@ def test_against_plain_version(spark, monkeypatch, block):
     assert {r[2] for r in got} == {"pair", "term"}
 
 
+def test_sources_with_separators(spark):
+    names = ["a\x1fb", "a\x1eb", "\x1e\x1fu", "\x1eu", "", "a,b", "\x1f"]
+    rows = [(f"word common {chr(97 + i % 9)}", "en", s) for i in range(6) for s in names]
+    compare(spark, rows, least=2)
+
+
 def test_small_buckets(spark, monkeypatch):
     monkeypatch.setattr(divergence, "CELLS", 16)
     compare(spark, corpus(2, 300, sources=9), least=2)
@@ -102,6 +108,6 @@ def test_a_chunk_is_cut_once_for_all_documents(spark):
     partial, groups = divergence.term_counts(spark.createDataFrame(rows, "text string, lang string, source string"))
     found = sorted((r.lang, r.term, r.docs, r.sources, r.counts) for r in partial.collect())
     docs = {t: sum(r[2] for r in found if r[1] == t) for t in ("don", "stop", "t")}
-    times = {t: sum(sum(r[4]) for r in found if r[1] == t) for t in docs}
+    times = {t: sum(sum(map(int, r[4].split(","))) for r in found if r[1] == t) for t in docs}
     assert docs == {"don": 30, "stop": 30, "t": 30} and times == {"don": 60, "stop": 30, "t": 60}
     assert [tuple(r) for r in groups.collect()] == [("en", "a")]
