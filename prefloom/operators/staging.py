@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prefloom.session import scratch_folder
+
 
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with the column ``name``, computed once per row.
@@ -15,3 +17,11 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     code, and keeps such filters above it.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once however often
+    it is used, and unharmed by lost executors."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -410,6 +410,10 @@ SELECT g, CASE g % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty' ELSE 'ok' END A
 SELECT row_number() OVER (ORDER BY CAST(g AS VARCHAR), doc_id) - 1 AS pos, doc_id AS id, NULL::VARCHAR AS reason
 FROM ({_ARRAYS}) a WHERE g % 5 > 1
 UNION ALL SELECT DISTINCT NULL::BIGINT, g, 'malformed_file' FROM ({_ARRAYS}) b WHERE g % 5 = 0""",
+    "ingest_array_ranges": f"""
+SELECT row_number() OVER (ORDER BY CAST(g AS VARCHAR), doc_id) - 1 AS pos, doc_id AS id, NULL::VARCHAR AS message, NULL::INT AS line
+FROM ({_ARRAYS}) a WHERE g % 5 > 1
+UNION ALL SELECT DISTINCT NULL::BIGINT, g, 'Expecting '','' delimiter', 2 FROM ({_ARRAYS}) b WHERE g % 5 = 0""",
     "generate_responses": _with("instructions", _NULLS) + f"""
 SELECT pos, CASE WHEN sel % 5 <> 0 AND n % {stubs.FAILS_AT} <> 0 THEN instruction END AS instruction,
   CASE WHEN sel % 5 <> 0 AND n % {stubs.FAILS_AT} <> 0 THEN CAST(n AS VARCHAR) END AS response,

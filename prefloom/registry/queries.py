@@ -20,7 +20,7 @@ from prefloom.plans import splitting
 from prefloom.plans import training as training_plan
 from prefloom.registry import inputs, stubs
 from prefloom.session import scratch_folder
-from prefloom.sources import questions, records
+from prefloom.sources import arrays, questions, records
 from prefloom.streaming import ledger, ranking, store
 
 MAX_PAIRS = 100  # the cap of the capped queries
@@ -651,13 +651,25 @@ def json_error_lines(spark, sf):
     cut = docs.join(labels.filter("quality = 0"), "doc_id").select(
         "doc_id", F.rtrim(text, F.lit("}")).alias("record")
     )
-    return records.with_json_error(cut, "record").select(
+    return arrays.with_json_error(cut, "record").select(
         "doc_id", F.col("error.line").alias("error_line"),
         F.size("error.context").alias("context_lines"),
         F.col("error.context")[0]["line"].alias("first_line"),
     )
 
 
+def ingest_array_ranges(spark, sf):
+    """The rows of ``ingest_rejects`` from byte ranges of the array files, and where each malformed
+    one goes wrong."""
+    path = _array_files(spark, sf)
+    good = arrays.ingest_array_ranges(spark, path, {"id": "bigint"}, skip_bad=True)
+    bad = arrays.array_rejects(spark, path)
+    none = F.lit(None)
+    return good.select("pos", "id", none.cast("string").alias("message"), none.cast("int").alias("line")).unionByName(
+        bad.select(none.cast("bigint").alias("pos"), _group().alias("id"), "message", "line")
+    )
+
+
 # --- training tables
 
 
@@ -745,6 +757,7 @@ QUERIES = {
     "json_file_check": json_file_check,
     "read_rejects": read_rejects,
     "ingest_rejects": ingest_rejects,
+    "ingest_array_ranges": ingest_array_ranges,
     "generate_responses": generate_responses,
     "generate_candidates": generate_candidates,
     "split_snapshot": split_snapshot,

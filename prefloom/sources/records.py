@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +13,6 @@ from prefloom.functions.text import py_strip
 from prefloom.operators.positions import with_position
 
 ORDER = ("file", "split", "line")
-CONTEXT_LINES = 2
 
 
 def read_variants(
@@ -26,7 +23,8 @@ def read_variants(
     An absent field is NULL, a JSON null is a variant null, and a field of an
     unexpected type breaks nothing. Unparsable text is in ``corrupt``.
     ``layout`` is ``lines`` (one record per line, splittable) or ``array`` (one
-    JSON array per file, which one task must read as a whole: convert it once).
+    JSON array per file, which one task must read as a whole; ``sources.arrays`` reads
+    such files in byte ranges).
     """
     if layout not in ("lines", "array"):
         raise ValueError(f"layout is lines or array, not {layout}")
@@ -223,41 +221,6 @@ def check_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _locate(text: str) -> tuple:
-    """Where and why the text is no JSON, with two lines either side."""
-    try:
-        json.loads(text)
-    except json.JSONDecodeError as e:
-        lines = text.split("\n")
-        numbers = range(max(1, e.lineno - CONTEXT_LINES), min(len(lines), e.lineno + CONTEXT_LINES) + 1)
-        return e.msg, e.lineno, e.colno, [{"line": n, "text": lines[n - 1]} for n in numbers]
-    return None, None, None, None
-
-
-def with_json_error(df: DataFrame, text: str) -> DataFrame:
-    """Add ``error`` (message, line, column, context) for texts that are no JSON.
-
-    Spark's parser does not tell where it stopped, so this is a Python function;
-    apply it to what the checks above found malformed.
-    """
-
-    @F.pandas_udf("message string, line int, column int, context array<struct<line int, text string>>")
-    def locate(texts: pd.Series) -> pd.DataFrame:
-        found = [_locate(t) for t in texts]
-        return pd.DataFrame(found, columns=["message", "line", "column", "context"], dtype="object")
-
-    return df.withColumn("error", locate(F.col(text)))
-
-
-def malformed_context(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Error place and surrounding lines of every malformed array file."""
-    bad = check_files(spark, path).filter(F.col("status") == "malformed").select("file")
-    texts = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), "value"
-    )
-    return with_json_error(texts.join(bad, "file", "left_semi"), "value").drop("value")
-
-
 def line_status(line: Column) -> Column:
     """``ok``, ``empty`` or ``malformed`` for the text of one JSON record."""
     return (

@@ -41,15 +41,6 @@ def test_check_files(spark, files):
     ]
 
 
-def test_malformed_context(spark, files):
-    path = files(good=ARRAY, a='[{"x":1},\n{"x":2},\n{"x": oops},\n{"x":4},\n{"x":5},\n{"x":6}]', b="[1,")
-    found = rows(records.malformed_context(spark, path).select(
-        F.regexp_extract("file", r"(\w+)\.json$", 1).alias("name"), "error.line", "error.column",
-        F.col("error.context.line").alias("lines"), F.col("error.context.text")[0].alias("first"),
-    ))
-    assert found == [("a", 3, 7, [1, 2, 3, 4, 5], '[{"x":1},'), ("b", 1, 4, [1], "[1,")]
-
-
 def test_absent_and_null_are_apart(spark, files):
     df = records.read_variants(spark, files(a=ARRAY), ["instruction", "responses"], "array").orderBy("line")
     flags = df.select(F.is_variant_null("instruction"), F.col("responses").isNull(), "corrupt").collect()
