@@ -30,10 +30,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +50,9 @@ FAN = 64  # leaves joined in one task; three rounds reach any string
 ROUNDS = 3
 WINDOW = 16  # tokens of each side in the first window
 SLICE = 4 << 20  # bytes of text encoded at a time
-REMEMBERED = 48 << 20  # bytes, about, of remembered stretches
-
-REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+JOINED = 10_000  # stretches encoded as one text
+REMEMBERED = 32 << 20  # bytes, about, of remembered stretches
+WHITE = " \t\n\v\f\r"
 
 
 def tokenizer_file(path: str | None = None) -> str:
@@ -81,6 +82,8 @@ class Decoder:
         for a in self.added:
             self.table[a["id"]] = a["content"].encode()
 
+        self.kind = np.dtype(np.uint16 if len(self.table) <= 1 << 16 else np.uint32)
+
     def bytes_of(self, ids) -> bytes:
         return b"".join([self.table[i] for i in ids])
 
@@ -105,15 +108,13 @@ class Encoder(Decoder):
         self.sizes = np.array([len(t) for t in self.table], dtype=np.int64)
         # a token that begins inside a character
         self.inner = np.array([bool(t) and t[0] & 0xC0 == 0x80 for t in self.table])
-        self.kind = np.dtype(np.uint16 if len(self.table) <= 1 << 16 else np.uint32)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, int] = {}
+        self.kept = np.zeros(0, self.kind), np.zeros(0, bool), np.zeros(1, np.int64)
         self.held = 0
 
     def whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and where a pre-token begins, of a text given to the library as it is."""
-        got = self.model.encode(text, add_special_tokens=False)
-        word = np.array([-1, *got.word_ids], dtype=np.int64)
-        return np.array(got.ids, dtype=np.int32), word[1:] != word[:-1]
+        return self._got(self.model.encode(text, add_special_tokens=False))
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, borders (if wanted) and where each text's ids begin."""
@@ -124,33 +125,60 @@ class Encoder(Decoder):
         spans = pa.Array.from_buffers(
             pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        found = self._remembered(spans.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join([f[0] for f in found]), dtype=self.kind).astype(np.int32)
-        new = np.frombuffer(b"".join([f[1] for f in found]), dtype=bool)
-        sizes = np.array([len(f[0]) for f in found], dtype=np.int64) // self.kind.itemsize
-        index = spans.indices.to_numpy()
-        n = sizes[index]
-        places = ranges((np.cumsum(sizes) - sizes)[index], n)
+        flat, new, begins, place = self._remembered(spans.dictionary)
+        index = place[spans.indices.to_numpy()]
+        n = np.diff(begins)[index]
+        places = ranges(begins[index], n)
         first = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, offsets)]
-        return flat[places], new[places] if self.borders else new[:0], first
-
-    def _remembered(self, spans: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and borders of distinct stretches; the first ones, which the frequent are among, are kept."""
-        found: dict[str, tuple[bytes, bytes]] = {}
-        new = [s for s in spans if s not in self.known]
-        call = self.model.encode_batch if self.borders else self.model.encode_batch_fast
-        for k in range(0, len(new), 2000):
-            part = new[k : k + 2000]
-            for s, got in zip(part, call(part, add_special_tokens=False)):
-                ids, word = got.ids, got.word_ids if self.borders else ()
-                value = np.array(ids, dtype=self.kind).tobytes(), bytes([True, *(a != b for a, b in zip(word, word[1:]))])
-                if self.held < REMEMBERED:
-                    self.known[s] = value
-                    self.held += 300 + len(s) + 3 * len(ids)
-                else:
-                    found[s] = value
-        known = self.known
-        return [known[s] if s in known else found[s] for s in spans]
+        return flat[places].astype(np.int32), new[places] if self.borders else new[:0], first
+
+    def _remembered(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and borders of remembered stretches, where each one's begin, and which of them the
+        distinct ``spans`` are. The first ones, which the frequent are among, stay remembered."""
+        texts = spans.to_pylist()
+        place = np.array([self.known.get(t, -1) for t in texts], dtype=np.int64)
+        fresh = np.flatnonzero(place < 0)
+        if not len(fresh):
+            return *self.kept, place
+        flat, new, begins = self.kept
+        ids, borders, counts = self._encoded([texts[i] for i in fresh], pc.binary_length(spans).to_numpy()[fresh])
+        place[fresh] = np.arange(len(fresh)) + len(begins) - 1
+        grown = (
+            np.concatenate([flat, ids.astype(self.kind)]), np.concatenate([new, borders]),
+            np.concatenate([begins, begins[-1] + np.cumsum(counts)]),
+        )
+        if self.held < REMEMBERED:
+            self.kept = grown
+            self.known.update(zip([texts[i] for i in fresh], place[fresh].tolist()))
+            self.held += 200 * len(fresh) + sum(len(texts[i]) for i in fresh)
+        return *grown, place
+
+    def _encoded(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and borders of stretches in a row, and how many ids each has. Those that begin with
+        white space and end surely without it can follow each other in one text."""
+        joins = np.array([t[0] in WHITE and ("!" <= t[-1] <= "~" or "\xc0" <= t[-1] <= "\xff") for t in texts], dtype=bool)
+        ids: list = [None] * len(texts)
+        borders: list = [None] * len(texts)
+        own, call = np.flatnonzero(joins), self.model.encode_batch if self.borders else self.model.encode_batch_fast
+        for k in range(0, len(own), JOINED):
+            part = own[k : k + JOINED]
+            found, new = self._got(call(["".join([texts[i] for i in part])], add_special_tokens=False)[0])
+            cuts = np.searchsorted(np.cumsum(self.sizes[found]), np.cumsum(sizes[part])) + 1
+            for i, a, b in zip(part.tolist(), [0, *cuts[:-1].tolist()], cuts.tolist()):
+                ids[i] = found[a:b]
+                borders[i] = new[a:b]
+        alone = np.flatnonzero(~joins).tolist()
+        for i, got in zip(alone, call([texts[i] for i in alone], add_special_tokens=False)):
+            ids[i], borders[i] = self._got(got)
+        counts = np.array([len(x) for x in ids], dtype=np.int64)
+        return np.concatenate(ids), np.concatenate(borders), counts
+
+    def _got(self, got) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(got.ids, dtype=np.int32)
+        if not self.borders:
+            return ids, np.zeros(0, dtype=bool)
+        word = np.array([-1, *got.word_ids], dtype=np.int64)
+        return ids, word[1:] != word[:-1]
 
     def packed(self, ids: np.ndarray, new: np.ndarray) -> tuple[bytes, bytes]:
         return ids.astype(self.kind).tobytes(), np.packbits(new).tobytes()
@@ -291,8 +319,15 @@ def _shared(spark: SparkSession, path: str | None) -> Broadcast:
 
 def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LONG, leaf: int = LEAF) -> DataFrame:
     """The columns ``keep`` (doc_id without any) of ``docs``, and the ids of ``text`` as array ``ids``."""
+    return _encoded(docs, keep or ("doc_id",), path, long, leaf, T.ArrayType(T.IntegerType()), lambda coder, ids, first: _lists(ids, first))
+
+
+def _encoded(
+    docs: DataFrame, names: Sequence[str], path: str | None, long: int, leaf: int, kind: T.DataType,
+    made: Callable[[Decoder, np.ndarray, np.ndarray], pa.Array],
+) -> DataFrame:
+    """The columns ``names`` and ``ids``: what ``made`` makes of the ids, in the process that has them."""
     file = _shared(docs.sparkSession, path)
-    names = keep or ("doc_id",)
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
     # only the first leaf of a text carries the kept columns
     kept = T.StructType([T.StructField("kept", rows.schema["kept"].dataType, True)])
@@ -303,7 +338,7 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 ids, _, first = coder.batch(part["text"])
-                yield pa.RecordBatch.from_arrays([part["kept"], _lists(ids, first)], names=["kept", "ids"])
+                yield pa.RecordBatch.from_arrays([part["kept"], made(coder, ids, first)], names=["kept", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,16 +372,16 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
             done = [coder.packed(*tree(coder, [coder.unpacked(*p) for p in pairs]))]
         return pa.table([group["rid"][:1], group["up"][:1], group["kept"][:1], *_binaries(done)], names=["rid", "leaf", "kept", "ids", "new"])
 
-    wide = len(Decoder(file.value).table) > 1 << 16
-
-    def as_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Decoder(file.value)
         for batch in batches:
-            ids = [np.frombuffer(i, dtype=np.uint32 if wide else np.uint16).astype(np.int32) for i in batch["ids"].to_pylist()]
+            ids = [np.frombuffer(i, dtype=coder.kind).astype(np.int32) for i in batch["ids"].to_pylist()]
             first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            yield pa.RecordBatch.from_arrays([batch["kept"], _lists(np.concatenate([*ids, np.zeros(0, np.int32)]), first)], names=["kept", "ids"])
+            every = np.concatenate([*ids, np.zeros(0, np.int32)])
+            yield pa.RecordBatch.from_arrays([batch["kept"], made(coder, every, first)], names=["kept", "ids"])
 
     row = T.StructType([T.StructField("rid", T.LongType()), T.StructField("leaf", T.IntegerType()), *kept.fields])
-    out = T.StructType([*kept.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    out = T.StructType([*kept.fields, T.StructField("ids", kind)])
     coded = T.StructType([*row.fields, T.StructField("ids", T.BinaryType()), T.StructField("new", T.BinaryType())])
     long_rows = rows.filter(is_long).select(F.monotonically_increasing_id().alias("rid"), "kept", "text")
     parts = long_rows.mapInArrow(cut, T.StructType([*row.fields, T.StructField("data", T.BinaryType())]))
@@ -354,7 +389,7 @@ def encode(docs: DataFrame, *keep: str, path: str | None = None, long: int = LON
     parts = parts.repartition("rid", "leaf").mapInArrow(encoded, coded)
     for _ in range(ROUNDS):
         parts = per_group(parts.withColumn("up", F.floor(F.col("leaf") / FAN).cast("int")), ["rid", "up"], join, coded)
-    done = rows.filter(~is_long).mapInArrow(short, out).union(parts.mapInArrow(as_lists, out))
+    done = rows.filter(~is_long).mapInArrow(short, out).union(parts.mapInArrow(finished, out))
     return done.select("kept.*", "ids")
 
 
@@ -383,24 +418,20 @@ def decode(coded: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
 
 def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, number of ids, digests of the ids in decimal and of the decoded text."""
-    coded = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path=path)
-    file = _shared(docs.sparkSession, path)
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Decoder(file.value)
-        names = [str(i) for i in range(len(coder.table))]
-        for batch in batches:
-            rows = []
-            for k in range(batch.num_rows):
-                ids = batch["ids"][k].values.to_pylist()
-                rows.append((len(ids), _sha(",".join([names[i] for i in ids])), _sha(coder.text(ids))))
-            n, a, b = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return coded.mapInArrow(digests, REPORT)
+    kind = T.StructType([
+        T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+    ])
+
+    def digests(coder: Decoder, ids: np.ndarray, first: np.ndarray) -> pa.Array:
+        names, rows = [str(i) for i in range(len(coder.table))], []
+        for a, b in zip(first[:-1], first[1:]):
+            own = ids[a:b].tolist()
+            rows.append({"n_tokens": len(own), "ids_sha256": _sha(",".join([names[i] for i in own])), "decoded_sha256": _sha(coder.text(own))})
+        fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+        return pa.array(rows, pa.struct(fields))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _encoded(rows, ["doc_id"], path, LONG, LEAF, kind, digests).select("doc_id", "ids.*")
 
 
 def _sha(text: str) -> str:
