@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,7 +154,7 @@ def _encode_rows(shared):
                 symbol = np.where(rare, SYMBOLS + kind, symbol).astype("<u2")
                 cuts = np.append(0, np.cumsum(sizes + 1))
                 other = ~in_table
-                other[cuts[1:] - 1] = False  # an end that is not in the table was never seen
+                other[cuts[1:] - 1] = False  # an end is in the table, or was never seen
                 other_cuts = np.append(0, np.cumsum(np.bincount(doc[other], minlength=n)))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -365,6 +366,10 @@ def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     for r in by_class:
         words[r["class"]], tokens[r["class"]] = r["words"], r["tokens"]
     table = most_frequent(counts, TABLE, "h").toArrow()
+    # every text ends: the end is in the table however rare it is
+    end = counts.filter(F.col("h") == int(np.array([END], np.uint64).view(np.int64)[0])).toArrow()
+    if end.num_rows and not pc.is_in(end["h"], table["h"].combine_chunks())[0].as_py():
+        table = pa.concat_tables([table, end.select(table.column_names).cast(table.schema)])
     return Vocabulary(table, words, tokens, int(tokens.sum()), int(words.sum())), counts
 
 

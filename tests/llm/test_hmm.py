@@ -113,3 +113,20 @@ def test_likelihood_rises(spark):
     df = spark.createDataFrame([(bytearray(t[0]),) for t in texts], "symbols binary").repartition(4)
     model, logs = hmm.baum_welch(df, np.ones(8), rounds=6, states=2)
     assert all(b > a for a, b in zip(logs, logs[1:]))
+
+
+def test_an_end_rarer_than_the_table_is_known(spark, monkeypatch):
+    """Few long texts: some words come more often than texts end."""
+    texts = [" ".join(f"w{j % 6} w{j % 3} only{i}x{j % 4}" for j in range(40)) for i in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: tuple(r) for r in hmm.score_texts(df, rounds=0).collect()}
+    train = [i for i in range(8) if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for i in train for w in [*texts[i].split(), None])
+    total, distinct = sum(count.values()), len(count)
+    monkeypatch.setattr(hmm, "TABLE", 3)
+    assert count[None] < sorted(count.values())[-3]
+    for r in hmm.score_texts(df, rounds=0).collect():
+        tokens = [*texts[r.doc_id].split(), None]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(count[w] > 0 for w in tokens), total)
+        base = sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in tokens)
+        assert abs(r.base_score - base) < 1e-6 and r.n_known == want[r.doc_id][3]
