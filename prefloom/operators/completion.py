@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefloom.operators.positions import number_rows
 from prefloom.sources.records import is_complete, write_once
 
 # responder(prompts, seeds) gives one text per prompt
@@ -119,3 +120,28 @@ def complete(
                 )
 
     return df.withColumn("_seed", F.xxhash64(F.col(row_id), F.lit(seed))).mapInArrow(run, schema)
+
+
+def balanced(df: DataFrame, cost: Column, partitions: int, row_id: str = "pos") -> DataFrame:
+    """``df`` dealt to ``partitions`` tasks of equal cost, rows of like cost side by side.
+
+    The rows, in the order of ``row_id`` (a unique integer), are cut where the running total of
+    their cost passes equal shares, so a task is off by one row's cost at most. Costs are
+    summed apart from the rows, which are shuffled twice.
+    """
+    narrow = df.select(row_id, cost.cast("bigint").alias("_cost"))
+    # one number
+    total = narrow.agg(F.coalesce(F.sum("_cost"), F.lit(0))).first()[0] or 1
+    summed = number_rows(narrow, row_id, number="_n", running={"_upto": F.col("_cost")})
+    middle = 2 * F.col("_upto").cast("decimal(38,0)") - F.col("_cost")
+    task = F.least(F.floor(middle * partitions / (2 * total)).cast("int"), F.lit(partitions - 1))
+    dealt = df.join(summed.select(row_id, "_cost", task.alias("_task")), row_id)
+    return dealt.repartitionById(partitions, "_task").sortWithinPartitions("_cost").select(*df.columns)
+
+
+def complete_balanced(
+    df: DataFrame, prompt_col: str, responder_factory: Callable[[], Responder], partitions: int, *, row_id: str = "pos", **options
+) -> DataFrame:
+    """``complete`` over tasks with equal totals of prompt characters; a batch holds prompts of like length."""
+    dealt = balanced(df, F.coalesce(F.length(prompt_col), F.lit(0)) + 1, partitions, row_id)
+    return complete(dealt, prompt_col, responder_factory, row_id=row_id, **options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -74,3 +75,65 @@ def step_plan(df: DataFrame, batch_size: int, accumulation: int, epochs: int = 1
         F.lit(accumulation).alias("accumulation"),
         (F.ceil(F.ceil(rows / batch_size) / accumulation) * epochs).alias("steps"),
     )
+
+
+ROUNDS = 6  # Feistel rounds
+WALKS = 64  # applications after which a place has to be in range
+
+
+def _round_number(value: Column, seed: int, epoch: Column, turn: int) -> Column:
+    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.lit(str(turn)), value.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def permuted(place: Column, rows: int, epoch: Column, seed: int) -> Column:
+    """The place of row ``place`` (0 to ``rows`` - 1) in the order of ``epoch``: a permutation, computed
+    for each row alone.
+
+    A place is a pair of digits to the bases a and b, the least about the root of ``rows``. Each round
+    adds a number made from one digit to the other, which can be undone, so all rounds
+    permute the a * b pairs. A result beyond the rows goes in again until it is one of them;
+    fewer than a places are beyond, so that hardly ever happens more than once.
+    """
+    a = max(1, math.isqrt(max(rows - 1, 0)) + 1)
+    b = max(1, -(-rows // a))
+
+    def once(x: Column) -> Column:
+        pair = F.struct(F.floor(x / b).cast("bigint").alias("l"), F.pmod(x, F.lit(b)).cast("bigint").alias("r"))
+        for turn in range(ROUNDS):
+            pair = _turned(pair, a, b, seed, epoch, turn)
+        return pair["l"] * b + pair["r"]
+
+    first = once(place.cast("bigint"))
+    walked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < rows, x).otherwise(once(x))
+    )
+    inside = F.when(first < rows, first).otherwise(walked)
+    return F.when(inside < rows, inside).otherwise(F.raise_error(F.lit("no place in range")).cast("bigint"))
+
+
+def _turned(pair: Column, a: int, b: int, seed: int, epoch: Column, turn: int) -> Column:
+    """One round: the left digit changes in even rounds, the right one in odd ones."""
+    def step(p: Column) -> Column:
+        if turn % 2 == 0:
+            return F.struct(F.pmod(p["l"] + _round_number(p["r"], seed, epoch, turn), F.lit(a)).alias("l"), p["r"].alias("r"))
+        return F.struct(p["l"].alias("l"), F.pmod(p["r"] + _round_number(p["l"], seed, epoch, turn), F.lit(b)).alias("r"))
+
+    # computed once, though mentioned twice
+    return F.transform(F.array(pair), step)[0]
+
+
+def epoch_plan(
+    examples: DataFrame, epochs: int, batch_size: int, accumulation: int, seed: int = 42, place: str = "pos"
+) -> DataFrame:
+    """(epoch, step, slot, pos) of every example in every epoch; ``place`` counts them from 0.
+
+    No sort and no shuffle: where a row comes in an epoch follows from its own place.
+    """
+    rows = examples.count()
+    width = batch_size * accumulation
+    every = examples.select(place, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+    at = every.withColumn("_at", permuted(F.col(place), rows, F.col("epoch"), seed))
+    return at.select(
+        "epoch", F.floor(F.col("_at") / width).cast("bigint").alias("step"), F.pmod("_at", F.lit(width)).cast("bigint").alias("slot"), place
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from prefloom.functions.prompts import CHATML, ChatTemplate, message, render_chat
 from prefloom.operators.choice import (
-    accuracy, answer_details, grade_answers, limit_per_subject, listed_accuracy,
+    accuracy, accuracy_document, answer_details, grade_answers, limit_per_subject, listed_accuracy,
     number_per_subject, running_accuracy, select_subjects, with_choice_prompt,
 )
 from prefloom.operators.completion import Responder, complete, spread
@@ -27,6 +27,7 @@ class ChoiceResult:
     accuracy: DataFrame
     listed: DataFrame
     running: DataFrame
+    document: DataFrame
 
 
 def evaluate_choices(
@@ -59,5 +60,6 @@ def evaluate_choices(
     failed = stored.filter("status <> 'success'").select("pos", "subject", "question_id", "status")
     acc = accuracy(graded)
     return ChoiceResult(
-        answer_details(graded), failed, acc, listed_accuracy(acc, subjects), running_accuracy(graded, every)
+        answer_details(graded), failed, acc, listed_accuracy(acc, subjects), running_accuracy(graded, every),
+        accuracy_document(acc, subjects),
     )

@@ -13,7 +13,8 @@ from prefloom.operators.completion import (
     Generated, Responder, complete, complete_stored, split_generated, spread,
 )
 from prefloom.operators.judging import (
-    judge_distribution, judge_input_reason, judge_stats, judge_summary, score_replies, with_judge_prompt,
+    judge_distribution, judge_input_reason, judge_stats, judge_summary, score_replies, statistics_document,
+    with_judge_prompt,
 )
 from prefloom.sources.records import is_complete, typed
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ class Judged:
     summary: DataFrame
     statistics: DataFrame
     distribution: DataFrame
+    document: DataFrame
 
 
 def judge_records(
@@ -75,5 +77,5 @@ def judge_records(
     scores = spark.read.parquet(out)
     rejects = checked.filter(F.col("reason").isNotNull()).select("pos", "reason")
     return Judged(
-        scores, rejects, judge_summary(scores), judge_stats(scores), judge_distribution(scores)
+        scores, rejects, judge_summary(scores), judge_stats(scores), judge_distribution(scores), statistics_document(scores)
     )

@@ -6,7 +6,8 @@ from prefloom.functions import prompts as P
 from prefloom.functions.text import PY_SPACES, RANK_PREFIX
 from prefloom.operators.judging import BANDS, GAP_BAND
 from prefloom.registry import inputs, stubs
-from prefloom.registry.queries import COPIES, FILE_ROWS, MAX_PAIRS, PAD_ID, PARTS, WIDTH
+from prefloom.operators.training import ROUNDS
+from prefloom.registry.queries import COPIES, EPOCHS, FILE_ROWS, MAX_PAIRS, PAD_ID, PARTS, WIDTH
 
 _TABLES = ("conversations", "benchmark", "documents", "labels")
 _INPUTS = {
@@ -254,6 +255,26 @@ _CODES = (
     "array_to_string(list_transform(regexp_extract_all(t, '(?s).'), lambda c: unicode(c)), ' ')"
 )
 
+
+def _epochs(epochs: int, width: int, rounds: int) -> str:
+    """Places of every epoch: digits to two bases, changed in turns, again while out of range."""
+    def once(source: str, x: str) -> str:
+        sql = f"SELECT pos, epoch, n, a, b, {x} // b AS l, {x} % b AS r FROM {source}"
+        for turn in range(rounds):
+            one, other, base = ("l", "r", "a") if turn % 2 == 0 else ("r", "l", "b")
+            number = f"CAST('0x' || substr(md5(concat_ws(':', '42', epoch, {turn}, {other})), 1, 15) AS BIGINT)"
+            sql = f"SELECT pos, epoch, n, a, b, ({one} + {number}) % {base} AS {one}, {other} FROM ({sql}) t{turn}"
+        return f"SELECT pos, epoch, n, a, b, l * b + r AS x FROM ({sql}) t"
+
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM documents) c0),
+numbered AS (
+  SELECT pos, e AS epoch, n, a, b FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents) d, c, range({epochs}) t(e)),
+walk AS ({once("(SELECT *, pos AS x0 FROM numbered) s", "x0")} UNION ALL {once("(SELECT * FROM walk WHERE x >= n) s", "x")})
+SELECT CAST(epoch AS INT) AS epoch, x // {width} AS step, x % {width} AS slot, pos FROM walk WHERE x < n"""
+
+
 _IN = _with("instructions")
 _RANKED = _ranked()
 _LINES = """
@@ -283,6 +304,25 @@ _NULLS = (
 )
 
 
+_JUDGED = _with(
+    "instructions", _JUDGE_ROWS,
+    ("asked", f"SELECT pos, length({_JUDGE_PROMPT}) AS n FROM rows_"),
+    ("scored", f"""
+  SELECT pos, CASE WHEN n % {stubs.FAILS_AT} = 0 THEN 0.0::DOUBLE
+  ELSE greatest(1.0::DOUBLE, least(10.0::DOUBLE, n % 12 + 0.5::DOUBLE)) END AS score,
+CASE WHEN n % {stubs.FAILS_AT} = 0 THEN 'error: refused' ELSE 'success' END AS status FROM asked"""),
+)
+
+_CHOSEN = _GRADED.rstrip() + f""",
+asked AS (SELECT subject, substr('ABCDE', CAST(length({_chat('prompt')}) % 5 AS INT) + 1, 1) AS letter, answer FROM graded),
+scored AS (SELECT subject, (CASE WHEN letter = 'E' THEN '' ELSE letter END) = answer AS is_correct FROM asked)
+"""
+
+_STUB = _with("instructions", _PROMPTS) + f"""
+SELECT pos, CASE WHEN NOT {_FAILS} THEN
+    concat('  ', split_part(prompt, chr(10), -1), ' ', length(prompt), chr(10)) END AS response,
+  CASE WHEN {_FAILS} THEN 'error: refused' ELSE 'success' END AS status FROM prompts"""
+
 ORACLE = {
     "judge_score": _SCORED + "SELECT pos, judge_response, score, status FROM scored",
     "judge_summary": _SCORED + """
@@ -296,14 +336,10 @@ SELECT count(*) AS total, count(*) FILTER (WHERE status = 'success') AS successf
     "judge_input_rejects": """
 SELECT d.doc_id AS pos, CASE WHEN quality IS NULL THEN 'missing_response' ELSE 'missing_instruction' END AS reason
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE quality IS NULL OR toxic = 1""",
-    "judging_flow": _with(
-        "instructions", _JUDGE_ROWS,
-        ("asked", f"SELECT pos, length({_JUDGE_PROMPT}) AS n FROM rows_"),
-        ("scored", f"""
-  SELECT pos, CASE WHEN n % {stubs.FAILS_AT} = 0 THEN 0.0::DOUBLE
-      ELSE greatest(1.0::DOUBLE, least(10.0::DOUBLE, n % 12 + 0.5::DOUBLE)) END AS score,
-    CASE WHEN n % {stubs.FAILS_AT} = 0 THEN 'error: refused' ELSE 'success' END AS status FROM asked"""),
-    ) + _STATS,
+    "judging_flow": _JUDGED + _STATS,
+    "judge_document": _JUDGED + f"""
+SELECT s.*, (SELECT string_agg(CAST(n AS VARCHAR), ',' ORDER BY band) FROM ({_distribution(BANDS)}) b) AS bands
+FROM ({_STATS}) s""",
     "mcq_normalise": _with("questions") + f"""
 SELECT shape, pos, subject, question, {_OPTIONS} AS options, answer
 FROM questions, (VALUES ('list'), ('data')) v(shape) WHERE question <> ''""",
@@ -324,10 +360,13 @@ SELECT subject, question_id, correct, correct / question_id AS acc FROM (
     "mcq_details": _GRADED + f"""
 SELECT subject, question_id, question, {_OPTIONS} AS options, prompt, stripped AS model_output,
   predicted_answer, answer AS correct_answer, is_correct FROM graded""",
-    "choice_accuracy_flow": _GRADED.rstrip() + f""",
-asked AS (SELECT subject, substr('ABCDE', CAST(length({_chat('prompt')}) % 5 AS INT) + 1, 1) AS letter, answer FROM graded),
-scored AS (SELECT subject, (CASE WHEN letter = 'E' THEN '' ELSE letter END) = answer AS is_correct FROM asked)
-""" + _ACCURACY.replace("graded", "scored"),
+    "choice_accuracy_flow": _CHOSEN + _ACCURACY.replace("graded", "scored"),
+    "choice_document": _CHOSEN + f"""
+SELECT concat('cmmlu_', subject) AS key, correct / samples AS acc, samples, NULL::DOUBLE AS acc_stderr
+FROM ({_PER_SUBJECT.replace("graded", "scored")}) s
+UNION ALL SELECT 'cmmlu', coalesce(count(*) FILTER (WHERE is_correct) / nullif(count(*), 0), 0.0), count(*), NULL FROM scored
+UNION ALL SELECT concat('cmmlu:', l.subject), coalesce(correct / samples, 0.0), NULL, 0.0
+FROM listed l LEFT JOIN ({_PER_SUBJECT.replace("graded", "scored")}) s USING (subject)""",
     "dense_position": _numbered("doc_id"),
     "dense_position_by_columns": _numbered("lang, source, doc_id"),
     "snapshot_position": _numbered("doc_id"),
@@ -348,10 +387,8 @@ SELECT pos, instruction, input, output AS ground_truth,
     "positional_zip": _IN + f"""
 SELECT pos, instruction, input, output AS ground_truth, {_strip('c.text')} AS response
 FROM instructions JOIN conversations c ON c.conv_id * 10000000 + c.turn - 1 = pos""",
-    "complete_stub": _with("instructions", _PROMPTS) + f"""
-SELECT pos, CASE WHEN NOT {_FAILS} THEN
-    concat('  ', split_part(prompt, chr(10), -1), ' ', length(prompt), chr(10)) END AS response,
-  CASE WHEN {_FAILS} THEN 'error: refused' ELSE 'success' END AS status FROM prompts""",
+    "complete_stub": _STUB,
+    "complete_balanced": _STUB,
     "complete_samples": _with("instructions", _PROMPTS) + """
 SELECT pos, array_to_string(list_transform(range(4), lambda i: concat(' ', length(prompt), '-', i, ' ')), '|') AS responses,
   'success' AS status FROM prompts""",
@@ -393,6 +430,10 @@ FROM (SELECT *, length({_RANK_PROMPT}) AS n FROM keyed) k""",
 SELECT pos AS id, instruction, nullif(input, '') AS input, output, input = '' AS input_is_null,
   TRUE AS note_is_absent FROM instructions""",
     "ingest_records": _IN + "SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, pos AS id, instruction FROM instructions",
+    "write_array": """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, doc_id, lang, source, md5(text) AS text_md5 FROM documents""",
+    "write_manifest": "SELECT doc_id, md5(text) AS text_md5, TRUE AS wrote_0, FALSE AS wrote_1, TRUE AS wrote_2 FROM documents",
+    "epoch_plan": _epochs(EPOCHS, WIDTH * 4, ROUNDS),
     "write_records": "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents",
     "json_quarantine": f"""
 SELECT doc_id, CASE WHEN trim(line) = '' THEN 'empty' WHEN json_valid(line) THEN 'ok' ELSE 'malformed' END AS status

@@ -30,6 +30,8 @@ PAD_ID = 0
 STREAM_FILES = 16  # files of the stream; a quarter of them makes a micro-batch
 FILE_ROWS = 64  # documents in one array file
 QUESTION_ROWS = 256  # positions of the questions in one question file
+BALANCED_TASKS = 16  # tasks of equal cost
+EPOCHS = 3
 COPIES = 20  # times every benchmark item is in the question files
 
 
@@ -223,13 +225,23 @@ def mcq_details(spark, sf):
     return choice.answer_details(graded).withColumn("options", joined("options", "|"))
 
 
-def choice_accuracy_flow(spark, sf):
-    """Prompt, ask a stub, grade and score every selected question."""
-    result = choice_plan.evaluate_choices(
+def _evaluated(spark, sf):
+    """Every selected question prompted, answered by a stub, graded and scored."""
+    return choice_plan.evaluate_choices(
         _option_rows(spark, sf).drop("model_output"), inputs.SUBJECTS,
         scratch_folder(spark, "choices"), _make(stubs.chooser), partitions=_tasks(spark),
     )
-    return result.accuracy
+
+
+def choice_accuracy_flow(spark, sf):
+    return _evaluated(spark, sf).accuracy
+
+
+def choice_document(spark, sf):
+    """The entries of the written document of the same flow."""
+    schema = "results map<string, struct<acc: double, samples: bigint, acc_stderr: double>>"
+    entries = _evaluated(spark, sf).document.select(F.explode(F.from_json("document", schema)["results"]).alias("key", "value"))
+    return entries.select("key", "value.acc", "value.samples", "value.acc_stderr")
 
 
 # --- positions and splits
@@ -326,6 +338,14 @@ def complete_stub(spark, sf):
     return done.select("pos", "response", "status")
 
 
+def complete_balanced(spark, sf):
+    """The rows of ``complete_stub`` from tasks with equal totals of prompt characters."""
+    done = completion.complete_balanced(
+        _chats(spark, sf), "prompt", _make(stubs.last_line), partitions=BALANCED_TASKS, keep_prompt=False
+    )
+    return done.select("pos", "response", "status")
+
+
 def complete_samples(spark, sf):
     done = completion.complete(
         _chats(spark, sf), "prompt", _make(stubs.sampler), out="responses", k=4
@@ -358,17 +378,32 @@ def generate_candidates(spark, sf):
     return rows.unionByName(made.rejects, allowMissingColumns=True)
 
 
-def judging_flow(spark, sf):
-    """Judge every assistant reply with a stub and compute the statistics."""
+def _judged(spark, sf):
+    """Every assistant reply judged by a stub."""
     line = F.to_json(
         F.struct("instruction", F.col("output").alias("ground_truth"), F.col("input").alias("response"))
     )
     parsed = compute_once(inputs.instructions(spark, sf), "record", F.parse_json(line))
     rows = parsed.select("pos", *_fields("instruction", "ground_truth", "response"))
-    judged = judging_plan.judge_records(
-        rows, scratch_folder(spark, "judged"), _make(stubs.judge), partitions=_tasks(spark)
-    )
-    return judged.statistics
+    return judging_plan.judge_records(rows, scratch_folder(spark, "judged"), _make(stubs.judge), partitions=_tasks(spark))
+
+
+def judging_flow(spark, sf):
+    return _judged(spark, sf).statistics
+
+
+def judge_document(spark, sf):
+    """Numbers read back from the written document of the same flow; the scores stay a table."""
+    document = _judged(spark, sf).document
+    summary = {"total_items": "bigint", "successful_evaluations": "bigint", "failed_evaluations": "bigint", "success_rate": "double"}
+    scores = {"average_score": "double", "max_score": "double", "min_score": "double", "median_score": "double"}
+    details = {"score_variance": "double", "score_std_dev": "double"}
+    found = [
+        F.get_json_object("document", f"$.{part}.{name}").cast(kind).alias(name)
+        for part, fields in (("summary", summary), ("scores", scores), ("details", details)) for name, kind in fields.items()
+    ]
+    bands = F.from_json("document", "distribution map<string, bigint>")["distribution"]
+    return document.select(*found, joined(F.map_values(bands), ",").alias("bands"))
 
 
 # --- preference data
@@ -578,6 +613,23 @@ def write_records(spark, sf):
     )
 
 
+def write_array(spark, sf):
+    """Documents written as array files of 64 records in order, and read back by list position."""
+    path = scratch_folder(spark, "documents")
+    arrays.write_array(inputs.table(spark, sf, "documents").drop("n_chars"), path, "doc_id", FILE_ROWS)
+    kinds = {"doc_id": "bigint", "lang": "string", "source": "string", "text": "string"}
+    rows = arrays.ingest_array_ranges(spark, path, kinds)
+    return rows.select("pos", "doc_id", "lang", "source", F.md5("text").alias("text_md5"))
+
+
+def write_manifest(spark, sf):
+    """Documents written with a manifest of their files, twice with the same parameters and once with others."""
+    path, table = scratch_folder(spark, "documents"), f"{sf}/documents.parquet"
+    docs = inputs.table(spark, sf, "documents").select("doc_id", F.md5("text").alias("text_md5"))
+    wrote = [records.write_manifested(docs, path, table, level=level) for level in (1, 1, 2)]
+    return spark.read.parquet(path).select("*", *[F.lit(w).alias(f"wrote_{k}") for k, w in enumerate(wrote)])
+
+
 def _document_lines(spark, sf) -> DataFrame:
     """Every document as a line: cut-off JSON or blank for some labels."""
     docs, labels = (inputs.table(spark, sf, t) for t in ("documents", "labels"))
@@ -690,6 +742,12 @@ def padded_batches(spark, sf):
     )
 
 
+def epoch_plan(spark, sf):
+    """Where every document comes in three epochs of steps of 8 times 4 rows."""
+    docs = positions.number_rows(inputs.table(spark, sf, "documents").select("doc_id"), "doc_id")
+    return training.epoch_plan(docs, EPOCHS, WIDTH, 4)
+
+
 def step_plan(spark, sf):
     return training.step_plan(chat.supervised_messages(inputs.instructions(spark, sf)), 1, 16)
 
@@ -767,4 +825,10 @@ QUERIES = {
     "token_rows": token_rows,
     "padded_batches": padded_batches,
     "step_plan": step_plan,
+    "epoch_plan": epoch_plan,
+    "write_array": write_array,
+    "write_manifest": write_manifest,
+    "complete_balanced": complete_balanced,
+    "judge_document": judge_document,
+    "choice_document": choice_document,
 }

@@ -26,10 +26,12 @@ from pyspark.sql import types as T
 
 from prefloom.functions.json_place import AFTER, VALUE, json_error
 from prefloom.functions.text import py_strip
+from prefloom.operators.positions import number_rows
 from prefloom.operators.staging import written
 from prefloom.session import scratch_folder
 
 CONTEXT_LINES = 2
+FILE_ROWS = 1 << 20  # records in one array file that is written
 _SPACE = r"[ \t\n\r]*"
 
 
@@ -269,6 +271,28 @@ def _place(text: Column, at: Column, line: Column, column: Column) -> list[Colum
     ]
 
 
+def write_array(df: DataFrame, path: str, order: str = "pos", file_rows: int = FILE_ROWS, mode: str = "error") -> None:
+    """Rows as JSON array files of ``file_rows`` records, one after another in ``order``, a unique integer.
+
+    Every file is a list of its own, one record a line, and the names of the files are in the
+    order of their records, so that together they are the list; with enough ``file_rows`` there
+    is one. NULL fields are written. Brackets and commas are part of the rows, so writing is
+    Spark's: what a failed attempt of a task leaves is not taken over, and ``path`` has
+    its mark only when all files are whole.
+    """
+    columns = [c for c in df.columns]
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    placed = number_rows(df.select(F.col(order).alias("_key"), record.alias("_record")), "_key", number="_place")
+    first = F.col("_place") % file_rows == 0
+    line = F.struct(F.col("_place").alias("place"), F.concat(F.when(first, "[").otherwise(","), "_record").alias("value"))
+    # the first row of a file brings its last line along
+    end = F.struct(F.lit((1 << 63) - 1).alias("place"), F.lit("]").alias("value"))
+    number = F.lpad(F.floor(F.col("_place") / file_rows).cast("string"), 19, "0")
+    lines = placed.select(number.alias("file"), F.inline(F.when(first, F.array(line, end)).otherwise(F.array(line))))
+    dealt = lines.repartition("file").sortWithinPartitions("file", "place")
+    dealt.select("file", "value").write.mode(mode).partitionBy("file").text(path)
+
+
 def numbered_lines(spark: SparkSession, path: str | list[str], files: DataFrame | None = None) -> DataFrame:
     """(file, number, line): the lines of text files by number from 1, counted within byte ranges
     and then over the ranges of a file."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -185,6 +186,41 @@ def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     return True
 
 
+def input_manifest(spark: SparkSession, path: str | list[str], **parameters) -> DataFrame:
+    """(kind, name, value): every input file with its size and time of change, and the parameters."""
+    paths = [path] if isinstance(path, str) else path
+    # one short row per file; the files' content is not read
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select(
+        F.lit("file").alias("kind"), F.col("path").alias("name"),
+        F.concat_ws(" ", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")).alias("value"),
+    )
+    told = [("parameter", n, json.dumps(v, sort_keys=True)) for n, v in sorted(parameters.items())]
+    return files.unionByName(spark.createDataFrame(told, "kind string, name string, value string"))
+
+
+def write_manifested(df: DataFrame, path: str, inputs: str | list[str], fmt: str = "parquet", **parameters) -> bool:
+    """Write unless a finished result made from the same inputs and parameters is there; says whether it wrote.
+
+    The manifest is written after the result, to ``path`` with ``.manifest`` behind it, and removed before it: a
+    result without one counts as unfinished.
+    """
+    spark, place = df.sparkSession, f"{path}.manifest"
+    now = input_manifest(spark, inputs, **parameters)
+    if is_complete(spark, path) and is_complete(spark, place):
+        before = spark.read.schema(now.schema).parquet(place)
+        if now.exceptAll(before).isEmpty() and before.exceptAll(now).isEmpty():
+            return False
+    delete_path(spark, place)
+    write_records(df, path, fmt, mode="overwrite")
+    write_records(now, place, "parquet", mode="overwrite")
+    return True
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet rows, or an empty table while ``path`` does not exist."""
     if path_exists(spark, path):

@@ -22,7 +22,7 @@ def spark():
 @pytest.fixture(scope="session", autouse=True)
 def _test_functions_by_value():
     """Responders defined in a test module reach the workers by value."""
-    for name in ("test_completion", "test_ranking", "test_flows", "test_training", "test_ledger", "test_store"):
+    for name in ("test_completion", "test_ranking", "test_flows", "test_training", "test_ledger", "test_store", "test_sinks"):
         if name in sys.modules:
             cloudpickle.register_pickle_by_value(sys.modules[name])
 
