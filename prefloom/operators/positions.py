@@ -35,7 +35,7 @@ def block_offsets(
     df: DataFrame, key: str, groups: Sequence[str] = (), measures: dict[str, Column] | None = None
 ) -> DataFrame:
     """Per (group, block): rows in the block (``_n``) and, for rows and every
-    measure, the total of the group's earlier blocks (``_before_<name>``).
+    measure, the total of the group's earlier blocks (``_before_<name>``). A NULL group stops the job.
 
     Running sums are taken level by level: inside spans of 65,536 blocks, inside
     spans of as many of those, and over what is left. With three levels no task
@@ -45,7 +45,8 @@ def block_offsets(
     groups = list(groups)
     measures = {"n": F.lit(1), **(measures or {})}
     for g in groups:
-        df = df.filter(F.col(g).isNotNull())
+        told = F.raise_error(F.lit(f"NULL in group column {g}")).cast(df.schema[g].dataType)
+        df = df.withColumn(g, F.when(F.col(g).isNull(), told).otherwise(F.col(g)))
     sizes = df.groupBy(*groups, _block(key).alias("_block")).agg(
         *[F.sum(c).alias(f"_{m}") for m, c in measures.items()]
     )

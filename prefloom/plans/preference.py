@@ -15,6 +15,7 @@ from prefloom.operators.preference import (
     candidate_reason, clean_preferences, observe_cleaning, preference_pairs,
 )
 from prefloom.operators.splits import first_n
+from prefloom.operators.staging import written
 from prefloom.sources.records import typed
 from prefloom.streaming.ranking import rank_run, read_results
 
@@ -86,3 +87,36 @@ def training_pairs(
     return Pairs(
         preference_pairs(first_n(cleaned, max_samples), template, include_input, keep), counts
     )
+
+
+@dataclass(frozen=True)
+class StoredPairs:
+    """Written training pairs and the rows left after each stage, as (step, stage, n)."""
+
+    rows: DataFrame
+    counts: DataFrame
+
+
+def store_pairs(
+    ranked: DataFrame,
+    out: str,
+    max_samples: int | None = None,
+    template: ChatTemplate = CHATML,
+    include_input: bool = False,
+    strip_first: bool = False,
+    keep: tuple[str, ...] = (),
+) -> StoredPairs:
+    """``training_pairs`` written to ``out``, with all four counts observed while that is done.
+
+    ``ranked`` is read, parsed and cleaned once; the cap looks at what was kept of it.
+    """
+    spark = ranked.sparkSession
+    seen, kept, paired = (Observation(n) for n in ("seen", "capped", "pairs"))
+    cleaned = written(clean_preferences(observe_cleaning(ranked, seen, strip_first), strip_first), "cleaned")
+    everything = F.count(F.lit(1)).alias("n")
+    capped = first_n(cleaned, max_samples).observe(kept, everything)
+    preference_pairs(capped, template, include_input, keep).observe(paired, everything).write.parquet(out)
+    counts = [
+        (1, "raw", seen.get["raw"]), (2, "cleaned", seen.get["cleaned"]), (3, "capped", kept.get["n"]), (4, "pairs", paired.get["n"]),
+    ]
+    return StoredPairs(spark.read.parquet(out), spark.createDataFrame(counts, "step int, stage string, n bigint"))

@@ -28,6 +28,7 @@ PARTS = {"train": 500, "preference": 150, "evaluation": 50}
 WIDTH = 8  # rows per padded batch
 PAD_ID = 0
 STREAM_FILES = 16  # files of the stream; a quarter of them makes a micro-batch
+STORE_BITS = 1  # bits of the first bucket: batches are small here
 FILE_ROWS = 64  # documents in one array file
 QUESTION_ROWS = 256  # positions of the questions in one question file
 BALANCED_TASKS = 16  # tasks of equal cost
@@ -477,9 +478,8 @@ def dpo_pairs_capped(spark, sf):
 
 
 def funnel_counts(spark, sf):
-    ranked = _ranked(spark, sf)
-    capped = splits.first_n(preference.clean_preferences(ranked), MAX_PAIRS)
-    return preference.stage_counts(ranked, capped, preference.preference_pairs(capped))
+    """Counts of the flow that writes the capped pairs."""
+    return preference_plan.store_pairs(_ranked(spark, sf), scratch_folder(spark, "pairs"), MAX_PAIRS).counts
 
 
 def _with_indices(df: DataFrame) -> DataFrame:
@@ -559,12 +559,13 @@ def rank_ledger(spark, sf):
 
 
 def rank_store(spark, sf):
-    """The files of the ranking stream in eight batches, stored in levels."""
+    """The files of the ranking stream in four batches, stored in levels."""
     rows = inputs.keyed(spark, sf)
     arriving, folder, checkpoint = (scratch_folder(spark, n) for n in ("arriving", "store", "stream-state"))
     rows.repartition(STREAM_FILES, "instruction").write.parquet(arriving)
     query = store.rank_store_stream(
-        spark, arriving, rows.schema, folder, checkpoint, _make(stubs.second_ranker), max_files=STREAM_FILES // 8
+        spark, arriving, rows.schema, folder, checkpoint, _make(stubs.second_ranker), max_files=STREAM_FILES // 4,
+        base_bits=STORE_BITS
     )
     query.awaitTermination()
     return _resume_columns(store.read_store(spark, folder)).drop("batch")

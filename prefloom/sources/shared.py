@@ -59,17 +59,19 @@ def remove(folder: str) -> None:
         system.delete_dir(path)
 
 
-def bind(folder: str, **properties) -> None:
-    """Remember with which properties ``folder`` is used; other ones are refused."""
+def bind(folder: str, create: bool = True, **properties) -> None:
+    """Remember with which properties ``folder`` is used; other ones are refused. Without ``create``
+    a folder that nobody has bound stays as it is."""
     system, path = opened(folder)
-    system.create_dir(path, recursive=True)
     place = f"{path}/_properties.json"
     mine = json.dumps(properties, sort_keys=True)
     if system.get_file_info(place).type == fs.FileType.NotFound:
-        hidden = f"{place}.{uuid.uuid4().hex}"
-        with system.open_output_stream(hidden) as f:
-            f.write(mine.encode())
-        system.move(hidden, place)
+        if create:
+            system.create_dir(path, recursive=True)
+            hidden = f"{place}.{uuid.uuid4().hex}"
+            with system.open_output_stream(hidden) as f:
+                f.write(mine.encode())
+            system.move(hidden, place)
         return
     with system.open_input_stream(place) as f:
         theirs = f.read().decode()

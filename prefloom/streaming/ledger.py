@@ -152,7 +152,7 @@ def read_ledger(
     candidates: DataFrame, ledger: str, key_cols: Sequence[str] = ("instruction",), strict_permutation: bool = False
 ) -> DataFrame:
     """One row per candidate row: its winning reply, parsed, and the ``run`` it is from."""
-    shared.bind(ledger, key_cols=list(key_cols))
+    shared.bind(ledger, create=False, key_cols=list(key_cols))
     replies = read_replies(candidates.sparkSession, ledger)
     return ranked_rows(with_identity(candidates, key_cols), replies, strict_permutation)
 
@@ -175,6 +175,7 @@ def rank_recorded(
     simply started again under its number, and asks only what is missing. ``pos`` is
     unique; a ledger is bound to its ``key_cols``.
     """
+    shared.bind(ledger, key_cols=list(key_cols))
     state = read_ledger(candidates, ledger, key_cols, strict_permutation)
     pending = spread(state.filter(F.col("sorted_indices").isNull()), partitions)
     came = record_replies(

@@ -12,6 +12,7 @@ from prefloom.operators.completion import Responder, complete, spread
 from prefloom.operators.preference import (
     current_results, parse_rankings, pending_rows, with_rank_prompt,
 )
+from prefloom.sources import shared
 from prefloom.sources.records import read_if_present
 
 # VARIANT-free candidate row; more columns may follow
@@ -47,11 +48,12 @@ def rank_run(
     """Rank the candidates that have no ranking yet and store them as run ``batch``.
 
     A run owns one folder and replaces it, so repeating a run that was cut off
-    leaves no doubles. Rows that fail are asked again by the next run. All runs
-    of one result folder use the same ``key_cols``. ``few_rows`` is for small
+    leaves no doubles. Rows that fail are asked again by the next run. A result folder
+    is bound to the ``key_cols`` of its first run; other ones are refused. ``few_rows`` is for small
     additions to a long history.
     """
     spark = candidates.sparkSession
+    shared.bind(results, key_cols=list(key_cols))
     earlier = read_runs(spark, results)
     done = earlier.filter(earlier["batch"] < batch)
     pending = spread(pending_rows(candidates, done, key_cols, few_rows=few_rows), partitions)
@@ -70,6 +72,7 @@ def read_results(
     key_cols: Sequence[str] = ("instruction",),
 ) -> DataFrame:
     """One row per key as of run ``last_batch``; of all runs without one."""
+    shared.bind(results, create=False, key_cols=list(key_cols))
     return current_results(read_runs(spark, results), last_batch, key_cols)
 
 
