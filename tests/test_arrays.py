@@ -92,7 +92,7 @@ def test_context_of_a_text(spark):
 
 @pytest.mark.parametrize("seed, size", [(1, 37), (2, 111), (4, 111), (3, 4000)])
 def test_files_in_ranges(spark, files, ranges, seed, size):
-    texts = corpus(seed, 40)
+    texts = corpus(seed, 24)
     path = files(**texts)
     ranges(size)
     good, bad = [], {}
