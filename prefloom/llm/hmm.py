@@ -4,29 +4,32 @@ Tokens are the words of a text with A-Z in lower case, and one end. Their counts
 all training documents give the base score, with one added to every count and one
 unit for all unseen words. The model itself:
 
-* Symbols are the ``SYMBOLS`` most frequent tokens; any other word is the class of its last two bytes,
-  times the share of the word in its class (again with one added to every count).
-* Baum-Welch. Every training document is cut into segments of ``SEGMENT`` tokens, the first
-  starting from the initial, later ones from the stationary distribution; tasks run
-  forward and backward over many segments at once, and expected counts are summed over
-  partitions. ``ROUNDS`` rounds over all training documents.
-* Score: the scaled forward recursion over the whole text, exact. Texts over ``LONG``
-  tokens are cut into pieces whose transfer matrices are multiplied, which is the
-  same sum.
-
-Counts of the ``TABLE`` most frequent words are broadcast (a bound, not a cut: the
-counts of all other words come through a join), so what a task holds does not grow.
-Words are compared by 64-bit hashes.
+* Every word that occurs in training has emissions of its own; a word that does not is the
+  class of its last two bytes. One is added to the expected count of every word and
+  of every class of unseen words.
+* Baum-Welch over all training documents, ``ROUNDS`` rounds: tasks run forward and backward over
+  whole texts side by side, and expected counts are summed over partitions. Texts over ``LONG``
+  tokens are cut into pieces: the transfer matrices of the pieces give the exact state
+  before and after each, so no transition and no context is lost.
+* In all rounds but the last, words beyond the ``SYMBOLS`` most frequent are tied: a class shares
+  the differences between its words' states. The last round counts (word, state) for all
+  words apart. Counts of words beyond the ``TABLE`` most frequent stay a distributed table,
+  and their emissions come back to the texts through a join.
+* Score: the scaled forward recursion over the whole text, exact.
+
+What is broadcast is bounded by ``TABLE`` (a cache, not a cut), so what a task holds does not grow
+with the corpus. Words are compared by 64-bit hashes.
 
 Defined results: a null text is empty and has the end alone; a null doc_id counts as
 empty text for the fold; repeated rows count as often as they occur; with nothing to learn
-from, the base score is 0; an empty table gives an empty result; columns other than
+from, the base score is 0 and all words are unseen ones; an empty table gives an empty result; columns other than
 doc_id and text are not used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +45,11 @@ STATES = 6
 SYMBOLS = 16_384
 CLASSES = 64
 TABLE = 200_000
-SEGMENT = 64
 ROUNDS = 4
-LONG = 4_096
+LONG = 2_048
 PIECE = 512
-FLUSH = 1_000_000  # distinct words a task holds while counting
+CHUNK = 250_000  # tokens that are worked on side by side
+FLUSH = 1_000_000  # words a task holds while counting
 END = 1  # hash that stands for the end; its class is the one after all others
 
 
@@ -91,47 +94,51 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """Counts of the most frequent words, symbols, and totals of the classes."""
-
-    def __init__(self, table: pa.Table, class_words: np.ndarray, class_tokens: np.ndarray, tokens: int, distinct: int):
-        h = table.column("h").to_numpy().view(np.uint64)
-        count = table.column("n").to_numpy()
-        self.tokens, self.distinct = tokens, distinct
-        # most frequent first: the leading ones are symbols of their own
-        order = np.argsort(h)
-        self.hashes, self.counts = h[order], count[order]
-        symbol = np.where(np.arange(len(h)) < SYMBOLS, np.arange(len(h)), -1)
-        self.symbols = symbol[order]
-        self.size = SYMBOLS + CLASSES + 1
-        known = count[:SYMBOLS]
-        own = table.column("class").to_numpy()[:SYMBOLS]
-        # of the words that are left to their class
-        self.class_words = class_words - np.bincount(own, minlength=CLASSES + 1)
-        self.class_tokens = class_tokens - np.bincount(own, weights=known, minlength=CLASSES + 1).astype(np.int64)
-        self.class_norm = np.log10(self.class_words + self.class_tokens + 1.0)
-        self.weights = np.concatenate([known, np.zeros(SYMBOLS - len(known), np.int64), self.class_tokens]) + 1.0
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Places in the table, -1 where it does not hold the word."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+    """The most frequent words, most frequent first, and how all words are tied to classes.
+
+    A symbol is the place of a word in the table, or ``len(table)`` + its class."""
+
+    def __init__(self, table: pa.Table, class_words: np.ndarray, class_tokens: np.ndarray):
+        self.hashes = table.column("h").to_numpy().view(np.uint64)
+        self.counts = table.column("n").to_numpy()
+        kinds = table.column("class").to_numpy().astype(np.int64)
+        self.tokens, self.distinct = int(class_tokens.sum()), int(class_words.sum())
+        own = min(SYMBOLS, len(kinds))
+        every = np.arange(CLASSES + 1)
+        self.tie = np.concatenate([np.arange(own), own + kinds[own:], own + every])
+        # one is added to every word and to each class of unseen ones
+        left_words = class_words - np.bincount(kinds[:own], minlength=CLASSES + 1)
+        left_tokens = class_tokens - np.bincount(kinds[:own], weights=self.counts[:own], minlength=CLASSES + 1)
+        self.tied_units = np.concatenate([np.ones(own), left_words + 1])
+        self.tied_weights = np.concatenate([self.counts[:own], left_tokens]) + self.tied_units
+        self.weights = np.concatenate([self.counts, np.zeros(CLASSES + 1)]) + 1.0
+        self.total = float(self.tokens + self.distinct + CLASSES + 1)  # of all weights
+
+    def shipped(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes in ascending order, their counts and symbols."""
+        order = np.argsort(self.hashes)
+        return self.hashes[order], self.counts[order], order
+
+
+def places(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in ascending ``hashes``, -1 where they are not there."""
+    if not len(hashes):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+    return np.where(hashes[at] == wanted, at, -1)
 
 
 ENCODED = (
-    "doc_id long, held_out boolean, rid long, n_tokens long, n_known long, base double, share double,"
-    " symbols binary, others array<long>"
+    "doc_id long, held_out boolean, rid long, n_tokens long, n_known long, base double, symbols binary, others array<long>"
 )
 
 
 def _encode_rows(shared):
     """Symbols of every document, sums over the words of the table, and the hashes of
-    the words whose counts are still to be joined."""
+    its words beyond the table in their order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = shared.value
-        end = vocabulary.find(np.array([END], np.uint64))[0]
+        hashes, counts, symbols = shared.value
         for whole in batches:
             for batch in slices(whole):
                 words = split_words(batch.column("text"), lower=True)
@@ -140,33 +147,26 @@ def _encode_rows(shared):
                 # every text's words, then its end
                 place = np.arange(len(words.hashes)) + np.repeat(np.arange(n), sizes)
                 total = len(words.hashes) + n
-                at, kind = np.full(total, end), np.full(total, CLASSES)
-                at[place], kind[place] = vocabulary.find(words.hashes), classes(words)
-                hashes = np.full(total, END, np.uint64)
-                hashes[place] = words.hashes
+                kind, found = np.full(total, CLASSES), np.full(total, END, np.uint64)
+                kind[place], found[place] = classes(words), words.hashes
                 doc = np.repeat(np.arange(n), sizes + 1)
-                in_table = at >= 0
-                count = np.where(in_table, vocabulary.counts[at] if len(vocabulary.counts) else 0, 0)
-                symbol = np.where(in_table, vocabulary.symbols[at] if len(vocabulary.counts) else -1, -1)
-                log = np.log10(count + 1.0)
-                rare = symbol < 0
-                share = np.where(rare, log - vocabulary.class_norm[kind], 0.0)
-                symbol = np.where(rare, SYMBOLS + kind, symbol).astype("<u2")
+                at = places(hashes, found)
+                known = at >= 0
+                symbol, log = len(hashes) + kind, np.zeros(total)
+                symbol[known], log[known] = symbols[at[known]], np.log10(counts[at[known]] + 1.0)
+                raw = symbol.astype("<u4").tobytes()
                 cuts = np.append(0, np.cumsum(sizes + 1))
-                other = ~in_table
-                other[cuts[1:] - 1] = False  # an end is in the table, or was never seen
-                other_cuts = np.append(0, np.cumsum(np.bincount(doc[other], minlength=n)))
+                other_cuts = np.append(0, np.cumsum(np.bincount(doc[~known], minlength=n)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         batch.column("held_out"),
                         batch.column("rid"),
                         pa.array(sizes + 1),
-                        pa.array(np.bincount(doc[in_table], minlength=n)),
+                        pa.array(np.bincount(doc[known], minlength=n)),
                         pa.array(np.bincount(doc, weights=log, minlength=n)),
-                        pa.array(np.bincount(doc, weights=share, minlength=n)),
-                        pa.array([symbol[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(other_cuts.astype(np.int32)), pa.array(hashes[other].view(np.int64))),
+                        pa.array([raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(other_cuts.astype(np.int32)), pa.array(found[~known].view(np.int64))),
                     ],
                     names=[c.split()[0] for c in ENCODED.split(", ")],
                 )
@@ -174,17 +174,12 @@ def _encode_rows(shared):
     return rows
 
 
-class Model:
+class Model(NamedTuple):
     """Initial, transition and emission probabilities; emission has a row per symbol."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
-
-    def stationary(self) -> np.ndarray:
-        p = np.full(len(self.start), 1 / len(self.start))
-        for _ in range(200):
-            p = p @ self.move
-        return p / p.sum()
+    start: np.ndarray
+    move: np.ndarray
+    emit: np.ndarray
 
 
 def first_model(weights: np.ndarray, states: int = STATES, seed: int = 7) -> Model:
@@ -195,168 +190,318 @@ def first_model(weights: np.ndarray, states: int = STATES, seed: int = 7) -> Mod
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def expected_counts(model: Model, symbols: np.ndarray, first: np.ndarray, sizes: np.ndarray):
-    """One E-step over segments (rows of ``symbols``, the first ``sizes`` are used):
-    expected emissions, transitions, starts of texts, and the log likelihood."""
-    rows, length = symbols.shape
+Look = Callable[[int, int], np.ndarray]  # emissions of a range of tokens, a row each
+
+
+class Rows(NamedTuple):
+    """Texts and pieces of texts, in order: how long each is, whether it begins its text, the state
+    before it (of the token before, or the start) and the chances of what comes after it."""
+
+    length: np.ndarray
+    first: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+
+    def blocks(self) -> Iterator[tuple[int, int, int, int]]:
+        """Ranges of rows and of their tokens."""
+        ends = np.cumsum(self.length)
+        i = 0
+        while i < len(ends):
+            a = int(ends[i] - self.length[i])
+            j = max(i + 1, int(np.searchsorted(ends, a + CHUNK, side="right")))
+            yield i, j, a, int(ends[j - 1])
+            i = j
+
+
+def cut_rows(model: Model, look: Look, sizes: np.ndarray) -> Rows:
+    """Rows of texts of ``sizes`` tokens (none is 0); long ones are cut."""
     states = len(model.start)
-    order = np.argsort(-sizes, kind="stable")
-    symbols, first, sizes = symbols[order], first[order], sizes[order]
-    active = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(length)]  # rows longer than t
-    seen = model.emit[symbols]  # rows, length, states
-    alpha, scale = np.zeros((length, rows, states)), np.ones((length, rows))
-    begin = np.where(first[:, None], model.start, model.stationary())
-    for t in range(length):
-        k = active[t]
-        if not k:
-            break
-        a = (begin[:k] if t == 0 else alpha[t - 1, :k] @ model.move) * seen[:k, t]
-        scale[t, :k] = a.sum(axis=1)
-        alpha[t, :k] = a / scale[t, :k, None]
-    beta = np.ones((rows, states))
-    emission = np.zeros_like(model.emit)
-    moves = np.zeros((states, states))
-    gammas = np.zeros((length, rows, states))
-    for t in range(length - 1, -1, -1):
-        k = active[t]
-        if not k:
-            continue
-        gammas[t, :k] = alpha[t, :k] * beta[:k]
-        if t:
-            after = seen[:k, t] * beta[:k] / scale[t, :k, None]
-            moves += alpha[t - 1, :k].T @ after
-            beta[:k] = after @ model.move.T
-    used = np.arange(length)[:, None] < sizes[None, :]
-    flat = symbols.T[used]
-    for s in range(states):
-        emission[:, s] = np.bincount(flat, weights=gammas[:, :, s][used], minlength=len(emission))
-    return emission, moves * model.move, gammas[0][first & (sizes > 0)].sum(axis=0), float(np.log(scale).sum())
-
-
-def _segments(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Equally long rows of symbols of many documents, about 2,000 at a time."""
-    parts, first, sizes = [], [], []
-    for raw in batch.column("symbols").to_pylist():
-        own = np.frombuffer(raw, dtype="<u2").astype(np.int64)
-        n = -(-len(own) // SEGMENT)
-        padded = np.zeros(n * SEGMENT, np.int64)
-        padded[: len(own)] = own
-        parts.append(padded.reshape(n, SEGMENT))
-        first.append(np.arange(n) == 0)
-        sizes.append(np.minimum(len(own) - np.arange(n) * SEGMENT, SEGMENT))
-        if sum(map(len, parts)) > 2000:
-            yield np.concatenate(parts), np.concatenate(first), np.concatenate(sizes)
-            parts, first, sizes = [], [], []
-    if parts:
-        yield np.concatenate(parts), np.concatenate(first), np.concatenate(sizes)
-
-
-def _expect_rows(shared, states: int):
-    """Expected counts of one task: a row per symbol, per state left, for the start
-    and (in the first column) the log likelihood."""
+    long = sizes > LONG
+    parts = np.where(long, -(-sizes // PIECE), 1)
+    doc = np.repeat(np.arange(len(sizes)), parts)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    length = np.where(long[doc], np.minimum(PIECE, sizes[doc] - number * PIECE), sizes[doc])
+    rows = Rows(length, number == 0, np.tile(model.start, (len(doc), 1)), np.ones((len(doc), states)))
+    for d in np.flatnonzero(long):
+        own = np.arange(np.searchsorted(doc, d), np.searchsorted(doc, d, side="right"))
+        begin = int(sizes[:d].sum())
+        matrices = _transfers(model, lambda a, b, begin=begin: look(begin + a, begin + b), length[own])
+        for i, m in zip(own[:-1], matrices, strict=False):
+            v = rows.before[i] @ m
+            rows.before[i + 1] = v / v.sum()
+        for i, m in zip(own[:0:-1], matrices[::-1], strict=False):
+            w = m @ rows.after[i]
+            rows.after[i - 1] = w / w.sum()
+    return rows
+
+
+def _transfers(model: Model, look: Look, length: np.ndarray) -> np.ndarray:
+    """Matrices of the pieces of one text, up to a factor; the first has no move before it."""
+    states, out = len(model.start), []
+    many = max(1, CHUNK // PIECE // states)
+    for i in range(0, len(length), many):
+        some = length[i : i + many]
+        seen = np.ones((len(some), PIECE, states))
+        flat = look(i * PIECE, i * PIECE + int(some.sum()))
+        seen.reshape(-1, states)[: len(flat)] = flat
+        matrix = np.broadcast_to(np.eye(states), (len(some), states, states))
+        for t in range(PIECE):
+            moved = matrix @ model.move
+            if t == 0 and i == 0:
+                moved[0] = np.eye(states)
+            if t >= some[-1]:  # the text has ended
+                moved[-1] = matrix[-1]
+            matrix = moved * seen[:, t][:, None, :]
+            matrix = matrix / matrix.sum(axis=(1, 2), keepdims=True)
+        out.append(matrix)
+    return np.concatenate(out)
+
+
+class _Steps(NamedTuple):
+    """Rows longest first, their tokens step by step: ``active`` rows have step t, from ``begin`` on."""
+
+    order: np.ndarray
+    active: np.ndarray
+    begin: np.ndarray
+    at: np.ndarray  # of the tokens in their own order
+
+
+def _steps(length: np.ndarray) -> _Steps:
+    order = np.argsort(-length, kind="stable")
+    active = np.searchsorted(-length[order], -np.arange(length.max()), side="left")
+    begin = np.cumsum(active) - active
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return _Steps(order, active, begin, begin[step] + np.repeat(rank, length))
+
+
+def _forward(model: Model, seen: np.ndarray, steps: _Steps, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled states and scales of all tokens, step by step."""
+    alpha, scale = np.empty_like(seen), np.empty(len(seen))
+    last = prior
+    for a, k in zip(steps.begin.tolist(), steps.active.tolist(), strict=True):
+        here = (last if a == 0 else last[:k] @ model.move) * seen[a : a + k]
+        total = here.sum(axis=1)
+        last = here / total[:, None]
+        alpha[a : a + k], scale[a : a + k] = last, total
+    return alpha, scale
+
+
+def _prior(model: Model, rows: Rows, i: int, j: int, order: np.ndarray) -> np.ndarray:
+    return np.where(rows.first[i:j, None], rows.before[i:j], rows.before[i:j] @ model.move)[order]
+
+
+def expected_counts(model: Model, look: Look, sizes: np.ndarray, add: Callable[[int, int, np.ndarray], None]):
+    """One E-step over whole texts. ``add`` gets ranges of tokens and the chances of their states;
+    returned are expected transitions, starts of texts, and the log likelihood."""
+    states = len(model.start)
+    moves, starts, log = np.zeros((states, states)), np.zeros(states), 0.0
+    rows = cut_rows(model, look, sizes)
+    for i, j, a, b in rows.blocks():
+        steps = _steps(rows.length[i:j])
+        seen = np.empty((b - a, states))
+        seen[steps.at] = look(a, b)
+        alpha, scale = _forward(model, seen, steps, _prior(model, rows, i, j, steps.order))
+        log += float(np.log(scale).sum())
+        first, before = rows.first[i:j][steps.order], rows.before[i:j][steps.order]
+        ends = steps.begin[rows.length[i:j][steps.order] - 1] + np.arange(j - i)
+        beta = rows.after[i:j][steps.order]
+        beta /= (alpha[ends] * beta).sum(axis=1, keepdims=True)
+        seen /= scale[:, None]
+        gammas = np.empty_like(seen)
+        for at, k in zip(steps.begin[::-1].tolist(), steps.active[::-1].tolist(), strict=True):
+            gammas[at : at + k] = alpha[at : at + k] * beta[:k]
+            seen[at : at + k] *= beta[:k]
+            beta[:k] = seen[at : at + k] @ model.move.T
+        # states before the tokens, met with what comes from them on
+        n = len(steps.order)
+        moves += alpha[np.arange(n, b - a) - np.repeat(steps.active[:-1], steps.active[1:])].T @ seen[n:]
+        moves += before[~first].T @ seen[:n][~first]
+        starts += gammas[:n][first].sum(axis=0)
+        add(a, b, gammas[steps.at])
+    return moves * model.move, starts, log
+
+
+def log10_likelihood(model: Model, look: Look, sizes: np.ndarray) -> np.ndarray:
+    """Exact log10 probability of every text."""
+    rows = cut_rows(model, look, sizes)
+    logs = np.zeros(len(rows.length))
+    for i, j, a, b in rows.blocks():
+        steps = _steps(rows.length[i:j])
+        seen = np.empty((b - a, len(model.start)))
+        seen[steps.at] = look(a, b)
+        _, scale = _forward(model, seen, steps, _prior(model, rows, i, j, steps.order))
+        begin = np.cumsum(rows.length[i:j]) - rows.length[i:j]
+        logs[i:j] = np.add.reduceat(np.log10(scale)[steps.at], begin)
+    return np.bincount(np.cumsum(rows.first) - 1, weights=logs, minlength=len(sizes))
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of documents with their symbols and numbers of tokens."""
+    raw = batch.column("symbols").to_pylist()
+    sizes = np.array([len(r) // 4 for r in raw], np.int64)
+    group = (np.cumsum(sizes) - 1) // CHUNK
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(raw)]
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        if j > i:
+            yield i, j, np.frombuffer(b"".join(raw[i:j]), "<u4").astype(np.int64), sizes[i:j]
+
+
+def _names(states: int) -> list[str]:
+    return [f"s{s}" for s in range(states)]
+
+
+def _expect_rows(shared, states: int, apart: bool):
+    """Expected counts of one task: rows of symbols, then of states left, the starts
+    and (in the first column) the log likelihood; a null row is a word of hash ``h``
+    beyond the table. Without ``apart`` symbols are tied."""
+
+    def words(parts: list[tuple]) -> tuple:
+        h, n, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h, n, g = h[order], n[order], g[order]
+        new = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, int)
+        return (h[new], np.add.reduceat(n, new), np.add.reduceat(g, new)) if len(new) else (h, n, g)
+
+    def out(row, h, n, sums) -> pa.RecordBatch:
+        row, h = (pa.array(x) if x is not None else pa.nulls(len(sums), pa.int64()) for x in (row, h))
+        return pa.RecordBatch.from_arrays(
+            [row, h, pa.array(n), *(pa.array(sums[:, s]) for s in range(states))], names=["row", "h", "n", *_names(states)]
+        )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        total = np.zeros((len(model.emit) + states + 2, states))
+        model, tie = Model(*shared.value[0]), shared.value[1]
+        table = len(tie) - CLASSES - 1
+        size = len(tie) if apart else len(model.emit)
+        total = np.zeros((size + states + 2, states))
+        held: list[tuple] = []
         for batch in batches:
-            for symbols, first, sizes in _segments(batch):
-                emission, moves, starts, log = expected_counts(model, symbols, first, sizes)
-                total[: len(emission)] += emission
-                total[len(emission) : -2] += moves
+            for i, j, symbols, sizes in _parts(batch):
+                tied = tie[symbols]
+                counted = symbols if apart else tied
+                beyond, found = [], []
+
+                def add(a, b, gammas):
+                    for s in range(states):
+                        total[:size, s] += np.bincount(counted[a:b], weights=gammas[:, s], minlength=size)
+                    if apart:
+                        mask = symbols[a:b] >= table
+                        beyond.append(gammas[mask])
+
+                moves, starts, log = expected_counts(model, lambda a, b: model.emit[tied[a:b]], sizes, add)
+                total[size:-2] += moves
                 total[-2] += starts
                 total[-1, 0] += log
+                if apart:
+                    found = batch.column("others").slice(i, j - i).flatten().to_numpy()
+                    held.append(words([(found, np.ones(len(found), np.int64), np.concatenate(beyond))]))
+                    if sum(len(h[0]) for h in held) > FLUSH:
+                        held = [words(held)]
+                        if len(held[0][0]) > FLUSH // 2:
+                            yield out(None, *held[0])
+                            held = []
+        if held:
+            yield out(None, *words(held))
         at = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), *(pa.array(total[at, s]) for s in range(states))], names=["row", *[f"s{s}" for s in range(states)]]
-        )
+        yield out(at, None, np.zeros(len(at), np.int64), total[at])
 
     return rows
 
 
-def baum_welch(texts: DataFrame, weights: np.ndarray, rounds: int = ROUNDS, states: int = STATES) -> tuple[Model, list[float]]:
-    """A model of ``texts`` (symbols), and the log likelihood before every round."""
+def _expected(texts: DataFrame, model: Model, tie: np.ndarray, apart: bool) -> DataFrame:
+    """(row, h, n, s0, ...) of one E-step, summed."""
+    states = len(model.start)
+    shared = texts.sparkSession.sparkContext.broadcast((tuple(model), tie))
+    schema = "row long, h long, n long, " + ", ".join(f"{n} double" for n in _names(states))
+    counted = texts.select("symbols", *(["others"] if apart else [])).mapInArrow(_expect_rows(shared, states, apart), schema)
+    return counted.groupBy("row", "h").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in _names(states)])
+
+
+def _totals(rows: DataFrame, size: int, states: int) -> np.ndarray:
+    """The counts of symbols, states left, starts and the likelihood: bounded by the table."""
+    got = rows.filter("row is not null").toArrow()
+    total = np.zeros((size + states + 2, states))
+    total[got.column("row").to_numpy()] = np.stack([got.column(n).to_numpy() for n in _names(states)], axis=1)
+    return total
+
+
+def _chances(total: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray]:
+    move, start = total[-states - 2 : -2] + 0.1, total[-2] + 0.1
+    return start / start.sum(), move / move.sum(axis=1, keepdims=True)
+
+
+def baum_welch(
+    texts: DataFrame, tie: np.ndarray, weights: np.ndarray, units: np.ndarray, rounds: int, states: int = STATES
+) -> tuple[Model, list[float]]:
+    """A model of tied ``texts`` (symbols), and the log likelihood before every round."""
     model, logs = first_model(weights, states), []
-    names = [f"s{s}" for s in range(states)]
-    schema = "row long, " + ", ".join(f"{n} double" for n in names)
-    share = weights / weights.sum()
     for _ in range(rounds):
-        shared = texts.sparkSession.sparkContext.broadcast(model)
-        counted = texts.select("symbols").mapInArrow(_expect_rows(shared, states), schema)
-        rows = counted.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # one row per symbol at most
-        total = np.zeros((len(weights) + states + 2, states))
-        total[rows.column("row").to_numpy()] = np.stack([rows.column(n).to_numpy() for n in names], axis=1)
+        total = _totals(_expected(texts, model, tie, False), len(weights), states)
         logs.append(float(total[-1, 0]))
-        emit = total[: len(weights)] + states * share[:, None]  # no symbol becomes impossible
-        move, start = total[len(weights) : -2] + 0.1, total[-2] + 0.1
-        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-        shared.unpersist()
+        # no symbol becomes impossible
+        emit = total[: len(weights)] + (units / states + states * weights / weights.sum())[:, None]
+        model = Model(*_chances(total, states), emit / emit.sum(axis=0))
     return model, logs
 
 
-def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """Exact log10 probability of every sequence of symbols."""
-    out = np.zeros(len(texts))
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    short = np.flatnonzero(sizes <= LONG)
-    order = short[np.argsort(-sizes[short], kind="stable")]
-    longest = sizes[order[0]] if len(order) else 0
-    flat = np.concatenate([texts[i] for i in order]) if len(order) else np.zeros(0, np.int64)
-    begin = np.cumsum(sizes[order]) - sizes[order]
-    alpha = np.zeros((0, 0))
-    logs = np.zeros(len(order))
-    for t in range(longest):
-        k = int(np.searchsorted(-sizes[order], -t, side="left"))
-        emitted = model.emit[flat[begin[:k] + t]]
-        alpha = (np.broadcast_to(model.start, emitted.shape) if t == 0 else alpha[:k] @ model.move) * emitted
-        scale = alpha.sum(axis=1)
-        alpha = alpha / scale[:, None]
-        logs[:k] += np.log10(scale)
-    out[order] = logs
-    for i in np.flatnonzero(sizes > LONG):
-        out[i] = _long_likelihood(model, texts[i])
-    return out
-
-
-def _long_likelihood(model: Model, text: np.ndarray) -> float:
-    """Transfer matrices of all pieces side by side, then their product."""
+def all_words(texts: DataFrame, words: Vocabulary, model: Model) -> tuple[Model, DataFrame]:
+    """The round that counts all words apart: a model with a row per symbol, and the emissions
+    of the words beyond the table (h, n, s0, ...)."""
     states = len(model.start)
-    first = model.start * model.emit[text[0]]
-    log, vector = np.log10(first.sum()), first / first.sum()
-    rest = text[1:]
-    whole = len(rest) // PIECE
-    pieces = rest[: whole * PIECE].reshape(whole, PIECE)
-    matrix = np.broadcast_to(np.eye(states), (whole, states, states))
-    logs = np.zeros(whole)
-    for t in range(PIECE if whole else 0):
-        matrix = (matrix @ model.move) * model.emit[pieces[:, t]][:, None, :]
-        scale = matrix.sum(axis=(1, 2))
-        matrix, logs = matrix / scale[:, None, None], logs + np.log10(scale)
-    steps = [(m, s) for m, s in zip(matrix, logs, strict=True)]
-    steps += [(model.move * model.emit[x], 0.0) for x in rest[whole * PIECE :]]
-    for m, s in steps:
-        vector = vector @ m
-        total = vector.sum()
-        log, vector = log + s + np.log10(total), vector / total
-    return float(log)
-
-
-def _score_rows(shared):
+    rows = stored(_expected(texts, model, words.tie, True), "expected")
+    total = _totals(rows, len(words.tie), states)
+    size = len(words.tie)
+    # classes hold the sums of their words here, which are counted in the norm
+    norm = total[:size].sum(axis=0) + (words.distinct + CLASSES + 1) / states + states
+    counts = total[:size].copy()
+    counts[len(words.hashes) :] = 0
+    emit = (counts + (1 / states + states * words.weights / words.total)[:, None]) / norm
+    beyond = rows.filter("h is not null").select(
+        "h",
+        "n",
+        *[
+            ((F.col(c) + 1 / states + states * (F.col("n") + 1) / words.total) / float(norm[s])).alias(c)
+            for s, c in enumerate(_names(states))
+        ],
+    )
+    return Model(*_chances(total, states), emit), beyond
+
+
+def _score_rows(shared, states: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
+        table = len(model.emit) - CLASSES - 1
         for batch in batches:
-            texts = [np.frombuffer(raw, dtype="<u2").astype(np.int64) for raw in batch.column("symbols").to_pylist()]
-            score = log10_likelihood(shared.value, texts)
+            n_known, base, score = (np.zeros(batch.num_rows) for _ in range(3))
+            for i, j, symbols, sizes in _parts(batch):
+                joined = batch.column("beyond").slice(i, j - i).flatten()
+                h, first = np.unique(joined.field("h").to_numpy(), return_index=True)
+                n = joined.field("n").to_numpy()[first]
+                emit = np.stack([joined.field(c).to_numpy()[first] for c in _names(states)], axis=1)
+                # a word beyond the table has a row after the model's if it was seen
+                place = np.flatnonzero(symbols >= table)
+                at = places(h, batch.column("others").slice(i, j - i).flatten().to_numpy())
+                place, at = place[at >= 0], at[at >= 0]
+                symbols[place] = len(model.emit) + at
+                every = np.concatenate([model.emit, emit])
+                score[i:j] = log10_likelihood(model, lambda a, b: every[symbols[a:b]], sizes)
+                doc = np.repeat(np.arange(j - i), sizes)[place]
+                n_known[i:j] = np.bincount(doc, minlength=j - i)
+                base[i:j] = np.bincount(doc, weights=np.log10(n[at] + 1.0), minlength=j - i)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in SCORED), pa.array(score)], names=[*SCORED, "score"]
+                [*(batch.column(c) for c in SCORED), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score)],
+                names=[*SCORED, "more_known", "more", "score"],
             )
 
     return rows
 
 
-SCORED = ("doc_id", "held_out", "rid", "n_tokens", "n_known", "base", "share")
+SCORED = ("doc_id", "held_out", "n_tokens", "n_known", "base")
 
 
-def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
-    """Of the training documents (text): the bounded part, and all counts (h, n)."""
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """Of the training documents (text)."""
     counts = stored(
         docs.select("text").mapInArrow(_count_rows, "h long, class int, n long").groupBy("h").agg(F.first("class").alias("class"), F.sum("n").alias("n")),
         "counts",
@@ -370,38 +515,44 @@ def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     end = counts.filter(F.col("h") == int(np.array([END], np.uint64).view(np.int64)[0])).toArrow()
     if end.num_rows and not pc.is_in(end["h"], table["h"].combine_chunks())[0].as_py():
         table = pa.concat_tables([table, end.select(table.column_names).cast(table.schema)])
-    return Vocabulary(table, words, tokens, int(tokens.sum()), int(words.sum())), counts
+    return Vocabulary(table, words, tokens)
 
 
 def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of
-    every document; learned from those whose fold is not 2."""
+    every document; learned from those whose fold is not 2, in one round at least."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder(7) == 2).alias("held_out"))
-    words, counts = vocabulary(docs.filter("not held_out"))
-    shared = spark.sparkContext.broadcast(words)
+    words = vocabulary(docs.filter("not held_out"))
+    shared = spark.sparkContext.broadcast(words.shipped())
     encoded = stored(docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_encode_rows(shared), ENCODED), "encoded")
-    model, _ = baum_welch(encoded.filter("not held_out"), words.weights, rounds)
-
-    # words beyond the table: their counts come through a join, summed per document
-    rest = encoded.select("rid", F.explode("others").alias("h")).groupBy("rid", "h").agg(F.count(F.lit(1)).alias("times"))
-    sums = (
-        rest.join(counts.select("h", "n"), "h")
+    train = encoded.filter("not held_out")
+    tied, _ = baum_welch(train, words.tie, words.tied_weights, words.tied_units, max(rounds, 1) - 1)
+    model, beyond = all_words(train, words, tied)
+
+    # words beyond the table: counts and emissions come through a join, once per document and word
+    names = ["h", "n", *_names(STATES)]
+    joined = (
+        encoded.select("rid", F.explode(F.array_distinct("others")).alias("h"))
+        .join(beyond, "h")
         .groupBy("rid")
-        .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("more_known"))
+        .agg(F.collect_list(F.struct(*names)).alias("beyond"))
     )
-    scored = encoded.select(*SCORED, "symbols").mapInArrow(
-        _score_rows(spark.sparkContext.broadcast(model)),
-        "doc_id long, held_out boolean, rid long, n_tokens long, n_known long, base double, share double, score double",
+    scored = (
+        encoded.join(joined, "rid", "left")
+        .select(*SCORED, "symbols", "others", "beyond")
+        .mapInArrow(
+            _score_rows(spark.sparkContext.broadcast(tuple(model)), STATES),
+            "doc_id long, held_out boolean, n_tokens long, n_known long, base double, more_known long, more double, score double",
+        )
     )
-    more = F.coalesce("more", F.lit(0.0))
     norm = float(np.log10(words.tokens + words.distinct + 1.0))
-    return scored.join(sums, "rid", "left").select(
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.col("more_known")).alias("n_known"),
         F.lit(words.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (F.col("score") + F.col("share") + more).alias("score"),
+        (F.col("base") + F.col("more") - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+        "score",
     )

@@ -77,23 +77,31 @@ def paths(model, text):
         yield path, p
 
 
+def likelihoods(model, texts):
+    flat = np.concatenate(texts)
+    return hmm.log10_likelihood(model, lambda a, b: model.emit[flat[a:b]], np.array([len(t) for t in texts]))
+
+
+def cut_short(monkeypatch):
+    for name, value in (("LONG", 2), ("PIECE", 2), ("CHUNK", 5)):
+        monkeypatch.setattr(hmm, name, value)
+
+
 def test_likelihood_sums_all_paths(monkeypatch):
     model, rng = random_model(), np.random.default_rng(2)
     texts = [rng.integers(0, 5, n) for n in (1, 6, 3, 7, 1)]
     expected = [math.log10(sum(p for _, p in paths(model, t))) for t in texts]
-    assert np.allclose(hmm.log10_likelihood(model, texts), expected)
-    monkeypatch.setattr(hmm, "LONG", 2)
-    monkeypatch.setattr(hmm, "PIECE", 2)
-    assert np.allclose(hmm.log10_likelihood(model, texts), expected)
+    assert np.allclose(likelihoods(model, texts), expected)
+    cut_short(monkeypatch)
+    assert np.allclose(likelihoods(model, texts), expected)
 
 
-def test_expected_counts_sum_all_paths():
-    model, rng = random_model(), np.random.default_rng(3)
-    symbols, sizes = rng.integers(0, 5, (3, 5)), np.array([5, 2, 4])
-    emission, moves, starts = np.zeros((5, 3)), np.zeros((3, 3)), np.zeros(3)
+def by_paths(model, texts):
+    """Expected emissions, transitions and starts, and the log likelihood, from every path."""
+    symbols, states = model.emit.shape
+    emission, moves, starts = np.zeros((symbols, states)), np.zeros((states, states)), np.zeros(states)
     log = 0.0
-    for row, n in zip(symbols, sizes):
-        text = row[:n]
+    for text in texts:
         total = sum(p for _, p in paths(model, text))
         log += math.log(total)
         for path, p in paths(model, text):
@@ -102,19 +110,140 @@ def test_expected_counts_sum_all_paths():
                 emission[x, s] += p / total
             for a, b in zip(path, path[1:]):
                 moves[a, b] += p / total
-    got = hmm.expected_counts(model, symbols, np.array([True] * 3), sizes)
-    for ours, theirs in zip(got, (emission, moves, starts, log)):
+    return emission, moves, starts, log
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_expected_counts_sum_all_paths(monkeypatch, cut):
+    """Also over the pieces of long texts: no transition is lost."""
+    model, rng = random_model(), np.random.default_rng(3)
+    texts = [rng.integers(0, 5, n) for n in (5, 2, 7, 1)]
+    if cut:
+        cut_short(monkeypatch)
+    flat, emission = np.concatenate(texts), np.zeros((5, 3))
+
+    def add(a, b, gammas):
+        np.add.at(emission, flat[a:b], gammas)
+
+    got = hmm.expected_counts(model, lambda a, b: model.emit[flat[a:b]], np.array([len(t) for t in texts]), add)
+    for ours, theirs in zip((emission, *got), by_paths(model, texts)):
         assert np.allclose(ours, theirs)
 
 
 def test_likelihood_rises(spark):
     rng = np.random.default_rng(4)
-    texts = [((rng.integers(0, 3, 40) + 4 * (i % 2)).astype("<u2").tobytes(),) for i in range(60)]
+    texts = [((rng.integers(0, 3, 40) + 4 * (i % 2)).astype("<u4").tobytes(),) for i in range(60)]
     df = spark.createDataFrame([(bytearray(t[0]),) for t in texts], "symbols binary").repartition(4)
-    model, logs = hmm.baum_welch(df, np.ones(8), rounds=6, states=2)
+    tie = np.arange(8 + hmm.CLASSES + 1)
+    model, logs = hmm.baum_welch(df, tie, np.ones(len(tie)), np.ones(len(tie)), rounds=6, states=2)
     assert all(b > a for a, b in zip(logs, logs[1:]))
 
 
+def fold(i):
+    return zlib.crc32(str(i).encode()) % 7
+
+
+def word_class(word):
+    if word == "\0end":
+        return hmm.CLASSES
+    raw = word.encode()
+    return ((raw[-2] if len(raw) > 1 else 0) * 31 + raw[-1]) % hmm.CLASSES
+
+
+def plain_scores(rows, rounds, states=hmm.STATES):
+    """The whole model by its definition, word by word and text by text, one array of states a token."""
+    texts = {i: tokens(t) for i, t in rows}
+    train = [t for i, t in texts.items() if fold(i) != 2]
+    count = Counter(w for t in train for w in t)
+    # one symbol per counted word, then one per class of unseen words
+    hashes = {"\0end": hmm.END}
+    for w in count:
+        if w != "\0end":
+            hashes[w] = int(hmm.split_words(hmm.pa.array([w]), lower=True).hashes[0])
+    signed = {w: h - (1 << 64) if h >= 1 << 63 else h for w, h in hashes.items()}
+    ranked = sorted(count, key=lambda w: (-count[w], signed[w]))
+    own = ranked[: hmm.SYMBOLS]
+    if "\0end" not in own and len(ranked) > hmm.TABLE:
+        assert hmm.TABLE >= hmm.SYMBOLS
+    tied = {w: i for i, w in enumerate(own)}
+    size = len(own) + hmm.CLASSES + 1
+
+    def row(w):
+        return tied.get(w, len(own) + word_class(w))
+
+    units = np.ones(size)
+    weights = np.ones(size)
+    for w in count:
+        weights[row(w)] += count[w] + (w not in tied)
+        units[row(w)] += w not in tied
+    model = hmm.first_model(weights, states)
+
+    def counts(model):
+        emission, moves, starts = Counter(), np.zeros((states, states)), np.zeros(states)
+        for t in train:
+            e = [model.emit[row(w)] for w in t]
+            alpha, beta = [model.start * e[0]], [np.ones(states)]
+            alpha[0] = alpha[0] / alpha[0].sum()
+            for x in e[1:]:
+                a = alpha[-1] @ model.move * x
+                alpha.append(a / a.sum())
+            for x in e[:0:-1]:
+                b = model.move @ (x * beta[0])
+                beta.insert(0, b / b.sum())
+            for k, w in enumerate(t):
+                g = alpha[k] * beta[k]
+                emission[w] = emission[w] + g / g.sum()
+                if k:
+                    m = alpha[k - 1][:, None] * model.move * (e[k] * beta[k])[None, :]
+                    moves += m / m.sum()
+            g = alpha[0] * beta[0]
+            starts += g / g.sum()
+        return emission, (starts + 0.1) / (starts + 0.1).sum(), (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
+
+    for _ in range(rounds - 1):
+        emission, start, move = counts(model)
+        emit = (units / states + states * weights / weights.sum())[:, None] + np.zeros(states)
+        for w, g in emission.items():
+            emit[row(w)] += g
+        model = hmm.Model(start, move, emit / emit.sum(axis=0))
+    emission, start, move = counts(model)
+    total = weights.sum()
+    last = {w: emission[w] + 1 / states + states * (count[w] + 1) / total for w in count}
+    unseen = np.full(states, 1 / states + states / total)
+    norm = sum(last.values()) + (hmm.CLASSES + 1) * unseen
+    out = {}
+    for i, t in texts.items():
+        log, a = 0.0, None
+        for w in t:
+            a = (start if a is None else a @ move) * last.get(w, unseen) / norm
+            log, a = log + math.log10(a.sum()), a / a.sum()
+        out[i] = log
+    return out
+
+
+@pytest.mark.parametrize(("symbols", "table", "long"), [(16_384, 200_000, 2_048), (20, 60, 2_048), (20, 60, 40)])
+def test_scores_by_definition(spark, sf_dir, monkeypatch, symbols, table, long):
+    """The whole query's scores, with words beyond the table, long texts in pieces, and the end outside the table."""
+    for name, value in (("SYMBOLS", symbols), ("TABLE", table), ("LONG", long), ("PIECE", 16), ("CHUNK", 700)):
+        monkeypatch.setattr(hmm, name, value)
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 2000").orderBy("doc_id").limit(60)
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()] + [(100_001, "Only here"), (100_002, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_scores(rows, 3)
+    got = {r.doc_id: r.score for r in hmm.score_texts(df, rounds=3).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_many_words(spark):
+    """More distinct words than are tied apart; all of them are in force."""
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 30_000, 1_500))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = hmm.score_texts(df, rounds=2).collect()
+    check_base(rows, got)
+    assert {r.doc_id: r.score for r in got} == pytest.approx(plain_scores(rows, 2), rel=1e-9)
+
+
 def test_an_end_rarer_than_the_table_is_known(spark, monkeypatch):
     """Few long texts: some words come more often than texts end."""
     texts = [" ".join(f"w{j % 6} w{j % 3} only{i}x{j % 4}" for j in range(40)) for i in range(8)]
