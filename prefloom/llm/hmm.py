@@ -13,8 +13,8 @@ unit for all unseen words. The model itself:
   before and after each, so no transition and no context is lost.
 * In all rounds but the last, words beyond the ``SYMBOLS`` most frequent are tied: a class shares
   the differences between its words' states. The last round counts (word, state) for all
-  words apart. Counts of words beyond the ``TABLE`` most frequent stay a distributed table,
-  and their emissions come back to the texts through a join.
+  words apart. Those of words beyond the ``TABLE`` most frequent stay a distributed table,
+  and come back to the texts through a join.
 * Score: the scaled forward recursion over the whole text, exact.
 
 What is broadcast is bounded by ``TABLE`` (a cache, not a cut), so what a task holds does not grow
@@ -46,11 +46,12 @@ SYMBOLS = 16_384
 CLASSES = 64
 TABLE = 200_000
 ROUNDS = 4
-LONG = 2_048
+LONG = 16_384
 PIECE = 512
-CHUNK = 250_000  # tokens that are worked on side by side
+CHUNK = 500_000  # tokens that are worked on side by side
 FLUSH = 1_000_000  # words a task holds while counting
 END = 1  # hash that stands for the end; its class is the one after all others
+FIRST = -(1 << 63)  # keys from here on are rows of the model; a word has such a hash with a chance of 10^-14
 
 
 def classes(words: Words) -> np.ndarray:
@@ -128,6 +129,17 @@ def places(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(hashes[at] == wanted, at, -1)
 
 
+def packed(symbols: np.ndarray) -> bytes:
+    """Low 16 bits of all symbols, then their high 8 bits, which are mostly zeros."""
+    return (symbols & 0xFFFF).astype("<u2").tobytes() + (symbols >> 16).astype(np.uint8).tobytes()
+
+
+def unpacked(raw: list[bytes]) -> np.ndarray:
+    """Symbols of many texts, one text after another."""
+    low = np.frombuffer(b"".join([r[: len(r) // 3 * 2] for r in raw]), "<u2").astype(np.int64)
+    return low | np.frombuffer(b"".join([r[len(r) // 3 * 2 :] for r in raw]), np.uint8).astype(np.int64) << 16
+
+
 ENCODED = (
     "doc_id long, held_out boolean, rid long, n_tokens long, n_known long, base double, symbols binary, others array<long>"
 )
@@ -154,7 +166,6 @@ def _encode_rows(shared):
                 known = at >= 0
                 symbol, log = len(hashes) + kind, np.zeros(total)
                 symbol[known], log[known] = symbols[at[known]], np.log10(counts[at[known]] + 1.0)
-                raw = symbol.astype("<u4").tobytes()
                 cuts = np.append(0, np.cumsum(sizes + 1))
                 other_cuts = np.append(0, np.cumsum(np.bincount(doc[~known], minlength=n)))
                 yield pa.RecordBatch.from_arrays(
@@ -165,7 +176,7 @@ def _encode_rows(shared):
                         pa.array(sizes + 1),
                         pa.array(np.bincount(doc[known], minlength=n)),
                         pa.array(np.bincount(doc, weights=log, minlength=n)),
-                        pa.array([raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+                        pa.array([packed(symbol[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(other_cuts.astype(np.int32)), pa.array(found[~known].view(np.int64))),
                     ],
                     names=[c.split()[0] for c in ENCODED.split(", ")],
@@ -190,7 +201,7 @@ def first_model(weights: np.ndarray, states: int = STATES, seed: int = 7) -> Mod
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-Look = Callable[[int, int], np.ndarray]  # emissions of a range of tokens, a row each
+Look = Callable[[np.ndarray], np.ndarray]  # emissions of tokens given by their places, a row each
 
 
 class Rows(NamedTuple):
@@ -224,8 +235,7 @@ def cut_rows(model: Model, look: Look, sizes: np.ndarray) -> Rows:
     rows = Rows(length, number == 0, np.tile(model.start, (len(doc), 1)), np.ones((len(doc), states)))
     for d in np.flatnonzero(long):
         own = np.arange(np.searchsorted(doc, d), np.searchsorted(doc, d, side="right"))
-        begin = int(sizes[:d].sum())
-        matrices = _transfers(model, lambda a, b, begin=begin: look(begin + a, begin + b), length[own])
+        matrices = _transfers(model, look, int(sizes[:d].sum()), length[own])
         for i, m in zip(own[:-1], matrices, strict=False):
             v = rows.before[i] @ m
             rows.before[i + 1] = v / v.sum()
@@ -235,14 +245,14 @@ def cut_rows(model: Model, look: Look, sizes: np.ndarray) -> Rows:
     return rows
 
 
-def _transfers(model: Model, look: Look, length: np.ndarray) -> np.ndarray:
+def _transfers(model: Model, look: Look, begin: int, length: np.ndarray) -> np.ndarray:
     """Matrices of the pieces of one text, up to a factor; the first has no move before it."""
     states, out = len(model.start), []
     many = max(1, CHUNK // PIECE // states)
     for i in range(0, len(length), many):
         some = length[i : i + many]
         seen = np.ones((len(some), PIECE, states))
-        flat = look(i * PIECE, i * PIECE + int(some.sum()))
+        flat = look(begin + i * PIECE + np.arange(some.sum()))
         seen.reshape(-1, states)[: len(flat)] = flat
         matrix = np.broadcast_to(np.eye(states), (len(some), states, states))
         for t in range(PIECE):
@@ -263,7 +273,7 @@ class _Steps(NamedTuple):
     order: np.ndarray
     active: np.ndarray
     begin: np.ndarray
-    at: np.ndarray  # of the tokens in their own order
+    tokens: np.ndarray  # their places in the texts
 
 
 def _steps(length: np.ndarray) -> _Steps:
@@ -273,7 +283,9 @@ def _steps(length: np.ndarray) -> _Steps:
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    return _Steps(order, active, begin, begin[step] + np.repeat(rank, length))
+    tokens = np.empty(len(step), np.int64)
+    tokens[begin[step] + np.repeat(rank, length)] = np.arange(len(step))
+    return _Steps(order, active, begin, tokens)
 
 
 def _forward(model: Model, seen: np.ndarray, steps: _Steps, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,16 +304,15 @@ def _prior(model: Model, rows: Rows, i: int, j: int, order: np.ndarray) -> np.nd
     return np.where(rows.first[i:j, None], rows.before[i:j], rows.before[i:j] @ model.move)[order]
 
 
-def expected_counts(model: Model, look: Look, sizes: np.ndarray, add: Callable[[int, int, np.ndarray], None]):
-    """One E-step over whole texts. ``add`` gets ranges of tokens and the chances of their states;
+def expected_counts(model: Model, look: Look, sizes: np.ndarray, add: Callable[[np.ndarray, np.ndarray], None]):
+    """One E-step over whole texts. ``add`` gets places of tokens and the chances of their states;
     returned are expected transitions, starts of texts, and the log likelihood."""
     states = len(model.start)
     moves, starts, log = np.zeros((states, states)), np.zeros(states), 0.0
     rows = cut_rows(model, look, sizes)
     for i, j, a, b in rows.blocks():
         steps = _steps(rows.length[i:j])
-        seen = np.empty((b - a, states))
-        seen[steps.at] = look(a, b)
+        seen = look(a + steps.tokens)
         alpha, scale = _forward(model, seen, steps, _prior(model, rows, i, j, steps.order))
         log += float(np.log(scale).sum())
         first, before = rows.first[i:j][steps.order], rows.before[i:j][steps.order]
@@ -319,7 +330,7 @@ def expected_counts(model: Model, look: Look, sizes: np.ndarray, add: Callable[[
         moves += alpha[np.arange(n, b - a) - np.repeat(steps.active[:-1], steps.active[1:])].T @ seen[n:]
         moves += before[~first].T @ seen[:n][~first]
         starts += gammas[:n][first].sum(axis=0)
-        add(a, b, gammas[steps.at])
+        add(a + steps.tokens, gammas)
     return moves * model.move, starts, log
 
 
@@ -327,25 +338,23 @@ def log10_likelihood(model: Model, look: Look, sizes: np.ndarray) -> np.ndarray:
     """Exact log10 probability of every text."""
     rows = cut_rows(model, look, sizes)
     logs = np.zeros(len(rows.length))
-    for i, j, a, b in rows.blocks():
+    for i, j, a, _ in rows.blocks():
         steps = _steps(rows.length[i:j])
-        seen = np.empty((b - a, len(model.start)))
-        seen[steps.at] = look(a, b)
-        _, scale = _forward(model, seen, steps, _prior(model, rows, i, j, steps.order))
-        begin = np.cumsum(rows.length[i:j]) - rows.length[i:j]
-        logs[i:j] = np.add.reduceat(np.log10(scale)[steps.at], begin)
+        _, scale = _forward(model, look(a + steps.tokens), steps, _prior(model, rows, i, j, steps.order))
+        row = np.repeat(np.arange(j - i), rows.length[i:j])[steps.tokens]
+        logs[i:j] = np.bincount(row, weights=np.log10(scale), minlength=j - i)
     return np.bincount(np.cumsum(rows.first) - 1, weights=logs, minlength=len(sizes))
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ranges of documents with their symbols and numbers of tokens."""
     raw = batch.column("symbols").to_pylist()
-    sizes = np.array([len(r) // 4 for r in raw], np.int64)
+    sizes = np.array([len(r) // 3 for r in raw], np.int64)
     group = (np.cumsum(sizes) - 1) // CHUNK
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(raw)]
     for i, j in zip(cuts, cuts[1:], strict=False):
         if j > i:
-            yield i, j, np.frombuffer(b"".join(raw[i:j]), "<u4").astype(np.int64), sizes[i:j]
+            yield i, j, unpacked(raw[i:j]), sizes[i:j]
 
 
 def _names(states: int) -> list[str]:
@@ -354,75 +363,71 @@ def _names(states: int) -> list[str]:
 
 def _expect_rows(shared, states: int, apart: bool):
     """Expected counts of one task: rows of symbols, then of states left, the starts
-    and (in the first column) the log likelihood; a null row is a word of hash ``h``
-    beyond the table. Without ``apart`` symbols are tied."""
+    and (in the first column) the log likelihood, with keys from the smallest integer on;
+    any other key is the hash of a word beyond the table. Without ``apart`` symbols are tied."""
 
     def words(parts: list[tuple]) -> tuple:
-        h, n, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+        h, g = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(h, kind="stable")
-        h, n, g = h[order], n[order], g[order]
+        h, g = h[order], g[order]
         new = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, int)
-        return (h[new], np.add.reduceat(n, new), np.add.reduceat(g, new)) if len(new) else (h, n, g)
+        return (h[new], np.add.reduceat(g, new)) if len(new) else (h, g)
 
-    def out(row, h, n, sums) -> pa.RecordBatch:
-        row, h = (pa.array(x) if x is not None else pa.nulls(len(sums), pa.int64()) for x in (row, h))
-        return pa.RecordBatch.from_arrays(
-            [row, h, pa.array(n), *(pa.array(sums[:, s]) for s in range(states))], names=["row", "h", "n", *_names(states)]
-        )
+    def out(key, sums) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(sums[:, s]) for s in range(states))], names=["key", *_names(states)])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, tie = Model(*shared.value[0]), shared.value[1]
         table = len(tie) - CLASSES - 1
         size = len(tie) if apart else len(model.emit)
-        total = np.zeros((size + states + 2, states))
+        total = np.zeros((states, size + states + 2))
         held: list[tuple] = []
         for batch in batches:
             for i, j, symbols, sizes in _parts(batch):
                 tied = tie[symbols]
                 counted = symbols if apart else tied
-                beyond, found = [], []
+                # words beyond the table, in the order of the texts
+                place = np.cumsum(symbols >= table) - 1 if apart else None
+                found = batch.column("others").slice(i, j - i).flatten().to_numpy() if apart else None
 
-                def add(a, b, gammas):
+                def add(tokens, gammas):
+                    own = counted[tokens]
                     for s in range(states):
-                        total[:size, s] += np.bincount(counted[a:b], weights=gammas[:, s], minlength=size)
+                        total[s, :size] += np.bincount(own, weights=gammas[:, s], minlength=size)
                     if apart:
-                        mask = symbols[a:b] >= table
-                        beyond.append(gammas[mask])
-
-                moves, starts, log = expected_counts(model, lambda a, b: model.emit[tied[a:b]], sizes, add)
-                total[size:-2] += moves
-                total[-2] += starts
-                total[-1, 0] += log
-                if apart:
-                    found = batch.column("others").slice(i, j - i).flatten().to_numpy()
-                    held.append(words([(found, np.ones(len(found), np.int64), np.concatenate(beyond))]))
-                    if sum(len(h[0]) for h in held) > FLUSH:
-                        held = [words(held)]
-                        if len(held[0][0]) > FLUSH // 2:
-                            yield out(None, *held[0])
-                            held = []
+                        beyond = own >= table
+                        held.append(words([(found[place[tokens[beyond]]], gammas[beyond])]))
+
+                moves, starts, log = expected_counts(model, lambda tokens: model.emit[tied[tokens]], sizes, add)
+                total[:, size:-2] += moves.T
+                total[:, -2] += starts
+                total[0, -1] += log
+                if sum(len(h[0]) for h in held) > FLUSH:
+                    held[:] = [words(held)]
+                    if len(held[0][0]) > FLUSH // 2:
+                        yield out(*held.pop())
         if held:
-            yield out(None, *words(held))
-        at = np.flatnonzero(total.any(axis=1))
-        yield out(at, None, np.zeros(len(at), np.int64), total[at])
+            yield out(*words(held))
+        at = np.flatnonzero(total.any(axis=0))
+        yield out(FIRST + at, total.T[at])
 
     return rows
 
 
 def _expected(texts: DataFrame, model: Model, tie: np.ndarray, apart: bool) -> DataFrame:
-    """(row, h, n, s0, ...) of one E-step, summed."""
+    """(key, s0, ...) of one E-step, summed."""
     states = len(model.start)
     shared = texts.sparkSession.sparkContext.broadcast((tuple(model), tie))
-    schema = "row long, h long, n long, " + ", ".join(f"{n} double" for n in _names(states))
+    schema = "key long, " + ", ".join(f"{n} double" for n in _names(states))
     counted = texts.select("symbols", *(["others"] if apart else [])).mapInArrow(_expect_rows(shared, states, apart), schema)
-    return counted.groupBy("row", "h").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in _names(states)])
+    return counted.groupBy("key").agg(*[F.sum(n).alias(n) for n in _names(states)])
 
 
 def _totals(rows: DataFrame, size: int, states: int) -> np.ndarray:
     """The counts of symbols, states left, starts and the likelihood: bounded by the table."""
-    got = rows.filter("row is not null").toArrow()
     total = np.zeros((size + states + 2, states))
-    total[got.column("row").to_numpy()] = np.stack([got.column(n).to_numpy() for n in _names(states)], axis=1)
+    got = rows.filter(F.col("key") < FIRST + len(total)).toArrow()
+    total[got.column("key").to_numpy() - FIRST] = np.stack([got.column(n).to_numpy() for n in _names(states)], axis=1)
     return total
 
 
@@ -445,9 +450,9 @@ def baum_welch(
     return model, logs
 
 
-def all_words(texts: DataFrame, words: Vocabulary, model: Model) -> tuple[Model, DataFrame]:
-    """The round that counts all words apart: a model with a row per symbol, and the emissions
-    of the words beyond the table (h, n, s0, ...)."""
+def all_words(texts: DataFrame, words: Vocabulary, model: Model) -> tuple[Model, np.ndarray, DataFrame]:
+    """The round that counts all words apart: a model with a row per symbol, the norm of its
+    emissions, and the expected counts of the words beyond the table (h, s0, ...)."""
     states = len(model.start)
     rows = stored(_expected(texts, model, words.tie, True), "expected")
     total = _totals(rows, len(words.tie), states)
@@ -457,35 +462,29 @@ def all_words(texts: DataFrame, words: Vocabulary, model: Model) -> tuple[Model,
     counts = total[:size].copy()
     counts[len(words.hashes) :] = 0
     emit = (counts + (1 / states + states * words.weights / words.total)[:, None]) / norm
-    beyond = rows.filter("h is not null").select(
-        "h",
-        "n",
-        *[
-            ((F.col(c) + 1 / states + states * (F.col("n") + 1) / words.total) / float(norm[s])).alias(c)
-            for s, c in enumerate(_names(states))
-        ],
-    )
-    return Model(*_chances(total, states), emit), beyond
+    beyond = rows.filter(F.col("key") >= FIRST + len(total)).withColumnRenamed("key", "h")
+    return Model(*_chances(total, states), emit), norm, beyond
 
 
 def _score_rows(shared, states: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
+        model, norm, weight = Model(*shared.value[0]), *shared.value[1:]
         table = len(model.emit) - CLASSES - 1
         for batch in batches:
             n_known, base, score = (np.zeros(batch.num_rows) for _ in range(3))
             for i, j, symbols, sizes in _parts(batch):
                 joined = batch.column("beyond").slice(i, j - i).flatten()
                 h, first = np.unique(joined.field("h").to_numpy(), return_index=True)
-                n = joined.field("n").to_numpy()[first]
                 emit = np.stack([joined.field(c).to_numpy()[first] for c in _names(states)], axis=1)
+                n = np.rint(emit.sum(axis=1))  # the states of a word sum to its count
+                emit = (emit + (1 / states + states * (n + 1) / weight)[:, None]) / norm
                 # a word beyond the table has a row after the model's if it was seen
                 place = np.flatnonzero(symbols >= table)
                 at = places(h, batch.column("others").slice(i, j - i).flatten().to_numpy())
                 place, at = place[at >= 0], at[at >= 0]
                 symbols[place] = len(model.emit) + at
                 every = np.concatenate([model.emit, emit])
-                score[i:j] = log10_likelihood(model, lambda a, b: every[symbols[a:b]], sizes)
+                score[i:j] = log10_likelihood(model, lambda tokens: every[symbols[tokens]], sizes)
                 doc = np.repeat(np.arange(j - i), sizes)[place]
                 n_known[i:j] = np.bincount(doc, minlength=j - i)
                 base[i:j] = np.bincount(doc, weights=np.log10(n[at] + 1.0), minlength=j - i)
@@ -528,10 +527,10 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     encoded = stored(docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_encode_rows(shared), ENCODED), "encoded")
     train = encoded.filter("not held_out")
     tied, _ = baum_welch(train, words.tie, words.tied_weights, words.tied_units, max(rounds, 1) - 1)
-    model, beyond = all_words(train, words, tied)
+    model, norms, beyond = all_words(train, words, tied)
 
-    # words beyond the table: counts and emissions come through a join, once per document and word
-    names = ["h", "n", *_names(STATES)]
+    # words beyond the table: their expected counts come through a join, once per document and word
+    names = ["h", *_names(STATES)]
     joined = (
         encoded.select("rid", F.explode(F.array_distinct("others")).alias("h"))
         .join(beyond, "h")
@@ -542,7 +541,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         encoded.join(joined, "rid", "left")
         .select(*SCORED, "symbols", "others", "beyond")
         .mapInArrow(
-            _score_rows(spark.sparkContext.broadcast(tuple(model)), STATES),
+            _score_rows(spark.sparkContext.broadcast((tuple(model), norms, words.total)), STATES),
             "doc_id long, held_out boolean, n_tokens long, n_known long, base double, more_known long, more double, score double",
         )
     )
