@@ -25,7 +25,7 @@ Tokens are compared by 56 bits of a 64-bit hash. Defined results: a null text ha
 no lines; an empty text has one blank line; rows with the same doc_id and text
 are one document and get the same result; rows with one doc_id and other texts are
 ordered by a hash of the text; null doc_ids come last; an empty table gives an empty
-result; other columns stay as they are.
+result; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.llm.tables import stored
+from prefloom.llm.tables import drop, free_name, stored
 from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
@@ -230,7 +230,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before."""
+    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before, stored."""
     pairs = pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct()
     # a longer signature tells most pairs apart that the short one let through
     signs = firsts.select("id", "n", *SIGNS)
@@ -248,17 +248,22 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: f
     texts = texts.filter(_marked(wanted, _line_key(F.col("rid"), F.col("line"))))
     found = wanted.join(texts, ["rid", "line"]).select("id", *ORDER, "text")
     # equal rows bring a line again: any of them will do
-    found = stored(found.mapInArrow(_word_rows, "id long, doc long, line int, rid long, words array<long>"), "tokens").dropDuplicates(["id"])
+    tokens = stored(found.mapInArrow(_word_rows, "id long, doc long, line int, rid long, words array<long>"), "tokens")
+    drop(wanted)
+    found = tokens.dropDuplicates(["id"])
     x, y = found.alias("x"), found.alias("y")
     both = pairs.join(x, F.col("ia") == F.col("x.id")).join(y, F.col("ib") == F.col("y.id"))
     shared = F.size(F.array_intersect("x.words", "y.words"))
     similar = both.filter(shared >= (F.size("x.words") + F.size("y.words") - shared) * threshold - 1e-9)
     x_first = F.struct("x.doc", "x.line", "x.rid") < F.struct("y.doc", "y.line", "y.rid")
-    return similar.select(F.when(x_first, F.col("ib")).otherwise(F.col("ia")).alias("id")).distinct()
+    later = stored(similar.select(F.when(x_first, F.col("ib")).otherwise(F.col("ia")).alias("id")).distinct(), "settled")
+    drop(pairs, tokens)
+    return later
 
 
-def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(rid, line) of every line to remove; ``rid`` hashes doc_id and text."""
+def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(rid, removed): the numbers of the lines to remove, stored; ``rid`` hashes doc_id
+    and text."""
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs))
     lines = stored(_named(docs).mapInArrow(_line_rows(shared, threshold), LINES), "lines")
     firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", *SIGNS, "head")).alias("first")).select("k", "k2", "first.*")
@@ -269,9 +274,9 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     dealt = dealt.select("token", "id", "marks", "n", F.col("place").cast("long").alias("place"))
     by_size = dealt.repartition("token").sortWithinPartitions("token", "n", "place", "id")
     seen = stored(by_size.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")
-    done = stored(_verified(docs, firsts, seen.filter("a is not null").select("a", "b"), threshold), "settled")
+    done = _verified(docs, firsts, seen.filter("a is not null").select("a", "b"), threshold)
 
-    rest = seen.filter("a is null").select(*COLUMNS).distinct()
+    rest = seen.filter("a is null").select(*COLUMNS)
     # of two lines the later one must be open
     x, y = rest.join(done, "id", "left_anti").alias("x"), rest.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
@@ -284,29 +289,31 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         & (F.least(n - F.col("x.place"), m - F.col("y.place")) >= need)
         & (F.bit_count(F.col("x.marks").bitwiseXOR(F.col("y.marks"))) <= n + m - 2 * need),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    done = done.union(_verified(docs, firsts, pairs, threshold)).distinct()
+    more = _verified(docs, firsts, pairs, threshold)
+    drop(seen)
+    both = done.union(more).distinct()
 
     # every line but the first of its set, and the first too where a similar one comes before
     first = firsts.select("k", "k2", "id", *[F.col(c).alias(f"first_{c}") for c in ORDER])
-    later = first.join(done.withColumn("gone", F.lit(True)), "id", "left").drop("id")
-    return (
+    later = first.join(both.withColumn("gone", F.lit(True)), "id", "left").drop("id")
+    repeated = (
         lines.select(*ORDER, "k", "k2")
         .join(later, ["k", "k2"])
         .filter("gone or doc <> first_doc or line <> first_line or rid <> first_rid")
         .select("rid", "line")
         .distinct()
     )
-
-
-def _removed(docs: DataFrame, threshold: float) -> DataFrame:
-    return repeated_lines(docs, threshold).groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    # a document's lines, as they were in one row
+    removed = stored(repeated.groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed")), "removed")
+    drop(lines, firsts, done, more)
+    return removed
 
 
 def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_lines, n_removed and the numbers of the removed lines (from 0) of
     every document."""
     sizes = docs.select("doc_id", _rid().alias("rid"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    return sizes.join(_removed(docs, threshold), "rid", "left").select(
+    return sizes.join(removed_lines(docs, threshold), "rid", "left").select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
@@ -317,10 +324,11 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def remove_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without the removed lines, all columns as given. A document
     that loses all its lines with words goes; one that had none stays."""
-    columns = docs.columns
-    rows = docs.withColumn("_rid", _rid()).join(_removed(docs, threshold).withColumnRenamed("rid", "_rid").withColumnRenamed("removed", "_removed"), "_rid", "left")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i))
+    columns, rid, gone = docs.columns, free_name(docs, "_rid"), free_name(docs, "_removed")
+    removed = removed_lines(docs, threshold).select(F.col("rid").alias(rid), F.col("removed").alias(gone))
+    rows = docs.withColumn(rid, _rid()).join(removed, rid, "left")
+    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(gone, i))
     empty = F.forall(kept, lambda line: F.length(F.btrim(line, F.lit(SPACE))) == 0)
-    rows = rows.filter(F.col("_removed").isNull() | ~empty)
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    rows = rows.filter(F.col(gone).isNull() | ~empty)
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.withColumn("text", text).select(*columns)

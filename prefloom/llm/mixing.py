@@ -20,7 +20,8 @@ the digest, blocks are summed per source.
 Defined results: a null text has size 0; documents of size 0 take nothing and have
 no position; a null source is a source; a null doc_id is a value like any other;
 equal doc_ids are ordered by size; an empty table gives an empty result. Other
-columns are carried along.
+columns are carried along, whatever their names; in a plan, a given column with the name of a
+result (source_size, target, taken, positions) gives way to it.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SLOPES = (-0.5, 0.0, 0.5)  # low weights fade out, high weights fade in
 MOST = 3
 BLOCK_ROWS = 20_000
 STEPS = 1_000_000  # positions are in millionths of the training
+OWN = ("doc_id", "source", "size")
+RESULTS = ("source_size", "target", "taken", "positions")
 
 
 def size_of(text: str = "text") -> Column:
@@ -80,7 +83,10 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: Sequence
     # one block for every BLOCK_ROWS rows, in steps of 16: leading digits of the digest
     digits = min(15, max(0, math.ceil(math.log(max(1, docs.count() / BLOCK_ROWS), 16))))
     order = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    dealt = docs.withColumn("_order", order).withColumn("_block", F.shiftright("_order", 4 * (15 - digits)))
+    given = [c for c in docs.columns if c not in RESULTS]
+    others = {c: f"_given{i}" for i, c in enumerate(given) if c not in OWN}
+    numbers = docs.select(*OWN, *[F.col(c).alias(name) for c, name in others.items()])
+    dealt = numbers.withColumn("_order", order).withColumn("_block", F.shiftright("_order", 4 * (15 - digits)))
     blocks = dealt.groupBy("source", "_block").agg(F.sum("size").alias("_size"))
     earlier = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
@@ -102,7 +108,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: Sequence
     taken = [F.least(F.greatest(demand - begin, F.lit(0)), F.col("size")) for begin in begins]
     positions = [F.when(part > 0, _position(begin)) for part, begin in zip(taken, begins, strict=True)]
     return placed.select(
-        *docs.columns,
+        *[F.col(others.get(c, c)).alias(c) for c in given],
         "source_size",
         "target",
         sum(taken, F.lit(0)).cast("long").alias("taken"),

@@ -28,13 +28,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefloom.llm.tables import components, per_group, stored
+from prefloom.llm.tables import components, drop, free_name, per_group, stored
 from prefloom.llm.words import ODD, mix, shingles, slices, split_words
 
 SHINGLE = 5
@@ -163,7 +164,7 @@ def _bucket_links(threshold: float):
 
 
 def candidate_links(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Links (a, b) whose components hold every pair of similar sets (id, sketch)."""
+    """Links (a, b) whose components hold every pair of similar sets (id, sketch), stored."""
     level = stored(
         sets.select("id", "sketch").mapInArrow(_first_level(runs_needed(recall, DEPTH), threshold), "path long, id long"), "paths"
     )
@@ -173,18 +174,19 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD, recall: float
         small = level.join(sizes.filter(F.col("n") <= SMALL).select("path"), "path")
         brief = F.expr(f"unhex(array_join(transform(sequence(0, {COORDINATES - 1}), i -> hex(substring(sketch, 4 * i + 1, 1))), ''))")
         members = small.join(sets.select("id", brief.alias("brief")), "id")
-        found.append(per_group(members, ["path"], _bucket_links(threshold), "a long, b long").distinct())
+        found.append(stored(per_group(members, ["path"], _bucket_links(threshold), "a long, b long").distinct(), "links"))
         large = level.join(sizes.filter(F.col("n") > SMALL).select("path", "least"), "path")
         if depth == DEPTH:
-            found.append(large.filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct())
+            found.append(stored(large.filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct(), "links"))
+            drop(level, sizes)
         else:
-            level = stored(
+            last, level = level, stored(
                 large.select("path", "id").join(sets.select("id", "sketch"), "id").mapInArrow(_next_level(threshold), "path long, id long"),
                 "paths",
             )
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
+            drop(last, sizes)
+    links = stored(reduce(DataFrame.union, found).distinct(), "candidates")
+    drop(*found)
     return links
 
 
@@ -232,7 +234,7 @@ def _verify(threshold: float):
 
 
 def near_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(doc_id, rid, class_id, class_rid, n_links) of every document; ``rid``
+    """(doc_id, rid, class_id, class_rid, n_links) of every document, stored; ``rid``
     hashes doc_id and text, class_id and class_rid name the first document of the class."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), "text")
     rows = stored(docs.mapInArrow(_set_rows, SETS), "sets")
@@ -244,7 +246,9 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         .withColumn("id", F.monotonically_increasing_id()),
         "distinct",
     )
-    clusters = stored(components(candidate_links(sets, threshold, recall)), "clusters")
+    candidates = candidate_links(sets, threshold, recall)
+    clusters = components(candidates)
+    drop(candidates)
     # blocks of a cluster by hash: as many as its sets and shingles need
     members = clusters.join(sets.select("id", "copies", "size", "least"), "id")
     parts = members.groupBy("component").agg(
@@ -260,8 +264,9 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     blocks = blocks.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     linked = stored(per_group(blocks, ["cluster", "low", "high"], _verify(threshold), "id long, links long, root long"), "linked")
 
-    classes = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    classes = classes.join(sets.select("id", "least"), "id")
+    drop(clusters)
+    stars = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    classes = stars.join(sets.select("id", "least"), "id")
     named = classes.groupBy("component").agg(F.min("least").alias("first"))
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     found = (
@@ -271,19 +276,22 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         .select("k1", "k2", F.coalesce("first", "least").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     last = F.lit((1 << 63) - 1)
-    return rows.select("doc_id", "rid", "k1", "k2", "size").join(found, ["k1", "k2"], "left").select(
+    result = rows.select("doc_id", "rid", "k1", "k2", "size").join(found, ["k1", "k2"], "left").select(
         "doc_id",
         "rid",
         F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.nullif(F.col("first.doc"), last)).alias("class_id"),
         F.when(F.col("size") == 0, F.col("rid")).otherwise(F.col("first.rid")).alias("class_rid"),
         F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
     )
+    result = stored(result, "classes")
+    drop(rows, sets, linked, stars)
+    return result
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The first document of every class, all columns as given. Documents without
     words all stay, unless they are the same row again."""
-    columns = docs.columns
-    first = near_documents(docs, threshold).filter("rid = class_rid").select(F.col("rid").alias("_rid")).distinct()
-    rows = docs.withColumn("_rid", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
-    return rows.join(first, "_rid").dropDuplicates(["_rid"]).select(*columns)
+    columns, rid = docs.columns, free_name(docs, "_rid")
+    first = near_documents(docs, threshold).filter("rid = class_rid").select(F.col("rid").alias(rid)).distinct()
+    rows = docs.withColumn(rid, F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+    return rows.join(first, rid).dropDuplicates([rid]).select(*columns)

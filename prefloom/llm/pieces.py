@@ -323,7 +323,7 @@ def _trace_rows(shared):
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with the ids of the pieces of ``text`` in a column ``ids``."""
+    """``docs`` with the ids of the pieces of ``text`` in a column ``ids``, which replaces a given one."""
     columns = [c for c in docs.columns if c != "ids"]
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), F.col("text").alias("_text"))

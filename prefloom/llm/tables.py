@@ -10,15 +10,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.session import scratch_folder
+from prefloom.sources.records import delete_path
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage,
-    survives lost executors and is computed once however often it is used."""
+    survives lost executors and is computed once however often it is used. What was
+    shuffled for it goes as soon as it is written."""
     spark = df.sparkSession
     folder = scratch_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(folder)
+    table.scratch_path = folder
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that no result still to be computed reads."""
+    for table in tables:
+        delete_path(table.sparkSession, table.scratch_path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until it is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def most_frequent(counts: DataFrame, keep: int, *ties: str) -> DataFrame:
@@ -38,36 +64,51 @@ def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b: any orderable type, never null).
 
     Returns (id, component) with the smallest id reachable, for every id that has
-    a link to another. Alternating large and small stars: each round replaces
-    links by links to smaller ids, so the number of links never grows, a hub's
-    links stay spread over tasks (its smallest neighbour comes from partial
-    aggregation, the join is split where skewed), and rounds grow with the
-    logarithm of the longest chain. Every round is stored.
+    a link to another; ``drop`` frees it. Alternating large and small stars: each round replaces
+    links by links to smaller ids, so the number of links never grows, and rounds grow with
+    the logarithm of the longest chain. The links of a hub stay where they are: its
+    smallest neighbour comes from partial aggregation and is broadcast. Every round is stored.
     """
     links = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
-    before = None
+    before, n = None, links.count()
     while True:
-        links = stored(_small_star(_large_star(links)), "links")
+        last, links = links, stored(_small_star(_large_star(links, n), n), "links")
+        drop(last)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     # stable: every id but the smallest points at the smallest of its component
-    return links.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
+    found = links.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
+    found.scratch_path = links.scratch_path
+    return found
+
+
+HUBS = 20_000
+
+
+def _with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """``rows`` (a, b) with m of ``least`` (a, m, n). Ids with more than a share of
+    1 / HUBS of about ``n`` links, of which there can be some HUBS only, are broadcast."""
+    hub = F.col("n") * HUBS > 2 * n
+    hubs = least.filter(hub).select("a", "m")
+    at_hubs = rows.join(F.broadcast(hubs), "a")
+    others = rows.join(F.broadcast(hubs.select("a")), "a", "left_anti").join(least.filter(~hub).select("a", "m"), "a")
+    return at_hubs.union(others)
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return _with_least(both.filter("b > a"), least, n).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n: int) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_least(down, least, n).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
