@@ -78,3 +78,9 @@ def test_chunks_do_not_change_the_result(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got == {i: ",".join(map(str, g)) for (i, _), g in brute(rows).items()}
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c", 5, "r", [1], 7), (2, "a b c\nd", 6, "q", [2], 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rid int, rid string, _removed array<int>, line int")
+    assert sorted(map(tuple, lines.remove_lines(df).collect())) == [rows[0], (2, "d", 6, "q", [2], 8)]

@@ -84,3 +84,12 @@ def test_whole_documents(spark):
     assert {tuple(r) for r in out.collect()} <= {tuple(r[:3]) for r in rows}
     assert mixing.mixed(df.limit(0)).count() == 0
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(i, "ab"[i % 2], 1 + i % 4, 7, i * 10, f"x{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, target int, _block int, _order string")
+    got = mixing.plan_mix(df).collect()
+    assert sorted((r.doc_id, r._block, r._order) for r in got) == [(r[0], r[4], r[5]) for r in rows]
+    plain = {r.doc_id: (r.target, r.taken) for r in mixing.plan_mix(df.select("doc_id", "source", "size")).collect()}
+    assert {r.doc_id: (r.target, r.taken) for r in got} == plain

@@ -1,11 +1,12 @@
 """Classes and links against a comparison of all documents."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from prefloom.llm import near
+from prefloom.llm import near, tables
 
 SCHEMA = "doc_id long, text string, rid string, id int"
 
@@ -79,3 +80,27 @@ def test_sketches_and_runs():
     assert values.shape == (2, near.COORDINATES)
     assert abs((values[0] == values[1]).mean() - 700 / 900) < 0.2
     assert near.runs_needed(0.9995, 4) > near.runs_needed(0.99, 4) > near.runs_needed(0.99, 1)
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c", 5, "r", 7), (2, "a b c", 6, "q", 8), (3, "d", 9, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rid int, rid string, id int")
+    assert sorted(map(tuple, near.keep_first(df).collect())) == [rows[0], rows[2]]
+
+
+def test_components_with_and_without_hubs(spark, monkeypatch):
+    links = [(0, i) for i in range(1, 40)] + [(50, 51), (52, 51), (53, 52), (60, 60)]
+    df = spark.createDataFrame(links, "a long, b long")
+    expected = {**{i: 0 for i in range(40)}, **{i: 50 for i in range(50, 54)}}
+    for hubs in (20_000, 3, 0):
+        monkeypatch.setattr(tables, "HUBS", hubs)
+        assert {r.id: r.component for r in tables.components(df).collect()} == expected
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark, monkeypatch):
+    made = []
+    write = tables.scratch_folder
+    monkeypatch.setattr(tables, "scratch_folder", lambda s, name: made.append(write(s, name)) or made[-1])
+    df = spark.createDataFrame([(i, f"a b c d e f {i % 3}") for i in range(9)], "doc_id long, text string")
+    assert near.keep_first(df).count() == 3
+    assert [Path(f).name.split("-")[0] for f in made if Path(f).exists()] == ["classes"]
