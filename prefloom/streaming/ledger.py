@@ -28,6 +28,7 @@ from prefloom.operators.preference import instruction_key, parse_rankings, with_
 from prefloom.sources import shared
 
 SEED = 42
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FLUSH_ROWS = 256  # replies in one segment: what a lost attempt costs at most
 ARROW_REPLY = pa.schema(
     [("key", pa.string()), ("seed", pa.int64()), ("reply", pa.string()), ("status", pa.string()), ("segment", pa.string())]
@@ -61,10 +62,13 @@ def answered_by(
 
     written: list[int] = []
     for batch in batches:
-        rows = zip(*(batch[c].to_pylist() for c in ("key", "seed", "prompt")))
-        rows = [r for r in rows if r[:2] not in done]
-        for start in range(0, len(rows), batch_size):
-            keys, seeds, prompts = zip(*rows[start : start + batch_size])
+        # the texts of one call at a time, however many rows come at once
+        names = list(zip(batch["key"].to_pylist(), batch["seed"].to_pylist()))
+        open_rows = [i for i, name in enumerate(names) if name not in done]
+        for start in range(0, len(open_rows), batch_size):
+            own = open_rows[start : start + batch_size]
+            keys, seeds = zip(*(names[i] for i in own))
+            prompts = tuple(batch["prompt"][i].as_py() for i in own)
             replies = ask(responder, prompts, seeds)
             held += [(k, s, *r) for k, s, r in zip(keys, seeds, replies)]
             if len(held) >= flush_rows:
@@ -95,7 +99,15 @@ def record_replies(
             yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
     counts = asked.select("key", "seed", "prompt").mapInArrow(work, "n bigint")
-    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).first()[0]
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint"))
+    # prompts are long: a task holds those of one call, not 10,000
+    spark = asked.sparkSession
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(batch_size))
+    try:
+        return total.first()[0]
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def read_replies(spark: SparkSession, ledger: str) -> DataFrame:

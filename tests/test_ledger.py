@@ -128,3 +128,23 @@ def test_a_half_written_segment_is_not_seen(spark, tmp_path):
     (part / "_half").write_bytes(b"PAR1")
     assert ledger.read_replies(spark, folder).count() == 3
     (part / "_half").unlink()
+
+
+def test_a_task_holds_the_prompts_of_one_call(spark, tmp_path, monkeypatch):
+    sizes = str(tmp_path / "sizes")
+    plain = ledger.answered_by
+
+    def watched(batches, *args):
+        def seen():
+            for batch in batches:
+                with open(sizes, "a") as f:
+                    f.write(f"{batch.num_rows}\n")
+                yield batch
+
+        return plain(seen(), *args)
+
+    monkeypatch.setattr(ledger, "answered_by", watched)
+    before = spark.conf.get(ledger.ARROW_ROWS)
+    came = ledger.rank_recorded(candidates(spark, 50), str(tmp_path / "ledger"), 0, make(always), partitions=1, batch_size=8)
+    assert came == 50 and spark.conf.get(ledger.ARROW_ROWS) == before
+    assert max(map(int, Path(sizes).read_text().split())) == 8
