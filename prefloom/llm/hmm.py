@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefloom.llm.folds import remainder
-from prefloom.llm.tables import most_frequent, stored
+from prefloom.llm.tables import drop, most_frequent, stored
 from prefloom.llm.words import Words, slices, split_words
 
 STATES = 6
@@ -514,6 +514,7 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
     end = counts.filter(F.col("h") == int(np.array([END], np.uint64).view(np.int64)[0])).toArrow()
     if end.num_rows and not pc.is_in(end["h"], table["h"].combine_chunks())[0].as_py():
         table = pa.concat_tables([table, end.select(table.column_names).cast(table.schema)])
+    drop(counts)
     return Vocabulary(table, words, tokens)
 
 

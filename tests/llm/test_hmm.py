@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -11,6 +12,7 @@ import pytest
 
 from prefloom.llm import hmm
 from prefloom.llm.queries import QUERIES
+from prefloom.llm.tables import stored
 
 
 def tokens(text):
@@ -259,3 +261,13 @@ def test_an_end_rarer_than_the_table_is_known(spark, monkeypatch):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(count[w] > 0 for w in tokens), total)
         base = sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in tokens)
         assert abs(r.base_score - base) < 1e-6 and r.n_known == want[r.doc_id][3]
+
+
+def test_word_counts_go_once_read(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(hmm, "stored", lambda df, name: made.append((name, stored(df, name))) or made[-1][1])
+    df = spark.createDataFrame([(i, f"a b{i} c") for i in range(20)], "doc_id long, text string")
+    scored = hmm.score_texts(df)
+    left = [name for name, table in made if os.path.exists(table.scratch_path)]
+    assert left == ["encoded", "expected"]  # which the result reads
+    assert scored.count() == 20
