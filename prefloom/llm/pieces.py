@@ -15,7 +15,8 @@ next. Matrices combine associatively, so a giant text is encoded in chunks:
 Among equal sums the first piece is the longest possible, which does not depend on
 how the text is cut. Scores are integers (multiples of 2**-20 where the model has fractions),
 so sums are exact in any order. No piece runs across a place where a
-word begins if the vocabulary has none such; the stretches between are encoded once per task.
+word begins if the vocabulary has none such; of the stretches between, equal ones of a few
+texts are encoded once, and all short ones side by side in numpy, by their distance from the end.
 
 The model file is read on the driver and its pieces are broadcast: they are as many as the
 vocabulary has. A file of the merge kind is used by its pieces and scores, as the
@@ -31,25 +32,71 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefloom.llm.tables import per_group, stored
-from prefloom.llm.words import slices
+from prefloom.llm.words import mix, powers, ranges, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65_536
 CHUNKS_PER_TASK = 16
 REMEMBERED = 200_000  # stretches a task keeps the pieces of
+TOGETHER = 64  # characters of the longest stretches that are encoded side by side
 SPACE = "▁"
 NONE = -(1 << 62)
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6  # fixed values: piece types of the model file
 
 
+class Trie:
+    """The pieces by their characters, in arrays: from node ``n`` the character ``c`` leads to
+    ``go[n] + code[c]`` if ``came`` says there that it comes from ``n``."""
+
+    def __init__(self, begins: dict[str, int | None], ids: dict[str, int]):
+        alphabet = sorted({c for p in begins for c in p})
+        self.code = np.zeros(max(map(ord, alphabet), default=0) + 2, np.int32)  # 0: in no piece
+        self.code[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        code = {c: i for i, c in enumerate(alphabet, 1)}
+        children: dict[str, list[str]] = {}
+        for p in begins:
+            children.setdefault(p[:-1], []).append(p)
+        used = np.zeros(len(begins) + len(alphabet) + 1024, bool)
+        used[0] = True
+        base_of, place, low = {}, {"": 0}, 1
+        # large families first within a level, each at the first place where it fits
+        for parent in sorted(children, key=lambda p: (len(p), -len(children[p]), p)):
+            codes = np.array([code[p[-1]] for p in children[parent]])
+            while low < len(used) and used[low]:
+                low += 1
+            base, at = -1, max(low, int(codes.min()))
+            while base < 0:
+                if at + 512 + len(alphabet) > len(used):
+                    used = np.append(used, np.zeros(len(used) + at + 512 + len(alphabet), bool))
+                free = np.flatnonzero(~used[at : at + 512]) + at - codes.min()
+                fits = ~used[free[:, None] + codes].any(axis=1)
+                base, at = int(free[fits.argmax()]) if fits.any() else -1, at + 512
+            used[base + codes] = True
+            base_of[parent] = base
+            for p, c in zip(children[parent], codes.tolist(), strict=True):
+                place[p] = base + c
+        room = max(base_of.values(), default=0) + len(alphabet) + 1
+        self.go, self.came = np.zeros(room, np.int32), np.full(room, -1, np.int32)
+        for parent, family in children.items():
+            self.go[place[parent]] = base_of[parent]
+            self.came[[place[p] for p in family]] = place[parent]
+        self.score = np.full(room, NONE, np.int64)
+        self.id = np.full(room, -1, np.int32)
+        for p, n in place.items():
+            if begins.get(p) is not None:
+                self.score[n], self.id[n] = begins[p], ids[p]
+
+
 class Vocabulary:
     """Pieces, their integer scores and ids, and what an unknown character becomes."""
 
@@ -152,6 +199,126 @@ class Vocabulary:
         best = self.gains(text, [0], len(text))
         return self.trace(text, best, 0, len(text))[0]
 
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie(self.begins, self.ids)
+
+    def _side_by_side(self, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the stretches points[first : first + size] one after another, and how many each has:
+        ``gains`` and ``trace`` of all stretches at once, by the distance from their ends."""
+        trie, n = self.trie, len(size)
+        order = np.argsort(-size, kind="stable")
+        size, first = size[order], first[order]
+        longest = int(size[0]) if n else 0
+        # place begin[d] + k is the character d before the end of stretch k
+        live = np.searchsorted(-size, -np.arange(1, longest + 1), side="right")
+        begin = np.concatenate([[0, 0], np.cumsum(live)])
+        far = np.repeat(np.arange(1, longest + 1), live)
+        own = np.arange(begin[-1]) - begin[far]
+        text = points[first[own] + size[own] - far]
+        code = trie.code[np.minimum(text, len(trie.code) - 1)]
+        best, step, piece = np.full(len(text), NONE, np.int64), np.ones(len(text), np.int64), np.full(len(text), -1, np.int32)
+        edges = []
+        d, k, node = far, own, np.zeros(len(far), np.int32)
+        for length in range(1, min(self.reach, longest) + 1):
+            to = trie.go[node] + code[begin[d - length + 1] + k]
+            found = trie.came[to] == node
+            if length == 1:
+                s, name = np.where(found, trie.score[to], NONE), trie.id[to]
+                known = s > NONE
+                edges.append((d, k, np.where(known, s, self.unknown), np.where(known, name, np.int32(-1))))
+            d, k, node = d[found], k[found], to[found]
+            if length > 1:
+                some = trie.score[node] > NONE
+                edges.append((d[some], k[some], trie.score[node[some]], trie.id[node[some]]))
+            more = d > length
+            d, k, node = d[more], k[more], node[more]
+        cuts = [np.searchsorted(e[0], np.arange(1, longest + 2)) for e in edges]
+        for d in range(1, longest + 1):
+            at = begin[d]
+            for length in range(1, min(len(edges), d) + 1):
+                a, b = cuts[length - 1][d - 1], cuts[length - 1][d]
+                if a == b:
+                    continue
+                _, k, s, name = (x[a:b] for x in edges[length - 1])
+                sums = s + best[begin[d - length] + k] if length < d else s
+                # of equal sums the longest piece
+                top = sums >= best[at + k]
+                here = at + k[top]
+                best[here], step[here], piece[here] = sums[top], length, name[top]
+        # characters without a piece become their bytes
+        others, which = np.unique(text[piece < 0], return_inverse=True)
+        spelled = [[self.bytes[b] for b in chr(c).encode()] if self.bytes else [self.unknown_id] for c in others.tolist()]
+        width = np.ones(len(text), np.int64)
+        width[piece < 0] = np.array([len(x) for x in spelled], np.int64)[which] if len(others) else 1
+        passed, d, k = [], size.copy(), np.arange(n)
+        total = np.zeros(n, np.int64)
+        while len(k):
+            here = begin[d] + k
+            passed.append((here, k, total[k]))
+            total[k] += width[here]
+            d = d - step[here]
+            k, d = k[d > 0], d[d > 0]
+        count = np.empty(n, np.int64)
+        count[order] = total
+        starts = (np.cumsum(count) - count)[order]
+        ids, number = np.empty(int(count.sum()), np.int32), np.full(len(text), -1, np.int64)
+        number[piece < 0] = which
+        for here, k, before in passed:
+            to = starts[k] + before
+            ids[to] = piece[here]
+            for j in np.flatnonzero(piece[here] < 0).tolist():
+                spelling = spelled[number[here[j]]]
+                ids[to[j] : to[j] + len(spelling)] = spelling
+        return ids, count
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all prepared texts one after another, and where each text's begin."""
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum([0, *map(len, texts)])
+        start = np.zeros(len(points) + 1, bool)
+        start[ends] = True
+        if self.stretch:
+            space, line = points == ord(SPACE), points == 10
+            start[:-1] |= line
+            start[1:-1] |= line[:-1] | (space[1:] & ~space[:-1])
+        cuts = np.flatnonzero(start)
+        first, size = cuts[:-1], np.diff(cuts)
+        # equal stretches once; a hash finds them, the characters decide
+        place = np.arange(len(points)) - np.repeat(first, size)
+        terms = mix(points.astype(np.uint64) + np.uint64(1)) * powers(int(size.max(initial=0)))[place]
+        hashes = np.add.reduceat(terms, first) if len(first) else np.zeros(0, np.uint64)
+        _, one, same = np.unique(hashes, return_index=True, return_inverse=True)
+        like = first[one][same]
+        if (size[one][same] != size).any() or (points[np.repeat(like, size) + place] != points).any():
+            one = same = np.arange(len(first))
+        short = size[one] <= TOGETHER
+        ids, few = self._side_by_side(points, first[one][short], size[one][short])
+        long = [self.known(points[a : a + n].tobytes().decode("utf-32-le"))[0] for a, n in zip(first[one][~short], size[one][~short], strict=True)]
+        count = np.zeros(len(one), np.int64)
+        count[short], count[~short] = few, [len(x) for x in long]
+        begin = np.zeros(len(one), np.int64)
+        begin[short] = np.cumsum(few) - few
+        begin[~short] = len(ids) + np.cumsum(count[~short]) - count[~short]
+        ids = np.concatenate([ids, *(np.array(x, np.int32) for x in long)])
+        upto = np.concatenate([[0], np.cumsum(count[same])])
+        return ids[ranges(begin[same], count[same])], upto[np.searchsorted(cuts, ends)]
+
+    def decode_all(self, ids: pa.ListArray) -> list[str]:
+        """The texts of lists of ids; null lists are empty."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        data, first, size = self._surfaces
+        lists = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+        upto = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], lists])].tolist()
+        raw = data[ranges(first[flat], size[flat])].tobytes()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(upto, upto[1:], strict=False)]
+        return [t[1:] if t.startswith(" ") else t for t in texts] if self.dummy_prefix else texts
+
+    @cached_property
+    def _surfaces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.array([len(s) for s in self.surface], np.int64)
+        return np.frombuffer(b"".join(self.surface), np.uint8), np.cumsum(size) - size, size
+
     def matrix(self, core: str, ahead: str) -> np.ndarray:
         """Best scores from every state at the start of ``core`` to every state at its end;
         pieces may run into ``ahead``."""
@@ -205,16 +372,10 @@ def _short_rows(shared):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
-        known, memory, find = vocabulary.known, vocabulary.memory, vocabulary.stretches
         for whole in batches:
             for batch in slices(whole, "_text"):
-                flat: list[int] = []
-                cuts = [0]
-                for text in batch.column("_text").to_pylist():
-                    for s in find(vocabulary.prepared(text or "")):
-                        flat += (memory.get(s) or known(s))[0]
-                    cuts.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
+                flat, cuts = vocabulary.encode_all([vocabulary.prepared(t or "") for t in batch.column("_text").to_pylist()])
+                ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], names=["_row", "ids"])
 
     return rows
@@ -325,6 +486,7 @@ def _trace_rows(shared):
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) -> DataFrame:
     """``docs`` with the ids of the pieces of ``text`` in a column ``ids``, which replaces a given one."""
     columns = [c for c in docs.columns if c != "ids"]
+    vocabulary.trie  # made once, here
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), F.col("text").alias("_text"))
     is_long = F.coalesce(F.length("_text"), F.lit(0)) >= chunk
@@ -355,13 +517,10 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
-        surface = vocabulary.surface.__getitem__
         for whole in batches:
             for k in range(0, whole.num_rows, 200):
                 batch = whole.slice(k, 200)
-                texts = [b"".join(map(surface, ids or [])).decode("utf-8", "replace") for ids in batch.column("_ids").to_pylist()]
-                if vocabulary.dummy_prefix:
-                    texts = [t[1:] if t.startswith(" ") else t for t in texts]
+                texts = vocabulary.decode_all(batch.column("_ids"))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return source.mapInArrow(rows, schema)

@@ -1,8 +1,10 @@
 """Pieces against the installed library, all segmentations, and other cuts of the text."""
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from prefloom.llm import pieces
@@ -88,6 +90,39 @@ def test_chunks_do_not_change_the_ids(spark, across):
         assert all(r.chunk == r.rid for r in got)
 
 
+def test_all_at_once_equals_one_by_one(monkeypatch):
+    # ties and unknown characters; the longest stretches go one by one
+    rng = random.Random(5)
+    for seed, together in ((1, 64), (2, 4), (3, 1), (4, 64)):
+        monkeypatch.setattr(pieces, "TOGETHER", together)
+        v = small(seed)
+        if seed == 4:
+            v.bytes = {}
+        texts = ["".join(rng.choice("aaabbc  é\n\U0001f642") for _ in range(rng.choice([0, 1, 5, 40]))) for _ in range(200)]
+        texts = [v.prepared(t) for t in texts]
+        flat, cuts = v.encode_all(texts)
+        got = [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)]
+        assert got == [v.encode(t) for t in texts]
+        assert v.encode_all([])[0].tolist() == [] and v.encode_all(["", ""])[1].tolist() == [0, 0, 0]
+        lists = pa.array([*got, None], pa.list_(pa.int32())).slice(3)
+        plain = [b"".join(v.surface[i] for i in ids).decode("utf-8", "replace") for ids in [*got[3:], []]]
+        assert v.decode_all(lists) == [t.removeprefix(" ") for t in plain]
+
+
+def test_equal_words_cost_no_python_each(vocabulary):
+    # a word of its own in every place: by word in Python this took 17 microseconds each
+    words = [f"w{i:x}q{i * 7919 % 10007:x}" for i in range(100_000)]
+    texts = [vocabulary.prepared(" ".join(words[k : k + 1000])) for k in range(0, len(words), 1000)]
+    vocabulary.trie
+    before = time.process_time()
+    vocabulary.encode_all(texts)
+    together = time.process_time() - before
+    before = time.process_time()
+    for t in texts[:25]:
+        vocabulary.encode(t)
+    assert together < 2 * (time.process_time() - before)  # half of one by one
+
+
 def test_equals_the_library_as_unigram(spark, sf_dir, vocabulary, library):
     # the library's lattice search in single precision, exact for short texts of known
     # characters; its faster plain encoding misses some best paths by a few units
