@@ -175,6 +175,9 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD, recall: float
         brief = F.expr(f"unhex(array_join(transform(sequence(0, {COORDINATES - 1}), i -> hex(substring(sketch, 4 * i + 1, 1))), ''))")
         members = small.join(sets.select("id", brief.alias("brief")), "id")
         found.append(stored(per_group(members, ["path"], _bucket_links(threshold), "a long, b long").distinct(), "links"))
+        if sizes.filter(F.col("n") > SMALL).isEmpty():
+            drop(level, sizes)
+            break
         large = level.join(sizes.filter(F.col("n") > SMALL).select("path", "least"), "path")
         if depth == DEPTH:
             found.append(stored(large.filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct(), "links"))

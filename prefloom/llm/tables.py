@@ -72,8 +72,10 @@ def components(links: DataFrame) -> DataFrame:
     links = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
     before, n = None, links.count()
     while True:
-        last, links = links, stored(_small_star(_large_star(links, n), n), "links")
-        drop(last)
+        # a star reads its links several times: stored between, plans stay as small as one star
+        for star in (_large_star, _small_star):
+            last, links = links, star(links, n)
+            drop(last)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -87,13 +89,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 HUBS = 20_000
+LEAST_HUB = 10_000  # links: fewer are no skew
 
 
 def _with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
     """``rows`` (a, b) with m of ``least`` (a, m, n). Ids with more than a share of
     1 / HUBS of about ``n`` links, of which there can be some HUBS only, are broadcast."""
-    hub = F.col("n") * HUBS > 2 * n
+    hub = F.col("n") * HUBS > F.greatest(F.lit(2 * n), F.lit(HUBS * LEAST_HUB))
     hubs = least.filter(hub).select("a", "m")
+    if hubs.isEmpty():
+        return rows.join(least.select("a", "m"), "a")
     at_hubs = rows.join(F.broadcast(hubs), "a")
     others = rows.join(F.broadcast(hubs.select("a")), "a", "left_anti").join(least.filter(~hub).select("a", "m"), "a")
     return at_hubs.union(others)
@@ -101,15 +106,19 @@ def _with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
 
 def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return _with_least(both.filter("b > a"), least, n).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = stored(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    moved = stored(_with_least(both.filter("b > a"), least, n).select(F.col("b").alias("a"), F.col("m").alias("b")), "links")
+    drop(least)
+    return moved
 
 
 def _small_star(links: DataFrame, n: int) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
     moved = _with_least(down, least, n).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    moved = stored(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+    drop(least)
+    return moved
 
 
 def per_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:

@@ -104,3 +104,27 @@ def test_only_the_result_stays_in_the_shared_folder(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"a b c d e f {i % 3}") for i in range(9)], "doc_id long, text string")
     assert near.keep_first(df).count() == 3
     assert [Path(f).name.split("-")[0] for f in made if Path(f).exists()] == ["classes"]
+
+
+def test_components_with_and_without_hubs(spark, monkeypatch):
+    links = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(50, 60)] + [(60, 39), (80, 81)]
+    df = spark.createDataFrame(links, "a long, b long")
+    expected = {i: 0 if i < 80 else 80 for i in {x for link in links for x in link}}
+    for hubs, least in ((8, 0), (1, 0), (20_000, 10_000)):
+        monkeypatch.setattr(tables, "HUBS", hubs)
+        monkeypatch.setattr(tables, "LEAST_HUB", least)
+        assert {r.id: r.component for r in tables.components(df).collect()} == expected
+
+
+def test_plans_of_a_round_stay_small(spark, monkeypatch):
+    sizes = []
+    plain = tables.stored
+
+    def watched(df, name):
+        sizes.append(df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate"))
+        return plain(df, name)
+
+    monkeypatch.setattr(tables, "stored", watched)
+    df = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    assert {r.component for r in tables.components(df).collect()} == {0}
+    assert max(sizes) == 1  # 34 when both stars were one plan
