@@ -30,7 +30,6 @@ result; other columns stay as they are, whatever their names.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +41,7 @@ from prefloom.llm.tables import drop, free_name, stored
 from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
 NEIGHBOURS = 5
 FILTER_BITS = 1 << 22
 SPACE = " \t\x0b\x0c\r"
@@ -73,15 +72,15 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def rarity(docs: DataFrame) -> np.ndarray:
     """Logarithmic counts of word occurrences per bucket."""
     counts = docs.select("text").mapInArrow(_count_rows, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    levels = np.zeros(BUCKETS, dtype=np.uint64)
-    for r in counts.collect():  # BUCKETS rows at most
-        levels[r.bucket] = min(255, int(8 * math.log2(1 + r.n)))
+    levels = np.zeros(BUCKETS, dtype=np.uint8)
+    got = counts.toArrow()  # BUCKETS rows at most
+    levels[got.column("bucket").to_numpy()] = np.minimum(255, 8 * np.log2(1.0 + got.column("n").to_numpy()))
     return levels
 
 
 def _codes(words: Words, levels: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct tokens of every group of words, rarest first, and where each begins."""
-    codes = (levels[(words.hashes % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(56)) | (words.hashes >> np.uint64(8))
+    codes = (levels[(words.hashes % np.uint64(BUCKETS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (words.hashes >> np.uint64(8))
     order = np.lexsort((codes, groups))
     codes, groups = codes[order], groups[order]
     new = np.ones(len(codes), dtype=bool)

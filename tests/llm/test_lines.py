@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from prefloom.llm import lines
@@ -84,3 +86,12 @@ def test_columns_of_any_name_stay(spark):
     rows = [(1, "a b c", 5, "r", [1], 7), (2, "a b c\nd", 6, "q", [2], 8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, _rid int, rid string, _removed array<int>, line int")
     assert sorted(map(tuple, lines.remove_lines(df).collect())) == [rows[0], (2, "d", 6, "q", [2], 8)]
+
+
+def test_rare_words_are_told_from_others(spark):
+    # 200,000 words that come once: with 65,536 counts the usual one looked as if it came several times
+    texts = [(i, " ".join(f"w{i * 1000 + k}" for k in range(1000))) for i in range(200)]
+    levels = lines.rarity(spark.createDataFrame(texts, "doc_id long, text string"))
+    words = lines.split_words(pa.array([t for _, t in texts]))
+    own = levels[(words.hashes % np.uint64(lines.BUCKETS)).astype(np.int64)]
+    assert len(own) == 200_000 and np.median(own) == 8  # 8 * log2(1 + 1)
