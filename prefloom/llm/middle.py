@@ -8,9 +8,10 @@ a ``plain`` one is the text itself.
 Method: every text is emitted as pieces of at most ``UNITS`` units and ``PIECE`` bytes, keyed
 by row and place in the output. One shuffle by row and a sort by place bring the pieces of a
 text into one stream, which goes into an incremental digest while the marks are looked up in it
-again; what lies between them gets its place in the text, and a second sort, within the same
-partitions and so without a shuffle, streams the restored text into the second digest. No task
-holds more of a text than one batch of pieces.
+again. What lies between them gets its place in the text: up to ``HELD`` bytes of a text are put in order
+and digested where they are; the parts of a longer one go through a second sort, within the same
+partitions and so without a shuffle, which streams the restored text into the second digest. No task
+holds more of a text than that and one batch of pieces.
 
 Defined results: a null text is an empty one; an empty text is plain with 0 units; a null doc_id
 counts as empty text in the checksum; equal rows are kept apart and give equal results; a
@@ -38,6 +39,7 @@ SPM_RATE = 80  # per cent of these that begin with the suffix
 UNITS = 4096  # units in one piece
 PIECE = 1 << 18  # bytes in one piece
 BATCH = 1 << 22  # bytes of pieces handed on at a time
+HELD = 1 << 20  # bytes of a text that a task holds to restore it
 
 PREFIX, MIDDLE, SUFFIX, END = range(4)  # order of the parts in the text; END follows them
 MARKS = {PREFIX: b"<P>", SUFFIX: b"<S>", MIDDLE: b"<M>"}
@@ -45,7 +47,7 @@ FORMS = {"plain": (), "psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, M
 
 ABOUT = [("doc_id", pa.int64()), ("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())]
 PIECES = pa.schema([("rid", pa.int64()), ("place", pa.int32()), *ABOUT, ("data", pa.binary())])
-PARTS = pa.schema([("rid", pa.int64()), ("part", pa.int32()), ("at", pa.int32()), *ABOUT, ("data", pa.binary())])
+PARTS = pa.schema([("rid", pa.int64()), ("part", pa.int32()), ("at", pa.int32()), *ABOUT, ("restored", pa.string()), ("data", pa.binary())])
 TEXTS = pa.schema([*ABOUT, ("output", pa.string())])
 RESULT = pa.schema([*ABOUT, ("output_sha256", pa.string()), ("restored_sha256", pa.string())])
 
@@ -139,7 +141,9 @@ def assembled(emitted: DataFrame) -> DataFrame:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns))
+        # a batch can be large: only a slice of it becomes Python objects at a time
+        for part in slices(batch, "data"):
+            yield from zip(*(c.to_pylist() for c in part.columns))
 
 
 def transformed(docs: DataFrame, **options) -> DataFrame:
@@ -185,22 +189,36 @@ class Restorer:
 
 
 def _to_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Outputs into their digests, and their bytes under their places in the text."""
+    """Outputs into their digests; texts of up to ``HELD`` bytes into their second digest, the
+    bytes of longer ones under their places in the text."""
 
     def parts() -> Iterator[tuple]:
-        rid = None
+        rid, none = None, (None,) * (len(ABOUT) + 1)
         for row in _rows(batches):
             if row[1] == 0:
                 if rid is not None:
-                    yield (rid, END, 0, *about, digest.hexdigest().encode())
-                rid, about, digest, at = row[0], row[2:-1], hashlib.sha256(), 0
+                    yield ended(rid, about, digest, held)
+                rid, about, digest, at, held, size = row[0], row[2:-1], hashlib.sha256(), 0, [], 0
                 restorer = Restorer(row[4])
             digest.update(row[-1])
-            for part, data in restorer.feed(row[-1]):
-                yield (rid, part, at, *(None,) * len(ABOUT), data)
-                at += 1
+            for found in restorer.feed(row[-1]):
+                size += len(found[1])
+                ready = [found]
+                if held is not None:
+                    held.append(found)
+                    ready, held = ([], held) if size <= HELD else (held, None)
+                for part, data in ready:
+                    yield (rid, part, at, *none, data)
+                    at += 1
         if rid is not None:
-            yield (rid, END, 0, *about, digest.hexdigest().encode())
+            yield ended(rid, about, digest, held)
+
+    def ended(rid, about, digest, held) -> tuple:
+        restored = None
+        if held is not None:
+            in_order = sorted(held, key=lambda found: found[0])
+            restored = hashlib.sha256(b"".join(data for _, data in in_order)).hexdigest()
+        return (rid, END, 0, *about, restored, digest.hexdigest().encode())
 
     yield from _batches(parts(), PARTS, len(PARTS) - 1)
 
@@ -212,7 +230,7 @@ def _to_result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row[1] != END:
                 digest.update(row[-1])
                 continue
-            yield (*row[3:-1], row[-1].decode(), digest.hexdigest())
+            yield (*row[3:-2], row[-1].decode(), digest.hexdigest() if row[-2] is None else row[-2])
             digest = hashlib.sha256()
 
     yield from _batches(results(), RESULT, len(RESULT) - 1)

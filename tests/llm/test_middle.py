@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from prefloom.llm import middle
@@ -85,3 +86,18 @@ def test_empty_table(spark):
 def test_one_shuffle(spark, sf_dir):
     plan = QUERIES["op11_fill_middle"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_bytes_of_ordinary_texts_are_not_sorted_again():
+    texts = pa.array([f"word {i} " * 300 for i in range(200)])
+    emitted = middle._emitted(range(200), range(200), texts, 42, 50, 80)
+    batches = list(middle._batches(emitted, middle.PIECES, len(middle.PIECES) - 1))
+    size = sum(batch["data"].nbytes for batch in middle._to_parts(iter(batches)))
+    assert size < 200 * 100 < sum(batch["data"].nbytes for batch in batches)
+
+
+@pytest.mark.parametrize("held", [0, 60])
+def test_texts_beyond_what_is_held(spark, small, monkeypatch, held):
+    monkeypatch.setattr(middle, "HELD", held)
+    data = rows()
+    compare(spark.createDataFrame(data, "doc_id long, text string").repartition(3), data)
