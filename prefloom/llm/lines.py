@@ -4,19 +4,20 @@ A line (text between line ends) is the set of its words; blank lines are never
 touched. A line is removed if any line before it, by (doc_id, line number),
 has a Jaccard similarity of ``threshold`` or more, whether that one is kept or not.
 
-1. Tokens of a line are ordered by rarity: by the number of times words of their
-   hash bucket occur in the corpus (``BUCKETS`` counts, a table of fixed size), then by hash.
+1. Tokens of a line are ordered by rarity: by the number of times words of their hash bucket
+   occur in the corpus, then by hash. Of ``BUCKETS`` counts the largest, ``FREQUENT`` at most, are told
+   apart; words below them are all rare.
 2. Lines with equal sets collapse to the first of them, in partial aggregation.
 3. Two similar lines share one of their first ``n - ceil(t * n) + 1`` tokens.
    Lines are dealt by these tokens; a pair goes on only if the lengths, the places of
-   the shared token and the signatures (one bit per token, 64 bits) leave room for
-   the overlap that the threshold needs.
-4. Inside a token, sorted by length, every line is first compared with the first line
-   and its nearest neighbours. Few lines have partners of a possible length further
-   away; of these, only the ones not yet removed are joined with the others, so a
-   large group of near copies is not paired with itself.
-5. Pairs that a signature of 256 bits does not tell apart are verified on the whole
-   word sets of both lines.
+   the shared token and the signatures (64 bits, each the parity of the tokens that fall on it: two sets
+   differ in as many tokens as bits at least) leave room for the overlap that the threshold needs.
+4. Inside a token, sorted by document and line, every line is compared with the ``NEIGHBOURS`` lines before it and
+   the first one. Its ``NEAREST`` likeliest partners go on as pairs. Of these, the likeliest of each line by a
+   signature of 256 bits is verified first, so that a large group of near copies gives one pair a line.
+5. A line not removed by then gets its other pairs verified, and, if it has more partners in a token or
+   not all lines before it were in reach, is joined with all lines before it there.
+6. Verification is on the whole word sets of both lines.
 
 Joins, grouping and dealing are DataFrame operations; the work on words inside a task is
 numpy on Arrow batches (see the README for why this is not in column expressions).
@@ -41,8 +42,10 @@ from prefloom.llm.tables import drop, free_name, stored
 from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
-BUCKETS = 1 << 20
-NEIGHBOURS = 5
+BUCKETS = 1 << 24
+FREQUENT = 1 << 20
+NEIGHBOURS = 512
+NEAREST = 2
 FILTER_BITS = 1 << 22
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
@@ -60,21 +63,32 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word occurrences per bucket of one task."""
-    total = np.zeros(BUCKETS, dtype=np.int64)
+    total = np.zeros(BUCKETS, dtype=np.int32)
     for whole in batches:
         for batch in slices(whole):
             words = split_words(batch.column("text"))
-            total += np.bincount((words.hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+            np.add.at(total, (words.hashes % np.uint64(BUCKETS)).astype(np.int64), 1)
     some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+    for at in range(0, len(some), CHUNK_ROWS):
+        own = some[at : at + CHUNK_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(total[own].astype(np.int64))], names=["bucket", "n"])
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Logarithmic counts of word occurrences per bucket."""
-    counts = docs.select("text").mapInArrow(_count_rows, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    """Logarithmic counts of word occurrences per bucket, 0 for all but the largest."""
+    counts = docs.select("text").mapInArrow(_count_rows, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "counts")
+    level = F.floor(F.log2(F.col("n")) * 8).cast("int")
+    kept, least = 0, 512
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        kept += row["count"]
+        if kept > FREQUENT:
+            break
+        least = row["level"]
     levels = np.zeros(BUCKETS, dtype=np.uint8)
-    got = counts.toArrow()  # BUCKETS rows at most
+    got = counts.filter(level >= least).toArrow()  # FREQUENT rows at most
     levels[got.column("bucket").to_numpy()] = np.minimum(255, 8 * np.log2(1.0 + got.column("n").to_numpy()))
+    drop(counts)
     return levels
 
 
@@ -113,7 +127,7 @@ def _line_rows(shared, threshold: float):
                 size = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
                 head = mix(codes[ranges(begin, size)]).astype(np.uint32).view(np.int32)
                 bit, part = np.uint64(1) << (codes & np.uint64(63)), (codes >> np.uint64(6)) & np.uint64(3)
-                signs = [np.bitwise_or.reduceat(np.where(part == np.uint64(w), bit, np.uint64(0)), begin) for w in range(4)]
+                signs = [np.bitwise_xor.reduceat(np.where(part == np.uint64(w), bit, np.uint64(0)), begin) for w in range(4)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").take(pa.array(doc[new])),
@@ -131,49 +145,86 @@ def _line_rows(shared, threshold: float):
     return rows
 
 
-def _room(n, place, marks, m, at, other, threshold: float) -> np.ndarray:
-    """Whether lengths, places and signatures of two lines allow enough overlap."""
+def _fits(size, other, marks, other_marks, threshold: float) -> np.ndarray:
+    """Whether lengths, places and signatures of two lines allow enough overlap. A ``size`` is
+    the length and, in its lower 32 bits, the place of the shared token."""
+    n, m = size >> 32, other >> 32
     need = np.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
     fits = np.minimum(n, m) >= np.maximum(n, m) * threshold - 1e-9
-    fits &= np.minimum(n - place, m - at) >= need
-    return fits & (np.bitwise_count((marks ^ other).view(np.uint64)) <= n + m - 2 * need)
+    fits &= np.minimum(n - (size & LOW), m - (other & LOW)) >= need
+    return fits & (np.bitwise_count((marks ^ other_marks).view(np.uint64)) <= n + m - 2 * need)
 
 
-COLUMNS = ("token", "id", "marks", "n", "place")
-SEEN = "a long, b long, token int, id long, marks long, n long, place long"
+LOW = (1 << 32) - 1
+COLUMNS = {"token": pa.int32(), "doc": pa.int64(), "line": pa.int32(), "id": pa.int64(), "size": pa.int64(), "marks": pa.int64()}
+SEEN = "a long, b long, open boolean, token int, doc long, line int, id long, size long, marks long"
 CHUNK_ROWS = 200_000
 
 
+def _back(rows: np.ndarray, start: np.ndarray, reach: int) -> np.ndarray:
+    """The marked rows and those up to ``reach`` before them with the same token."""
+    at = np.flatnonzero(rows)
+    cover = np.zeros(len(rows) + 1, dtype=np.int64)
+    np.add.at(cover, np.maximum(at - reach, start[at]), 1)
+    np.add.at(cover, at + 1, -1)
+    return np.cumsum(cover[:-1]) > 0
+
+
 def _neighbours(rows: dict[str, np.ndarray], old: int, first: dict | None, threshold: float):
-    """Pairs of lines sorted by token and length, of rows from ``old`` on with those
-    before them, and the rows that have a partner of possible length further away.
-    ``first`` is the first row of the last token of what came before."""
-    token, ids, marks, n, place = (rows[c] for c in COLUMNS)
-    size, far = len(token), NEIGHBOURS + 1
-    start = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), np.arange(size), 0))
-    lead = {c: rows[c][start] for c in COLUMNS}
+    """Pairs (later line, earlier line) of rows sorted by token, document and line, of rows from
+    ``old`` on with those before them, and the rows that may have more partners. ``first`` is the first
+    row of the last token of what came before, with the number of its rows not held any more."""
+    token, ids, size, marks = (rows[c] for c in ("token", "id", "size", "marks"))
+    count = len(token)
+    start = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), np.arange(count), 0))
+    lead, gone = {c: rows[c][start] for c in ("id", "size", "marks")}, np.zeros(count, dtype=np.int64)
     if first is not None and first["token"] == token[0]:
         lead = {c: np.where(start == 0, first[c], v) for c, v in lead.items()}
-    fresh = np.arange(size) >= old
-    fits = fresh & (lead["id"] != ids) & _room(n, place, marks, lead["n"], lead["place"], lead["marks"], threshold)
-    pairs = [(ids[fits], lead["id"][fits])]
-    for d in range(1, min(far, size)):
-        fits = fresh[d:] & (token[d:] == token[:-d])
-        fits &= _room(n[d:], place[d:], marks[d:], n[:-d], place[:-d], marks[:-d], threshold)
-        pairs.append((ids[d:][fits], ids[:-d][fits]))
-    more = np.zeros(size, dtype=bool)
-    if size > far:
-        reach = (token[far:] == token[:-far]) & (n[:-far] >= n[far:] * threshold - 1e-9)
-        more[far:] |= reach
-        more[:-far] |= reach
+        gone[start == 0] = first["gone"]
+    place = np.arange(count) - start  # rows of the token that are held
+    fresh = np.arange(count) >= old
+    found = np.zeros(count, dtype=np.int32)
+    best = [(np.full(count, 255, dtype=np.uint8), np.zeros(count, dtype=np.int64)) for _ in range(NEAREST)]
+
+    def note(at, other_ids, other_size, other_marks):
+        ok = _fits(size[at], other_size, marks[at], other_marks, threshold)
+        at, other = at[ok], other_ids[ok]
+        apart = np.bitwise_count((marks[at] ^ other_marks[ok]).view(np.uint64))
+        found[at] += 1
+        for far, partner in best:
+            # of equally likely ones the earliest; what it displaces goes on to the next rank
+            nearer = apart <= far[at]
+            now, was, whom = at[nearer], far[at], partner[at]
+            far[now], partner[now] = apart[nearer], other[nearer]
+            apart, other = np.where(nearer, was, apart), np.where(nearer, whom, other)
+
+    # the bits alone leave few pairs open; what they allow is the sum of what each line allows
+    allowed = (size >> 32) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    active = np.flatnonzero(fresh & (place > 0))
+    for d in range(1, NEIGHBOURS + 1):
+        active = active[place[active] >= d]
+        if not len(active):
+            break
+        near = np.bitwise_count((marks[active] ^ marks[active - d]).view(np.uint64)) <= allowed[active] + allowed[active - d]
+        at = active[near]
+        if len(at):
+            note(at, ids[at - d], size[at - d], marks[at - d])
+    beyond = fresh & (place + gone > NEIGHBOURS)
+    at = np.flatnonzero(beyond)
+    note(at, lead["id"][at], lead["size"][at], lead["marks"][at])
+    pairs = [(ids[k], partner[k]) for far, partner in best for k in [np.flatnonzero(far < 255)]]
+    more = beyond | (found > NEAREST)
+    # equal places in order: which line is the later one is not known here
+    tied = (token[1:] == token[:-1]) & (rows["doc"][1:] == rows["doc"][:-1]) & (rows["line"][1:] == rows["line"][:-1]) & fresh[1:]
+    more[1:] |= tied
+    more[:-1] |= tied
     a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-    return both[0], both[1], more, {c: v[-1] for c, v in lead.items()}
+    return a, b, more, start, {c: lead[c][-1] for c in lead} | {"token": token[-1], "gone": gone[-1]}
 
 
 def _neighbour_rows(threshold: float):
-    """Pairs (a, b), and rows (token, id, ...) with possible partners further away. A
-    row on the border of two chunks may come twice."""
+    """Pairs (a, b), and rows (open, token, ...) of tokens in which a line may have more partners: the
+    open ones look for partners, all can be one. A row on the border of two chunks may come twice."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, old, first = None, 0, None
@@ -182,22 +233,25 @@ def _neighbour_rows(threshold: float):
             held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
             if len(held["id"]) - old >= CHUNK_ROWS:
                 out, first = made(held, old, first)
-                held = {c: v[-NEIGHBOURS - 1 :] for c, v in held.items()}
+                cut = max(0, len(held["id"]) - NEIGHBOURS - 1)
+                # rows of the last token that are let go
+                first["gone"] += int(np.count_nonzero(held["token"][:cut] == first["token"]))
+                held = {c: v[cut:] for c, v in held.items()}
                 old = len(held["id"])
                 yield out
         if held and len(held["id"]) > old:
             yield made(held, old, first)[0]
 
     def made(held, old, first):
-        a, b, more, first = _neighbours(held, old, first, threshold)
-        none = pa.nulls(int(more.sum()), pa.int64())
+        a, b, more, start, first = _neighbours(held, old, first, threshold)
+        wanted = _back(more, start, NEIGHBOURS + 1)
+        none = pa.nulls(int(wanted.sum()), pa.int64())
         left, right = (pa.concat_arrays([pa.array(x, pa.int64()), none]) for x in (a, b))
-        kinds = {"token": pa.int32()}
         rest = [
-            pa.concat_arrays([pa.nulls(len(a), kinds.get(c, pa.int64())), pa.array(held[c][more]).cast(kinds.get(c, pa.int64()))])
-            for c in COLUMNS
+            pa.concat_arrays([pa.nulls(len(a), kind), pa.array(v[wanted]).cast(kind)])
+            for v, kind in [(more, pa.bool_()), *((held[c], kind) for c, kind in COLUMNS.items())]
         ]
-        return pa.RecordBatch.from_arrays([left, right, *rest], names=["a", "b", *COLUMNS]), first
+        return pa.RecordBatch.from_arrays([left, right, *rest], names=["a", "b", "open", *COLUMNS]), first
 
     return rows
 
@@ -228,18 +282,21 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(own, pa.list_(pa.int64()))], names=["id", *ORDER, "words"])
 
 
-def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before, stored."""
-    pairs = pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct()
-    # a longer signature tells most pairs apart that the short one let through
+def _likely(firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (a, b) that a longer signature does not tell apart, with the number of its
+    bits in which they differ, stored."""
     signs = firsts.select("id", "n", *SIGNS)
     x, y = (signs.select(*[F.col(c).alias(f"{t}_{c}") for c in signs.columns]) for t in "xy")
     n = F.col("x_n") + F.col("y_n")
     differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in SIGNS), F.lit(0))
-    room = differ <= n - 2 * F.ceil(n * (threshold / (1 + threshold)) - 1e-9)
-    pairs = pairs.join(x, F.col("ia") == F.col("x_id")).join(y, F.col("ib") == F.col("y_id")).filter(room)
-    pairs = stored(pairs.select("ia", "ib"), "pairs")
+    pairs = pairs.distinct().join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id"))
+    pairs = pairs.withColumn("apart", differ).filter(F.col("apart") <= n - 2 * F.ceil(n * (threshold / (1 + threshold)) - 1e-9))
+    return stored(pairs.select("a", "b", "apart"), "pairs")
 
+
+def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Ids of the lines in ``pairs`` (a, b) that a similar line comes before, stored."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct(), "asked")
     wanted = pairs.select(F.explode(F.array("ia", "ib")).alias("id")).distinct().join(firsts.select("id", *ORDER), "id")
     wanted = stored(wanted.withColumn("key", _line_key(F.col("rid"), F.col("line"))), "wanted")
     # most lines are not asked for and need not be shuffled
@@ -268,28 +325,34 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", *SIGNS, "head")).alias("first")).select("k", "k2", "first.*")
     firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
     # only numbers that the filters need travel
-    marks = F.expr("s0 | s1 | s2 | s3").alias("marks")
-    dealt = firsts.select("id", marks, F.col("n").cast("long").alias("n"), F.posexplode("head").alias("place", "token"))
-    dealt = dealt.select("token", "id", "marks", "n", F.col("place").cast("long").alias("place"))
-    by_size = dealt.repartition("token").sortWithinPartitions("token", "n", "place", "id")
-    seen = stored(by_size.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")
-    done = _verified(docs, firsts, seen.filter("a is not null").select("a", "b"), threshold)
-
-    rest = seen.filter("a is null").select(*COLUMNS)
-    # of two lines the later one must be open
-    x, y = rest.join(done, "id", "left_anti").alias("x"), rest.alias("y")
-    n, m = F.col("x.n"), F.col("y.n")
+    marks = F.expr("s0 ^ s1 ^ s2 ^ s3").alias("marks")
+    dealt = firsts.select("doc", "line", "id", "n", marks, F.posexplode("head").alias("place", "token"))
+    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("size")
+    in_order = dealt.select("token", "doc", "line", "id", size, "marks").repartition("token").sortWithinPartitions(*list(COLUMNS)[:4])
+    seen = stored(in_order.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")
+    likely = _likely(firsts, seen.filter("a is not null").select("a", "b"), threshold)
+    # one pair a line, the likeliest, settles nearly all
+    nearest = likely.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("near")).select("a", "near.b")
+    done = _verified(docs, firsts, nearest, threshold)
+
+    others = likely.select("a", "b").join(done, F.col("a") == F.col("id"), "left_anti")
+    rest = seen.filter("a is null").select("open", *COLUMNS)
+    x, y = rest.filter("open").join(done, "id", "left_anti").alias("x"), rest.alias("y")
+    n, m = (F.shiftright(F.col(f"{t}.size"), 32) for t in "xy")
+    at, other = (F.col(f"{t}.size").bitwiseAND(F.lit(LOW)) for t in "xy")
     need = F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
     pairs = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.id") != F.col("y.id"))
+        & (F.struct("y.doc", "y.line") <= F.struct("x.doc", "x.line"))
         & (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9)
-        & (F.least(n - F.col("x.place"), m - F.col("y.place")) >= need)
+        & (F.least(n - at, m - other) >= need)
         & (F.bit_count(F.col("x.marks").bitwiseXOR(F.col("y.marks"))) <= n + m - 2 * need),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    more = _verified(docs, firsts, pairs, threshold)
-    drop(seen)
+    further = _likely(firsts, pairs, threshold)
+    more = _verified(docs, firsts, others.union(further.select("a", "b")).join(nearest, ["a", "b"], "left_anti"), threshold)
+    drop(seen, likely, further)
     both = done.union(more).distinct()
 
     # every line but the first of its set, and the first too where a similar one comes before

@@ -95,3 +95,43 @@ def test_rare_words_are_told_from_others(spark):
     words = lines.split_words(pa.array([t for _, t in texts]))
     own = levels[(words.hashes % np.uint64(lines.BUCKETS)).astype(np.int64)]
     assert len(own) == 200_000 and np.median(own) == 8  # 8 * log2(1 + 1)
+
+
+@pytest.mark.parametrize("neighbours", [0, 2, 40])
+def test_documents_with_one_id_are_ordered_by_their_hash(spark, monkeypatch, neighbours):
+    monkeypatch.setattr(lines, "NEIGHBOURS", neighbours)
+    rows = [(i // 6, text) for i, text in invented(5, 120)]
+    df = spark.createDataFrame([(*r, 5, "x") for r in rows], SCHEMA)
+    rids = {(r.doc_id, r.text): r.h for r in df.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS h").collect()}
+    # the order is by line number before it is by hash
+    seen, gone = [], {}
+    for i, k, _, text in sorted({(i, k, rids[i, t], t) for i, t in rows for k in range(t.count("\n") + 1)}):
+        own = set(text.split("\n")[k].encode().split())
+        if own and any(len(own & s) >= 0.8 * len(own | s) - 1e-9 for s in seen):
+            gone.setdefault((i, text), []).append(k)
+        seen += [own] if own else []
+    found = {(r.rid, *r.removed) for r in lines.removed_lines(df).collect()}
+    assert found == {(rids[key], *ks) for key, ks in gone.items()}
+
+
+def test_near_copies_are_not_paired_with_each_other(spark, monkeypatch):
+    asked, kept = [], lines.stored
+
+    def stored(df, name):
+        table = kept(df, name)
+        if name in ("pairs", "asked"):
+            asked.append(table.count())
+        return table
+
+    monkeypatch.setattr(lines, "stored", stored)
+    base = [f"w{k}" for k in range(30)]
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        own = list(base)
+        own[rng.randrange(30)] = f"own{i}"
+        rows.append((i, " ".join(own), 5, "x"))
+    got = lines.line_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(r.n_removed for r in got) == 399
+    # 79,800 pairs are similar
+    assert max(asked) <= 400 * 8
