@@ -1,28 +1,22 @@
-"""Line deduplication: an exact set-similarity join.
+"""Line deduplication: an exact set-similarity join in DataFrame operations.
 
 A line (text between line ends) is the set of its words; blank lines are never
 touched. A line is removed if any line before it, by (doc_id, line number),
 has a Jaccard similarity of ``threshold`` or more, whether that one is kept or not.
 
 1. Tokens of a line are ordered by rarity: by the number of times words of their hash bucket
-   occur in the corpus, then by hash. Of ``BUCKETS`` counts the largest, ``FREQUENT`` at most, are told
-   apart; words below them are all rare.
+   occur in the corpus, then by hash.
 2. Lines with equal sets collapse to the first of them, in partial aggregation.
 3. Two similar lines share one of their first ``n - ceil(t * n) + 1`` tokens.
    Lines are dealt by these tokens; a pair goes on only if the lengths, the places of
-   the shared token and the signatures (64 bits, each the parity of the tokens that fall on it: two sets
+   the shared token and the signatures (two of 64 bits, each the parity of the tokens that fall on it: two sets
    differ in as many tokens as bits at least) leave room for the overlap that the threshold needs.
-4. Inside a token, sorted by document and line, every line is compared with the ``NEIGHBOURS`` lines before it and
-   the first one. Its ``NEAREST`` likeliest partners go on as pairs. Of these, the likeliest of each line by a
-   signature of 256 bits is verified first, so that a large group of near copies gives one pair a line.
-5. A line not removed by then gets its other pairs verified, and, if it has more partners in a token or
-   not all lines before it were in reach, is joined with all lines before it there.
+4. By ``NEIGHBOURS`` of these tokens every line is compared with the first line that has the token and the last one
+   before it. The likeliest of these pairs is verified, so that a large group of near copies gives one pair a line.
+5. A line not removed by then is joined with all lines before it in its tokens; all pairs left are verified.
 6. Verification is on the whole word sets of both lines.
 
-Joins, grouping and dealing are DataFrame operations; the work on words inside a task is
-numpy on Arrow batches (see the README for why this is not in column expressions).
-
-Tokens are compared by 56 bits of a 64-bit hash. Defined results: a null text has
+Tokens are compared by a 64-bit hash. Defined results: a null text has
 no lines; an empty text has one blank line; rows with the same doc_id and text
 are one document and get the same result; rows with one doc_id and other texts are
 ordered by a hash of the text; null doc_ids come last; an empty table gives an empty
@@ -31,25 +25,25 @@ result; other columns stay as they are, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from prefloom.llm import words
 from prefloom.llm.tables import drop, free_name, stored
-from prefloom.llm.words import ODD, Words, mix, ranges, slices, split_words, text_bytes
 
 THRESHOLD = 0.8
-BUCKETS = 1 << 24
-FREQUENT = 1 << 20
-NEIGHBOURS = 512
-NEAREST = 2
+BUCKETS = 1 << 20
+NEIGHBOURS = 4
+CHUNK_ROWS = 200_000
 FILTER_BITS = 1 << 22
 SPACE = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
 ORDER = ("doc", "line", "rid")
+SIGNS = ("s0", "s1")  # 128 bits
 
 
 def _rid() -> Column:
@@ -61,199 +55,91 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.filter("text is not null").select(doc, _rid().alias("rid"), "text")
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word occurrences per bucket of one task."""
-    total = np.zeros(BUCKETS, dtype=np.int32)
-    for whole in batches:
-        for batch in slices(whole):
-            words = split_words(batch.column("text"))
-            np.add.at(total, (words.hashes % np.uint64(BUCKETS)).astype(np.int64), 1)
-    some = np.flatnonzero(total)
-    for at in range(0, len(some), CHUNK_ROWS):
-        own = some[at : at + CHUNK_ROWS]
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(total[own].astype(np.int64))], names=["bucket", "n"])
+def _pieces(line: Column) -> Column:
+    """The words of a line, and empty strings where several spaces meet."""
+    # one space is split without a regular expression, which is faster
+    return F.when(line.rlike("[\t\x0b\x0c\r]"), F.split(line, r"[\x20\x09-\x0D]+")).otherwise(F.split(line, " "))
+
+
+def _hashes(line: Column) -> Column:
+    """The distinct word hashes of a line, sorted."""
+    every = F.transform(_pieces(line), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.array_remove(every, F.xxhash64(F.lit("")))))
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Logarithmic counts of word occurrences per bucket, 0 for all but the largest."""
-    counts = docs.select("text").mapInArrow(_count_rows, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "counts")
-    level = F.floor(F.log2(F.col("n")) * 8).cast("int")
-    kept, least = 0, 512
-    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
-        kept += row["count"]
-        if kept > FREQUENT:
-            break
-        least = row["level"]
+    """Logarithmic counts of word occurrences per bucket of hashes."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("text"))
+    found = lines.select(F.explode(_pieces(F.col("text"))).alias("word")).filter("word <> ''")
+    bucket = F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    got = found.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).toArrow()  # BUCKETS rows at most
     levels = np.zeros(BUCKETS, dtype=np.uint8)
-    got = counts.filter(level >= least).toArrow()  # FREQUENT rows at most
     levels[got.column("bucket").to_numpy()] = np.minimum(255, 8 * np.log2(1.0 + got.column("n").to_numpy()))
-    drop(counts)
     return levels
 
 
-def _codes(words: Words, levels: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct tokens of every group of words, rarest first, and where each begins."""
-    codes = (levels[(words.hashes % np.uint64(BUCKETS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (words.hashes >> np.uint64(8))
-    order = np.lexsort((codes, groups))
-    codes, groups = codes[order], groups[order]
-    new = np.ones(len(codes), dtype=bool)
-    new[1:] = (codes[1:] != codes[:-1]) | (groups[1:] != groups[:-1])
-    codes, groups = codes[new], groups[new]
-    return codes, np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else np.zeros(0, np.int64)
+def split_words(texts: pa.Array) -> words.Words:
+    """The words of some texts with the hashes that ``rarity`` counts, to look them up there."""
+    found = words.split_words(texts, hashed=False)
+    own = pa.array([found.text(i).decode() for i in range(len(found.starts))], pa.string())
+    spark, hashes = SparkSession.getActiveSession(), [np.zeros(0, np.int64)]
+    for at in range(0, len(own), CHUNK_ROWS):
+        rows = spark.createDataFrame(pa.table({"word": own[at : at + CHUNK_ROWS]}))
+        hashes.append(rows.select(F.xxhash64("word").alias("h")).toArrow().column("h").to_numpy())
+    return replace(found, hashes=np.concatenate(hashes).view(np.uint64))
 
 
-SIGNS = ("s0", "s1", "s2", "s3")  # 256 bits
-LINES = "doc long, rid long, line int, k long, k2 long, n int, s0 long, s1 long, s2 long, s3 long, head array<int>"
+def _line_rows(docs: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
+    """Every line that is not blank with its set's key, size, signature and first tokens."""
+    rows = _named(docs).select("doc", "rid", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    rows = rows.filter(F.length(F.btrim("text", F.lit(SPACE))) > 0)
+    rows = rows.select("doc", "rid", "line", _hashes(F.col("text")).alias("words"))
+    table = F.split(F.lit(",".join(map(str, levels.tolist()))), ",").cast("array<int>")
+
+    def code(word: Column) -> Column:
+        level = F.get(table, word.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        return F.shiftleft(level.cast("long"), 55).bitwiseOR(F.shiftrightunsigned(word, 9))
+
+    def bit(word: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(F.lit(63)).cast("int"))
+
+    none = F.lit(0).cast("long")
+    n = F.size("words")
+    size = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
+    first = F.slice(F.sort_array(F.transform("words", code)), F.lit(1), size)
+    return rows.select(
+        *ORDER,
+        F.xxhash64("words").alias("k"),
+        F.xxhash64(F.lit(1), "words").alias("k2"),
+        n.alias("n"),
+        F.aggregate("words", none, lambda bits, w: F.when(w < 0, bits.bitwiseXOR(bit(w))).otherwise(bits)).alias("s0"),
+        F.aggregate("words", none, lambda bits, w: F.when(w < 0, bits).otherwise(bits.bitwiseXOR(bit(w)))).alias("s1"),
+        F.transform(first, lambda c: c.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("head"),
+    )
 
 
-def _line_rows(shared, threshold: float):
-    """Every line that is not blank with its set's key, size, signature and first tokens."""
+def _dealt(lines: DataFrame, tokens: Column, opened: Column, ranked: bool = True) -> DataFrame:
+    """The lines by ``tokens``, with the numbers that the filters need; ``size`` is the length, the
+    place of the token (0 if they are not ``ranked``) and, in the last bit, whether the line looks for partners."""
+    rows = lines.select("doc", "line", "id", "n", *SIGNS, opened.alias("open"), F.posexplode(tokens).alias("place", "token"))
+    place = F.col("place").cast("long") if ranked else F.lit(0).cast("long")
+    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(place, 1)).bitwiseOR(F.col("open").cast("long"))
+    return rows.select("token", "doc", "line", "id", size.alias("size"), *SIGNS)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
-        for whole in batches:
-            for batch in slices(whole):
-                words = split_words(batch.column("text"))
-                if not len(words.hashes):
-                    continue
-                data, offsets = text_bytes(batch.column("text"))
-                ends = np.append(0, np.cumsum(data == 10))
-                doc = np.repeat(np.arange(batch.num_rows), np.diff(words.first))
-                line = ends[words.starts] - ends[offsets[doc]]
-                new = np.append(True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1]))
-                codes, begin = _codes(words, levels, np.cumsum(new))
-                n = np.diff(np.append(begin, len(codes)))
-                size = n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
-                head = mix(codes[ranges(begin, size)]).astype(np.uint32).view(np.int32)
-                bit, part = np.uint64(1) << (codes & np.uint64(63)), (codes >> np.uint64(6)) & np.uint64(3)
-                signs = [np.bitwise_xor.reduceat(np.where(part == np.uint64(w), bit, np.uint64(0)), begin) for w in range(4)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc").take(pa.array(doc[new])),
-                        batch.column("rid").take(pa.array(doc[new])),
-                        pa.array(line[new].astype(np.int32)),
-                        pa.array(np.add.reduceat(mix(codes), begin).view(np.int64)),
-                        pa.array(np.add.reduceat(mix(codes ^ np.uint64(ODD)), begin).view(np.int64)),
-                        pa.array(n.astype(np.int32)),
-                        *(pa.array(w.view(np.int64)) for w in signs),
-                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(head)),
-                    ],
-                    names=[c.split()[0] for c in LINES.split(", ")],
-                )
-
-    return rows
-
-
-def _fits(size, other, marks, other_marks, threshold: float) -> np.ndarray:
-    """Whether lengths, places and signatures of two lines allow enough overlap. A ``size`` is
-    the length and, in its lower 32 bits, the place of the shared token."""
-    n, m = size >> 32, other >> 32
-    need = np.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
-    fits = np.minimum(n, m) >= np.maximum(n, m) * threshold - 1e-9
-    fits &= np.minimum(n - (size & LOW), m - (other & LOW)) >= need
-    return fits & (np.bitwise_count((marks ^ other_marks).view(np.uint64)) <= n + m - 2 * need)
-
-
-LOW = (1 << 32) - 1
-COLUMNS = {"token": pa.int32(), "doc": pa.int64(), "line": pa.int32(), "id": pa.int64(), "size": pa.int64(), "marks": pa.int64()}
-SEEN = "a long, b long, open boolean, token int, doc long, line int, id long, size long, marks long"
-CHUNK_ROWS = 200_000
 
+def _apart(x: str, y: str) -> Column:
+    """The number of signature bits in which two lines differ."""
+    return sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in SIGNS), F.lit(0))
 
-def _back(rows: np.ndarray, start: np.ndarray, reach: int) -> np.ndarray:
-    """The marked rows and those up to ``reach`` before them with the same token."""
-    at = np.flatnonzero(rows)
-    cover = np.zeros(len(rows) + 1, dtype=np.int64)
-    np.add.at(cover, np.maximum(at - reach, start[at]), 1)
-    np.add.at(cover, at + 1, -1)
-    return np.cumsum(cover[:-1]) > 0
-
-
-def _neighbours(rows: dict[str, np.ndarray], old: int, first: dict | None, threshold: float):
-    """Pairs (later line, earlier line) of rows sorted by token, document and line, of rows from
-    ``old`` on with those before them, and the rows that may have more partners. ``first`` is the first
-    row of the last token of what came before, with the number of its rows not held any more."""
-    token, ids, size, marks = (rows[c] for c in ("token", "id", "size", "marks"))
-    count = len(token)
-    start = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), np.arange(count), 0))
-    lead, gone = {c: rows[c][start] for c in ("id", "size", "marks")}, np.zeros(count, dtype=np.int64)
-    if first is not None and first["token"] == token[0]:
-        lead = {c: np.where(start == 0, first[c], v) for c, v in lead.items()}
-        gone[start == 0] = first["gone"]
-    place = np.arange(count) - start  # rows of the token that are held
-    fresh = np.arange(count) >= old
-    found = np.zeros(count, dtype=np.int32)
-    best = [(np.full(count, 255, dtype=np.uint8), np.zeros(count, dtype=np.int64)) for _ in range(NEAREST)]
-
-    def note(at, other_ids, other_size, other_marks):
-        ok = _fits(size[at], other_size, marks[at], other_marks, threshold)
-        at, other = at[ok], other_ids[ok]
-        apart = np.bitwise_count((marks[at] ^ other_marks[ok]).view(np.uint64))
-        found[at] += 1
-        for far, partner in best:
-            # of equally likely ones the earliest; what it displaces goes on to the next rank
-            nearer = apart <= far[at]
-            now, was, whom = at[nearer], far[at], partner[at]
-            far[now], partner[now] = apart[nearer], other[nearer]
-            apart, other = np.where(nearer, was, apart), np.where(nearer, whom, other)
-
-    # the bits alone leave few pairs open; what they allow is the sum of what each line allows
-    allowed = (size >> 32) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    active = np.flatnonzero(fresh & (place > 0))
-    for d in range(1, NEIGHBOURS + 1):
-        active = active[place[active] >= d]
-        if not len(active):
-            break
-        near = np.bitwise_count((marks[active] ^ marks[active - d]).view(np.uint64)) <= allowed[active] + allowed[active - d]
-        at = active[near]
-        if len(at):
-            note(at, ids[at - d], size[at - d], marks[at - d])
-    beyond = fresh & (place + gone > NEIGHBOURS)
-    at = np.flatnonzero(beyond)
-    note(at, lead["id"][at], lead["size"][at], lead["marks"][at])
-    pairs = [(ids[k], partner[k]) for far, partner in best for k in [np.flatnonzero(far < 255)]]
-    more = beyond | (found > NEAREST)
-    # equal places in order: which line is the later one is not known here
-    tied = (token[1:] == token[:-1]) & (rows["doc"][1:] == rows["doc"][:-1]) & (rows["line"][1:] == rows["line"][:-1]) & fresh[1:]
-    more[1:] |= tied
-    more[:-1] |= tied
-    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    return a, b, more, start, {c: lead[c][-1] for c in lead} | {"token": token[-1], "gone": gone[-1]}
-
-
-def _neighbour_rows(threshold: float):
-    """Pairs (a, b), and rows (open, token, ...) of tokens in which a line may have more partners: the
-    open ones look for partners, all can be one. A row on the border of two chunks may come twice."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, old, first = None, 0, None
-        for batch in batches:
-            new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in COLUMNS}
-            held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
-            if len(held["id"]) - old >= CHUNK_ROWS:
-                out, first = made(held, old, first)
-                cut = max(0, len(held["id"]) - NEIGHBOURS - 1)
-                # rows of the last token that are let go
-                first["gone"] += int(np.count_nonzero(held["token"][:cut] == first["token"]))
-                held = {c: v[cut:] for c, v in held.items()}
-                old = len(held["id"])
-                yield out
-        if held and len(held["id"]) > old:
-            yield made(held, old, first)[0]
-
-    def made(held, old, first):
-        a, b, more, start, first = _neighbours(held, old, first, threshold)
-        wanted = _back(more, start, NEIGHBOURS + 1)
-        none = pa.nulls(int(wanted.sum()), pa.int64())
-        left, right = (pa.concat_arrays([pa.array(x, pa.int64()), none]) for x in (a, b))
-        rest = [
-            pa.concat_arrays([pa.nulls(len(a), kind), pa.array(v[wanted]).cast(kind)])
-            for v, kind in [(more, pa.bool_()), *((held[c], kind) for c, kind in COLUMNS.items())]
-        ]
-        return pa.RecordBatch.from_arrays([left, right, *rest], names=["a", "b", "open", *COLUMNS]), first
-
-    return rows
+
+def _fits(x: str, y: str, threshold: float) -> Column:
+    """Whether lengths, places and signatures of two lines, columns that begin with ``x`` and ``y``, allow
+    enough overlap."""
+    n, m = (F.shiftright(F.col(f"{t}size"), 32) for t in (x, y))
+    at, other = (F.shiftright(F.col(f"{t}size").bitwiseAND(F.lit((1 << 32) - 1)), 1) for t in (x, y))
+    need = F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
+    fits = (m >= n * threshold - 1e-9) & (n >= m * threshold - 1e-9)
+    return fits & (_apart(x, y) <= n + m - 2 * need) & (n - at >= need) & (m - other >= need)
 
 
 def _line_key(rid: Column, line: Column) -> Column:
@@ -273,27 +159,6 @@ def _marked(keys: DataFrame, key: Column) -> Column:
     return F.getbit(F.get(table, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of single lines."""
-    for whole in batches:
-        for batch in slices(whole):
-            words = split_words(batch.column("text"))
-            own = [np.unique(words.hashes[x:y]).view(np.int64) for x, y in zip(words.first, words.first[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(own, pa.list_(pa.int64()))], names=["id", *ORDER, "words"])
-
-
-def _likely(firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` (a, b) that a longer signature does not tell apart, with the number of its
-    bits in which they differ, stored."""
-    signs = firsts.select("id", "n", *SIGNS)
-    x, y = (signs.select(*[F.col(c).alias(f"{t}_{c}") for c in signs.columns]) for t in "xy")
-    n = F.col("x_n") + F.col("y_n")
-    differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in SIGNS), F.lit(0))
-    pairs = pairs.distinct().join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id"))
-    pairs = pairs.withColumn("apart", differ).filter(F.col("apart") <= n - 2 * F.ceil(n * (threshold / (1 + threshold)) - 1e-9))
-    return stored(pairs.select("a", "b", "apart"), "pairs")
-
-
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Ids of the lines in ``pairs`` (a, b) that a similar line comes before, stored."""
     pairs = stored(pairs.select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct(), "asked")
@@ -304,7 +169,7 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: f
     texts = texts.filter(_marked(wanted, _line_key(F.col("rid"), F.col("line"))))
     found = wanted.join(texts, ["rid", "line"]).select("id", *ORDER, "text")
     # equal rows bring a line again: any of them will do
-    tokens = stored(found.mapInArrow(_word_rows, "id long, doc long, line int, rid long, words array<long>"), "tokens")
+    tokens = stored(found.select("id", *ORDER, _hashes(F.col("text")).alias("words")), "tokens")
     drop(wanted)
     found = tokens.dropDuplicates(["id"])
     x, y = found.alias("x"), found.alias("y")
@@ -317,56 +182,58 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: f
     return later
 
 
+def _nearest(firsts: DataFrame, threshold: float) -> DataFrame:
+    """The likeliest pair (a, b) of every line with the first line and the one before it of some of its tokens."""
+    # the least by hash: lines that share most of their first tokens share some of these
+    rows = _dealt(firsts, F.slice(F.sort_array("head"), 1, NEIGHBOURS), F.lit(True), ranked=False)
+    order = Window.partitionBy("token").orderBy("doc", "line", "id")
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    columns = ("id", "size", *SIGNS)
+    rows = rows.select(
+        "*",
+        *[F.first(c).over(before).alias(f"first_{c}") for c in columns],
+        *[F.lag(c).over(order).alias(f"last_{c}") for c in columns],
+    )
+    partner = [
+        F.when((F.col("id") != F.col(f"{t}id")) & _fits("", t, threshold), F.struct(_apart("", t).alias("apart"), F.col(f"{t}id").alias("b")))
+        for t in ("first_", "last_")
+    ]
+    rows = rows.select("id", F.least(*partner).alias("near")).filter("near is not null")
+    return rows.groupBy(F.col("id").alias("a")).agg(F.min("near").alias("near")).select("a", "near.b")
+
+
+def _further(firsts: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
+    """All pairs (a, b) of lines a that are not ``done`` with lines b before them."""
+    marked = firsts.join(done.withColumn("done", F.lit(True)), "id", "left")
+    rows = _dealt(marked, F.col("head"), F.col("done").isNull())
+    x, y = rows.alias("x"), rows.alias("y")
+    # in one term with both sides, or one side would be filtered before it is dealt and both dealt apart
+    asks = F.col("x.size").bitwiseAND(F.lit(1)) > F.when(F.col("x.id") == F.col("y.id"), 1).otherwise(0)
+    # equal places in order: which line is the later one is not known here
+    before = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") <= F.col("x.line")))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & before & asks & _fits("x.", "y.", threshold))
+    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(rid, removed): the numbers of the lines to remove, stored; ``rid`` hashes doc_id
     and text."""
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs))
-    lines = stored(_named(docs).mapInArrow(_line_rows(shared, threshold), LINES), "lines")
-    firsts = lines.groupBy("k", "k2").agg(F.min(F.struct(*ORDER, "n", *SIGNS, "head")).alias("first")).select("k", "k2", "first.*")
+    lines = stored(_line_rows(docs, rarity(docs), threshold), "lines")
+    first = F.min(F.struct(*ORDER, "n", *SIGNS, "head")).alias("first")
+    firsts = lines.groupBy("k", "k2").agg(first, F.count(F.lit(1)).alias("times")).select("k", "k2", "times", "first.*")
     firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
-    # only numbers that the filters need travel
-    marks = F.expr("s0 ^ s1 ^ s2 ^ s3").alias("marks")
-    dealt = firsts.select("doc", "line", "id", "n", marks, F.posexplode("head").alias("place", "token"))
-    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("size")
-    in_order = dealt.select("token", "doc", "line", "id", size, "marks").repartition("token").sortWithinPartitions(*list(COLUMNS)[:4])
-    seen = stored(in_order.mapInArrow(_neighbour_rows(threshold), SEEN), "seen")
-    likely = _likely(firsts, seen.filter("a is not null").select("a", "b"), threshold)
     # one pair a line, the likeliest, settles nearly all
-    nearest = likely.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("near")).select("a", "near.b")
-    done = _verified(docs, firsts, nearest, threshold)
-
-    others = likely.select("a", "b").join(done, F.col("a") == F.col("id"), "left_anti")
-    rest = seen.filter("a is null").select("open", *COLUMNS)
-    x, y = rest.filter("open").join(done, "id", "left_anti").alias("x"), rest.alias("y")
-    n, m = (F.shiftright(F.col(f"{t}.size"), 32) for t in "xy")
-    at, other = (F.col(f"{t}.size").bitwiseAND(F.lit(LOW)) for t in "xy")
-    need = F.ceil((n + m) * (threshold / (1 + threshold)) - 1e-9)
-    pairs = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.id") != F.col("y.id"))
-        & (F.struct("y.doc", "y.line") <= F.struct("x.doc", "x.line"))
-        & (F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9)
-        & (F.least(n - at, m - other) >= need)
-        & (F.bit_count(F.col("x.marks").bitwiseXOR(F.col("y.marks"))) <= n + m - 2 * need),
-    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    further = _likely(firsts, pairs, threshold)
-    more = _verified(docs, firsts, others.union(further.select("a", "b")).join(nearest, ["a", "b"], "left_anti"), threshold)
-    drop(seen, likely, further)
-    both = done.union(more).distinct()
+    done = _verified(docs, firsts, _nearest(firsts, threshold), threshold)
+    more = _verified(docs, firsts, _further(firsts, done, threshold), threshold)
 
     # every line but the first of its set, and the first too where a similar one comes before
-    first = firsts.select("k", "k2", "id", *[F.col(c).alias(f"first_{c}") for c in ORDER])
-    later = first.join(both.withColumn("gone", F.lit(True)), "id", "left").drop("id")
-    repeated = (
-        lines.select(*ORDER, "k", "k2")
-        .join(later, ["k", "k2"])
-        .filter("gone or doc <> first_doc or line <> first_line or rid <> first_rid")
-        .select("rid", "line")
-        .distinct()
-    )
+    first = firsts.filter("times > 1").select("k", "k2", *[F.col(c).alias(f"first_{c}") for c in ORDER])
+    repeated = lines.select(*ORDER, "k", "k2").join(first, ["k", "k2"])
+    repeated = repeated.filter("doc <> first_doc or line <> first_line or rid <> first_rid").select("rid", "line")
+    similar = firsts.join(done.union(more), "id").select("rid", "line")
     # a document's lines, as they were in one row
-    removed = stored(repeated.groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed")), "removed")
+    every = repeated.union(similar).distinct()
+    removed = stored(every.groupBy("rid").agg(F.sort_array(F.collect_list("line")).alias("removed")), "removed")
     drop(lines, firsts, done, more)
     return removed
 

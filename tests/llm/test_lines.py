@@ -135,3 +135,19 @@ def test_near_copies_are_not_paired_with_each_other(spark, monkeypatch):
     assert sum(r.n_removed for r in got) == 399
     # 79,800 pairs are similar
     assert max(asked) <= 400 * 8
+
+
+def test_runs_no_python_on_the_executors(spark, monkeypatch):
+    plans, kept = [], lines.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(lines, "stored", stored)
+    df = spark.createDataFrame([(1, "a b c d e", 5, "x"), (2, "a b c d e\nf", 6, "y")], SCHEMA)
+    for out in (lines.line_report(df), lines.remove_lines(df)):
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert out.count() == 2
+    assert len(plans) > 10
+    assert not [p for p in plans if any(word in p for word in ("Python", "Pandas", "Arrow"))]
