@@ -94,11 +94,16 @@ def _line_rows(docs: DataFrame, levels: np.ndarray, threshold: float) -> DataFra
     rows = _named(docs).select("doc", "rid", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     rows = rows.filter(F.length(F.btrim("text", F.lit(SPACE))) > 0)
     rows = rows.select("doc", "rid", "line", _hashes(F.col("text")).alias("words"))
-    table = F.split(F.lit(",".join(map(str, levels.tolist()))), ",").cast("array<int>")
+    # 16 levels of 4 bits in a long, each an octave and a half
+    nibbles = np.minimum(15, levels // 12).astype(np.uint64).reshape(-1, 16) << (4 * np.arange(16, dtype=np.uint64))
+    packed = np.bitwise_or.reduce(nibbles, axis=1).view(np.int64)
+    table = F.split(F.lit(",".join(map(str, packed.tolist()))), ",").cast("array<long>")
 
     def code(word: Column) -> Column:
-        level = F.get(table, word.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.shiftleft(level.cast("long"), 55).bitwiseOR(F.shiftrightunsigned(word, 9))
+        slot = word.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+        at = F.shiftleft(slot.bitwiseAND(F.lit(15)), 2)
+        level = F.call_function("shiftrightunsigned", F.get(table, F.shiftright(slot, 4)), at).bitwiseAND(F.lit(15))
+        return F.shiftleft(level, 55).bitwiseOR(F.shiftrightunsigned(word, 9))
 
     def bit(word: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(F.lit(63)).cast("int"))
