@@ -165,6 +165,21 @@ def pending_rows(
     return anti_join(asked, done, "key", row_id)
 
 
+def last_orders(
+    rows: DataFrame,
+    key_cols: Sequence[str] = ("instruction",),
+    order_cols: Sequence[str] = ("batch", "pos"),
+    prefer_success: bool = False,
+) -> DataFrame:
+    """``order_cols`` of the row that ``last_per_key`` keeps for every key, without its texts."""
+    order = list(order_cols)
+    rank = F.struct(*([F.col("sorted_indices").isNotNull().alias("_ok")] if prefer_success else []), *order)
+    return (
+        rows.groupBy(_key(rows, key_cols).alias("key")).agg(F.max(rank).alias("_last"))
+        .select(*[F.col(f"_last.{c}").alias(c) for c in order])
+    )
+
+
 def last_per_key(
     rows: DataFrame,
     key_cols: Sequence[str] = ("instruction",),
@@ -177,14 +192,8 @@ def last_per_key(
     copies before the shuffle; the wide rows are then matched on the unique
     order columns, so a key with many copies never meets in one task.
     """
-    order = list(order_cols)
-    rank = F.struct(*([F.col("sorted_indices").isNotNull().alias("_ok")] if prefer_success else []), *order)
-    key = _key(rows, key_cols)
-    winners = (
-        rows.groupBy(key.alias("key")).agg(F.max(rank).alias("_last"))
-        .select(*[F.col(f"_last.{c}").alias(c) for c in order])
-    )
-    return rows.join(winners, order, "left_semi").withColumn("key", key)
+    winners = last_orders(rows, key_cols, order_cols, prefer_success)
+    return rows.join(winners, list(order_cols), "left_semi").withColumn("key", _key(rows, key_cols))
 
 
 def upsert_results(

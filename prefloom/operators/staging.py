@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefloom.session import scratch_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with the column ``name``, computed once per row.
@@ -19,6 +24,18 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What an action in here shuffles goes as soon as it ends, not when the driver happens
+    to collect its garbage. Frames made in here are for one action each."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once however often
     it is used, and unharmed by lost executors."""

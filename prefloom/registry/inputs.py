@@ -168,6 +168,12 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, KEYED, documents=table(spark, sf_dir, "documents"))
 
 
+def keyed_dealt(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
+    """``keyed`` in ``files`` partitions, all rows of an instruction in one: documents are
+    shuffled, which hold each text once."""
+    return _run(spark, KEYED, documents=table(spark, sf_dir, "documents").repartition(files, "text"))
+
+
 def earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(
         spark, EARLIER,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from prefloom.functions.prompts import compose_prompt, message, render_chat
 from prefloom.operators import chat, choice, completion, judging, positions, preference, splits, training
-from prefloom.operators.staging import compute_once
+from prefloom.operators.staging import compute_once, shuffles_freed
 from prefloom.plans import choice as choice_plan
 from prefloom.plans import judging as judging_plan
 from prefloom.plans import preference as preference_plan
@@ -560,9 +560,10 @@ def rank_ledger(spark, sf):
 
 def rank_store(spark, sf):
     """The files of the ranking stream in four batches, stored in levels."""
-    rows = inputs.keyed(spark, sf)
+    rows = inputs.keyed_dealt(spark, sf, STREAM_FILES)
     arriving, folder, checkpoint = (scratch_folder(spark, n) for n in ("arriving", "store", "stream-state"))
-    rows.repartition(STREAM_FILES, "instruction").write.parquet(arriving)
+    with shuffles_freed(spark):
+        rows.write.option("compression", "zstd").parquet(arriving)
     query = store.rank_store_stream(
         spark, arriving, rows.schema, folder, checkpoint, _make(stubs.second_ranker), max_files=STREAM_FILES // 4,
         base_bits=STORE_BITS

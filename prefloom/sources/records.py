@@ -221,6 +221,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet rows, or an empty table while ``path`` does not exist."""
     if path_exists(spark, path):

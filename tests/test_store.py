@@ -3,8 +3,11 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from prefloom.operators.staging import CLEANUP
 from prefloom.sources import shared
+from prefloom.sources.records import path_bytes
 from prefloom.streaming import store
 from conftest import rows
 
@@ -134,3 +137,95 @@ def test_empty_batches(spark, tmp_path):
         store.rank_stored(candidates(spark, "a").filter("false"), path, b, make(refuse))
     store.rank_stored(candidates(spark, "a"), path, 3, make(always))
     assert [r[0] for r in state(spark, path)] == ["a"]
+
+
+def test_pack_keeps_nulls_and_empty_lists(spark):
+    data = [("a", None, "", ["x", None]), (None, "b", None, []), ("c", "", "d", None)]
+    df = spark.createDataFrame(data, "instruction string, input string, ground_truth string, responses array<string>")
+    assert rows(store.unpack(store.pack(df)), *df.columns) == rows(df)
+
+
+@pytest.mark.parametrize("slices", [1, 2, 8, 16])
+def test_every_key_is_in_one_slice(spark, slices):
+    keys = [None, "", "0", "0f", "7fff", "8", "9", "A", "f", "ffff", "z"]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    found = [r[0] for n in range(slices) for r in df.filter(store._in_slice(n, slices)).collect()]
+    assert len(found) == len(keys) and set(found) == set(keys)
+
+
+def test_slices_by_size():
+    assert [store._slices(n * store.SLICE_BYTES) for n in (0, 1, 2, 3, 4, 9, 16, 1000)] == [1, 1, 2, 4, 4, 16, 16, 16]
+
+
+def merged(spark, path, monkeypatch, slice_bytes):
+    """State after three batches with failures that come again and rows that come twice."""
+    with monkeypatch.context() as m:
+        m.setattr(store, "SLICE_BYTES", slice_bytes)
+        store.append(results(spark, 0, range(40), ranked=False), path, 0, 1)
+        again = results(spark, 1, range(20, 60))
+        store.append(again.union(again), path, 1, 1)
+        store.append(results(spark, 2, range(50, 70)), path, 2, 1)
+    columns = ["key", "pos", "batch", "instruction", "input", "ground_truth", "responses", "sorted_indices"]
+    return rows(store.read_store(spark, path, base_bits=1), *columns)
+
+
+def test_slices_give_the_same_state(spark, tmp_path, monkeypatch):
+    whole = merged(spark, str(tmp_path / "whole"), monkeypatch, 1 << 40)
+    sliced = merged(spark, str(tmp_path / "sliced"), monkeypatch, 1)
+    assert whole == sliced and len({r[0] for r in whole}) == 70 and len(whole) > 70
+
+
+def test_a_merge_cut_off_is_no_success(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    monkeypatch.setattr(store, "SLICE_BYTES", 1)
+    here = store._in_slice
+
+    def third_slice_dies(number, slices):
+        if number == 2:
+            raise RuntimeError("died between slices")
+        return here(number, slices)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_in_slice", third_slice_dies)
+        with pytest.raises(RuntimeError):
+            store.append(results(spark, 0, range(40)), path, 0)
+    assert shared.names(f"{path}/level=0/start=0000000000") and store.finished_batches(path) == 0
+    store.append(results(spark, 0, range(30)), path, 0)
+    assert store.finished_batches(path) == 1 and len(state(spark, path)) == 30
+
+
+def test_ranges_without_packed_texts_are_read(spark, tmp_path):
+    path = str(tmp_path / "store")
+    old = results(spark, 0, range(9))
+    old.withColumn("bucket", F.shiftright(store.prefix(), 12)).write.partitionBy("bucket").parquet(f"{path}/level=0/start=0000000000")
+    assert rows(store.history(spark, path, 1)) == rows(old)
+    store.append(results(spark, 1, range(5, 12)), path, 1)
+    assert [r[0] for r in state(spark, path)] == sorted(f"t{k}" for k in range(12))
+    assert rows(store.read_store(spark, path), "responses") == [(["x"],)] * 12
+
+
+def test_a_batch_leaves_little_on_disk(spark, tmp_path, monkeypatch):
+    """Scratch tables go with their batch, texts that repeat take little room, and of what is shuffled
+    nothing stays until the driver collects its garbage."""
+    monkeypatch.setattr(store, "scratch_folder", lambda spark, name: f"{tmp_path}/scratch/{name}-{len(made)}-{made.append(name)}")
+    made, freed = [], []
+    write = store.record_replies
+
+    def recorded(asked, *args, **options):
+        freed.append(asked.sparkSession.conf.get(CLEANUP))
+        return write(asked, *args, **options)
+
+    monkeypatch.setattr(store, "record_replies", recorded)
+    texts = spark.range(300).select("id", *[F.sha2(F.concat_ws("-", "id", F.lit(i)), 512).alias(f"t{i}") for i in range(20)])
+    text = F.concat(*[f"t{i}" for i in range(20)])
+    df = texts.select(
+        F.col("id").alias("pos"), text.alias("instruction"), F.lit("").alias("input"), F.lit("").alias("ground_truth"),
+        F.array(text, F.concat(text, F.lit("!"))).alias("responses"),
+    )
+    path = str(tmp_path / "store")
+    store.rank_stored(df, path, 0, make(always))
+    assert freed == ["true"] and spark.conf.get(CLEANUP) == "false"
+    assert {"arrived", "ranked"} <= set(made) and shared.names(f"{tmp_path}/scratch") == []
+    assert store.read_store(spark, path).join(df, ["pos", "instruction", "input", "ground_truth", "responses"]).count() == 300
+    # 2,560 characters a row, half a byte each, three times
+    assert path_bytes(spark, f"{path}/level=0") < 1.5 * 300 * 2560 / 2
